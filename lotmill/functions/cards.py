@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotmill.functions.text import SPACE, strip
 
-_TOKENS = rf"^[{SPACE}]*\(*([^{SPACE}]*)[{SPACE}]+([^{SPACE}]+)"
+_TOKENS = rf"(?U)^[{SPACE}]*\(*([^{SPACE}]*)[{SPACE}]+([^{SPACE}]+)"
 
 
 def _present(c: Column) -> Column:
@@ -34,7 +34,7 @@ def lot_type(attrs: Column) -> Column:
 
 def floor_area(attrs: Column) -> Column:
     """Built-up or land area before ``sq. ft.``, without commas."""
-    pattern = rf"(?i)(?:Built-up|Land[{SPACE}]*area)[{SPACE}]*:[{SPACE}]*(.*?)[{SPACE}]*sq\. ft\."
+    pattern = rf"(?iU)(?:Built-up|Land[{SPACE}]*area)[{SPACE}]*:[{SPACE}]*(.*?)[{SPACE}]*sq\. ft\."
     return _present(F.replace(F.regexp_extract(attrs, pattern, 1), F.lit(",")))
 
 

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def property_id(link: Column) -> Column:
-    """Last path segment of the link, with or without a trailing slash."""
-    return F.regexp_extract(link, r"([^/]+)/?$", 1)
+    """Last path segment of the link, with or without a trailing slash.
+
+    A pattern anchored only at the end would be tried from every position.
+    """
+    slash = F.endswith(link, F.lit("/")).cast("int")
+    return F.substring_index(F.left(link, F.length(link) - slash), "/", -1)
 
 
 def area_slug(link: Column) -> Column:

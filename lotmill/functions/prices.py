@@ -18,12 +18,17 @@ _NINE_DIGITS = r"(?=(?:\D*+\d){9}\D*+$)"
 _NINE_DIGITS_UP = r"(?=(?:\D*+\d){9})"
 _ENDS_000 = r"(?=.*0\D*+0\D*+0\D*+$)"
 _NOT_ENDS_000 = r"(?!.*0\D*+0\D*+0\D*+$)"
+_MIDDLE = f"(?s)^{_TWO_COMMAS}{_NINE_DIGITS}{_NOT_ENDS_000}(.*?),000"
+_NINE = f"{_TWO_COMMAS}{_NINE_DIGITS}"
+_LONG = f"{_THREE_COMMAS}{_NINE_DIGITS_UP}"
+_CUT = "(.*).{4}$"
 
 _NUMBER = r"\s*[+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+]?[0-9]+)?\s*"
 _SIGNED = r"\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*"
 
-EXEMPT_FROM_NINE_DIGITS = ["Residential Land", "Bungalow"]
-EXEMPT_FROM_THREE_COMMAS = ["Residential Land"]
+# House types the digit rules pass by, wholly and in part.
+LAND = "Residential Land"
+BUNGALOW = "Bungalow"
 
 
 def asks_contact(price: Column) -> Column:
@@ -38,28 +43,31 @@ def strip_price_words(price: Column) -> Column:
 
 def shorten_middle_zeros(c: Column) -> Column:
     """Nine digits, two commas, not ending in 000: the first ``,000`` loses two zeros."""
-    return F.regexp_replace(
-        c, f"(?s)^{_TWO_COMMAS}{_NINE_DIGITS}{_NOT_ENDS_000}(.*?),000", "$1,0"
-    )
+    return F.regexp_replace(c, _MIDDLE, "$1,0")
 
 
 def cut_trailing_zeros(c: Column) -> Column:
     """Nine digits, two commas, ending in 000: the last four characters go."""
-    return F.regexp_replace(c, f"(?s)^{_TWO_COMMAS}{_NINE_DIGITS}{_ENDS_000}(.*).{{4}}$", "$1")
+    return F.regexp_replace(c, f"(?s)^{_NINE}{_ENDS_000}{_CUT}", "$1")
 
 
 def cut_long_trailing_zeros(c: Column) -> Column:
     """Three commas and nine digits or more, ending in 000: the last four characters go."""
-    return F.regexp_replace(
-        c, f"(?s)^{_THREE_COMMAS}{_NINE_DIGITS_UP}{_ENDS_000}(.*).{{4}}$", "$1"
-    )
+    return F.regexp_replace(c, f"(?s)^{_LONG}{_ENDS_000}{_CUT}", "$1")
+
+
+def _cut_either(c: Column) -> Column:
+    # The two cuts ask for two and for three commas, and a text that lost its
+    # last comma has fewer still: one pass with either test gives the same.
+    return F.regexp_replace(c, f"(?s)^(?:{_NINE}|{_LONG}){_ENDS_000}{_CUT}", "$1")
 
 
 def _digit_rules(c: Column, house_type: Column) -> Column:
-    exempt_nine = F.coalesce(house_type.isin(EXEMPT_FROM_NINE_DIGITS), F.lit(False))
-    exempt_three = F.coalesce(house_type.isin(EXEMPT_FROM_THREE_COMMAS), F.lit(False))
-    nine = F.when(exempt_nine, c).otherwise(cut_trailing_zeros(shorten_middle_zeros(c)))
-    return F.when(exempt_three, nine).otherwise(cut_long_trailing_zeros(nine))
+    return (
+        F.when(house_type == LAND, c)
+        .when(house_type == BUNGALOW, cut_long_trailing_zeros(c))
+        .otherwise(_cut_either(shorten_middle_zeros(c)))
+    )
 
 
 def price_text(price: Column, house_type: Column, fix_ranges: bool = False) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from datetime import datetime
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -78,18 +78,45 @@ FIELDS = {
     ],
 }
 
+# Elements without content, elements that do not break a line of rendered text,
+# elements whose content is text only or is not rendered, and elements before
+# which an open paragraph ends.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 INLINE = set(
     "a abbr b bdi bdo button cite code em i label mark q s small span strong sub sup u".split()
 )
-UNSEEN = {"script", "style", "template", "noscript"}
+TEXT_ONLY = {
+    tag: re.compile(rf"</{tag}(?=[\s/>])", re.I)
+    for tag in "script style textarea title xmp iframe noembed noframes noscript".split()
+}
+UNSEEN = {*TEXT_ONLY, "template"}
 ENDS_PARAGRAPH = set(
     "address article aside div dl footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p "
     "section table ul".split()
 )
 
+# A comment, a declaration, or a tag with its attributes. Quotes only count
+# after "="; possessive repeats keep a broken page from being scanned again.
+MARKUP = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))
+    |<[!?][^>]*+>?
+    |<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)
+     (?P<attrs>(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+|[^>=])*+)(?:>|\Z)""",
+    re.S | re.X,
+)
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+BLANKS = re.compile(r"\s+")
+
 
-class CardReader(HTMLParser):
+def attributes(source: str) -> dict[str, str]:
+    """Attributes of a tag by lower-case name; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in ATTRIBUTE.findall(source):
+        found.setdefault(name.lower(), unescape(double or single or bare))
+    return found
+
+
+class CardReader:
     """Collects the field texts of every card of one page, in page order.
 
     A field takes the first element, in document order, that any of its
@@ -97,83 +124,100 @@ class CardReader(HTMLParser):
     """
 
     def __init__(self, page_url: str, card=CARD, fields=FIELDS):
-        super().__init__(convert_charrefs=True)
         self.page_url, self.card = page_url or "", card
         self.by_tag: dict[str, list] = {}
         for field, paths in fields.items():
             for path in paths:
                 self.by_tag.setdefault(path[-1][1], []).append((field, path))
+        self.marked = {card[0], *(step[1] for ps in fields.values() for p in ps for step in p)}
         self.stack: list[tuple[str, str]] = []
         self.cards: list[dict] = []
         self.open_cards: list[tuple[int, dict]] = []
         self.captures: list[tuple[int, dict, str, list]] = []
 
-    def _reached(self, path, step: int, at: int, floor: int) -> bool:
-        axis, tag, mark = path[step]
-        here_tag, here_class = self.stack[at]
-        if here_tag != tag or mark not in here_class:
-            return False
-        if step == 0:
-            return True
-        lowest = at - 1 if axis == "/" else floor + 1
-        above = range(at - 1, max(lowest, floor + 1) - 1, -1)
-        return any(self._reached(path, step - 1, up, floor) for up in above)
+    def read(self, html: str) -> list[dict]:
+        at = 0
+        while token := MARKUP.search(html, at):
+            if self.captures and token.start() > at:
+                self._text(html[at : token.start()])
+            at = token.end()
+            if not (tag := token["tag"]):
+                continue
+            tag = tag.lower()
+            if token["end"]:
+                self._end(tag)
+                continue
+            self._start(tag, token["attrs"])
+            if tag in TEXT_ONLY:
+                close = TEXT_ONLY[tag].search(html, at)
+                at = close.start() if close else len(html)
+        if self.captures:
+            self._text(html[at:])
+        self._close_to(0)
+        return self.cards
 
-    def handle_starttag(self, tag, attrs):
+    def _start(self, tag: str, source: str) -> None:
         if tag in ENDS_PARAGRAPH:
             self._close_if_open("p", {"button", "li", "div", "td"})
-        if tag == "li":
-            self._close_if_open("li", {"ul", "ol"})
-        if tag not in INLINE:
+            if tag == "li":
+                self._close_if_open("li", {"ul", "ol"})
+        if self.captures and tag not in INLINE:
             self._break_line()
         if tag in VOID:
             return
-        attrs = dict(attrs)
-        self.stack.append((tag, attrs.get("class") or ""))
+        watched = tag in self.marked if self.open_cards else tag == self.card[0]
+        known = attributes(source) if source and watched else {}
+        self.stack.append((tag, known.get("class", "")))
         at = len(self.stack) - 1
         for floor, card in self.open_cards:
             for field, path in self.by_tag.get(tag, ()):
                 if field not in card and self._reached(path, len(path) - 1, at, floor):
+                    card[field] = None
                     if field == "link":
-                        card[field] = self._absolute(attrs.get("href"))
+                        card[field] = self._absolute(known.get("href"))
                     else:
-                        card[field] = None
                         self.captures.append((at, card, field, []))
         if tag == self.card[0] and self.card[1] in self.stack[at][1]:
             card = {}
             self.cards.append(card)
             self.open_cards.append((at, card))
 
-    def _absolute(self, href: str | None) -> str | None:
-        try:
-            return None if href is None else urljoin(self.page_url, href)
-        except ValueError:
-            return href
-
-    def parse_html_declaration(self, i):
-        # Browsers read "<![...>" as a comment; the base class may raise on it.
-        if self.rawdata.startswith("<![", i):
-            return self.parse_bogus_comment(i)
-        return super().parse_html_declaration(i)
-
-    def handle_endtag(self, tag):
-        if tag not in INLINE:
+    def _end(self, tag: str) -> None:
+        if self.captures and tag not in INLINE:
             self._break_line()
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
                 self._close_to(at)
                 return
 
-    def handle_data(self, data):
-        if self.captures and self.stack[-1][0] not in UNSEEN:
+    def _text(self, text: str) -> None:
+        if self.stack[-1][0] not in UNSEEN:
+            text = BLANKS.sub(" ", unescape(text))
             for _, _, _, parts in self.captures:
-                parts.append(re.sub(r"\s+", " ", data))
+                parts.append(text)
 
-    def _break_line(self):
+    def _break_line(self) -> None:
         for _, _, _, parts in self.captures:
             parts.append("\n")
 
-    def _close_if_open(self, tag: str, within: set[str]):
+    def _reached(self, path, step: int, at: int, floor: int) -> bool:
+        axis, tag, mark = path[step]
+        here_tag, here_class = self.stack[at]
+        if here_tag != tag or mark not in here_class:
+            return False
+        if step == 0:
+            return True
+        lowest = max(at - 1 if axis == "/" else 0, floor + 1)
+        above = range(at - 1, lowest - 1, -1)
+        return any(self._reached(path, step - 1, up, floor) for up in above)
+
+    def _absolute(self, href: str | None) -> str | None:
+        try:
+            return None if href is None else urljoin(self.page_url, href)
+        except ValueError:
+            return href
+
+    def _close_if_open(self, tag: str, within: set[str]) -> None:
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
                 self._close_to(at)
@@ -181,7 +225,7 @@ class CardReader(HTMLParser):
             if self.stack[at][0] in within:
                 return
 
-    def _close_to(self, at: int):
+    def _close_to(self, at: int) -> None:
         del self.stack[at:]
         while self.captures and self.captures[-1][0] >= at:
             _, card, field, parts = self.captures.pop()
@@ -190,17 +234,15 @@ class CardReader(HTMLParser):
         while self.open_cards and self.open_cards[-1][0] >= at:
             self.open_cards.pop()
 
-    def read(self, html: str) -> list[dict]:
-        self.feed(html)
-        self.close()
-        self._close_to(0)
-        return self.cards
-
 
-def card_texts(pages: DataFrame, card=CARD, fields=FIELDS) -> DataFrame:
+def card_texts(
+    pages: DataFrame, card=CARD, fields=FIELDS, spread: int | None = None
+) -> DataFrame:
     """One row per card: page, card number on the page, and field texts.
 
     Pages without the card mark, and challenge pages, never reach Python.
+    Reading runs where the pages were scanned; ``spread`` first deals the
+    pages out over that many tasks, for a scan that has too few.
     """
     names = list(fields)
     schema = "page_id bigint, url string, card_no int, " + ", ".join(f"`{n}` string" for n in names)
@@ -219,7 +261,8 @@ def card_texts(pages: DataFrame, card=CARD, fields=FIELDS) -> DataFrame:
                 yield pd.DataFrame(rows, columns=columns)
 
     wanted = without_challenges(pages).filter(F.col("html").contains(card[1]))
-    return wanted.select("page_id", "url", "html").mapInPandas(read, schema)
+    wanted = wanted.select("page_id", "url", "html")
+    return (wanted.repartition(spread) if spread else wanted).mapInPandas(read, schema)
 
 
 def without_challenges(pages: DataFrame, text: str = CHALLENGE_TEXT) -> DataFrame:
@@ -257,12 +300,14 @@ def _listings(cards: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def extract_listings(pages: DataFrame, as_of: datetime, card=CARD, fields=FIELDS) -> DataFrame:
+def extract_listings(
+    pages: DataFrame, as_of: datetime, card=CARD, fields=FIELDS, spread: int | None = None
+) -> DataFrame:
     """Raw listing rows of all cards, each page URL taken on its first visit.
 
     Cards that cannot be read carry a ``reject_reason`` and leave the other
     cards of their page alone. Repeat visits are dropped after extraction, so
     page bodies are never shuffled.
     """
-    cards = first_visits(card_texts(pages, card, fields), pages)
+    cards = first_visits(card_texts(pages, card, fields, spread), pages)
     return _listings(cards, as_of)

@@ -11,6 +11,10 @@ from lotmill.functions import dates, links, prices, text
 from lotmill.schemas import CLEAN_COLUMNS, CLEAN_TYPES, RAW_COLUMNS
 
 
+# Raw columns whose words are capitalised, besides the area.
+WORDED = ["agent_name", "house_name", "house_location", "house_type", "lot_type", "house_furniture"]
+
+
 def evaluate_once(df: DataFrame, **values: Column) -> DataFrame:
     """Add costly columns that later filters cannot pull back into the scan.
 
@@ -59,32 +63,38 @@ def _cleaned(df: DataFrame, as_of: datetime, fix_ranges: bool, strict_nan: bool)
     price, bad_range, psf, state = (F.col(c) for c in ("_price", "_bad_range", "_psf", "_state"))
     priced = priced.filter((price >= prices.PRICE_FLOOR) | bad_range)
 
+    raw = {c.lower(): F.col(c) for c in RAW_COLUMNS}
+    # One array expression for all worded columns keeps the generated method
+    # of this stage small enough for the JVM to compile it.
+    worded = {c: raw[c] for c in WORDED} | {"area": links.area_slug(raw["page_link"])}
+    priced = priced.withColumn(
+        "_words", F.transform(F.array(*worded.values()), text.capitalize_words)
+    )
+
     def label(c: Column) -> Column:
         return text.blank_nan(c, strict_nan)
 
-    def words(c: Column) -> Column:
-        return label(text.capitalize_words(c))
+    def words(name: str) -> Column:
+        return F.col("_words")[list(worded).index(name)]
 
     def amount(c: Column) -> Column:
         return F.coalesce(c, F.lit(0.0)).try_cast("decimal(20,2)")
 
-    raw = {c.lower(): F.col(c) for c in RAW_COLUMNS}
-    house_type = text.expand_house_type(text.capitalize_words(raw["house_type"]))
     values = {
         "property_id": label(links.property_id(raw["page_link"])),
         "page_link": label(raw["page_link"]),
         "source": label(raw["source"]),
-        "agent_name": words(raw["agent_name"]),
+        "agent_name": label(words("agent_name")),
         "state": label(state),
-        "area": words(links.area_slug(raw["page_link"])),
+        "area": label(words("area")),
         "house_price": amount(price),
         "price_square_feet": amount(psf),
-        "house_name": words(raw["house_name"]),
-        "house_location": words(raw["house_location"]),
-        "house_type": label(house_type),
-        "lot_type": words(raw["lot_type"]),
+        "house_name": label(words("house_name")),
+        "house_location": label(words("house_location")),
+        "house_type": label(text.expand_house_type(words("house_type"))),
+        "lot_type": label(words("lot_type")),
         "square_footage": amount(prices.square_footage(raw["square_footage"])),
-        "house_furniture": words(raw["house_furniture"]),
+        "house_furniture": label(words("house_furniture")),
         "posted_date": dates.posted_date(raw["posted_date"], as_of),
         "created_at": raw["created_at"].try_cast("timestamp_ntz"),
     }

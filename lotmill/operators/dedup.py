@@ -7,19 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotmill.functions.hashing import row_hash
 from lotmill.operators.clean import normalize_raw
 from lotmill.schemas import RAW_COLUMNS
 
 
 def arrival_order(df: DataFrame) -> list[Column]:
-    """A total order for rows of one key: collection time, file, content.
+    """A total order for rows of one key: collection time, file, then content.
 
     Files are read in no fixed order, so position cannot decide; identical
-    rows are the only ones this order leaves equal.
+    rows are the only ones this order leaves equal. The content columns are
+    compared only where time and file agree.
     """
-    known = [F.col(c) for c in ("created_at", "file_name") if c in df.columns]
-    return [*known, row_hash(df.columns)]
+    first = [c for c in ("created_at", "file_name") if c in df.columns]
+    return [F.col(c) for c in [*first, *sorted(set(df.columns) - set(first))]]
 
 
 def _one_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:

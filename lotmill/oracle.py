@@ -217,7 +217,8 @@ cleaned as (
     cast(coalesce({SQUARE_FOOTAGE}, 0) as decimal(20,2)) as square_footage,
     {_no_nan(_words("house_furniture"))} as house_furniture,
     {POSTED} as posted_date,
-    try_cast(created_at as timestamp) as created_at
+    try_cast(created_at as timestamp) as created_at,
+    file_name
   from priced where price >= 25000
 )"""
 
@@ -252,10 +253,13 @@ def _doubles(columns: list[str], prefix: str = "") -> str:
     )
 
 
-def _ranked(direction: str, order: str = "created_at", source: str = "incoming") -> str:
+def _ranked(direction: str, source: str = "incoming") -> str:
+    first = ["created_at"] + (["file_name"] if source != "incoming" else [])
+    rest = sorted(c for c in CLEAN_COLUMNS if c not in first)
+    order = ", ".join(f"{c} {direction}" for c in [*first, *rest])
     return (
-        f"select *, row_number() over (partition by property_id order by {order} {direction}, "
-        f"hashed {direction}) as rn from (select *, {_hash()} as hashed from {source})"
+        f"select *, row_number() over (partition by property_id order by {order}) as rn "
+        f"from (select *, {_hash()} as hashed from {source})"
     )
 
 
@@ -407,7 +411,7 @@ from numbered join regions using (script_number) group by all"""
     sql["stream_ingest"] = f"""with {LISTINGS_RAW},{REVISITED},
 visits as (select * from listings_raw union all select * from revisited),
 {_clean_from("visits").lstrip()},
-latest as (select * from ({_ranked("desc", source="(select * from cleaned where " + GATE + ")")}) where rn = 1)
+latest as (select * from ({_ranked("desc", "(select * from cleaned where " + GATE + ")")}) where rn = 1)
 select {_doubles(CLEAN_COLUMNS)}, {AS_OF} as valid_from, true as is_current, hashed as row_hash
 from latest"""
     # Pages hold 20 listings and are visited twice; the first visit counts.
