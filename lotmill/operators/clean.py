@@ -27,6 +27,11 @@ def evaluate_once(df: DataFrame, **values: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(one)))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, with every column evaluated before any later filter."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def with_missing_as_null(df: DataFrame) -> DataFrame:
     """Missing-value tokens in every raw column become null."""
     return df.withColumns({c: text.missing_to_null(F.col(c)) for c in RAW_COLUMNS})

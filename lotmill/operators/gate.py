@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotmill.operators.clean import evaluate_once, settled
 from lotmill.schemas import CLEAN_TYPES, max_lengths
 
 
@@ -18,14 +19,19 @@ def violation(types: dict[str, str] = CLEAN_TYPES) -> Column:
 
 
 def passing(df: DataFrame, types: dict[str, str] = CLEAN_TYPES) -> DataFrame:
-    """Rows with every column present and within its declared length."""
-    bound = [F.col(c).isNotNull() for c in types]
-    bound += [F.length(c) <= n for c, n in max_lengths(types).items()]
-    for rule in bound:
+    """Rows with every column present and within its declared length.
+
+    The rules look at most columns, so rows that come straight out of
+    cleaning are settled first; otherwise they would be cleaned twice.
+    """
+    rules = [F.col(c).isNotNull() for c in types]
+    rules += [F.length(c) <= n for c, n in max_lengths(types).items()]
+    df = settled(df)
+    for rule in rules:
         df = df.filter(rule)
     return df
 
 
 def rejected(df: DataFrame, types: dict[str, str] = CLEAN_TYPES) -> DataFrame:
     """Rows the gate turns back, with the rule they break."""
-    return df.withColumn("violation", violation(types)).filter(F.col("violation").isNotNull())
+    return evaluate_once(df, violation=violation(types)).filter(F.col("violation").isNotNull())
