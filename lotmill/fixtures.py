@@ -19,12 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer tasks than cores, dealt out to all of them.
+
+    Small data is one file and one task; a large table has more splits than
+    there are cores and is left as it is scanned.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation, region = (
         table(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region")
     )
     return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        _dealt(orders)
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .withColumn("k", F.col("o_orderkey"))
@@ -146,7 +157,7 @@ def listings_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     Line 1 lists its order's property again; other lines are new units. Many
     (order, line) pairs occur more than once, so the batch repeats keys.
     """
-    items = table(spark, sf_dir, "lineitem")
+    items = _dealt(table(spark, sf_dir, "lineitem"))
     unit = F.when(F.col("l_linenumber") == 1, "").otherwise(F.concat(F.lit("-"), "l_linenumber"))
     shipped = F.col("l_shipdate").cast("timestamp_ntz")
     ident = F.concat(F.col("l_orderkey").cast("string"), unit)

@@ -117,37 +117,40 @@ def attributes(source: str) -> dict[str, str]:
 
 
 class CardReader:
-    """Collects the field texts of every card of one page, in page order.
+    """Collects the field texts of every card of a page, in page order.
 
     A field takes the first element, in document order, that any of its
-    alternatives matches.
+    alternatives matches. One reader serves all pages of a task.
     """
 
-    def __init__(self, page_url: str, card=CARD, fields=FIELDS):
-        self.page_url, self.card = page_url or "", card
+    def __init__(self, card=CARD, fields=FIELDS):
+        self.card = card
         self.by_tag: dict[str, list] = {}
         for field, paths in fields.items():
             for path in paths:
                 self.by_tag.setdefault(path[-1][1], []).append((field, path))
         self.marked = {card[0], *(step[1] for ps in fields.values() for p in ps for step in p)}
+        self.seen: dict[tuple[str, str], tuple] = {}
+
+    def read(self, page_url: str, html: str) -> list[dict]:
+        self.page_url = page_url or ""
         self.stack: list[tuple[str, str]] = []
         self.cards: list[dict] = []
         self.open_cards: list[tuple[int, dict]] = []
         self.captures: list[tuple[int, dict, str, list]] = []
-
-    def read(self, html: str) -> list[dict]:
         at = 0
         while token := MARKUP.search(html, at):
             if self.captures and token.start() > at:
                 self._text(html[at : token.start()])
             at = token.end()
-            if not (tag := token["tag"]):
+            closing, tag, source = token.groups()
+            if not tag:
                 continue
             tag = tag.lower()
-            if token["end"]:
+            if closing:
                 self._end(tag)
                 continue
-            self._start(tag, token["attrs"])
+            self._start(tag, source)
             if tag in TEXT_ONLY:
                 close = TEXT_ONLY[tag].search(html, at)
                 at = close.start() if close else len(html)
@@ -156,6 +159,19 @@ class CardReader:
         self._close_to(0)
         return self.cards
 
+    def _look(self, tag: str, source: str) -> tuple[str, list, bool]:
+        """Class of a tag, the fields its own step may match, and if it is a card."""
+        if tag not in self.marked:
+            return "", [], False
+        if (found := self.seen.get((tag, source))) is None:
+            name = attributes(source).get("class", "")
+            fields = [(f, path) for f, path in self.by_tag.get(tag, ()) if path[-1][2] in name]
+            found = name, fields, tag == self.card[0] and self.card[1] in name
+            if len(self.seen) >= 10000:
+                self.seen.clear()
+            self.seen[tag, source] = found
+        return found
+
     def _start(self, tag: str, source: str) -> None:
         if tag in ENDS_PARAGRAPH:
             self._close_if_open("p", {"button", "li", "div", "td"})
@@ -165,19 +181,19 @@ class CardReader:
             self._break_line()
         if tag in VOID:
             return
-        watched = tag in self.marked if self.open_cards else tag == self.card[0]
-        known = attributes(source) if source and watched else {}
-        self.stack.append((tag, known.get("class", "")))
+        name, fields, is_card = self._look(tag, source)
+        self.stack.append((tag, name))
         at = len(self.stack) - 1
-        for floor, card in self.open_cards:
-            for field, path in self.by_tag.get(tag, ()):
-                if field not in card and self._reached(path, len(path) - 1, at, floor):
-                    card[field] = None
-                    if field == "link":
-                        card[field] = self._absolute(known.get("href"))
-                    else:
-                        self.captures.append((at, card, field, []))
-        if tag == self.card[0] and self.card[1] in self.stack[at][1]:
+        if fields:
+            for floor, card in self.open_cards:
+                for field, path in fields:
+                    if field not in card and self._reached(path, len(path) - 1, at, floor):
+                        card[field] = None
+                        if field == "link":
+                            card[field] = self._absolute(attributes(source).get("href"))
+                        else:
+                            self.captures.append((at, card, field, []))
+        if is_card:
             card = {}
             self.cards.append(card)
             self.open_cards.append((at, card))
@@ -249,10 +265,11 @@ def card_texts(
     columns = ["page_id", "url", "card_no", *names]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = CardReader(card, fields)
         for batch in batches:
             rows: list[tuple] = []
             for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"]):
-                for number, found in enumerate(CardReader(url, card, fields).read(html)):
+                for number, found in enumerate(reader.read(url, html)):
                     rows.append((page_id, url, number, *(found.get(n) for n in names)))
                 if len(rows) >= 5000:
                     yield pd.DataFrame(rows, columns=columns)

@@ -52,7 +52,15 @@ def without_contact_prices(df: DataFrame) -> DataFrame:
     return df.filter(~prices.asks_contact(F.col("House_Price")))
 
 
-def _cleaned(df: DataFrame, as_of: datetime, fix_ranges: bool, strict_nan: bool) -> DataFrame:
+def judged_listings(
+    df: DataFrame, as_of: datetime, fix_ranges: bool = False, strict_nan: bool = False
+) -> DataFrame:
+    """Clean listings and unreadable rows together, in one pass.
+
+    ``df`` holds the raw text columns and ``file_name``. Rows without a link,
+    with a contact price or below the price floor are left out; unreadable
+    rows carry a ``reject_reason``.
+    """
     kept = without_contact_prices(has_link(df))
     priced = evaluate_once(
         kept,
@@ -116,19 +124,14 @@ def _cleaned(df: DataFrame, as_of: datetime, fix_ranges: bool, strict_nan: bool)
 def clean_listings(
     df: DataFrame, as_of: datetime, fix_ranges: bool = False, strict_nan: bool = False
 ) -> DataFrame:
-    """Clean listings in their fixed column order, plus the raw file name.
-
-    ``df`` holds the raw text columns and ``file_name``. Rows without a link,
-    with a contact price, below the price floor or not readable are left out;
-    unreadable rows come back from :func:`quarantine` instead.
-    """
-    cleaned = _cleaned(df, as_of, fix_ranges, strict_nan)
-    return cleaned.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    """Readable clean listings in their fixed column order, plus the raw file name."""
+    judged = judged_listings(df, as_of, fix_ranges, strict_nan)
+    return judged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
 def quarantine(df: DataFrame, as_of: datetime, fix_ranges: bool = False) -> DataFrame:
     """Rows that could not be read, with the reason, out of the same rules."""
-    return _cleaned(df, as_of, fix_ranges, False).filter(F.col("reject_reason").isNotNull())
+    return judged_listings(df, as_of, fix_ranges).filter(F.col("reject_reason").isNotNull())
 
 
 def conform(df: DataFrame, types: dict[str, str] = CLEAN_TYPES) -> DataFrame:

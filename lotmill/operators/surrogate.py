@@ -31,7 +31,9 @@ def number_names(
     )
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(name))
     start = F.lit(start) if isinstance(start, int) else start
-    numbered = hashed.withColumn("_n", within).join(F.broadcast(shifts), "_bucket")
+    # Every bucket has its shift. An outer join says so without adding a null
+    # filter to one branch, and both branches then share one distinct shuffle.
+    numbered = hashed.withColumn("_n", within).join(F.broadcast(shifts), "_bucket", "left")
     ident = (start + F.col("_shift") + F.col("_n")).cast("long").alias(id_column)
     return numbered.select(ident, *names.columns)
 

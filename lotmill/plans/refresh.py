@@ -6,25 +6,33 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotmill.operators.clean import clean_listings
+from lotmill.operators.clean import judged_listings
+from lotmill.operators.gate import rejected
 from lotmill.plans.marts import all_marts
 from lotmill.plans.star import write_star
-from lotmill.sources.files import read_raw, write_staging
+from lotmill.sources.files import read_raw
 from lotmill.sources.tables import SnapshotTable, incremental_load, load_raw_table, save_snapshots
 
 
-def refresh(spark: SparkSession, raw_folder: str, root: str, as_of: datetime) -> dict[str, DataFrame]:
+def refresh(
+    spark: SparkSession, raw_folder: str, root: str, as_of: datetime
+) -> dict[str, DataFrame]:
     """Clean, load, and rebuild star and marts; returns the written marts.
 
     Every stage reads what the stage before it wrote, so a lost executor
-    costs one stage's tasks and no table is computed twice.
+    costs one stage's tasks and no table is computed twice. Rows that could
+    not be read stay in ``cleaned_listings`` with their reason, and rows the
+    gate turned back go to ``rejected_listings``.
     """
-    staging = f"{root}/staging_listings"
-    if write_staging(clean_listings(read_raw(spark, raw_folder), as_of), staging):
-        staged = spark.read.parquet(staging)
+    cleaned = f"{root}/cleaned_listings"
+    judged_listings(read_raw(spark, raw_folder), as_of).write.mode("overwrite").parquet(cleaned)
+    staged = spark.read.parquet(cleaned).filter("reject_reason is null").drop("reject_reason")
+    store = SnapshotTable(spark, f"{root}/current_listings")
+    if not staged.isEmpty():
+        rejected(staged).write.mode("overwrite").parquet(f"{root}/rejected_listings")
         load_raw_table(spark, staged, f"{root}/raw_listings")
-        incremental_load(SnapshotTable(spark, f"{root}/current_listings"), staged, as_of)
-    current = SnapshotTable(spark, f"{root}/current_listings").read()
+        incremental_load(store, staged, as_of)
+    current = store.read()
     star = write_star(spark, current, f"{root}/star")
     marts = all_marts(current, star.fact, star.dims["dim_agent"])
     save_snapshots(marts, f"{root}/marts")

@@ -14,7 +14,7 @@ def card(body: str) -> str:
 
 
 def read(html: str, url: str = "https://www.site.com.my/list?page=1") -> list[dict]:
-    return CardReader(url).read(html)
+    return CardReader().read(url, html)
 
 
 def test_fields_and_entities():

@@ -100,6 +100,10 @@ def test_numbering_has_no_global_sort(stored):
     # The one single-partition step sums at most 256 bucket sizes.
     before_sizes = plan.split("BroadcastExchange")[0]
     assert "SinglePartition" not in before_sizes
+    # Both passes over the names share one scan.
+    stored_names = star.dim_agent(stored("current"))
+    stored_names.collect()
+    assert "ReusedExchange" in physical_plan(stored_names)
 
 
 def test_cleaning_is_one_pass_that_the_jvm_compiles(stored):

@@ -171,6 +171,9 @@ def test_refresh_twice_gives_the_same_marts(spark, sf_dir, tmp_path):
     assert n == dated.count() == spark.read.parquet(f"{root}/star/fact_property_sales").count()
     for name in ("avg_price_by_state", "posting_dates", "furniture_status", "time_series_prices"):
         assert sum(r["count"] for r in once[name]) == n
+    undated = clean_listings(listings, fx.AS_OF).filter(F.col("posted_date").isNull()).count()
+    turned_back = spark.read.parquet(f"{root}/rejected_listings")
+    assert turned_back.filter("violation = 'null:posted_date'").count() == undated > 0
     assert current.read().filter(F.col("valid_from") != F.lit(datetime(2024, 1, 31, 12))).isEmpty()
 
 
