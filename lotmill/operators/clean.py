@@ -80,13 +80,13 @@ def judged_listings(
     # One array expression for all worded columns keeps the generated method
     # of this stage small enough for the JVM to compile it.
     worded = {c: raw[c] for c in WORDED} | {"area": links.area_slug(raw["page_link"])}
-    priced = priced.withColumn(
-        "_words", F.transform(F.array(*worded.values()), text.capitalize_words)
-    )
 
     def label(c: Column) -> Column:
         return text.blank_nan(c, strict_nan)
 
+    capitalized = F.transform(F.array(*worded.values()), text.capitalize_words)
+    priced = priced.withColumn("_words", F.transform(capitalized, label))
+
     def words(name: str) -> Column:
         return F.col("_words")[list(worded).index(name)]
 
@@ -97,17 +97,17 @@ def judged_listings(
         "property_id": label(links.property_id(raw["page_link"])),
         "page_link": label(raw["page_link"]),
         "source": label(raw["source"]),
-        "agent_name": label(words("agent_name")),
+        "agent_name": words("agent_name"),
         "state": label(state),
-        "area": label(words("area")),
+        "area": words("area"),
         "house_price": amount(price),
         "price_square_feet": amount(psf),
-        "house_name": label(words("house_name")),
-        "house_location": label(words("house_location")),
-        "house_type": label(text.expand_house_type(words("house_type"))),
-        "lot_type": label(words("lot_type")),
+        "house_name": words("house_name"),
+        "house_location": words("house_location"),
+        "house_type": text.expand_house_type(words("house_type")),
+        "lot_type": words("lot_type"),
         "square_footage": amount(prices.square_footage(raw["square_footage"])),
-        "house_furniture": label(words("house_furniture")),
+        "house_furniture": words("house_furniture"),
         "posted_date": dates.posted_date(raw["posted_date"], as_of),
         "created_at": raw["created_at"].try_cast("timestamp_ntz"),
     }
