@@ -14,7 +14,7 @@ def con():
     connection.close()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", [name for name in contract.queries() if name in contract.ORACLE])
 def test_query_matches_sql(spark, con, sf_dir, name):
     result = contract.queries()[name](spark, sf_dir)
     assert compare(result, con, contract.oracle_sql()[name]) is None
