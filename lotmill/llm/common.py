@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -91,7 +92,7 @@ def by_bytes(batches, column: str, limit: int = 8_000_000):
     """Arrow batches cut so that ``column`` holds about ``limit`` bytes in each."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        lengths = pa.compute.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths + 64)
         start = 0
         while start < batch.num_rows:

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotmill.llm import sharding, topk, urls
+from lotmill.llm import minhash, sharding, topk, urls
 from lotmill.llm.common import table
 
 
+def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
@@ -21,12 +26,33 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_hyperminhash": op4_hyperminhash,
     "op6_topk": op6_topk,
     "op8_urls": op8_urls,
     "op10_shards": op10_shards,
 }
 
 ORACLE = {
+    "op4_hyperminhash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN ws IS NULL OR len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4])) END AS sh FROM w),
+        n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+        x AS (SELECT doc_id, unnest(sh) AS g FROM s),
+        link AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, any_value(m.n) + any_value(k.n) AS total, count(*) AS c
+            FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+            JOIN n m ON m.doc_id = a.doc_id JOIN n k ON k.doc_id = b.doc_id
+            GROUP BY 1, 2 HAVING 100 * count(*) >= 75 * (any_value(m.n) + any_value(k.n) - count(*))),
+        reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other),
+        c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+        SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c USING (doc_id)
+    """,
     "op6_topk": """
         WITH e AS (
             SELECT vec_id, embedding FROM embeddings
