@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotmill.llm import minhash, sharding, topk, urls
+from lotmill.llm import lm, minhash, sharding, topk, urls
 from lotmill.llm.common import table
 
 
+def op3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
@@ -26,6 +30,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_backoff": op3_backoff,
     "op4_hyperminhash": op4_hyperminhash,
     "op6_topk": op6_topk,
     "op8_urls": op8_urls,
@@ -33,17 +38,45 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_backoff": r"""
+        WITH b AS (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL),
+        ids AS (
+            SELECT doc_id, xor(list_reduce(range(8 * len(s)), lambda c, i: xor(
+                xor(c, CASE WHEN i % 8 = 0 THEN CAST(ascii(s[i // 8 + 1]) AS BIGINT) ELSE 0 END) >> 1,
+                CASE WHEN xor(c, CASE WHEN i % 8 = 0 THEN CAST(ascii(s[i // 8 + 1]) AS BIGINT) ELSE 0 END) % 2 = 1
+                    THEN 3988292384 ELSE 0 END), 4294967295), 4294967295) AS crc32_text FROM b),
+        t AS MATERIALIZED (
+            SELECT doc_id, row_number() OVER () AS r, coalesce(crc32_text % 7 = 2, false) AS held_out, list_append(list_filter(
+                regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> ''), chr(10)) AS ws
+            FROM documents LEFT JOIN ids USING (doc_id)),
+        x AS MATERIALIZED (
+            SELECT r, held_out, unnest(list_zip(list_prepend(chr(9), ws[:-2]), ws)) AS p FROM t),
+        y AS MATERIALIZED (SELECT r, held_out, p[1] AS v, p[2] AS w FROM x),
+        c1 AS MATERIALIZED (SELECT w, count(*) AS c FROM y WHERE NOT held_out GROUP BY 1),
+        c2 AS MATERIALIZED (SELECT v, w, count(*) AS c FROM y WHERE NOT held_out GROUP BY 1, 2),
+        h AS (SELECT w, c FROM c1 UNION ALL SELECT chr(9), count(*) FROM t WHERE NOT held_out),
+        k AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS n, count(*) AS d FROM c1)
+        SELECT any_value(t0.doc_id) AS doc_id, any_value(y.held_out) AS held_out, count(*) AS n_tokens,
+            count(*) FILTER (c1.c > 0) AS n_known, any_value(k.n) AS train_tokens,
+            round(sum(log10((coalesce(c1.c, 0) + 1) / (k.n + k.d + 1))), 6) AS base_score,
+            round(sum(log10((coalesce(c2.c, 0) + 8.0::DOUBLE * (coalesce(c1.c, 0) + 1) / (k.n + k.d + 1))
+                / (coalesce(h.c, 0) + 8.0::DOUBLE))), 6) AS score
+        FROM y JOIN t t0 ON t0.r = y.r CROSS JOIN k LEFT JOIN c1 ON c1.w = y.w
+        LEFT JOIN c2 ON c2.v = y.v AND c2.w = y.w LEFT JOIN h ON h.w = y.v
+        GROUP BY y.r
+    """,
     "op4_hyperminhash": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(regexp_split_to_array(
                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
-        s AS (
-            SELECT doc_id, CASE WHEN ws IS NULL OR len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
-                ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4])) END AS sh FROM w),
-        n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
-        x AS (SELECT doc_id, unnest(sh) AS g FROM s),
-        link AS (
+        s AS MATERIALIZED (
+            SELECT doc_id, CASE WHEN ws IS NULL OR len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [hash(ws)]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: hash(ws[i:i + 4]))) END AS sh FROM w),
+        n AS MATERIALIZED (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+        x AS MATERIALIZED (SELECT doc_id, unnest(sh) AS g FROM s),
+        link AS MATERIALIZED (
             SELECT a.doc_id AS a, b.doc_id AS b, any_value(m.n) + any_value(k.n) AS total, count(*) AS c
             FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
             JOIN n m ON m.doc_id = a.doc_id JOIN n k ON k.doc_id = b.doc_id
