@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotmill.llm import lm, minhash, sharding, topk, urls
+from lotmill.llm import langid, lm, minhash, sharding, topk, urls
 from lotmill.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.rule_table(spark))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ QUERIES = {
     "op4_hyperminhash": op4_hyperminhash,
     "op6_topk": op6_topk,
     "op8_urls": op8_urls,
+    "op9_langid": op9_langid,
     "op10_shards": op10_shards,
 }
 
