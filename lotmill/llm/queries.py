@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotmill.llm import langid, lm, minhash, sharding, topk, urls
+from lotmill.llm import langid, lm, minhash, sharding, topk, toxicity, urls
 from lotmill.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -35,6 +40,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_backoff": op3_backoff,
     "op4_hyperminhash": op4_hyperminhash,
     "op6_topk": op6_topk,
