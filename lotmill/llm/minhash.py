@@ -29,7 +29,7 @@ PERCENT = 75
 # Five standard deviations of the estimate below the threshold.
 CUT = PERCENT / 100 - 5 * (0.75 * 0.25 / REGISTERS) ** 0.5
 # Buckets of up to so many nodes give all their pairs; larger ones a star, then cells of two blocks.
-SMALL, BLOCK = 8, 256
+SMALL, BLOCK, BLOCK_SHINGLES = 8, 512, 2_000_000
 # Node lists of up to so many rows are sent to every executor.
 BROADCAST_ROWS = 500_000
 
@@ -217,13 +217,14 @@ def links_of_cell(nodes: np.ndarray, sets: list[np.ndarray], registers: np.ndarr
 def _cell_links(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """(hi, lo) links inside large buckets. ``members`` is (band, node, root, size).
 
-    A bucket is cut into blocks of about BLOCK nodes; every two blocks meet in one
-    cell, so any two members meet once, and no task holds more than two blocks.
+    A bucket is cut into blocks of about BLOCK nodes and BLOCK_SHINGLES shingles; every two
+    blocks meet in one cell, so any two members meet once, and no task holds more than two blocks.
     """
     import pandas as pd
 
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = members.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    shingles = members.join(nodes.select("node", "n"), "node").groupBy("band").agg(F.sum("n").alias("_shingles"))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("_shingles") / BLOCK_SHINGLES)).cast("int")
+    placed = members.join(shingles, "band").withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     placed = placed.withColumn("_other", other).select(
         "band", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "node", "root"
