@@ -24,6 +24,8 @@ FIT_ROWS = 20_000
 # A term becomes a voter if its share of toxic documents is above the mean by this divergence, in
 # nats over its documents (about the log of the odds against chance); the strongest so many stay.
 MIN_NATS, MOST_TERMS = 12.0, 1000
+# A mined voter is toxic in so many of its documents at least.
+MIN_SHARE = 0.7
 STEM = 6
 LONGEST = 40
 
@@ -114,7 +116,7 @@ def mined_terms(sample: DataFrame) -> list[str]:
     share, clean = F.col("pos") / F.col("n"), F.col("n") - F.col("pos")
     nats = F.col("pos") * F.log(share / p) + F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - p))).otherwise(0.0)
     counts = sample.mapInArrow(distinct, "term string, toxic int").groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("pos"))
-    strong = counts.filter((F.col("pos") > 0) & (share > p)).withColumn("nats", nats).filter(F.col("nats") >= MIN_NATS)
+    strong = counts.filter(share >= max(p, MIN_SHARE)).withColumn("nats", nats).filter(F.col("nats") >= MIN_NATS)
     return [r["term"] for r in strong.orderBy(F.col("nats").desc(), "term").limit(MOST_TERMS).select("term").collect()]
 
 
@@ -165,36 +167,48 @@ def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 15) -> LabelM
         silent = fired == 0
         silence = ((q[silent].sum() + 0.5) / (mass + 1), ((1 - q)[silent].sum() + 0.5) / (rest + 1))
         model = LabelModel(
-            float(np.clip(q.mean(), 1e-3, 0.5)), a, b, 1 / (1 + _correlation(votes, q, a)), 1 / (1 + _correlation(votes, 1 - q, b)), silence
+            float(np.clip(q.mean(), 1e-3, 0.5)), a, b, 1 / (1 + _correlation(votes[q >= 0.5])), 1 / (1 + _correlation(votes[q < 0.5])), silence
         )
         q = model.posterior(votes)
     return model
 
 
-def _correlation(votes: np.ndarray, weight: np.ndarray, rate: np.ndarray) -> np.ndarray:
-    """Summed positive correlation of each voter with the others inside the class of ``weight``."""
-    both = (votes * weight[:, None].astype(np.float32)).T @ votes / max(weight.sum(), 1)
-    spread = np.sqrt(rate * (1 - rate))
+def _correlation(votes: np.ndarray) -> np.ndarray:
+    """Summed positive correlation of each voter with the others over the documents taken for one class."""
+    n = max(len(votes), 1)
+    both, rate = votes.T @ votes / n, votes.sum(axis=0) / n
+    # Three documents' weight of independence, so that a few joint votes of rare voters show nothing.
+    spread = np.sqrt(rate * (1 - rate)) + np.sqrt(3 / n)
     r = (both - np.outer(rate, rate)) / np.outer(spread, spread)
     np.fill_diagonal(r, 0)
-    # Weak correlations of rare voters are noise.
     return np.where(r > 0.2, r, 0).clip(0, 1).sum(axis=1)
 
 
-def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient steps."""
-    n, m = x.shape
-    w, bias = np.zeros(m), float(np.log(max(q.mean(), 1e-4) / max(1 - q.mean(), 1e-4)))
-    step = 4 / ((x * x).sum(axis=1).max(initial=1.0) + 1)
-    v, vb = w.copy(), bias
-    for t in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ v + vb, -30, 30)))
-        grad, grad_b = x.T @ (p - q) / n + ridge * v / n, float((p - q).mean())
-        new, new_b = v - step * grad, vb - step * grad_b
-        momentum = t / (t + 3)
-        v, vb = new + momentum * (new - w), new_b + momentum * (new_b - bias)
-        w, bias = new, new_b
-    return w, bias
+def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels by damped Newton steps; the bias is not shrunk."""
+    x = np.column_stack([x, np.ones(len(x))]).astype(np.float64)
+    shrink = np.full(x.shape[1], ridge)
+    shrink[-1] = 1e-6
+    w = np.zeros(x.shape[1])
+    w[-1] = np.log((q.sum() + 0.5) / ((1 - q).sum() + 0.5))
+
+    def loss(w):
+        z = x @ w
+        return float((np.logaddexp(0, z) - q * z).sum() + (shrink * w * w).sum() / 2)
+
+    now = loss(w)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (p - q) + shrink * w
+        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(shrink)
+        step = np.linalg.solve(bend, slope)
+        size = 1.0
+        while (then := loss(w - size * step)) > now and size > 1e-3:
+            size /= 2
+        if now - then < 1e-6 * (1 + abs(now)):
+            break
+        w, now = w - size * step, then
+    return w[:-1], float(w[-1])
 
 
 # ---- the operator
@@ -231,10 +245,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
         for batch in by_bytes(batches, "text", 4_000_000):
             out = [scorer.votes(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([list(v) for v in out], pa.list_(pa.int32())), pa.array([list(v.values()) for v in out], pa.list_(pa.int32()))], names=["k", "n"]
+                [pa.array([list(v) for v in out], pa.list_(pa.int32())), pa.array([list(v.values()) for v in out], pa.list_(pa.int32())), batch.column("toxic")],
+                names=["k", "n", "toxic"],
             )
 
-    got = sample.select("text").mapInArrow(voted, "k array<int>, n array<int>").toPandas()
+    got = sample.mapInArrow(voted, "k array<int>, n array<int>, toxic int").toPandas()
     if not len(got):
         return Scorer(names, np.zeros(len(names)), -3.0)
     counts = np.zeros((len(got), len(names)), np.float32)
@@ -246,7 +261,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
     kept = model.accuracy >= 2 * model.prior  # the rest says nothing about the class
     weights = np.zeros(len(names))
     w, bias = fit_linear(feature(counts[:, used[kept]]).astype(np.float32), model.posterior(votes.astype(np.float32)))
-    weights[used[kept]] = w
+    # The posterior's scale is the label model's own; a line through the logits sets it to the labels.
+    logits = feature(counts[:, used[kept]]) @ w + bias
+    (slope,), shift = fit_linear(logits[:, None], got["toxic"].to_numpy(float), ridge=0.1)
+    weights[used[kept]], bias = w * slope, float(bias * slope + shift)
     live = np.flatnonzero(weights)
     return Scorer([names[k] for k in live], weights[live], bias)
 
