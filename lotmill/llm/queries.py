@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotmill.llm import langid, lm, minhash, sharding, topk, toxicity, urls
+from lotmill.llm import decontaminate, langid, lm, minhash, packing, sharding, topk, toxicity, urls
 from lotmill.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -26,6 +30,11 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.rule_table(spark))
 
@@ -41,9 +50,11 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_packing": op2_packing,
     "op3_backoff": op3_backoff,
     "op4_hyperminhash": op4_hyperminhash,
     "op6_topk": op6_topk,
+    "op7_decontaminate": op7_decontaminate,
     "op8_urls": op8_urls,
     "op9_langid": op9_langid,
     "op10_shards": op10_shards,
@@ -115,6 +126,22 @@ ORACLE = {
         WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
         QUALIFY row_number() OVER w <= 20
     """,
+    "op7_decontaminate": r"""
+        WITH t AS (
+            SELECT 'd' AS kind, row_number() OVER () AS r, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'i', row_number() OVER (), item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        w AS (
+            SELECT kind, r, id, list_filter(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM t),
+        s AS (
+            SELECT kind, r, id, CASE WHEN ws IS NULL OR len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [hash(ws)]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: hash(ws[i:i + 4]))) END AS sh FROM w),
+        d AS MATERIALIZED (SELECT r, id, unnest(sh) AS g FROM s WHERE kind = 'd'),
+        i AS MATERIALIZED (SELECT r, id, CAST(len(sh) AS BIGINT) AS n, unnest(sh) AS g FROM s WHERE kind = 'i')
+        SELECT any_value(d.id) AS doc_id, any_value(i.id) AS item_id, any_value(n) AS item_shingles, count(*) AS shared
+        FROM d JOIN i ON d.g = i.g GROUP BY d.r, i.r HAVING 100 * count(*) >= 75 * any_value(n)
+    """,
     "op8_urls": """
         WITH rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
             ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
