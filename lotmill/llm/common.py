@@ -29,6 +29,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shield(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with columns other than ``used`` renamed by place, so that none clashes with an operator's own."""
+    return docs.toDF(*(c if c in used else f"_kept{i}" for i, c in enumerate(docs.columns)))
+
+
+def unshield(rows: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """The columns of ``docs`` under their names again, from ``rows`` made of the shielded ones."""
+    return rows.select(*(F.col(c if c in used else f"_kept{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's text modulo ``modulus``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

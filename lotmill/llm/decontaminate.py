@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.llm.common import by_bytes, materialize, mix, shingle_hashes
+from lotmill.llm.common import by_bytes, materialize, mix, shield, shingle_hashes, unshield
 
 SHINGLE = 5
 FUNCTIONS = 64
@@ -125,8 +125,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     shingles, anywhere in its text. An item of fewer than five words has one shingle, of all its words, and is found only in
     a document of just these words; null or empty items and texts have none and match nothing. Repeated
     rows are reported each; items with the same item_id count as one for each distinct text. The
-    benchmark is read in slices of bounded size, each sent to every task; for each slice the documents are passed once.
+    benchmark is read in slices of bounded size, each sent to every task; for each slice the documents are passed once. A column of ``docs``
+    with a result's name gives way to it.
     """
+    docs = docs.drop("item_id", "item_shingles", "shared")
     own = [f for f in docs.schema if f.name != "text"]
     names = [f.name for f in own]
     result = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own) + "item_id long, item_shingles long, shared long"
@@ -163,6 +165,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item, all columns as they are."""
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
+    numbered = materialize(shield(docs, "text").withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
     dirty = contamination(numbered.select("_row", "text"), benchmark).select("_row").distinct()
-    return numbered.join(dirty, "_row", "left_anti").drop("_row")
+    return unshield(numbered.join(dirty, "_row", "left_anti"), docs, "text")

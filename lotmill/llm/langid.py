@@ -235,8 +235,9 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
 
     lang_pred has most letters on the best path (ties: the first by name); score is its
     share of them. A null text, or one without a letter, or any text if nothing was learned, gets ``und`` with score 0 and no spans.
-    Spans count words from 0.
+    Spans count words from 0. A column of ``docs`` with a result's name gives way to it.
     """
+    docs = docs.drop("lang_pred", "score", "spans")
     arrow = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string())]))
 
     def run(batches):

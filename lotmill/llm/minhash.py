@@ -13,10 +13,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.llm.common import by_bytes, materialize, mix, shingle_hashes
+from lotmill.llm.common import by_bytes, materialize, mix, shield, shingle_hashes, unshield
 from lotmill.llm.components import component_roots
 
 SHINGLE = 5
@@ -255,7 +255,7 @@ def _bounded(df: DataFrame) -> DataFrame:
 
 
 def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows and nodes of ``docs`` (doc_id, text, and ``keys`` that are carried along).
+    """Rows and nodes of ``docs`` (doc_id, text, and other columns that are carried along).
 
     Rows: all columns but text, with n_shingles and set_key. Nodes: node, set_key,
     first_doc, n, root, where all linked nodes have one root.
@@ -321,14 +321,14 @@ def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` without text, with n_shingles, component_id, kept.
+    """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text; no other column is read).
 
     component_id is the smallest doc_id of the document's component, itself included; kept is
     doc_id = component_id. Null or empty text, or one without a word, has no shingle and is linked with nothing. Repeated
     rows are one node and all keep their rows. A null doc_id counts as larger than any other; a component
     of null ids only has a null component_id and is kept.
     """
-    rows, nodes = similar_sets(docs)
+    rows, nodes = similar_sets(docs.select("doc_id", "text"))
     first = nodes.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     known = nodes.select(F.col("set_key").alias("_set"), "root").join(first, "root").select("_set", "component_id")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -336,5 +336,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         rows.join(known, F.col("set_key") == F.col("_set"), "left")
         .withColumn("component_id", own)
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .drop("_set", "set_key", "sketch", "_text")
+        .select("doc_id", "n_shingles", "component_id", "kept")
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component, all columns as they are.
+
+    It is the row with the smallest doc_id (a null id last), of repeated rows any one. Rows without
+    a shingle are linked with nothing and stay; a repeated one stays each time.
+    """
+    rows = materialize(shield(docs, "doc_id", "text").withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    marked, nodes = similar_sets(rows.select("_row", "doc_id", "text"))
+    roots = nodes.select(F.col("set_key").alias("_set"), "root")
+    grouped = marked.filter("n_shingles > 0").join(roots, F.col("set_key") == F.col("_set"))
+    # One aggregation with map-side minima, however large a group is.
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c"))).alias("_first"))
+    kept = first.select(F.col("_first.c").alias("_row")).unionByName(marked.filter("n_shingles = 0").select("_row"))
+    return unshield(rows.join(kept, "_row", "left_semi"), docs, "doc_id", "text")

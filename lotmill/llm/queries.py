@@ -18,12 +18,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
 def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,8 +39,7 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+    return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.llm.common import by_bytes, held_out, letters
+from lotmill.llm.common import by_bytes, held_out, letters, materialize
 
 # The classifier is fitted on at most so many labelled documents, those with the least hashes.
 FIT_ROWS = 20_000
@@ -232,8 +232,6 @@ def fit_sample(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Data
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
     """Voters, label model and classifier. Votes of the sample, at most FIT_ROWS by MOST_TERMS, meet on the driver."""
-    from lotmill.llm.common import materialize
-
     sample = materialize(fit_sample(docs, labels, most), "toxicity-sample")
     n, toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
     prior = ((toxic or 0) + 0.5) / ((n or 0) + 5)
@@ -270,7 +268,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
 
 
 def score_texts(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 from 0.5 on). A null or empty text scores as one without any vote."""
+    """``docs`` with score (0 to 1) and predicted (1 from 0.5 on). A null or empty text scores as one without any vote.
+
+    A column of ``docs`` with a result's name gives way to it.
+    """
+    docs = docs.drop("score", "predicted")
 
     def run(batches):
         for batch in by_bytes(batches, "text", 8_000_000):
