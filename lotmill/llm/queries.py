@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotmill.llm import decontaminate, langid, lm, minhash, packing, sharding, topk, toxicity, urls
+from lotmill.llm import decontaminate, langid, licenses, lm, minhash, packing, sharding, topk, toxicity, urls
 from lotmill.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_backoff": op3_backoff,
     "op4_hyperminhash": op4_hyperminhash,
+    "op5_licenses": op5_licenses,
     "op6_topk": op6_topk,
     "op7_decontaminate": op7_decontaminate,
     "op8_urls": op8_urls,
@@ -107,6 +112,7 @@ ORACLE = {
         c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
         SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c USING (doc_id)
     """,
+    "op5_licenses": licenses.duck_sql(),
     "op6_topk": """
         WITH e AS (
             SELECT vec_id, embedding FROM embeddings

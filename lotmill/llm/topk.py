@@ -14,8 +14,9 @@ from pyspark.sql.window import Window
 CANDIDATES, QUERIES = 4096, 1024
 # A posting list that covers this share of the candidates is added as a whole column.
 DENSE = 0.5
-LAST_ID = np.iinfo(np.int64).max
 LONG = 2**63 - 1
+# Stands for a null vec_id, which comes last among ties.
+LAST_ID = LONG
 
 _RESULT = "query_row long, query_id long, vec_id long, score long"
 
@@ -24,12 +25,12 @@ def integer_vectors(vectors: DataFrame, column: str = "embedding", scale: int =
     """(row, vec_id, v): floor(scale * x) of each component.
 
     Rows whose vector is null or holds a null or non-finite component take no part. ``row``
-    tells repeated rows apart.
+    tells repeated rows apart; a null vec_id becomes the largest long.
     """
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     return (
         vectors.select(
-            F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), F.col(column).alias("_x")
+            F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("vec_id").cast("long"), F.lit(LAST_ID)).alias("vec_id"), F.col(column).alias("_x")
         )
         .filter(F.col("_x").isNotNull() & F.forall("_x", finite))
         .select("row", "vec_id", F.transform("_x", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
@@ -54,7 +55,7 @@ def _bound(rows: np.ndarray, values: np.ndarray, n: int) -> float:
 def best_of_cell(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> Iterator[tuple]:
     """(query_row, query_id, vec_ids, scores) of the best k candidates of one cell for each query."""
     n = len(candidates)
-    ids = candidates["vec_id"].fillna(LAST_ID).to_numpy(np.int64)
+    ids = candidates["vec_id"].to_numpy(np.int64)
     order = np.lexsort((candidates["row"].to_numpy(), ids))
     candidates, ids = candidates.iloc[order], ids[order]
     place = {int(r): i for i, r in enumerate(candidates["row"])}
@@ -124,19 +125,18 @@ def exact_top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
             for row, query_id, ids, scores in best_of_cell(own, others, k)
         ] if len(own) and len(others) else []
         found = pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_row", "query_id", "vec_id", "score")})
-        found["vec_id"] = found["vec_id"].astype("Int64").mask(found["vec_id"] == LAST_ID)
         return found
 
     found = dealt_q.groupBy("c", "q").cogroup(dealt_c.groupBy("c", "q")).applyInPandas(score, _RESULT)
-    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", F.when(F.col("vec_id") != LAST_ID, F.col("vec_id")).alias("vec_id"), "score")
     )
 
 
 def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """Top k of every row whose vec_id is divisible by ``every``, against all rows."""
     rows = integer_vectors(vectors)
-    return exact_top_k(rows.filter(F.col("vec_id") % every == 0), rows, k)
+    return exact_top_k(rows.filter((F.col("vec_id") % every == 0) & (F.col("vec_id") != LAST_ID)), rows, k)

@@ -248,15 +248,15 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
             )
 
     got = sample.mapInArrow(voted, "k array<int>, n array<int>, toxic int").toPandas()
-    if not len(got):
-        return Scorer(names, np.zeros(len(names)), -3.0)
+    if got["toxic"].nunique() < 2:  # nothing to set the scores to
+        return Scorer(["=" + w for w in LEXICON], np.full(len(LEXICON), 4.0), -3.0)
     counts = np.zeros((len(got), len(names)), np.float32)
     for i, (k, c) in enumerate(zip(got["k"], got["n"])):
         counts[i, np.asarray(k, int)] = c
     used = np.flatnonzero((counts > 0).any(axis=0))
     votes = counts[:, used] > 0
     model = fit_label_model(votes, prior)
-    kept = model.accuracy >= 2 * model.prior  # the rest says nothing about the class
+    kept = model.accuracy > model.prior  # the rest says nothing about the class
     weights = np.zeros(len(names))
     w, bias = fit_linear(feature(counts[:, used[kept]]).astype(np.float32), model.posterior(votes.astype(np.float32)))
     # The posterior's scale is the label model's own; a line through the logits sets it to the labels.
