@@ -214,20 +214,19 @@ def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, rounds: int = 2
 # ---- the operator
 
 def fit_sample(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
-    """(text, toxic) of at most ``most`` labelled documents, those with the least hashes of id and text.
+    """(text, toxic) of at most ``most`` labelled documents, those whose ids have the least hashes.
 
-    Labels of one doc_id that differ count as toxic; null ids and labels take no part.
+    Labels of one doc_id that differ count as toxic, of its texts the least is taken; null ids, labels and texts take no part.
     """
     known = (
         labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
-    by = F.xxhash64("doc_id")
     # Bounded by `most` ids, so they go to every executor.
-    chosen = known.orderBy(by, "doc_id").limit(most)
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     joined = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
-    return joined.orderBy(by, "doc_id", F.xxhash64("text")).limit(most).select("text", "toxic")
+    return joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.any_value("toxic").alias("toxic")).select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
