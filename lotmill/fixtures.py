@@ -19,23 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _dealt(df: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer tasks than cores, dealt out to all of them.
-
-    Small data is one file and one task; a large table has more splits than
-    there are cores and is left as it is scanned.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation, region = (
         table(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region")
     )
     return (
-        _dealt(orders)
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .withColumn("k", F.col("o_orderkey"))
@@ -157,7 +146,7 @@ def listings_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     Line 1 lists its order's property again; other lines are new units. Many
     (order, line) pairs occur more than once, so the batch repeats keys.
     """
-    items = _dealt(table(spark, sf_dir, "lineitem"))
+    items = table(spark, sf_dir, "lineitem")
     unit = F.when(F.col("l_linenumber") == 1, "").otherwise(F.concat(F.lit("-"), "l_linenumber"))
     shipped = F.col("l_shipdate").cast("timestamp_ntz")
     ident = F.concat(F.col("l_orderkey").cast("string"), unit)
@@ -197,7 +186,11 @@ def attribute_text() -> Column:
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Result pages of 20 raw listings as HTML cards, every page visited twice."""
+    """Result pages of 20 raw listings as HTML cards, every page visited twice.
+
+    The first visit of every fifth page shows a challenge, and the second of every
+    seventh has no URL.
+    """
 
     def tag(name: str, mark: str, body: Column) -> Column:
         return F.when(
@@ -246,8 +239,11 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</ul></body></html>"),
     )
     visits = F.explode(F.array(F.lit(0), F.lit(1)))
+    challenge = (F.col("page_no") % 5 == 0) & (F.col("visit") == 0)
+    nameless = (F.col("page_no") % 7 == 0) & (F.col("visit") == 1)
+    url = F.concat(F.lit("https://www.example.com.my/sale?page="), "page_no")
     return pages.select("page_no", html.alias("html"), visits.alias("visit")).select(
         (F.col("page_no") * 2 + F.col("visit")).alias("page_id"),
-        F.concat(F.lit("https://www.example.com.my/sale?page="), "page_no").alias("url"),
-        "html",
+        F.when(~nameless, url).alias("url"),
+        F.when(challenge, F.concat(F.lit("<p>Checking your browser</p>"), "html")).otherwise(F.col("html")).alias("html"),
     )

@@ -320,11 +320,11 @@ def _listings(cards: DataFrame, as_of: datetime) -> DataFrame:
 def extract_listings(
     pages: DataFrame, as_of: datetime, card=CARD, fields=FIELDS, spread: int | None = None
 ) -> DataFrame:
-    """Raw listing rows of all cards, each page URL taken on its first visit.
+    """Raw listing rows of all cards, each page URL taken on its first visit that is no challenge.
 
     Cards that cannot be read carry a ``reject_reason`` and leave the other
     cards of their page alone. Repeat visits are dropped after extraction, so
     page bodies are never shuffled.
     """
-    cards = first_visits(card_texts(pages, card, fields, spread), pages)
+    cards = first_visits(card_texts(pages, card, fields, spread), without_challenges(pages))
     return _listings(cards, as_of)

@@ -53,11 +53,16 @@ def append_dedup(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def first_visits(df: DataFrame, pages: DataFrame) -> DataFrame:
-    """Rows of ``df`` that come from the first visit of their page URL.
+    """Rows of ``df`` that come from the first of the visits ``pages`` to their page URL.
 
     The first visit is settled on ``url`` and ``page_id`` alone. Applied to
     extracted rows, no page body takes part in a shuffle; the join key also
-    carries the page, so a much-visited URL spreads over partitions.
+    carries the page, so a much-visited URL spreads over partitions. A page without
+    a URL is a page of its own. ``pages`` should hold usable visits only: a first visit
+    that shows a challenge would hide a later one with listings.
     """
-    winners = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
-    return df.join(winners, ["url", "page_id"], "left_semi")
+    winners = pages.filter("url IS NOT NULL").groupBy("url").agg(F.min("page_id").alias("page_id"))
+    alone = pages.filter("url IS NULL").select("url", "page_id")
+    first = winners.unionByName(alone).select(F.col("url").alias("_url"), F.col("page_id").alias("_page"))
+    same = F.col("url").eqNullSafe(F.col("_url")) & (F.col("page_id") == F.col("_page"))
+    return df.join(first, same, "left_semi")

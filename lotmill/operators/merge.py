@@ -2,8 +2,7 @@
 
 Every merge first reduces the batch to one row per key, then joins it with
 the stored table. Both sides then hold each key once, so no key can be hot in
-the join, and a stored table bucketed by the key is joined without a shuffle
-of its own.
+the join.
 """
 
 from __future__ import annotations
@@ -15,15 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotmill.functions.hashing import row_hash
-from lotmill.operators.dedup import keep_first, keep_last
+from lotmill.operators.dedup import arrival_order, keep_first, keep_last
 from lotmill.schemas import CLEAN_COLUMNS, CURRENT_COLUMNS
 
 KEY = "property_id"
 
 
-def with_versioning(df: DataFrame, as_of: datetime) -> DataFrame:
-    """Clean listings with the versioning columns of a fresh current row."""
+def with_versioning(df: DataFrame, as_of: datetime, *more: str) -> DataFrame:
+    """Clean listings with the versioning columns of a fresh current row, and ``more`` of their own."""
     return df.select(
+        *more,
         *CLEAN_COLUMNS,
         F.lit(as_of).cast("timestamp_ntz").alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
@@ -40,16 +40,24 @@ def insert_ignore(
     return first.join(existing.select(KEY), KEY, "left_anti")
 
 
-def _joined(
-    existing: DataFrame, incoming: DataFrame, as_of: datetime, order: Sequence[Column] | None
-) -> DataFrame:
-    latest = with_versioning(keep_last(incoming, KEY, order), as_of)
-    return existing.alias("e").join(
-        latest.alias("i"), F.col(f"e.{KEY}") == F.col(f"i.{KEY}"), "full_outer"
+def latest_rows(incoming: DataFrame, as_of: datetime, order: Sequence[Column] | None = None) -> DataFrame:
+    """The batch's latest row of each key, as fresh current rows."""
+    return with_versioning(keep_last(incoming, KEY, order), as_of)
+
+
+def counted_latest(incoming: DataFrame, as_of: datetime) -> DataFrame:
+    """As :func:`latest_rows`, with ``n_rows``, the number of rows of the key, in one aggregation.
+
+    The latest row is the largest in arrival order; maxima and counts are taken on the map side first.
+    """
+    order = [incoming.select(c).columns[0] for c in arrival_order(incoming)]
+    largest = incoming.groupBy(KEY).agg(
+        F.max(F.struct(*order)).alias("_row"), F.count("*").alias("n_rows")
     )
+    return with_versioning(largest.select("_row.*", "n_rows"), as_of, "n_rows")
 
 
-def _merged_columns(special: dict[str, Column]) -> list[Column]:
+def _arrived(special: dict[str, Column]) -> list[Column]:
     arrived = F.col(f"i.{KEY}").isNotNull()
     plain = {
         c: F.when(arrived, F.col(f"i.{c}")).otherwise(F.col(f"e.{c}")) for c in CURRENT_COLUMNS
@@ -59,6 +67,46 @@ def _merged_columns(special: dict[str, Column]) -> list[Column]:
     return [{**plain, **special}[c].alias(c) for c in CURRENT_COLUMNS]
 
 
+def _forward() -> dict[str, Column]:
+    """A stored price and date that only move forward.
+
+    The price changes when it differs and the incoming posting date is later;
+    a comparison with null keeps the stored value.
+    """
+    arrived = F.col(f"i.{KEY}").isNotNull()
+    newer = F.col("e.posted_date") < F.col("i.posted_date")
+    differs = F.col("e.house_price") != F.col("i.house_price")
+
+    def moved(column: str, moves: Column) -> Column:
+        old, new = F.col(f"e.{column}"), F.col(f"i.{column}")
+        return F.when(F.col(f"e.{KEY}").isNull() | (arrived & moves), new).otherwise(old)
+
+    return {
+        "house_price": moved("house_price", newer & differs),
+        "posted_date": moved("posted_date", newer),
+    }
+
+
+def _joined(existing: DataFrame, latest: DataFrame) -> DataFrame:
+    same = F.col(f"e.{KEY}") == F.col(f"i.{KEY}")
+    return existing.alias("e").join(latest.alias("i"), same, "full_outer")
+
+
+def merge_latest(existing: DataFrame, latest: DataFrame, only_newer: bool = False) -> DataFrame:
+    """The current table after a written batch of one current row per key.
+
+    Stored rows are joined to the batch from the left, and the batch's new keys are added; so
+    a batch of small known size goes to the stored rows, and these are not shuffled. The
+    batch is read twice, and of the stored rows the keys are.
+    """
+    same = F.col(f"e.{KEY}") == F.col(f"i.{KEY}")
+    stored = existing.alias("e").join(latest.alias("i"), same, "left")
+    stored = stored.select(*_arrived(_forward() if only_newer else {}))
+    met = existing.select(KEY).join(latest.select(KEY), KEY, "left_semi")
+    new = latest.join(met, KEY, "left_anti").select(*CURRENT_COLUMNS)
+    return stored.unionByName(new)
+
+
 def upsert_latest(
     existing: DataFrame,
     incoming: DataFrame,
@@ -66,7 +114,7 @@ def upsert_latest(
     order: Sequence[Column] | None = None,
 ) -> DataFrame:
     """The current table after the batch: its latest row per key wins."""
-    return _joined(existing, incoming, as_of, order).select(*_merged_columns({}))
+    return _joined(existing, latest_rows(incoming, as_of, order)).select(*_arrived({}))
 
 
 def merge_if_newer(
@@ -77,25 +125,9 @@ def merge_if_newer(
 ) -> DataFrame:
     """As :func:`upsert_latest`, but a stored price and date only move forward.
 
-    The price changes when it differs and the incoming posting date is later;
-    a comparison with null keeps the stored value.
+    The row hash of a merged row is that of the incoming row, as the other columns are.
     """
-    stored, arrived = F.col(f"e.{KEY}").isNotNull(), F.col(f"i.{KEY}").isNotNull()
-    both = stored & arrived
-    newer = F.col("e.posted_date") < F.col("i.posted_date")
-    differs = F.col("e.house_price") != F.col("i.house_price")
-
-    def forward(column: str, moves: Column) -> Column:
-        old, new = F.col(f"e.{column}"), F.col(f"i.{column}")
-        return (
-            F.when(both & moves, new).when(stored, old).otherwise(new)
-        )
-
-    special = {
-        "house_price": forward("house_price", newer & differs),
-        "posted_date": forward("posted_date", newer),
-    }
-    return _joined(existing, incoming, as_of, order).select(*_merged_columns(special))
+    return _joined(existing, latest_rows(incoming, as_of, order)).select(*_arrived(_forward()))
 
 
 def merge_counts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -104,12 +136,21 @@ def merge_counts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     The first row of a new key inserts; every other row updates. Only keys
     are read, and they are counted before the join.
     """
-    keys = incoming.groupBy(KEY).agg(F.count("*").alias("n"))
-    known = existing.select(KEY, F.lit(True).alias("known"))
-    new = F.when(F.col("known").isNull(), 1).otherwise(0).cast("long")
-    total = keys.join(known, KEY, "left").agg(
-        F.coalesce(F.sum(new), F.lit(0)).alias("inserted"),
-        F.coalesce(F.sum(F.col("n") - new), F.lit(0)).alias("updated"),
+    return count_actions(existing, incoming.groupBy(KEY).agg(F.count("*").alias("n_rows")))
+
+
+def count_actions(existing: DataFrame, keys: DataFrame) -> DataFrame:
+    """The counts of :func:`merge_counts` from distinct keys with their ``n_rows``.
+
+    Stored keys are the side that streams, so a small batch is sent to them.
+    """
+    known = existing.select(KEY).join(keys, KEY, "left_semi")
+    parts = keys.select(F.lit(1).alias("new"), "n_rows").unionByName(
+        known.select(F.lit(-1).alias("new"), F.lit(0).cast("long").alias("n_rows"))
+    )
+    total = parts.agg(
+        F.coalesce(F.sum("new"), F.lit(0)).alias("inserted"),
+        F.coalesce(F.sum("n_rows") - F.sum("new"), F.lit(0)).alias("updated"),
     )
     return total.select(
         F.stack(F.lit(2), F.lit("inserted"), "inserted", F.lit("updated"), "updated").alias(

@@ -245,6 +245,30 @@ revisited as (
 )"""
 
 
+BROKEN = """
+broken as (
+  select * replace (
+    case when k % 23 = 0 then 'rm 100,000 - rm 200,000 - rm 300,000' else house_price end
+      as house_price,
+    case when k % 37 = 0 then 'ask agent' else price_square_feet end as price_square_feet,
+    case when k % 53 = 0 then 'listings.csv' else file_name end as file_name
+  ) from listings_raw
+)"""
+
+UNREADABLE = f"""case when len(string_split(p4, '-')) > 2 then 'price_range'
+      when not price >= 25000 or price is null then null
+      when file_name = 'listings.csv' then 'file_name'
+      when price_square_feet is not null and {PSF} is null then 'price_square_feet' end"""
+
+
+def _visit(n: int, suffix: str, agent: str, when: str) -> str:
+    return f"""select * replace (
+    case when k % {n} = 0 and page_link <> '' then rtrim(page_link, '/') || '-{suffix}'
+      else page_link end as page_link,
+    '{agent}' as agent_name, '{when}' as created_at
+  ) from listings_raw"""
+
+
 def _doubles(columns: list[str], prefix: str = "") -> str:
     decimals = ("house_price", "price_square_feet", "square_footage")
     return ", ".join(
@@ -339,24 +363,8 @@ select k, nullif(page_link, '') as page_link, agent_name,
     when 4 then 'none' else house_name end as house_name,
   square_footage
 from listings_raw"""
-    sql["quarantine"] = f"""with {LISTINGS_RAW},
-broken as (
-  select * replace (
-    case when k % 23 = 0 then 'rm 100,000 - rm 200,000 - rm 300,000' else house_price end
-      as house_price,
-    case when k % 37 = 0 then 'ask agent' else price_square_feet end as price_square_feet,
-    case when k % 53 = 0 then 'listings.csv' else file_name end as file_name
-  ) from listings_raw
-),{LINKED.format(source="broken")},{_priced("linked")},
-judged as (
-  select {_no_nan(PROPERTY_ID)} as property_id,
-    case when len(string_split(p4, '-')) > 2 then 'price_range'
-      when not price >= 25000 or price is null then null
-      when file_name = 'listings.csv' then 'file_name'
-      when price_square_feet is not null and {PSF} is null then 'price_square_feet' end
-      as reject_reason
-  from priced
-)
+    sql["quarantine"] = f"""with {LISTINGS_RAW},{BROKEN},{LINKED.format(source="broken")},{_priced("linked")},
+judged as (select {_no_nan(PROPERTY_ID)} as property_id, {UNREADABLE} as reject_reason from priced)
 select * from judged where reject_reason is not null"""
     sql["insert_ignore"] = f"""with {LISTINGS_TYPED},{INCOMING}
 select {_doubles(CLEAN_COLUMNS)} from ({_ranked("asc")})
@@ -408,24 +416,45 @@ numbered as (
 )
 select script_number, region, region_code, count(*) as n_listings
 from numbered join regions using (script_number) group by all"""
+    sql["ingest_rejects"] = f"""with {LISTINGS_RAW},{BROKEN},{LINKED.format(source="broken")},{_priced("linked")},
+judged as (select {_no_nan(PROPERTY_ID)} as property_id, {UNREADABLE} as reason, price, {POSTED} as posted from priced)
+select property_id, coalesce(reason, 'null:posted_date') as reason from judged
+where reason is not null or (price >= 25000 and posted is null)"""
+    sql["files_by_header"] = f"""with {LISTINGS_RAW}
+select {", ".join(
+        f"case when k % 3 = 1 then null else nullif({c}, '') end as {c}" if c in ("square_footage", "house_furniture")
+        else f"nullif({c}, '') as {c}" for c in RAW)} from listings_raw"""
     sql["stream_ingest"] = f"""with {LISTINGS_RAW},{REVISITED},
-visits as (select * from listings_raw union all select * from revisited),
+visits as (
+  select * from listings_raw union all select * from revisited
+  union all {_visit(3, "a", "first agent", "2023-12-31 12:00:00")}
+  union all {_visit(5, "c", "third agent", "2024-02-15 12:00:00")}
+),
 {_clean_from("visits").lstrip()},
 latest as (select * from ({_ranked("desc", "(select * from cleaned where " + GATE + ")")}) where rn = 1)
 select {_doubles(CLEAN_COLUMNS)}, {AS_OF} as valid_from, true as is_current, hashed as row_hash
 from latest"""
-    # Pages hold 20 listings and are visited twice; the first visit counts.
-    # Rendered text collapses blanks, and an address keeps its empty form.
-    sql["listings_from_html"] = f"""with {LISTINGS_RAW}
-select cast(floor(k / 20) as bigint) * 2 as page_id, cast(k % 20 as int) as card_no,
-  case when page_link = '' then rtrim('https://www.example.com.my/sale?page=' || floor(k / 20)::bigint)
-    else page_link end as page_link,
-  case when page_link is null then null else source end as source,
+    # Pages hold 20 listings and are visited twice; the first visit that is no challenge
+    # counts, and so does each without a URL. Rendered text collapses blanks, and an
+    # empty address is that of the page.
+    sql["listings_from_html"] = f"""with {LISTINGS_RAW},
+seen as (
+  select *, cast(floor(k / 20) as bigint) as page_no, unnest([0, 1]) as visit from listings_raw
+),
+kept as (
+  select *, case when page_no % 7 = 0 and visit = 1 then null
+    else 'https://www.example.com.my/sale?page=' || page_no end as url
+  from seen where (visit = 0 and page_no % 5 <> 0) or (visit = 1 and (page_no % 5 = 0 or page_no % 7 = 0))
+)
+-- A card with an empty address on a page without one has no readable source.
+select page_no * 2 + visit as page_id, cast(k % 20 as int) as card_no,
+  case when page_link = '' then coalesce(url, '') else page_link end as page_link,
+  case when page_link is null then null when page_link = '' and url is null then null else source end as source,
   regexp_replace(agent_name, ' +', ' ', 'g') as agent_name,
   posted_date, house_price, price_square_feet, house_name, house_location,
   house_type, regexp_replace(lot_type, ' +', ' ', 'g') as lot_type,
   nullif(replace({AREA_TEXT}, ',', ''), '') as square_footage, house_furniture, created_at
-from listings_raw"""
+from kept where page_link is null or page_link <> '' or url is not null"""
     sql["source_from_url"] = """
 select page_id, nullif(split_part(split_part(url, '/', 3), '.', 2), '') as source from pages"""
     sql["psf_text"] = f"""with {LISTINGS_RAW}

@@ -6,32 +6,30 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotmill.operators.clean import judged_listings
-from lotmill.operators.gate import rejected
+from lotmill.plans.load import LoadOptions, current_table
 from lotmill.plans.marts import all_marts
 from lotmill.plans.star import write_star
-from lotmill.sources.files import read_raw
-from lotmill.sources.tables import SnapshotTable, incremental_load, load_raw_table, save_snapshots
+from lotmill.sources.tables import save_snapshots
+from lotmill.streaming.ingest import start_ingest
 
 
 def refresh(
-    spark: SparkSession, raw_folder: str, root: str, as_of: datetime
+    spark: SparkSession,
+    raw_folder: str,
+    root: str,
+    as_of: datetime,
+    options: LoadOptions = LoadOptions(),
 ) -> dict[str, DataFrame]:
-    """Clean, load, and rebuild star and marts; returns the written marts.
+    """Load the files that are new, and rebuild star and marts; returns the written marts.
 
-    Every stage reads what the stage before it wrote, so a lost executor
-    costs one stage's tasks and no table is computed twice. Rows that could
-    not be read stay in ``cleaned_listings`` with their reason, and rows the
-    gate turned back go to ``rejected_listings``.
+    Files are loaded as by the stream, each once, so a run costs what is new. Every stage reads what
+    the stage before it wrote, so a lost executor costs one stage's tasks and no table is
+    computed twice. If nothing was ever loaded this is an error; rejects are kept all the same.
     """
-    cleaned = f"{root}/cleaned_listings"
-    judged_listings(read_raw(spark, raw_folder), as_of).write.mode("overwrite").parquet(cleaned)
-    staged = spark.read.parquet(cleaned).filter("reject_reason is null").drop("reject_reason")
-    store = SnapshotTable(spark, f"{root}/current_listings")
-    if not staged.isEmpty():
-        rejected(staged).write.mode("overwrite").parquet(f"{root}/rejected_listings")
-        load_raw_table(spark, staged, f"{root}/raw_listings")
-        incremental_load(store, staged, as_of)
+    start_ingest(spark, raw_folder, root, f"{root}/ingested", as_of, options=options).awaitTermination()
+    store = current_table(spark, root, options)
+    if not store.versions():
+        raise RuntimeError("no rows were loaded")
     current = store.read()
     star = write_star(spark, current, f"{root}/star")
     marts = all_marts(current, star.fact, star.dims["dim_agent"])

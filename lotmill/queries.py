@@ -13,6 +13,7 @@ from lotmill.functions import cards, dates, hashing, links, prices, text
 from lotmill.operators import clean, dedup, gate, merge
 from lotmill.operators.cards import extract_listings, without_challenges
 from lotmill.plans import marts, star
+from lotmill.plans.load import LoadOptions, current_table, stored
 from lotmill.schemas import CLEAN_COLUMNS, CLEAN_TYPES, RAW_COLUMNS, typed_columns
 from lotmill.session import scratch_folder
 from lotmill.sources import files, regions, tables
@@ -21,7 +22,7 @@ from lotmill.streaming.ingest import start_ingest
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-REVISIT_AT = "2024-02-29 12:00:00"
+EARLY, BETWEEN, REVISIT_AT = "2023-12-31 12:00:00", "2024-02-15 12:00:00", "2024-02-29 12:00:00"
 
 
 def _query(fn: Query) -> Query:
@@ -74,11 +75,10 @@ def null_tokens(spark, sf_dir):
     return _shown(rows, "k", "page_link", "agent_name", "house_name", "square_footage")
 
 
-@_query
-def quarantine(spark, sf_dir):
+def _broken(spark, sf_dir):
     k = F.col("k")
     three = F.lit("rm 100,000 - rm 200,000 - rm 300,000")
-    broken = fx.listings_raw(spark, sf_dir).withColumns(
+    return fx.listings_raw(spark, sf_dir).withColumns(
         {
             "House_Price": F.when(k % 23 == 0, three).otherwise(F.col("House_Price")),
             "Price_Square_Feet": F.when(k % 37 == 0, "ask agent").otherwise(
@@ -87,6 +87,11 @@ def quarantine(spark, sf_dir):
             "file_name": F.when(k % 53 == 0, "listings.csv").otherwise(F.col("file_name")),
         }
     )
+
+
+@_query
+def quarantine(spark, sf_dir):
+    broken = _broken(spark, sf_dir)
     return clean.quarantine(broken, fx.AS_OF).select("property_id", "reject_reason")
 
 
@@ -144,6 +149,20 @@ def _revisited(spark, sf_dir):
     )
 
 
+def _visit(spark, sf_dir, n, suffix, agent, when):
+    """The same listings at another time, every n-th one as a new unit."""
+    unit = F.concat(F.rtrim("Page_Link", F.lit("/")), F.lit(f"-{suffix}"))
+    return fx.listings_raw(spark, sf_dir).withColumns(
+        {
+            "Page_Link": F.when((F.col("k") % n == 0) & (F.col("Page_Link") != ""), unit).otherwise(
+                F.col("Page_Link")
+            ),
+            "Agent_Name": F.lit(agent),
+            "Created_At": F.lit(when),
+        }
+    )
+
+
 @_query
 def append_dedup(spark, sf_dir):
     existing = fx.listings_raw(spark, sf_dir).select(*RAW_COLUMNS)
@@ -184,13 +203,43 @@ def region_dim(spark, sf_dir):
 @_query
 def stream_ingest(spark, sf_dir):
     folder, state = scratch_folder(spark, "drop"), scratch_folder(spark, "stream")
-    store = tables.SnapshotTable(spark, f"{state}/current")
-    for visit in (fx.listings_raw(spark, sf_dir), _revisited(spark, sf_dir)):
-        files.write_raw(visit, folder)
-        start_ingest(spark, folder, store, f"{state}/checkpoint", fx.AS_OF).awaitTermination()
+    store = current_table(spark, state)
+    options = LoadOptions(only_newer=False)
+    tables.full_reload(store, clean.clean_listings(_visit(spark, sf_dir, 3, "a", "first agent", EARLY), fx.AS_OF), fx.AS_OF)
+    files.write_raw(fx.listings_raw(spark, sf_dir), folder)
+    start_ingest(spark, folder, state, f"{state}/checkpoint", fx.AS_OF, options=options).awaitTermination()
+    between = clean.clean_listings(_visit(spark, sf_dir, 5, "c", "third agent", BETWEEN), fx.AS_OF)
+    tables.incremental_load(store, between, fx.AS_OF, only_newer=False)
+    files.write_raw(_revisited(spark, sf_dir), folder)
+    start_ingest(spark, folder, state, f"{state}/checkpoint", fx.AS_OF, options=options).awaitTermination()
     return _shown(store.read()).drop("valid_to")
 
 
+@_query
+def ingest_rejects(spark, sf_dir):
+    folder, root = scratch_folder(spark, "drop"), scratch_folder(spark, "stream")
+    files.write_raw(_broken(spark, sf_dir), folder)
+    start_ingest(spark, folder, root, f"{root}/checkpoint", fx.AS_OF).awaitTermination()
+    return stored(spark, root, "rejected_listings").select("property_id", "reason")
+
+
+@_query
+def files_by_header(spark, sf_dir):
+    """Files with the columns turned round, with columns missing, with one too many, and one of another table."""
+    folder, rows = scratch_folder(spark, "raw"), fx.listings_raw(spark, sf_dir)
+    kinds = [
+        RAW_COLUMNS[::-1],
+        [c for c in RAW_COLUMNS if c not in ("Square_Footage", "House_Furniture")],
+        ["Note", *RAW_COLUMNS],
+    ]
+    named = rows.withColumn("Note", F.lit("x"))
+    for i, kind in enumerate(kinds):
+        own = named.filter(F.col("k") % len(kinds) == i).select(*kind)
+        own.write.options(**files.CSV).csv(f"{folder}/kind {i}")
+    fx.table(spark, sf_dir, "nation").write.options(**files.CSV).csv(f"{folder}/other")
+    return _shown(files.read_raw(spark, folder).drop("file_name"))
+
+
 # Extraction
 
 
@@ -231,10 +280,11 @@ def attr_text(spark, sf_dir):
 def page_dedup(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages")
     visit = F.explode(F.array(F.lit(0), F.lit(1)))
-    visits = pages.select("page_id", "url", "html", visit.alias("visit"))
-    visits = visits.select((F.col("page_id") * 2 + F.col("visit")).alias("page_id"), "url", "html")
-    first = dedup.first_visits(visits, visits)
-    return first.select("page_id", "url", F.length("html").alias("n_chars"))
+    # Only the length of a body goes on, so no body is shuffled.
+    sized = pages.select("page_id", "url", F.length("html").alias("n_chars"))
+    visits = sized.withColumn("visit", visit)
+    visits = visits.select((F.col("page_id") * 2 + F.col("visit")).alias("page_id"), "url", "n_chars")
+    return dedup.first_visits(visits, visits)
 
 
 @_query
@@ -390,10 +440,13 @@ def dim_date(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    current = fx.listings_typed(spark, sf_dir)
+    """Current listings, dimensions and fact, each written once and read back."""
     folder = scratch_folder(spark, "star")
+    fx.listings_typed(spark, sf_dir).write.parquet(f"{folder}/current")
+    current = spark.read.parquet(f"{folder}/current")
     dims = star.write_dimensions(spark, current, folder, star.FACT_DIMENSIONS)
-    return current, dims, star.sales_fact(current, dims)
+    star.sales_fact(current, dims).write.parquet(f"{folder}/fact")
+    return current, dims, spark.read.parquet(f"{folder}/fact")
 
 
 @_query

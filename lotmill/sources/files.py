@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,33 +22,110 @@ def _csv_options(multi_line: bool) -> dict[str, str]:
     return {**CSV, "multiLine": str(multi_line).lower(), "enforceSchema": "false"}
 
 
+# A file can be read if its header names this column.
+NEEDED = "Page_Link"
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(file_path, header) of every file with a line; ``lines`` are text lines with the hidden ``_metadata``.
+
+    Runs as one aggregation with a row per file and task; only first lines are shuffled.
+    """
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return (
+        lines.select("value", F.col("_metadata.file_path").alias("file_path"), place.alias("_place"))
+        .groupBy("file_path")
+        .agg(F.min_by("value", "_place").alias("header"))
+    )
+
+
+def header_columns(header: str) -> list[str] | None:
+    """Column names of a header line as the raw tables spell them; None if it is no header of listings."""
+    try:
+        names = next(csv.reader([header.lstrip("\ufeff")]), [])
+    except csv.Error:
+        return None
+    spelled = {c.lower(): c for c in RAW_COLUMNS}
+    found = [spelled.get(n.strip().lower(), n.strip()) for n in names]
+    known = [c for c in found if c in spelled.values()]
+    return found if NEEDED in known and len(known) == len(set(known)) else None
+
+
+def _read_group(spark: SparkSession, columns: list[str], paths: list[str], multi_line: bool) -> DataFrame:
+    """Files with one header: columns by name, absent ones null, others left out."""
+    own = [c if c in RAW_COLUMNS else f"_other{i}" for i, c in enumerate(columns)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in own])
+    options = {**CSV, "multiLine": str(multi_line).lower(), "enforceSchema": "true"}
+    rows = spark.read.schema(schema).options(**options).csv(paths)
+    return rows.select(
+        *[(F.col(c) if c in own else F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS],
+        raw_name(F.col("_metadata.file_path")).alias("file_name"),
+    )
+
+
+def raw_name(path: Column) -> Column:
+    """The path of a file as it was given; Spark reports it percent-encoded, and so are the values of partition folders."""
+    decoded = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    twice = F.try_url_decode(F.replace(decoded, F.lit("+"), F.lit("%2B")))
+    once = F.coalesce(decoded, path)
+    return F.when(path.contains("/file_name="), F.coalesce(twice, once)).otherwise(once)
+
+
+def read_files(spark: SparkSession, headers: list, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Raw rows of files, and the files that cannot be read, from (file_path, header) rows.
+
+    Files are grouped by header and each group is read with its own order of columns, so a
+    moved, missing or additional column does no harm. A file whose header is none of a listing file goes to
+    the second table (file_path, header) and leaves the others alone.
+    """
+    groups: dict[tuple, list[str]] = {}
+    bad = []
+    for row in headers:
+        columns = header_columns(row["header"] or "")
+        if columns is None:
+            bad.append((row["file_path"], row["header"]))
+        else:
+            groups.setdefault(tuple(columns), []).append(_plain(row["file_path"]))
+    rows = None
+    for columns, paths in sorted(groups.items()):
+        group = _read_group(spark, list(columns), paths, multi_line)
+        rows = group if rows is None else rows.unionByName(group)
+    if rows is None:
+        rows = empty_raw(spark).withColumn("file_name", F.lit(None).cast("string"))
+    return with_missing_as_null(rows), spark.createDataFrame(bad, "file_path string, header string")
+
+
+def _plain(uri: str) -> str:
+    """A path for Spark's readers, which take glob patterns, from an encoded one."""
+    scheme, _, rest = uri.partition(":")
+    return scheme + ":" + re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(rest))
+
+
+def _lines(reader):
+    return reader.option("recursiveFileLookup", "true").schema("value string")
+
+
 def read_raw(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
     """All raw CSV files under a folder, as text, with ``file_name``.
 
     Missing-value tokens become null; empty and header-only files add no
-    rows. ``file_name`` is the file's path, from which the region is read.
-    A file whose cells hold line breaks cannot be split; for single-line
+    rows. ``file_name`` is the file's path, from which the region is read. Files with
+    other headers than those of listings add no rows; :func:`read_files` reports them. A
+    file whose cells hold line breaks cannot be split; for single-line
     data ``multi_line=False`` lets large files be read by many tasks.
     """
-    rows = (
-        spark.read.schema(RAW_SCHEMA)
-        .options(**_csv_options(multi_line), recursiveFileLookup="true")
-        .csv(folder)
-    )
-    return with_missing_as_null(rows.select("*", F.col("_metadata.file_path").alias("file_name")))
+    headers = file_headers(_lines(spark.read).text(folder)).collect()
+    return read_files(spark, headers, multi_line)[0]
 
 
-def stream_raw(
-    spark: SparkSession, folder: str, multi_line: bool = True, files_per_batch: int | None = None
+def stream_headers(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """The same rows as :func:`read_raw`, each new file once, as a stream."""
-    reader = spark.readStream.schema(RAW_SCHEMA).options(
-        **_csv_options(multi_line), recursiveFileLookup="true"
-    )
+    """The lines of new files as a stream, each file once; :func:`file_headers` is for its batches."""
+    reader = _lines(spark.readStream)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.csv(folder)
-    return with_missing_as_null(rows.select("*", F.col("_metadata.file_path").alias("file_name")))
+    return reader.text(folder).select("value", "_metadata")
 
 
 def write_raw(df: DataFrame, folder: str, mode: str = "append") -> None:
@@ -103,10 +184,19 @@ def read_staging_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def copy_into(spark: SparkSession, path: str, table: str) -> None:
-    """Bulk copy of a clean CSV into a table, columns matched by name."""
+    """Bulk copy of a clean CSV into a table, columns matched by name.
+
+    A value that is not of its column's type is an error, and then nothing is copied.
+    """
     text_schema = T.StructType([T.StructField(c, T.StringType()) for c in CLEAN_COLUMNS])
     rows = spark.read.schema(text_schema).options(**_csv_options(True)).csv(path)
     typed = rows.select(*typed_columns(CLEAN_TYPES))
+    broken = F.lit(False)
+    for c, value in zip(CLEAN_COLUMNS, typed_columns(CLEAN_TYPES)):
+        broken = broken | ((F.coalesce(F.col(c), F.lit("")) != "") & value.isNull())
+    bad = rows.filter(broken).select(CLEAN_COLUMNS[0]).first()
+    if bad is not None:
+        raise ValueError(f"a value of row {bad[0]!r} in {path} does not fit its column")
     columns = spark.table(table).columns
     absent = [c for c in columns if c not in typed.columns]
     typed.withColumns({c: F.lit(None) for c in absent}).select(*columns).write.insertInto(table)

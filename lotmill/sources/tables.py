@@ -1,62 +1,236 @@
-"""Stored listing tables: versioned snapshots, append tables, mart snapshots."""
+"""Stored listing tables: versioned snapshots in key buckets, append tables, mart snapshots."""
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotmill.operators.gate import passing
-from lotmill.operators.merge import insert_ignore, merge_if_newer, upsert_latest
+from lotmill.operators.merge import (
+    KEY,
+    count_actions,
+    counted_latest,
+    insert_ignore,
+    latest_rows,
+    merge_latest,
+)
 from lotmill.schemas import CLEAN_SCHEMA, CURRENT_SCHEMA
 
-PREFIX = "version="
+BUCKETS = 32
+# A version that another writer published first is merged into and tried again.
+ATTEMPTS = 20
+
+
+class Folder:
+    """Files under a path of any Hadoop file system, seen from the driver."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.jvm = spark._jvm
+        self.fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+
+    def names(self, name: str = "") -> dict[str, int]:
+        """Entries of a sub-folder with their modification times in milliseconds."""
+        path = self._path(name)
+        if not self.fs.exists(path):
+            return {}
+        return {s.getPath().getName(): s.getModificationTime() for s in self.fs.listStatus(path)}
+
+    def text(self, name: str) -> str:
+        stream = self.fs.open(self._path(name))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create(self, name: str, text: str) -> bool:
+        """A new file with the text, whole or not at all; false if there is one of that name."""
+        draft = self._path(f"_draft-{uuid.uuid4().hex}")
+        stream = self.fs.create(draft, False)
+        stream.write(bytearray(text.encode("utf-8")))
+        stream.close()
+        target = self._path(name)
+        self.fs.mkdirs(target.getParent())
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            target.toUri(), self.spark._jsc.hadoopConfiguration()
+        )
+        option = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+        none = self.spark.sparkContext._gateway.new_array(option, 0)
+        try:
+            # Unlike FileSystem.rename this fails if the target is there.
+            context.rename(context.makeQualified(draft), context.makeQualified(target), none)
+            return True
+        except Exception:
+            self.fs.delete(draft, False)
+            if not self.fs.exists(target):
+                raise
+            return False
+
+    def remove(self, name: str) -> None:
+        self.fs.delete(self._path(name), True)
+
+
+@dataclass
+class Manifest:
+    """What one version consists of: the folder that holds each bucket's rows.
+
+    ``batches`` has the last batch of every writer that went in.
+    """
+
+    version: int = 0
+    n_buckets: int = BUCKETS
+    buckets: dict[str, str] = field(default_factory=dict)
+    batches: dict[str, int] = field(default_factory=dict)
 
 
 class SnapshotTable:
-    """A table kept as one parquet folder per version under a root.
+    """A table kept as versions over immutable bucket folders.
 
-    A merge cannot overwrite the files it reads, so it writes the next
-    version. A version counts once its success marker is there; a writer that
-    was lost half-way is simply run again over the same version number.
+    Rows lie in buckets by the hash of their key. A version is a manifest that names one folder
+    for each bucket; a merge writes new folders for the buckets that its batch touches and
+    leaves the others where they are. The manifest is written last, and only if no
+    other writer has taken its number, so a reader sees a whole version or none, and a
+    lost or failed load leaves the version before it in place.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType = CURRENT_SCHEMA):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType = CURRENT_SCHEMA,
+        n_buckets: int = BUCKETS,
+    ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.n_buckets = n_buckets
+        self.folder = Folder(spark, self.root)
 
     def versions(self) -> list[int]:
-        """Complete versions, oldest first."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        found = []
-        for status in fs.listStatus(root):
-            path = status.getPath()
-            done = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-            if path.getName().startswith(PREFIX) and fs.exists(done):
-                found.append(int(path.getName()[len(PREFIX) :]))
-        return sorted(found)
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/{PREFIX}{version}"
-
-    def read(self, below: int | None = None) -> DataFrame:
-        """The newest version, or the newest one older than ``below``."""
-        usable = [v for v in self.versions() if below is None or v < below]
-        if not usable:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(usable[-1]))
+        """Published versions, oldest first."""
+        names = self.folder.names("manifests")
+        return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
 
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Write a version (by default the next one) and return its number."""
+    def manifest(self, version: int | None = None) -> Manifest:
+        """The manifest of a version, by default the newest; an empty one without versions."""
         if version is None:
-            version = (self.versions() or [0])[-1] + 1
-        df.write.mode("overwrite").parquet(self.path(version))
-        return version
+            version = (self.versions() or [0])[-1]
+        if not version:
+            return Manifest(n_buckets=self.n_buckets)
+        return Manifest(**json.loads(self.folder.text(f"manifests/v{version:012d}.json")))
+
+    def has_batch(self, writer: str, batch: int) -> bool:
+        """Is this batch, or a later one of the same writer, part of the newest version?"""
+        return self.manifest().batches.get(writer, -1) >= batch
+
+    def bucket(self, n_buckets: int):
+        return F.pmod(F.xxhash64(KEY), F.lit(n_buckets)).cast("int")
+
+    def _rows(self, manifest: Manifest, buckets: set[str] | None = None) -> DataFrame:
+        paths = [
+            f"{self.root}/data/{folder}/bucket={b}"
+            for b, folder in manifest.buckets.items()
+            if buckets is None or b in buckets
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The rows of a version, by default the newest."""
+        return self._rows(self.manifest(version))
+
+    def _write(self, rows: DataFrame, n_buckets: int) -> dict[str, str]:
+        """Rows into a new data folder; which buckets it holds."""
+        name = uuid.uuid4().hex
+        placed = rows.select(*self.schema.names).withColumn("bucket", self.bucket(n_buckets))
+        placed.write.partitionBy("bucket").parquet(f"{self.root}/data/{name}")
+        found = self.folder.names(f"data/{name}")
+        return {n.removeprefix("bucket="): name for n in found if n.startswith("bucket=")}
+
+    def _publish(self, manifest: Manifest) -> bool:
+        name = f"manifests/v{manifest.version:012d}.json"
+        return self.folder.create(name, json.dumps(vars(manifest)))
+
+    def _next(self, base: Manifest, buckets: dict[str, str], writer: str | None, batch: int) -> Manifest:
+        batches = {**base.batches, **({writer: batch} if writer else {})}
+        return Manifest(base.version + 1, base.n_buckets, buckets, batches)
+
+    def replace(self, rows: DataFrame, writer: str | None = None, batch: int = 0) -> int:
+        """A new version of just these rows; without any, an error, and the table stays as it is."""
+        n = self.manifest().n_buckets
+        buckets = self._write(rows.repartition(self.bucket(n)), n)
+        if not buckets:
+            raise RuntimeError("no rows were loaded")
+        for _ in range(ATTEMPTS):
+            manifest = self._next(self.manifest(), buckets, writer, batch)
+            if self._publish(manifest):
+                return manifest.version
+        raise RuntimeError("other writers kept publishing first")
+
+    def merge(
+        self,
+        staged: DataFrame,
+        as_of: datetime,
+        only_newer: bool = True,
+        writer: str | None = None,
+        batch: int = 0,
+    ) -> dict[str, int]:
+        """Merge gated clean rows into the newest version; rows inserted and updated.
+
+        Only buckets with a key of the batch are read and written. The batch is cut to
+        one row per key and written first; if it is small, Spark then sends it to
+        the stored rows, which are not shuffled. A batch of a writer that is already in is
+        skipped, and a batch without rows changes nothing.
+        """
+        none = {"inserted": 0, "updated": 0}
+        if writer and self.has_batch(writer, batch):
+            return none
+        incoming = f"{self.root}/incoming/{uuid.uuid4().hex}"
+        bucket = self.bucket(self.manifest().n_buckets)
+        # One bucket is in one file, so that the merge writes few files for each.
+        counted_latest(staged, as_of).withColumn("bucket", bucket).repartition("bucket").write.parquet(incoming)
+        latest = self.spark.read.parquet(incoming)
+        # At most as many rows as there are buckets.
+        touched = {str(r["bucket"]) for r in latest.select("bucket").distinct().collect()}
+        keys, latest = latest.select(KEY, "n_rows"), latest.select(*self.schema.names)
+        try:
+            for _ in range(ATTEMPTS):
+                base = self.manifest()
+                if not touched or (writer and base.batches.get(writer, -1) >= batch):
+                    return none
+                stored = self._rows(base, touched)
+                counts = count_actions(stored, keys).collect()
+                written = self._write(merge_latest(stored, latest, only_newer), base.n_buckets)
+                if self._publish(self._next(base, {**base.buckets, **written}, writer, batch)):
+                    return {r["action"]: r["n_rows"] for r in counts}
+        finally:
+            self.folder.remove(f"incoming/{incoming.rsplit('/', 1)[1]}")
+        raise RuntimeError("other writers kept publishing first")
+
+    def expire(self, keep: int = 2, older_than: float = 86_400.0) -> None:
+        """Drop all but the newest ``keep`` versions, and data no kept version names.
+
+        Data younger than ``older_than`` seconds stays, as a running merge may be about to publish it.
+        """
+        versions = self.versions()
+        for version in versions[:-keep]:
+            self.folder.remove(f"manifests/v{version:012d}.json")
+        used = {f for v in versions[-keep:] for f in self.manifest(v).buckets.values()}
+        oldest = (time.time() - older_than) * 1000
+        for place, kept in (("data", used), ("incoming", set())):
+            for name, changed in self.folder.names(place).items():
+                if name not in kept and changed <= oldest:
+                    self.folder.remove(f"{place}/{name}")
 
 
 def load_raw_table(spark: SparkSession, incoming: DataFrame, path: str) -> DataFrame:
@@ -75,33 +249,24 @@ class AppendTable:
         self.spark, self.path, self.schema = spark, path, schema
 
     def read(self) -> DataFrame:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
+        if not Folder(self.spark, self.path).names():
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
 
 def full_reload(table: SnapshotTable, staged: DataFrame, as_of: datetime) -> DataFrame:
-    """Replace the table by the staged rows; an empty load is an error."""
-    empty = table.spark.createDataFrame([], table.schema)
-    version = table.write(upsert_latest(empty, passing(staged), as_of))
-    loaded = table.spark.read.schema(table.schema).parquet(table.path(version))
-    if loaded.isEmpty():
-        raise RuntimeError("no rows were loaded")
-    return loaded
+    """Replace the table by the staged rows; an empty load is an error and keeps the old rows."""
+    table.replace(latest_rows(passing(staged), as_of))
+    return table.read()
 
 
 def incremental_load(
     table: SnapshotTable, staged: DataFrame, as_of: datetime, only_newer: bool = True
 ) -> DataFrame:
-    """First load when the table is empty, else merge the staged rows into it."""
-    stored = table.read()
-    if stored.isEmpty():
+    """First load when the table has no version, else merge the staged rows into it."""
+    if not table.versions():
         return full_reload(table, staged, as_of)
-    merge = merge_if_newer if only_newer else upsert_latest
-    table.write(merge(stored, passing(staged), as_of))
+    table.merge(passing(staged), as_of, only_newer)
     return table.read()
 
 

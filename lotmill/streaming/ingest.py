@@ -1,4 +1,4 @@
-"""New raw files to the current table, each file once."""
+"""New raw files to the stored tables, each file once."""
 
 from __future__ import annotations
 
@@ -7,38 +7,35 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from lotmill.operators.clean import clean_listings
-from lotmill.operators.gate import passing
-from lotmill.operators.merge import upsert_latest
-from lotmill.sources.files import stream_raw
-from lotmill.sources.tables import SnapshotTable
+from lotmill.plans.load import LoadOptions, load_batch
+from lotmill.sources.files import file_headers, stream_headers
 
 
 def start_ingest(
     spark: SparkSession,
     raw_folder: str,
-    store: SnapshotTable,
+    root: str,
     checkpoint: str,
     as_of: datetime,
     files_per_batch: int | None = None,
-    multi_line: bool = True,
+    options: LoadOptions = LoadOptions(),
 ) -> StreamingQuery:
     """Process all files that are new since the last run, then stop.
 
-    Batch n writes version n + 1 from the newest older version. A batch that
-    is repeated after a failure writes the same version again, so every file
-    counts once. By default all new files form one batch, because each batch
-    rewrites the table.
+    The stream finds the files and their headers; each batch of files then goes through
+    :func:`load_batch` under the stream's identity and its own number, so a batch that is
+    repeated after a failure is not merged twice, and other writers of the same tables do no harm.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        incoming = passing(clean_listings(batch, as_of))
-        store.write(upsert_latest(store.read(below=version), incoming, as_of), version)
+    def load(lines: DataFrame, batch_id: int) -> None:
+        headers = file_headers(lines).collect()
+        if headers:
+            stream = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+            load_batch(spark, headers, root, as_of, stream, batch_id, options)
 
     return (
-        stream_raw(spark, raw_folder, multi_line, files_per_batch)
-        .writeStream.foreachBatch(merge)
+        stream_headers(spark, raw_folder, files_per_batch)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

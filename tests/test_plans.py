@@ -5,13 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from helpers import NOON, physical_plan
 from lotmill import fixtures as fx
 from lotmill.operators import dedup, merge
 from lotmill.operators.cards import extract_listings
 from lotmill.operators.clean import clean_listings
 from lotmill.plans import marts, star
+from lotmill.queries import QUERIES
 from lotmill.schemas import RAW_COLUMNS
 from lotmill.sources.tables import save_bucketed
 
@@ -132,14 +132,29 @@ def test_page_bodies_are_not_shuffled(spark, sf_dir, stored):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     plan = physical_plan(extract_listings(pages, NOON))
     assert plan.count("MapInPandas") == 1
-    for part in plan.split("Exchange")[1:]:
-        columns = part.split("\n")[1]
-        assert "html" not in columns
+    for own in (plan, physical_plan(QUERIES["page_dedup"](spark, sf_dir))):
+        for part in own.split("Exchange")[1:]:
+            columns = part.split("\n")[1]
+            assert "html" not in columns
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+def test_a_small_batch_goes_to_the_stored_rows(spark, stored, tmp_path):
+    batch = stored("current").filter("property_id < '1'")
+    batch.write.parquet(str(tmp_path / "batch"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        latest = spark.read.parquet(str(tmp_path / "batch"))
+        plan = physical_plan(merge.merge_latest(stored("current"), latest, only_newer=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # The stored rows stream through a broadcast join; only keys that the batch has meet it again.
+    assert plan.index("BroadcastHashJoin") < plan.index("FileScan")
+    assert not [p for p in plan.split(" Exchange ")[1:] if "house_price" in p.split("\n")[1]]
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_query_joins_every_pair(spark, sf_dir, name):
-    plan = physical_plan(contract.queries()[name](spark, sf_dir))
+    plan = physical_plan(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from helpers import NOON, clean_rows, listing, raw_rows
 from lotmill import schemas
+from lotmill.functions import links
 from lotmill.operators.clean import clean_listings
-from lotmill.operators.merge import insert_ignore, upsert_latest, with_versioning
+from lotmill.operators.merge import insert_ignore, with_versioning
 from lotmill.plans.refresh import refresh
 from lotmill.session import scratch_folder
 from lotmill.sources import files, regions, tables
@@ -102,23 +103,108 @@ def test_created_table_takes_a_bulk_copy_and_enforces_lengths(spark, tmp_path):
 def test_snapshot_versions(spark, tmp_path):
     store = tables.SnapshotTable(spark, str(tmp_path / "t"))
     assert store.read().isEmpty() and store.versions() == []
-    one = with_versioning(clean_rows(spark, [listing("a")]), NOON)
-    assert store.write(one) == 1
-    assert store.write(upsert_latest(store.read(), clean_rows(spark, [listing("b")]), NOON)) == 2
-    os.makedirs(tmp_path / "t" / "version=9")
+    assert store.replace(with_versioning(clean_rows(spark, [listing("a")]), NOON)) == 1
+    assert store.merge(clean_rows(spark, [listing("b"), listing("b")]), NOON) == {"inserted": 1, "updated": 1}
+    assert store.versions() == [1, 2]
+    assert store.read().count() == 2 and store.read(1).count() == 1
+    assert store.merge(clean_rows(spark, []), NOON) == {"inserted": 0, "updated": 0}
     assert store.versions() == [1, 2]
-    assert store.read().count() == 2 and store.read(below=2).count() == 1
 
 
-def test_first_load_then_merge(spark, tmp_path):
+def test_a_merge_leaves_other_buckets_alone(spark, tmp_path):
+    store = tables.SnapshotTable(spark, str(tmp_path / "t"), n_buckets=16)
+    store.replace(with_versioning(clean_rows(spark, [listing(f"p{i}", i) for i in range(100)]), NOON))
+    before = store.manifest().buckets
+    assert len(before) == 16
+    store.merge(clean_rows(spark, [listing("p7", 5, day=9), listing("p7", 6, day=9)]), NOON)
+    after = store.manifest().buckets
+    assert len([b for b in before if before[b] != after[b]]) == 1
+    (new,) = set(after.values()) - set(before.values())
+    assert len([n for n in os.listdir(tmp_path / "t" / "data" / new) if n.startswith("bucket=")]) == 1
+    prices = {r.property_id: int(r.house_price) for r in store.read().collect()}
+    assert len(prices) == 100 and prices["p7"] == 6 and prices["p8"] == 8
+    # Files of untouched buckets are not even opened.
+    for b, folder in before.items():
+        if before[b] == after[b]:
+            for name in os.listdir(tmp_path / "t" / "data" / folder / f"bucket={b}"):
+                os.truncate(tmp_path / "t" / "data" / folder / f"bucket={b}" / name, 0)
+    assert store.merge(clean_rows(spark, [listing("p7", 7, day=10)]), NOON)["updated"] == 1
+
+
+def test_a_second_writer_is_merged_into(spark, tmp_path, monkeypatch):
+    one = tables.SnapshotTable(spark, str(tmp_path / "t"))
+    two = tables.SnapshotTable(spark, str(tmp_path / "t"))
+    one.replace(with_versioning(clean_rows(spark, [listing("a")]), NOON))
+    publish = one._publish
+
+    def late(manifest):
+        if manifest.version == 2:
+            two.merge(clean_rows(spark, [listing("b")]), NOON)
+        return publish(manifest)
+
+    monkeypatch.setattr(one, "_publish", late)
+    one.merge(clean_rows(spark, [listing("c")]), NOON)
+    assert {r.property_id for r in one.read().collect()} == {"a", "b", "c"}
+    assert one.versions() == [1, 2, 3]
+
+
+def test_old_versions_are_dropped(spark, tmp_path):
     store = tables.SnapshotTable(spark, str(tmp_path / "t"))
-    with pytest.raises(RuntimeError):
-        tables.full_reload(store, clean_rows(spark, [listing("a", posted_date=None)]), NOON)
+    for key in "abc":
+        store.merge(clean_rows(spark, [listing(key)]), NOON)
+    store.expire(keep=1, older_than=-60)
+    assert store.versions() == [3] and store.read().count() == 3
+    assert set(os.listdir(tmp_path / "t" / "data")) == set(store.manifest().buckets.values())
+
+
+def test_first_load_then_merge(spark, tmp_path):
     store = tables.SnapshotTable(spark, str(tmp_path / "u"))
     tables.incremental_load(store, clean_rows(spark, [listing("a", 100, day=5)]), NOON)
     later = clean_rows(spark, [listing("a", 200, day=4), listing("b", 300), listing("c", posted_date=None)])
     got = {r.property_id: float(r.house_price) for r in tables.incremental_load(store, later, NOON).collect()}
     assert got == {"a": 100.0, "b": 300.0}
+    # A load without any usable row fails, and what was there stays.
+    with pytest.raises(RuntimeError):
+        tables.full_reload(store, clean_rows(spark, [listing("a", posted_date=None)]), NOON)
+    assert {r.property_id: float(r.house_price) for r in store.read().collect()} == got
+
+
+def test_files_by_header_and_file_names(spark, tmp_path):
+    columns = schemas.RAW_COLUMNS
+    cells = {c: "" for c in columns} | {"Page_Link": "https://x.com/property/a/1", "Source": "x"}
+    orders = {
+        "batch1_06_negeri sembilan_site_20240131_120000.csv": columns[::-1],
+        "batch1_01_a+b%20c_site_20240131_120000.csv": [c for c in columns if c != "Source"],
+        "batch1_02_m\u00e9laka_site_20240131_120000.csv": ["Extra", *[c.lower() for c in columns]],
+    }
+    low = {c.lower(): v for c, v in cells.items()}
+    for name, own in orders.items():
+        _write(tmp_path, name, ",".join(own) + "\n" + ",".join(low.get(c.lower(), "z") for c in own) + "\n")
+    _write(tmp_path, "other.csv", "a,b\n1,2\n")
+    headers = files.file_headers(spark.read.schema("value string").text(str(tmp_path))).collect()
+    rows, bad = files.read_files(spark, headers)
+    got = {r.file_name.rsplit("/", 1)[1]: (r.Page_Link, r.Source) for r in rows.collect()}
+    link = "https://x.com/property/a/1"
+    assert got == dict(zip(orders, [(link, "x"), (link, None), (link, "x")]))
+    (other,) = bad.collect()
+    assert other.file_path.endswith("other.csv") and other.header == "a,b"
+    states = rows.select(links.state_name(F.col("file_name")).alias("s")).collect()
+    assert {r.s for r in states} == {"Negeri Sembilan", "A+b%20c", "M\u00e9laka"}
+    files.write_raw(raw_rows(spark, [{}], next(iter(orders))), str(tmp_path / "again"))
+    files.write_raw(raw_rows(spark, [{}], "batch1_01_a%2B+b_site_20240131_120000.csv"), str(tmp_path / "again"))
+    names = {r.file_name for r in files.read_raw(spark, str(tmp_path / "again")).select("file_name").collect()}
+    assert {n.rsplit("file_name=", 1)[1].split("/")[0] for n in names} == {next(iter(orders)), "batch1_01_a%2B+b_site_20240131_120000.csv"}
+
+
+def test_copy_of_a_bad_value_is_an_error(spark, tmp_path):
+    spark.sql("drop table if exists listing_copy2")
+    schemas.create_table(spark, "listing_copy2", schemas.CLEAN_TYPES)
+    rows = clean_rows(spark, [listing("a"), listing("b")]).withColumn("house_price", F.lit("many"))
+    rows.write.options(**files.CSV).csv(str(tmp_path / "bad.csv"))
+    with pytest.raises(ValueError, match="does not fit"):
+        files.copy_into(spark, str(tmp_path / "bad.csv"), "listing_copy2")
+    assert spark.table("listing_copy2").isEmpty()
+    spark.sql("drop table listing_copy2")
 
 
 def test_raw_table_keeps_the_first(spark, tmp_path):
@@ -165,7 +251,7 @@ def test_refresh_twice_gives_the_same_marts(spark, sf_dir, tmp_path):
     twice = {n: sorted(m.collect(), key=str) for n, m in refresh(spark, raw, root, fx.AS_OF).items()}
     assert once == twice and len(once) == 8
     current = tables.SnapshotTable(spark, f"{root}/current_listings")
-    assert current.versions() == [1, 2]
+    assert current.versions() == [1]  # the second run had no new file
     n = current.read().count()
     dated = clean_listings(listings, fx.AS_OF).filter(F.col("posted_date").isNotNull())
     assert n == dated.count() == spark.read.parquet(f"{root}/star/fact_property_sales").count()
@@ -173,7 +259,7 @@ def test_refresh_twice_gives_the_same_marts(spark, sf_dir, tmp_path):
         assert sum(r["count"] for r in once[name]) == n
     undated = clean_listings(listings, fx.AS_OF).filter(F.col("posted_date").isNull()).count()
     turned_back = spark.read.parquet(f"{root}/rejected_listings")
-    assert turned_back.filter("violation = 'null:posted_date'").count() == undated > 0
+    assert turned_back.filter("reason = 'null:posted_date'").count() == undated > 0
     assert current.read().filter(F.col("valid_from") != F.lit(datetime(2024, 1, 31, 12))).isEmpty()
 
 

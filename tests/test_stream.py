@@ -1,10 +1,12 @@
-"""Incremental ingest: each file once, repeatable."""
+"""Incremental ingest: each file once, repeatable, side by side with other writers."""
 
 from datetime import datetime
 
-from helpers import raw_rows
-from lotmill.sources import files
-from lotmill.sources.tables import SnapshotTable
+import pytest
+
+from helpers import clean_rows, listing, raw_rows
+from lotmill.plans.load import LoadOptions, current_table, load_batch, stored
+from lotmill.sources import files, tables
 from lotmill.streaming.ingest import start_ingest
 
 AS_OF = datetime(2024, 1, 31, 12)
@@ -14,35 +16,78 @@ def _link(n):
     return f"https://www.x.com/property/kl/sale-{n}"
 
 
-def test_each_file_counts_once(spark, tmp_path):
-    raw, state = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
-    store = SnapshotTable(spark, str(tmp_path / "current"))
-
-    def run(files_per_batch=None):
-        start_ingest(spark, raw, store, state, AS_OF, files_per_batch).awaitTermination()
-        return {r.property_id: r.agent_name for r in store.read().collect()}
-
-    first = raw_rows(spark, [{"Page_Link": _link(n), "Agent_Name": "one"} for n in (1, 2)])
-    files.write_raw(first, raw)
-    assert run() == {"sale-1": "One", "sale-2": "One"}
-    assert run() == {"sale-1": "One", "sale-2": "One"} and store.versions() == [1]
-
-    later = [
-        {"Page_Link": _link(n), "Agent_Name": "two", "Created_At": "2024-02-01 12:00:00"}
-        for n in (2, 3)
-    ]
-    files.write_raw(raw_rows(spark, later), raw)
-    lost = [{"Page_Link": _link(4), "Posted_Date": "unknown"}]
-    files.write_raw(raw_rows(spark, lost), raw)
-    assert run(1) == {"sale-1": "One", "sale-2": "Two", "sale-3": "Two"}
-    assert store.versions()[-1] > 1
-
-
-def test_a_repeated_batch_writes_the_same_version(spark, tmp_path):
-    raw = str(tmp_path / "raw")
-    store = SnapshotTable(spark, str(tmp_path / "current"))
-    files.write_raw(raw_rows(spark, [{"Page_Link": _link(1)}]), raw)
-    for attempt in ("a", "b"):
-        # A lost checkpoint replays batch 0.
-        start_ingest(spark, raw, store, str(tmp_path / attempt), AS_OF).awaitTermination()
-    assert store.versions() == [1] and store.read().count() == 1
+def _drop(spark, raw, *numbers, agent="one", **other):
+    rows = [{"Page_Link": _link(n), "Agent_Name": agent, **other} for n in numbers]
+    files.write_raw(raw_rows(spark, rows), raw)
+
+
+@pytest.fixture
+def place(spark, tmp_path):
+    class Place:
+        raw, root = str(tmp_path / "raw"), str(tmp_path / "out")
+        store = current_table(spark, str(tmp_path / "out"))
+
+        def run(self, checkpoint="checkpoint", files_per_batch=None):
+            options = LoadOptions(only_newer=False)
+            start_ingest(
+                spark, self.raw, self.root, f"{self.root}/{checkpoint}", AS_OF, files_per_batch, options
+            ).awaitTermination()
+            return self.rows()
+
+        def rows(self):
+            return {r.property_id: r.agent_name for r in self.store.read().collect()}
+
+    return Place()
+
+
+def test_each_file_counts_once_and_rejects_are_kept(spark, place):
+    _drop(spark, place.raw, 1, 2)
+    assert place.run() == {"sale-1": "One", "sale-2": "One"}
+    assert place.run() == {"sale-1": "One", "sale-2": "One"} and place.store.versions() == [1]
+    later = {"Created_At": "2024-02-01 12:00:00"}
+    _drop(spark, place.raw, 2, 3, agent="two", **later)
+    _drop(spark, place.raw, 4, Posted_Date="unknown")
+    _drop(spark, place.raw, 5, House_Price="rm 1,000 - rm 2,000 - rm 3,000")
+    assert place.run(files_per_batch=1) == {"sale-1": "One", "sale-2": "Two", "sale-3": "Two"}
+    rejects = {r.property_id: r.reason for r in stored(spark, place.root, "rejected_listings").collect()}
+    assert rejects == {"sale-4": "null:posted_date", "sale-5": "price_range"}
+    assert place.run() and stored(spark, place.root, "rejected_listings").count() == 2
+    counts = stored(spark, place.root, "loads").groupBy().sum().first().asDict()
+    assert counts["sum(inserted)"] == 3 and counts["sum(turned_back)"] == 1 and counts["sum(unreadable)"] == 1
+    assert stored(spark, place.root, "cleaned_listings").count() == 6
+
+
+def test_a_stream_adds_to_a_loaded_table(spark, place):
+    tables.incremental_load(place.store, clean_rows(spark, [listing("sale-1"), listing("sale-2")]), AS_OF)
+    _drop(spark, place.raw, 3)
+    assert set(place.run()) == {"sale-1", "sale-2", "sale-3"}
+
+
+def test_stream_load_stream(spark, place):
+    _drop(spark, place.raw, 1)
+    place.run()
+    tables.incremental_load(place.store, clean_rows(spark, [listing("sale-2")]), AS_OF)
+    _drop(spark, place.raw, 3)
+    assert set(place.run()) == {"sale-1", "sale-2", "sale-3"}
+    assert place.store.versions() == [1, 2, 3]
+
+
+def test_a_new_checkpoint_on_an_old_table(spark, place):
+    for n in (1, 2):
+        _drop(spark, place.raw, n)
+        place.run()
+    _drop(spark, place.raw, 3, agent="new")
+    assert place.run("another") == {"sale-1": "One", "sale-2": "One", "sale-3": "New"}
+    assert len(place.store.versions()) == 3
+
+
+def test_a_recorded_batch_is_not_merged_again(spark, place):
+    _drop(spark, place.raw, 1)
+    lines = spark.read.schema("value string").option("recursiveFileLookup", "true").text(place.raw)
+    headers = files.file_headers(lines).collect()
+    first = load_batch(spark, headers, place.root, AS_OF, "me", 0)
+    again = load_batch(spark, headers, place.root, AS_OF, "me", 0)
+    assert (first["inserted"], again["inserted"], again["updated"]) == (1, 0, 0)
+    assert place.store.versions() == [1] and place.store.has_batch("me", 0)
+    assert not place.store.has_batch("me", 1) and not place.store.has_batch("you", 0)
+    assert spark.read.parquet(f"{place.root}/raw_listings").count() == 1
