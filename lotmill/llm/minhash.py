@@ -115,7 +115,7 @@ def _sketches(batches):
 
 
 def _bands(batches):
-    """(node, sketch) to one row (band, node) for each band."""
+    """(node, n, sketch) to one row (band, node, n) for each band."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -123,8 +123,8 @@ def _bands(batches):
         key = np.broadcast_to(mix(np.arange(BANDS, dtype=np.uint64)), registers.shape[:2])
         for k in range(BAND):
             key = mix(key ^ registers[:, :, k])
-        nodes = np.repeat(batch.column("node").to_numpy(), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(nodes)], names=["band", "node"])
+        nodes, sizes = (np.repeat(batch.column(c).to_numpy(), BANDS) for c in ("node", "n"))
+        yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(nodes), pa.array(sizes)], names=["band", "node", "n"])
 
 
 # ---- candidate pairs of bands
@@ -214,22 +214,21 @@ def links_of_cell(nodes: np.ndarray, sets: list[np.ndarray], registers: np.ndarr
     return out
 
 
-def _cell_links(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(hi, lo) links inside large buckets. ``members`` is (band, node, root, size).
+def _cell_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(hi, lo) links inside large buckets. ``members`` is (band, node, root, size, shingled).
 
     A bucket is cut into blocks of about BLOCK nodes and BLOCK_SHINGLES shingles; every two
     blocks meet in one cell, so any two members meet once, and no task holds more than two blocks.
     """
     import pandas as pd
 
-    shingles = members.join(nodes.select("node", "n"), "node").groupBy("band").agg(F.sum("n").alias("_shingles"))
-    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("_shingles") / BLOCK_SHINGLES)).cast("int")
-    placed = members.join(shingles, "band").withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("shingled") / BLOCK_SHINGLES)).cast("int")
+    placed = members.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     placed = placed.withColumn("_other", other).select(
         "band", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "node", "root"
     )
-    full = placed.join(nodes.select("node", "sketch"), "node").join(sets, "node")
+    full = placed.join(sets, "node")
 
     def links(cell: pd.DataFrame) -> pd.DataFrame:
         found = links_of_cell(
@@ -275,9 +274,9 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select(F.monotonically_increasing_id().alias("node"), "set_key", F.col("_first.doc_id").alias("first_doc"), F.col("_first._text").alias("_text"), "n", "sketch"),
         "sets",
     )
-    bands = nodes.select("node", "sketch").mapInArrow(_bands, "band long, node long")
+    bands = nodes.select("node", "n", "sketch").mapInArrow(_bands, "band long, node long, n long")
     # Most bands stand alone; what is left is small, and Spark then sends the hubs to the bands.
-    hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size")).filter("size > 1")
+    hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size"), F.sum("n").alias("shingled")).filter("size > 1")
     shared = materialize(bands.join(hubs, "band"), "bands")
     star = shared.filter("node <> hub").select(F.col("node").alias("hi"), F.col("hub").alias("lo"))
     few = (
@@ -290,7 +289,7 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     pairs = star.unionByName(few).distinct()
     likely = materialize(_likely(pairs, nodes), "pairs")
-    large = shared.filter(f"size > {SMALL}").select("band", "node", "size")
+    large = shared.filter(f"size > {SMALL}").select("band", "node", "size", "shingled")
     wanted = likely.select(F.col("hi").alias("node")).unionByName(likely.select(F.col("lo").alias("node"))).unionByName(large.select("node")).distinct()
     sets = _full_sets(docs, nodes.join(wanted, "node", "left_semi"))
     links = materialize(_verified(likely, sets), "links")
@@ -298,26 +297,26 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Large buckets whose members are still apart: the pairs beside the star.
     members = materialize(_with_roots(large, roots), "members")
     apart = members.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("band")
-    more = materialize(_cell_links(members.join(apart, "band", "left_semi"), nodes, sets), "cell-links")
+    more = materialize(_cell_links(members.join(apart, "band", "left_semi"), sets), "cell-links")
     if not more.isEmpty():
         roots = component_roots(links.unionByName(more))
     return rows, _with_roots(nodes.drop("sketch"), roots)
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles): the sorted distinct shingle hashes of one document of each node."""
-    wanted = nodes.select("node", F.col("first_doc").alias("_doc"), F.col("_text").alias("_hash"))
+    """(node, sketch, shingles): the sorted distinct shingle hashes of one document of each node."""
+    wanted = nodes.select("node", "sketch", F.col("first_doc").alias("_doc"), F.col("_text").alias("_hash"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
-    found = texts.join(_bounded(wanted), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_hash"))).select("node", "text")
+    found = texts.join(_bounded(wanted), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_hash"))).select("node", "sketch", "text")
 
     def shingled(batches):
         for batch in by_bytes(batches, "text"):
             sets = [np.unique(shingle_hashes(text, SHINGLE)).tobytes() for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("sketch"), pa.array(sets, pa.binary())], names=["node", "sketch", "shingles"])
 
     # A node's document may be repeated; its set is the same in each row.
-    made = found.mapInArrow(shingled, "node long, shingles binary")
-    return materialize(made.groupBy("node").agg(F.any_value("shingles").alias("shingles")), "full-sets")
+    made = found.mapInArrow(shingled, "node long, sketch binary, shingles binary")
+    return materialize(made.groupBy("node").agg(F.any_value("sketch").alias("sketch"), F.any_value("shingles").alias("shingles")), "full-sets")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
