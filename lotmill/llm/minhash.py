@@ -305,18 +305,19 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, sketch, shingles): the sorted distinct shingle hashes of one document of each node."""
-    wanted = nodes.select("node", "sketch", F.col("first_doc").alias("_doc"), F.col("_text").alias("_hash"))
+    wanted = nodes.select("node", F.col("first_doc").alias("_doc"), F.col("_text").alias("_hash"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
-    found = texts.join(_bounded(wanted), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_hash"))).select("node", "sketch", "text")
+    found = texts.join(_bounded(wanted), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_hash"))).select("node", "text")
 
     def shingled(batches):
         for batch in by_bytes(batches, "text"):
             sets = [np.unique(shingle_hashes(text, SHINGLE)).tobytes() for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("sketch"), pa.array(sets, pa.binary())], names=["node", "sketch", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
     # A node's document may be repeated; its set is the same in each row.
-    made = found.mapInArrow(shingled, "node long, sketch binary, shingles binary")
-    return materialize(made.groupBy("node").agg(F.any_value("sketch").alias("sketch"), F.any_value("shingles").alias("shingles")), "full-sets")
+    made = found.mapInArrow(shingled, "node long, shingles binary")
+    sets = made.groupBy("node").agg(F.any_value("shingles").alias("shingles"))
+    return materialize(sets.join(nodes.select("node", "sketch"), "node"), "full-sets")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
