@@ -74,6 +74,12 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .when(_every(11), F.concat(amount, F.lit(",000")))
         .when(_every(7), F.concat(amount, F.lit(".50")))
+        # Zeros in the middle of nine digits, and three commas before a last 000.
+        .when(k % 10 == 3, F.concat(F.lit("rm 150,000,"), F.lpad((k % 1000).cast("string"), 3, "0")))
+        .when(
+            k % 10 == 7,
+            F.concat(F.lit("rm 1,234,"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(",000")),
+        )
         .otherwise(amount),
         "Price_Square_Feet": F.when(_every(19), None).otherwise(
             F.concat(F.lit("rm "), _whole(price / 10), F.lit(".50"))
@@ -82,8 +88,11 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "House_Location": F.lower(F.concat_ws(", ", "n_name", "r_name")),
         "House_Type": F.when(F.col("c_mktsegment") == "BUILDING", "2-sty terrace/link house")
         .when(F.col("c_mktsegment") == "AUTOMOBILE", "town homes")
-        .when(F.col("c_mktsegment") == "MACHINERY", "bungalow")
-        .when(F.col("c_mktsegment") == "HOUSEHOLD", "residential land")
+        .when(F.col("c_mktsegment") == "MACHINERY", F.when(_every(3), "Bungalow").otherwise("bungalow"))
+        .when(
+            F.col("c_mktsegment") == "HOUSEHOLD",
+            F.when(_every(3), "Residential Land").otherwise("residential land"),
+        )
         .otherwise("condominium"),
         "Lot_Type": F.when(_every(2), "corner  lot").otherwise("intermediate"),
         "Square_Footage": F.when(k % 4 == 0, "from 1200 - 1500")
@@ -198,27 +207,50 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit(f'<{name} class="x {mark} y">'), body, F.lit(f"</{name}>\n")),
         ).otherwise("")
 
+    def within(mark: str, body: Column, name: str = "div") -> Column:
+        return F.concat(F.lit(f'<{name} class="{mark}">'), body, F.lit(f"</{name}>\n"))
+
+    def either(first: Column, second: Column) -> Column:
+        """One of a field's two alternatives."""
+        return F.when(_every(2), second).otherwise(first)
+
+    address = F.concat(
+        F.lit('<a class="depth-listing-card-link" href="'), "Page_Link", F.lit('"><img src="p.jpg"></a>')
+    )
+    button = within("ListingContactDetailsButtonstyle__ButtonItem", address, "button")
     link = F.when(
         F.col("Page_Link").isNotNull(),
-        F.concat(
-            F.lit('<div class="slick-slide slick-active slick-current">'),
-            F.lit('<a class="depth-listing-card-link" href="'),
-            "Page_Link",
-            F.lit('"><img src="p.jpg"></a></div>'),
-        ),
+        F.when(_every(3), within("slick-slide slick-active slick-current", address))
+        .when(F.col("k") % 3 == 1, within("BasicCardstyle__ListingImageWrapper-iZfXFa kjZOzk", address))
+        .otherwise(within("ListingContactDetailsButtonstyle__ButtonsWrapper", button)),
     ).otherwise("")
+    described = "BasicCardstyle__DescriptionWrapper-dPdKmp fRMZJr"
+    agent = F.concat(F.lit("<b>"), "Agent_Name", F.lit("</b>"))
     psf = F.concat(F.lit("("), "Price_Square_Feet", F.lit(" per sq. ft.)"))
     card = F.concat(
         F.lit(f'<li class="{CARD[1]} z"><!-- card -->'),
         link,
-        tag("div", "heading-name", F.concat(F.lit("<b>"), "Agent_Name", F.lit("</b>"))),
-        tag("p", "ListingHeadingstyle__HeadingCreationDate", F.col("Posted_Date")),
+        either(tag("div", "ListingHeadingstyle__HeadingTitle", agent), tag("div", "heading-name", agent)),
+        either(
+            tag("p", "ListingHeadingstyle__HeadingCreationDate", F.col("Posted_Date")),
+            within(
+                "BasicCardstyle__HeadingWrapper-DxbUP knxJEk",
+                tag("p", "heading-creation-date", F.col("Posted_Date")),
+            ),
+        ),
         F.lit("<ul>"),
-        tag("li", "ListingPricestyle__ItemWrapper", F.col("House_Price")),
+        either(tag("li", "ListingPricestyle__ItemWrapper", F.col("House_Price")), F.lit("")),
         F.lit("</ul>"),
+        either(F.lit(""), tag("div", "ListingPricestyle__RangePriceWrapper", F.col("House_Price"))),
         tag("div", "ListingPricestyle__PricePSFWrapper", psf),
-        tag("h2", "PremiumCardstyle__TitleWrapper", F.col("House_Name")),
-        tag("div", "PremiumCardstyle__AddressWrapper", F.col("House_Location")),
+        either(
+            tag("h2", "PremiumCardstyle__TitleWrapper", F.col("House_Name")),
+            within(described, tag("h2", "BasicCardstyle__TitleWrapper-eNIiIX dLdNwJ", F.col("House_Name"))),
+        ),
+        either(
+            tag("div", "PremiumCardstyle__AddressWrapper", F.col("House_Location")),
+            within(described, tag("div", "BasicCardstyle__AddressWrapper-jUpzVZ jikSUL", F.col("House_Location"))),
+        ),
         tag(
             "p",
             "ListingAttributesstyle__ListingAttrsDescriptionItemWrapper",

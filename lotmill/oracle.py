@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from lotmill.schemas import CLEAN_COLUMNS, CLEAN_TYPES, RAW_COLUMNS, max_lengths
-from lotmill.sources.regions import REGION_CODES, SCRIPTS
+from lotmill.schemas import CLEAN_COLUMNS, RAW_COLUMNS
 
 RAW = [c.lower() for c in RAW_COLUMNS]
 AS_OF = "timestamp '2024-01-31 12:00:00'"
@@ -47,14 +46,16 @@ listings_raw as (
         || {_whole("floor(o_totalprice) * 4")}
       when k % 11 = 0 then 'rm ' || {_whole("o_totalprice")} || ',000'
       when k % 7 = 0 then 'rm ' || {_whole("o_totalprice")} || '.50'
+      when k % 10 = 3 then 'rm 150,000,' || lpad(cast(k % 1000 as varchar), 3, '0')
+      when k % 10 = 7 then 'rm 1,234,' || lpad(cast(k % 1000 as varchar), 3, '0') || ',000'
       else 'rm ' || {_whole("o_totalprice")} end as house_price,
     case when k % 19 = 0 then null
       else 'rm ' || {_whole("o_totalprice / 10")} || '.50' end as price_square_feet,
     lower('residence ' || c_name) as house_name,
     lower(n_name || ', ' || r_name) as house_location,
     case c_mktsegment when 'BUILDING' then '2-sty terrace/link house'
-      when 'AUTOMOBILE' then 'town homes' when 'MACHINERY' then 'bungalow'
-      when 'HOUSEHOLD' then 'residential land' else 'condominium' end as house_type,
+      when 'AUTOMOBILE' then 'town homes' when 'MACHINERY' then case when k % 3 = 0 then 'Bungalow' else 'bungalow' end
+      when 'HOUSEHOLD' then case when k % 3 = 0 then 'Residential Land' else 'residential land' end else 'condominium' end as house_type,
     case when k % 2 = 0 then 'corner  lot' else 'intermediate' end as lot_type,
     case k % 4 when 0 then 'from 1200 - 1500' when 1 then '1,350'
       when 2 then '900.5 sqft' end as square_footage,
@@ -66,6 +67,15 @@ listings_raw as (
 )"""
 )
 
+# Script number, region, region code.
+REGIONS = """
+  ('01', 'kuala-lumpur', '14'), ('02', 'selangor', '10'), ('03', 'johor', '01'),
+  ('04', 'penang', '07'), ('05', 'perak', '08'), ('06', 'negeri-sembilan', '05'),
+  ('07', 'melaka', '04'), ('08', 'pahang', '06'), ('09', 'sabah', '12'),
+  ('10', 'sarawak', '13'), ('11', 'kedah', '02'), ('12', 'putrajaya', '16'),
+  ('13', 'kelantan', '03'), ('14', 'terengganu', '11'), ('15', 'perlis', '09'),
+  ('16', 'labuan', '15')"""
+
 TYPED_COLUMNS = """
     cast(k as varchar) as property_id,
     'https://www.example.com.my/property/' || r_name || '-' || o_orderpriority || '/' || k as page_link,
@@ -229,9 +239,9 @@ def _clean_from(source: str) -> str:
 
 CLEAN = LISTINGS_RAW + "," + _clean_from("listings_raw")
 
+LIMITS = {"property_id": 50, "source": 9, "agent_name": 100, "state": 100, "area": 100}
 GATE = " and ".join(
-    [f"{c} is not null" for c in CLEAN_TYPES]
-    + [f"length({c}) <= {n}" for c, n in max_lengths(CLEAN_TYPES).items()]
+    [f"{c} is not null" for c in CLEAN_COLUMNS] + [f"length({c}) <= {n}" for c, n in LIMITS.items()]
 )
 
 REVISITED = """
@@ -353,6 +363,7 @@ ATTR_FIELDS = f"""
 
 def _build() -> dict[str, str]:
     raw = ", ".join(RAW)
+    lowered = raw.replace("house_type", "lower(house_type) as house_type")
     sql: dict[str, str] = {}
     sql["raw_scan"] = f"""with {LISTINGS_RAW}
 select {", ".join(f"nullif({c}, '') as {c}" for c in RAW)},
@@ -391,7 +402,7 @@ select 'updated', cast(sum(n) - count(*) filter (is_new) as bigint) from keyed""
 select {_doubles(CLEAN_COLUMNS)}, {AS_OF} as valid_from, true as is_current, {_hash()} as row_hash
 from cleaned where {GATE}"""
     sql["append_dedup"] = f"""with {LISTINGS_RAW},{REVISITED}
-select distinct {raw} from (
+select distinct {lowered} from (
   select {raw} from listings_raw
   union all
   select {raw} from (select * replace (null as square_footage) from revisited)
@@ -402,13 +413,8 @@ select {_doubles(CLEAN_COLUMNS)} from (
   select * replace (case when lot_type = 'Corner Lot' then null else house_price end as house_price)
   from listings_typed
 )"""
-    codes = {region: code for code, region in REGION_CODES.items()}
-    region_rows = ", ".join(
-        f"('{n}', '{r}', '{codes[r]}')"
-        for n, r in ((n, p.split("/")[0][3:]) for n, p in SCRIPTS.items())
-    )
     sql["region_dim"] = f"""with {LISTINGS_RAW},
-regions(script_number, region, region_code) as (values {region_rows}),
+regions(script_number, region, region_code) as (values {REGIONS}),
 numbered as (
   select lpad(cast(cast(regexp_extract(file_name, 'nation-(\\d+)', 1) as int) % 16 + 1 as varchar),
     2, '0') as script_number
@@ -452,7 +458,7 @@ select page_no * 2 + visit as page_id, cast(k % 20 as int) as card_no,
   case when page_link is null then null when page_link = '' and url is null then null else source end as source,
   regexp_replace(agent_name, ' +', ' ', 'g') as agent_name,
   posted_date, house_price, price_square_feet, house_name, house_location,
-  house_type, regexp_replace(lot_type, ' +', ' ', 'g') as lot_type,
+  lower(house_type) as house_type, regexp_replace(lot_type, ' +', ' ', 'g') as lot_type,
   nullif(replace({AREA_TEXT}, ',', ''), '') as square_footage, house_furniture, created_at
 from kept where page_link is null or page_link <> '' or url is not null"""
     sql["source_from_url"] = """
@@ -470,7 +476,7 @@ from (
     case when page_id % 7 = 0 then html || '<p>Checking your browser</p>' else html end as html
   from pages
 ) where html not like '%Checking your browser%'"""
-    sql["raw_normalize"] = f"with {LISTINGS_RAW} select k, {raw} from listings_raw"
+    sql["raw_normalize"] = f"with {LISTINGS_RAW} select k, {lowered} from listings_raw"
     sql["clean_listings"] = f"with {CLEAN} select {_doubles(CLEAN_COLUMNS)} from cleaned"
     sql["price_contact_filter"] = f"""with {LISTINGS_RAW}
 select * from (
