@@ -81,15 +81,17 @@ RULES = [
 
 # Comment marks at the start of lines, line ends inside a sentence, ends of sentences.
 COMMENT = r"(^|\n)[ \t]*(?://+|/?\*+/?|#+|;+|--+|%+)[ \t]*"
-WRAPPED = r"([^.!?:\n])[ \t]*\n[ \t]*([a-z(])"
-STOP = r"([.!?:])[ \t]+"
+WRAPPED = r"([^.!?:;\n])[ \t]*\n[ \t]*([a-z(])"
+STOP = r"([.!?:;])[ \t]+"
+BLANK = r"\n[ \t\n]+"
 COPYRIGHT = r"^copyright (?:c )?[0-9]{4} .*$"
 
 
 def sentences(text: Column) -> Column:
-    """Sentences of a text: up to ``. ! ? :`` and a blank, or to the end of a line that the next one does not go on with in lower case."""
+    """Sentences of a text: up to ``. ! ? : ;`` and a blank, or to the end of a line that the next one does not go on with in lower case."""
     lines = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), COMMENT, "$1")
-    return F.split(F.regexp_replace(F.regexp_replace(lines, WRAPPED, "$1 $2"), STOP, "$1\n"), "\n")
+    parts = F.regexp_replace(F.regexp_replace(lines, WRAPPED, "$1 $2"), STOP, "$1\n")
+    return F.split(F.regexp_replace(parts, BLANK, "\n"), "\n")
 
 
 def normalised(sentence: Column) -> Column:
@@ -114,9 +116,9 @@ def licenses(
     """
     spark = docs.sparkSession
     table = spark.createDataFrame(known, "_id string, _sentence string")
-    cut = docs.select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id", F.posexplode(sentences(F.col("text"))).alias("_at", "_raw")
-    )
+    # Rows are numbered first: beside a generator the number would be that of the sentence.
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
+    cut = rows.select("_row", "doc_id", F.posexplode(sentences(F.col("text"))).alias("_at", "_raw"))
     # The list of known sentences is fixed, so it goes to every executor.
     found = cut.withColumn("_sentence", normalised(F.col("_raw"))).join(F.broadcast(table), "_sentence").select("_row", "doc_id", "_at", "_id")
     runs = found.groupBy("_row").agg(
@@ -163,9 +165,9 @@ def duck_sql() -> str:
     return rf"""
         WITH known(id, sentence) AS (VALUES {values}),
         lines AS (
-            SELECT doc_id, row_number() OVER () AS r, string_split(regexp_replace(regexp_replace(regexp_replace(
+            SELECT doc_id, row_number() OVER () AS r, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
                 regexp_replace(text, '\r\n?', chr(10), 'g'), '{COMMENT}', '\1', 'g'), '{WRAPPED}', '\1 \2', 'g'),
-                '{STOP}', '\1' || chr(10), 'g'), chr(10)) AS s FROM documents),
+                '{STOP}', '\1' || chr(10), 'g'), '{BLANK}', chr(10), 'g'), chr(10)) AS s FROM documents),
         cut AS (SELECT doc_id, r, generate_subscripts(s, 1) AS p, unnest(s) AS raw FROM lines),
         plain AS (
             SELECT doc_id, r, p, regexp_replace(trim(regexp_replace(translate(raw, '{UPPER}', '{UPPER.lower()}'),

@@ -26,6 +26,8 @@ FIT_ROWS = 20_000
 MIN_NATS, MOST_TERMS = 12.0, 1000
 # A mined voter is toxic in so many of its documents at least.
 MIN_SHARE = 0.7
+# A voter with fewer votes is not judged by the labels.
+RARE = 5
 STEM = 6
 LONGEST = 40
 
@@ -252,7 +254,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
     counts = np.zeros((len(got), len(names)), np.float32)
     for i, (k, c) in enumerate(zip(got["k"], got["n"])):
         counts[i, np.asarray(k, int)] = c
-    used = np.flatnonzero((counts > 0).any(axis=0))
+    fired, right = (counts > 0).sum(axis=0), (counts > 0).T @ got["toxic"].to_numpy(float)
+    # Voters that the labels contradict are left out; rare ones are left to the label model.
+    used = np.flatnonzero((fired > 0) & ((right >= MIN_SHARE * fired) | (fired < RARE)))
     votes = counts[:, used] > 0
     model = fit_label_model(votes, prior)
     kept = model.accuracy > model.prior  # the rest says nothing about the class
