@@ -45,4 +45,24 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         if not root:
             root = tempfile.mkdtemp(prefix="lotmill-")
             spark.conf.set("lotmill.local.scratch", root)
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+#: Scratch folders of each application, until they are dropped.
+_made: dict[str, list[str]] = {}
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this session's application has made; how many there were.
+
+    For the end of a session, or a point where no result that reads them is still wanted:
+    queries return lazy tables, so the folders cannot go as soon as a query returns.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)

@@ -1,7 +1,7 @@
 """Card extraction from plain and broken HTML."""
 
 from helpers import NOON
-from lotmill.operators.cards import CARD, CardReader, extract_listings
+from lotmill.operators.cards import CARD, CHALLENGE_TEXT, CardReader, extract_listings
 
 LINK = (
     '<div class="slick-slide slick-active slick-current">'
@@ -125,3 +125,17 @@ def test_other_selectors_on_real_pages(spark, sf_dir):
     got = card_texts(pages, ("li", ""), fields).groupBy("page_id").count().collect()
     expected = {r.page_id: r.html.count("<li>") for r in pages.collect() if "<li>" in r.html}
     assert {r.page_id: r["count"] for r in got} == expected
+
+
+def test_a_challenge_hides_no_later_visit(spark):
+    card = f'<li class="{CARD[1]}"><div class="heading-name">A</div></li>'
+    pages = [
+        (1, "https://www.x.com/a", CHALLENGE_TEXT + card),
+        (2, "https://www.x.com/a", card),
+        (3, None, card),
+        (4, "https://www.x.com/b", card),
+        (5, "https://www.x.com/a", card),
+        (6, None, card),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert sorted(r.page_id for r in extract_listings(df, NOON).collect()) == [2, 3, 4, 6]

@@ -103,6 +103,20 @@ def test_posted_dates(spark):
     assert got == list(cases.values())
 
 
+def test_posted_dates_do_not_depend_on_the_zone(spark):
+    # The hour that New York skipped.
+    texts = ["posted on 10 mar 2024 02:30 am", "10 mar 2024", "30 feb 2024", "1 nov 2024 12:60 am"]
+    found = []
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for other in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", other)
+        try:
+            found.append(values(spark, texts, lambda c: dates.posted_date(c, NOON)))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found[0] == found[1] == [datetime(2024, 3, 10, 2, 30), datetime(2024, 3, 10), None, None]
+
+
 def test_yesterday_crosses_a_year(spark):
     got = values(spark, ["yesterday"], lambda c: dates.posted_date(c, datetime(2024, 1, 1, 3)))
     assert got == [datetime(2023, 12, 31)]

@@ -13,7 +13,7 @@ from lotmill.functions import links
 from lotmill.operators.clean import clean_listings
 from lotmill.operators.merge import insert_ignore, with_versioning
 from lotmill.plans.refresh import refresh
-from lotmill.session import scratch_folder
+from lotmill.session import drop_scratch, scratch_folder
 from lotmill.sources import files, regions, tables
 
 NAME = "batch1_03_johor_site_20240131_120000.csv"
@@ -228,7 +228,7 @@ class _Conf(dict):
 class _Session:
     def __init__(self, master, **conf):
         self.conf = _Conf({k.replace("_", "."): v for k, v in conf.items()})
-        self.sparkContext = type("Context", (), {"master": master})()
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "test"})()
 
 
 def test_scratch_folder_is_the_cluster_setting():
@@ -241,6 +241,13 @@ def test_scratch_folder_is_the_cluster_setting():
     assert one != two and os.path.dirname(one) == os.path.dirname(two)
 
 
+def test_scratch_folders_are_dropped(spark):
+    path = scratch_folder(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert os.path.exists(path)
+    assert drop_scratch(spark) >= 1 and not os.path.exists(path)
+
+
 def test_refresh_twice_gives_the_same_marts(spark, sf_dir, tmp_path):
     from lotmill import fixtures as fx
 
