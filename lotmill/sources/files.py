@@ -167,29 +167,30 @@ def write_staging(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
     return True
 
 
-def read_staging_csv(spark: SparkSession, folder: str) -> DataFrame:
+def read_staging_csv(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
     """Typed clean listings from the ``staging*.csv`` files of a folder.
 
     Null and empty text are the same in a CSV file; text columns read back
-    as empty, so only unreadable dates and numbers are null.
+    as empty, so only unreadable dates and numbers are null. Without line breaks in
+    cells, ``multi_line=False`` lets many tasks read one file.
     """
     text_schema = T.StructType([T.StructField(c, T.StringType()) for c in CLEAN_COLUMNS])
     rows = (
         spark.read.schema(text_schema)
-        .options(**_csv_options(True), recursiveFileLookup="true")
+        .options(**_csv_options(multi_line), recursiveFileLookup="true")
         .csv(f"{folder}/staging*.csv")
     )
     filled = rows.select("*", F.col("_metadata.file_path").alias("file_name")).na.fill("")
     return filled.select(*typed_columns(CLEAN_TYPES), "file_name")
 
 
-def copy_into(spark: SparkSession, path: str, table: str) -> None:
+def copy_into(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> None:
     """Bulk copy of a clean CSV into a table, columns matched by name.
 
     A value that is not of its column's type is an error, and then nothing is copied.
     """
     text_schema = T.StructType([T.StructField(c, T.StringType()) for c in CLEAN_COLUMNS])
-    rows = spark.read.schema(text_schema).options(**_csv_options(True)).csv(path)
+    rows = spark.read.schema(text_schema).options(**_csv_options(multi_line)).csv(path)
     typed = rows.select(*typed_columns(CLEAN_TYPES))
     broken = F.lit(False)
     for c, value in zip(CLEAN_COLUMNS, typed_columns(CLEAN_TYPES)):
