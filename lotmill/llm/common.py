@@ -98,7 +98,7 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def by_bytes(batches, column: str, limit: int = 8_000_000):
+def by_bytes(batches, column: str, limit: int = 4_000_000):
     """Arrow batches cut so that ``column`` holds about ``limit`` bytes in each."""
     for batch in batches:
         at = batch.schema.get_field_index(column)

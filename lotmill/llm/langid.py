@@ -25,6 +25,8 @@ SWITCH = 8.0
 # A language whose letters are less often of a script than this is no candidate for its words.
 SCRIPT_SHARE = 0.001
 FORBIDDEN = -1e4
+# Words are scored for so many bytes of text at a time, and labelled for eight times as many.
+PART_BYTES = 500_000
 # The model is held on the driver and sent to every task: 128 KB a language.
 MOST_LANGUAGES = 1000
 
@@ -181,7 +183,7 @@ def learn(rows: DataFrame) -> Model:
     def counted(batches):
         found: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in by_bytes([batch], "text", 2_000_000):
+            for part in by_bytes([batch], "text", PART_BYTES):
                 langs = np.array(part.column("lang").to_pylist(), object)
                 texts = np.array(part.column("text").to_pylist(), object)
                 for lang in dict.fromkeys(langs):
@@ -208,20 +210,35 @@ def learn(rows: DataFrame) -> Model:
     return Model(languages, np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float64), (share >= SCRIPT_SHARE).T.copy())
 
 
+def _scored(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, letters and scores of every word, worked out for a few texts at a time."""
+    owner, letters, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty((0, len(model.languages)), np.float32)]
+    start = size = 0
+    for stop, text in enumerate(texts, 1):
+        size += len(text or "")
+        if size >= PART_BYTES or stop == len(texts):
+            words = read_words(texts[start:stop])
+            owner.append(words.text + start)
+            letters.append(words.letters)
+            scores.append(model.scores(words))
+            start, size = stop, 0
+    return np.concatenate(owner), np.concatenate(letters), np.concatenate(scores)
+
+
 def _labelled(model: Model, texts: list[str | None]) -> tuple[list, list, list]:
     """Predicted language, its share of the letters, and spans of each text."""
-    words = read_words(texts)
     n = len(texts)
-    if not model.languages or not len(words.text):
+    owner, letters, scores = _scored(model, texts)
+    if not model.languages or not len(owner):
         return [UNKNOWN] * n, [0.0] * n, [[] for _ in range(n)]
-    path = viterbi(model.scores(words), words.text, n)
-    cells = np.bincount(words.text * len(model.languages) + path, words.letters, n * len(model.languages)).reshape(n, -1)
+    path = viterbi(scores, owner, n)
+    cells = np.bincount(owner * len(model.languages) + path, letters, n * len(model.languages)).reshape(n, -1)
     best, total = cells.argmax(axis=1), cells.sum(axis=1)
     spans = [[] for _ in range(n)]
-    change = np.flatnonzero(np.diff(path, prepend=-1) | np.diff(words.text, prepend=-1))
-    starts = np.searchsorted(words.text, np.arange(n))
+    change = np.flatnonzero(np.diff(path, prepend=-1) | np.diff(owner, prepend=-1))
+    starts = np.searchsorted(owner, np.arange(n))
     for a, b in zip(change.tolist(), [*change[1:].tolist(), len(path)]):
-        text = int(words.text[a])
+        text = int(owner[a])
         spans[text].append({"first_word": a - int(starts[text]), "n_words": b - a, "lang": model.languages[path[a]]})
     langs = [model.languages[k] if t else UNKNOWN for k, t in zip(best, total)]
     return langs, (cells.max(axis=1) / np.maximum(total, 1)).tolist(), spans
@@ -241,7 +258,7 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
     arrow = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string())]))
 
     def run(batches):
-        for batch in by_bytes(batches, "text", 4_000_000):
+        for batch in by_bytes(batches, "text", 8 * PART_BYTES):
             langs, scores, spans = _labelled(model, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, arrow)],
