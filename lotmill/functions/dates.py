@@ -8,8 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _CLOCK = r"(\d{2}:\d{2} [ap]m)"
-_PARTS = r"^(\d{1,2}) ([a-z]{3}) (\d{4})(?: (\d{1,2}):(\d{2}) [ap]m)?$"
-_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
 def posted_date(c: Column, as_of: datetime) -> Column:
@@ -17,7 +15,8 @@ def posted_date(c: Column, as_of: datetime) -> Column:
 
     ``today`` needs a clock time, ``yesterday`` defaults to midnight, and
     absolute dates may or may not have a time. All three forms are brought to
-    one text, its parts to ISO form, and that is cast without any time zone.
+    one text, whose ending tells which of two formats to parse: trying one
+    format after the other would throw an exception for every failing row.
     """
     def day(moment: datetime) -> Column:
         return F.lit(f"{moment.day} {moment:%b %Y} ")
@@ -35,21 +34,17 @@ def posted_date(c: Column, as_of: datetime) -> Column:
 
 
 def _zone_free(text: Column) -> Column:
-    """``d MMM yyyy`` with or without ``h:mm am`` to timestamp_ntz; null for anything else."""
-    text = F.lower(text)
-    place = F.position(F.regexp_extract(text, _PARTS, 2), F.lit(_MONTHS))
-    month = F.lpad(F.ceil(place / 3).cast("string"), 2, "0")
-    hour = F.nullif(F.regexp_extract(text, _PARTS, 4), F.lit("")).cast("int")
-    afternoon = F.when(text.endswith("pm"), 12).otherwise(0)
-    clock = F.when(
-        hour.between(1, 12),
-        F.concat(
-            F.lpad((hour % 12 + afternoon).cast("string"), 2, "0"), F.lit(":"), F.regexp_extract(text, _PARTS, 5), F.lit(":00")
-        ),
-    ).when(hour.isNull(), "00:00:00")
-    day = F.lpad(F.regexp_extract(text, _PARTS, 1), 2, "0")
-    whole = F.concat(F.regexp_extract(text, _PARTS, 3), F.lit("-"), month, F.lit("-"), day, F.lit(" "), clock)
-    return F.when(text.rlike(_PARTS) & (place % 3 == 1), whole.try_cast("timestamp_ntz"))
+    """``d MMM yyyy`` with or without ``h:mm am`` to timestamp_ntz; null for anything else.
+
+    Read as a time of zone zero and counted in seconds from 1970, so that the session's zone
+    and its clock changes play no part.
+    """
+    zero = F.concat(text, F.lit(" +0000"))
+    moment = F.when(
+        text.rlike("(?i)[ap]m$"), F.try_to_timestamp(zero, F.lit("d MMM yyyy h:mm a xx"))
+    ).otherwise(F.try_to_timestamp(zero, F.lit("d MMM yyyy xx")))
+    seconds = F.make_dt_interval(secs=moment.cast("long").cast("decimal(18,6)"))
+    return F.lit("1970-01-01").cast("timestamp_ntz") + seconds
 
 
 def stamp(as_of: datetime) -> Column:
