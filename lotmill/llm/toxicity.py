@@ -28,6 +28,8 @@ MIN_NATS, MOST_TERMS = 12.0, 1000
 MIN_SHARE = 0.7
 # A voter with fewer votes is not judged by the labels.
 RARE = 5
+# The weight of a lexicon word where nothing is known of it.
+LEXICON_WEIGHT = 4.0
 STEM = 6
 LONGEST = 40
 
@@ -250,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
 
     got = sample.mapInArrow(voted, "k array<int>, n array<int>, toxic int").toPandas()
     if got["toxic"].nunique() < 2:  # nothing to set the scores to
-        return Scorer(["=" + w for w in LEXICON], np.full(len(LEXICON), 4.0), -3.0)
+        return Scorer(["=" + w for w in LEXICON], np.full(len(LEXICON), LEXICON_WEIGHT), -3.0)
     counts = np.zeros((len(got), len(names)), np.float32)
     for i, (k, c) in enumerate(zip(got["k"], got["n"])):
         counts[i, np.asarray(k, int)] = c
@@ -266,6 +268,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
     logits = feature(counts[:, used[kept]]) @ w + bias
     (slope,), shift = fit_linear(logits[:, None], got["toxic"].to_numpy(float), ridge=0.1)
     weights[used[kept]], bias = w * slope, float(bias * slope + shift)
+    # Words of the fixed lexicon that no document of the sample holds keep a fixed weight.
+    unseen = [k for k, name in enumerate(names) if name[1:] in LEXICON and name[0] == "=" and not fired[k]]
+    weights[unseen] = LEXICON_WEIGHT
     live = np.flatnonzero(weights)
     return Scorer([names[k] for k in live], weights[live], bias)
 
