@@ -79,25 +79,127 @@ RULES = [
     ("Proprietary", ["reserved"]),
 ]
 
-# Comment marks at the start of lines, line ends inside a sentence, ends of sentences.
+# Sentences as the cutter leaves them where a stop parts a known text: the notices of the GNU licences and of Apache.
+# Families of the GNU licences: name, words, versions with the dates of their titles.
+GNU = [
+    ("GPL", "gnu general public license", [("1", "february 1989"), ("2", "june 1991"), ("3", "29 june 2007")]),
+]
+LATER = ["or at your option any later version", "or any later version"]
+
+
+def _spdx(family: str, version: str, how: str) -> str:
+    return f"{family}-{version if '.' in version else version + '.0'}-{how}"
+
+
+def _gnu() -> tuple[list[tuple[str, str]], list[tuple[str, list[str]]]]:
+    """Sentences and rules of the notices of the GNU licences, whether a comma or a semicolon stands before the version."""
+    things = ("program", "library", "file", "software")
+    known = [("gnu-free", f"this {x} is free software") for x in things]
+    known += [("gnu-hope", f"this {x} is distributed in the hope that it will be useful but without any warranty") for x in things]
+    known.append(("gnu-fitness", "without even the implied warranty of merchantability or fitness for a particular purpose"))
+    runs = []
+    for family, name, versions in GNU:
+        terms = f"you can redistribute it and or modify it under the terms of the {name}"
+        published = f"{terms} as published by the free software foundation"
+        key = name.split()[1]
+        known += [(f"{key}-terms", published), (f"{key}-details", f"see the {name} for more details")]
+        for version, _ in versions:
+            v = version.replace(".", " ")
+            later, only = f"{key}-{version}-later", f"{key}-{version}-only"
+            known += [(later, f"{published} either version {v} of the license {end}") for end in LATER]
+            known += [(f"version-{version}-later", f"either version {v} of the license {end}") for end in LATER]
+            known += [(only, f"{published} version {v}{end}") for end in ("", " of the license")]
+            known += [(only, f"{terms} version {v} as published by the free software foundation")]
+            known += [(f"version-{version}-only", f"version {v}{end}") for end in ("", " of the license")]
+            runs += [(_spdx(family, version, "or-later"), [f"{key}-terms", f"version-{version}-later"]), (_spdx(family, version, "or-later"), [later])]
+            runs += [(_spdx(family, version, "only"), [f"{key}-terms", f"version-{version}-only"]), (_spdx(family, version, "only"), [only])]
+    return list(dict.fromkeys(known)), runs
+
+
+CUT_SENTENCES = _gnu()[0] + [
+    ("apache-2-copy-at", "you may obtain a copy of the license at"),
+    ("apache-2-url", "http www apache org licenses license 2 0"),
+    ("apache-2-url", "https www apache org licenses license 2 0"),
+]
+
+# Rules tried before RULES, and numbered after them, so that known numbers stay.
+CUT_RULES = _gnu()[1] + [
+    ("Apache-2.0", ["apache-2", "apache-2-compliance", "apache-2-copy-at", "apache-2-url", "as-is-basis", "see-license"]),
+]
+
+KNOWN = SENTENCES + CUT_SENTENCES
+
+# Comment marks at the start of lines, line ends inside a sentence, ends of sentences. WRAPPED, STOP and BLANK
+# are those of the SQL; the operator cuts with LIST, GOES_ON and HARD.
 COMMENT = r"(^|\n)[ \t]*(?://+|/?\*+/?|#+|;+|--+|%+)[ \t]*"
 WRAPPED = r"([^.!?:;\n])[ \t]*\n[ \t]*([a-z(])"
 STOP = r"([.!?:;])[ \t]+"
 BLANK = r"\n[ \t\n]+"
 COPYRIGHT = r"^copyright (?:c )?[0-9]{4} .*$"
+# A list number at the start of a line, and one that follows a stop; a year after (c) makes it no list number.
+NUMBER = r"\(?(?:[0-9]{1,2}|[A-Za-z]|[ivx]{2,4})[.)][ \t]+(?![0-9])"
+LIST = rf"(^|\n)[ \t]*{NUMBER}"
+# A line that goes on in lower case or with a bracket.
+GOES_ON = r"(?<![.!?:;\s])[ \t]*\n[ \t]*(?=[a-z(])"
+# Ends of sentences that nothing joins again: a stop and blanks, or an empty line.
+HARD = rf"(?<=[.!?:;])[ \t\n]+(?:{NUMBER})?|[ \t]*\n[ \t]*\n[ \t\n]*"
+# What has no letter and no number of three digits is no sentence: rules of dashes, list numbers, versions cut off.
+HAS_WORDS = r"\p{L}|[0-9]{3}"
 
 
-def sentences(text: Column) -> Column:
-    """Sentences of a text: up to ``. ! ? : ;`` and a blank, or to the end of a line that the next one does not go on with in lower case."""
+def fragments(text: Column) -> Column:
+    """Parts of a text between stops and empty lines, without empty ones and list numbers; other line ends stay in them."""
     lines = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), COMMENT, "$1")
-    parts = F.regexp_replace(F.regexp_replace(lines, WRAPPED, "$1 $2"), STOP, "$1\n")
-    return F.split(F.regexp_replace(parts, BLANK, "\n"), "\n")
+    lines = F.regexp_replace(F.regexp_replace(lines, LIST, "$1\n"), GOES_ON, " ")
+    return F.filter(F.split(lines, HARD), lambda x: F.rlike(x, F.lit(HAS_WORDS)))
+
 
+def normalised(fragment: Column) -> Column:
+    """Lower-cased words of a-z, 0-9 and + with single blanks; a line end between words stays a line end."""
+    plain = F.regexp_replace(F.translate(fragment, UPPER, UPPER.lower()), r"[^a-z0-9+\n]+", " ")
+    return F.when(F.contains(plain, F.lit("\n")), F.trim(F.regexp_replace(F.trim(plain, F.lit(" \n")), r" ?\n[ \n]*", "\n"))).otherwise(F.trim(plain))
 
-def normalised(sentence: Column) -> Column:
-    """Lower-cased words of a-z, 0-9 and + with single blanks; a copyright line with a year is ``copyright notice``."""
-    plain = F.trim(F.regexp_replace(F.translate(sentence, UPPER, UPPER.lower()), "[^a-z0-9+]+", " "))
-    return F.regexp_replace(plain, COPYRIGHT, "copyright notice")
+
+def _begins(known: list[str], blank: str) -> str:
+    """Pattern of the first three words of the known sentences, with ``blank`` between words."""
+    starts = sorted({tuple(x.split()[:3]) for x in known})
+    words = [blank.join(w.replace("+", r"\+") for w in x) for x in starts]
+    return "(?:" + "|".join([*words, f"copyright{blank}(?:c{blank})?[0-9]{{4}}"]) + r")(?![a-z0-9+])"
+
+
+def promising(fragment: Column, known: list[str]) -> Column:
+    """Does a line of the fragment begin as a known sentence does? Of the others no word needs to be looked at."""
+    return F.rlike(fragment, F.lit(r"(?i)(?:^|\n)[^a-z0-9+\n]*" + _begins(known, "[^a-z0-9+]+")))
+
+
+def sentences(plain: Column, known: list[str]) -> Column:
+    """Sentences of a normalised fragment.
+
+    Lines are one sentence whatever their case, unless a line begins as a known sentence does. Where lines follow
+    a known sentence that has no stop of its own, the longest known beginning is one sentence, the rest another.
+    """
+    begins = _begins(known, "[ \\n]")
+    longest = max(map(len, known))
+    whole = lambda x: F.replace(x, F.lit("\n"), F.lit(" "))
+    fixed = F.array(*map(F.lit, known))
+
+    def cut(unit: Column) -> Column:
+        # Between words stands one character, so no known sentence is longer than the longest one here.
+        lines = F.split(F.left(unit, F.lit(longest + 1)), "\n")
+        heads = F.transform(lines, lambda _, i: F.array_join(F.slice(lines, 1, i + 1), " "))
+        head = F.try_element_at(F.filter(heads, lambda x: F.array_contains(fixed, x)), F.lit(-1))
+        head = F.when(F.rlike(unit, F.lit("^" + begins)), head)
+        rest = F.substring(whole(unit), F.length(head) + 2, F.length(unit))
+        return F.when(head.isNull() | (F.length(head) == F.length(unit)), F.array(whole(unit))).otherwise(F.array(head, rest))
+
+    units = F.split(plain, r"\n(?=" + begins + ")")
+    several = F.flatten(F.transform(units, lambda u: F.when(F.contains(u, F.lit("\n")), cut(u)).otherwise(F.array(u))))
+    return F.when(F.contains(plain, F.lit("\n")), several).otherwise(F.array(plain))
+
+
+def canonical(sentence: Column) -> Column:
+    """A copyright line with a year is ``copyright notice``."""
+    return F.regexp_replace(sentence, COPYRIGHT, "copyright notice")
 
 
 def _token(identifier: str) -> str:
@@ -105,12 +207,13 @@ def _token(identifier: str) -> str:
 
 
 def licenses(
-    docs: DataFrame, known: list[tuple[str, str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES
+    docs: DataFrame, known: list[tuple[str, str]] = KNOWN, rules: list[tuple[str, list[str]]] = RULES, first: list[tuple[str, list[str]]] = CUT_RULES
 ) -> DataFrame:
-    """(doc_id, license, rule, n_sentences): each rule that a document's sentences match, numbered from 0.
+    """(doc_id, license, rule, n_sentences): each rule that a document's sentences match.
 
-    A rule needs its identifiers side by side: a sentence that is not known breaks a run. Rules
-    are tried in order, and each takes all its matches away from the rest; a rule that matches several times in
+    ``rules`` are numbered from 0, those of ``first`` after them, though they are tried before them. A rule needs
+    its identifiers side by side: a sentence that is not known breaks a run, a list number or an
+    empty piece does not. Rules are tried in order, and each takes all its matches away from the rest; a rule that matches several times in
     a document gives one row. ``n_sentences`` is the number of known sentences of the document. Null and empty
     texts and texts without a match give no row; repeated rows give theirs each. Only sentences that are known are shuffled.
     """
@@ -118,21 +221,31 @@ def licenses(
     table = spark.createDataFrame(known, "_id string, _sentence string")
     # Rows are numbered first: beside a generator the number would be that of the sentence.
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
-    cut = rows.select("_row", "doc_id", F.posexplode(sentences(F.col("text"))).alias("_at", "_raw"))
+    cut = rows.select("_row", "doc_id", F.posexplode(fragments(F.col("text"))).alias("_part", "_raw"))
+    texts = [x for _, x in known]
+    plain = cut.filter(promising(F.col("_raw"), texts)).select("_row", "doc_id", "_part", normalised(F.col("_raw")).alias("_plain"))
+    own = plain.select("_row", "doc_id", "_part", sentences(F.col("_plain"), texts).alias("_own"))
+    single = own.select("_row", "doc_id", "_part", F.posexplode("_own").alias("_sub", "_cut"), F.size("_own").alias("_of"))
     # The list of known sentences is fixed, so it goes to every executor.
-    found = cut.withColumn("_sentence", normalised(F.col("_raw"))).join(F.broadcast(table), "_sentence").select("_row", "doc_id", "_at", "_id")
+    found = single.withColumn("_sentence", canonical(F.col("_cut"))).join(F.broadcast(table), "_sentence")
+    found = found.select("_row", "doc_id", F.struct("_part", "_sub", "_of").alias("_at"), "_id")
     runs = found.groupBy("_row").agg(
         F.any_value("doc_id").alias("doc_id"),
         F.count("*").cast("int").alias("n_sentences"),
         F.array_sort(F.collect_list(F.struct(F.col("_at").alias("at"), F.concat(F.lit("<"), "_id", F.lit(">")).alias("t")))).alias("_ids"),
     )
     previous = lambda i: F.when(i > 0, F.get("_ids", i - 1)["at"])
-    parts = F.transform("_ids", lambda x, i: F.concat(F.when(x["at"] - previous(i) > 1, "|").otherwise(""), x["t"]))
+
+    def follows(at: Column, last: Column) -> Column:
+        inside = (at["_part"] == last["_part"]) & (at["_sub"] == last["_sub"] + 1)
+        return inside | ((at["_part"] == last["_part"] + 1) & (at["_sub"] == 0) & (last["_sub"] + 1 == last["_of"]))
+
+    parts = F.transform("_ids", lambda x, i: F.concat(F.when(~follows(x["at"], previous(i)), "|").otherwise(""), x["t"]))
     left = F.array_join(parts, "")
     patterns = F.array(
         *[
             F.struct(F.lit(k).alias("rule"), F.lit(name).alias("license"), F.lit("".join(map(_token, own))).alias("run"))
-            for k, (name, own) in enumerate(rules)
+            for k, (name, own) in [*enumerate(first, len(rules)), *enumerate(rules)]
         ]
     )
     none = F.array().cast("array<struct<rule:int,license:string>>")
@@ -152,7 +265,7 @@ def licenses(
 
 
 def duck_sql() -> str:
-    """The same in DuckDB SQL, rule by rule."""
+    """The same in DuckDB SQL, rule by rule, for SENTENCES and RULES alone and as lines that go on in lower case are joined."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({quote(i)}, {quote(s)})" for i, s in SENTENCES)
     step = "SELECT doc_id, n_sentences, run AS run0 FROM runs"
