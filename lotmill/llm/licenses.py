@@ -83,7 +83,11 @@ RULES = [
 # Families of the GNU licences: name, words, versions with the dates of their titles.
 GNU = [
     ("GPL", "gnu general public license", [("1", "february 1989"), ("2", "june 1991"), ("3", "29 june 2007")]),
+    ("LGPL", "gnu library general public license", [("2", "june 1991")]),
+    ("LGPL", "gnu lesser general public license", [("2.1", "february 1999"), ("3", "29 june 2007")]),
+    ("AGPL", "gnu affero general public license", [("3", "19 november 2007")]),
 ]
+NAMED = ("licensed under", "released under", "this work is licensed under", "this project is licensed under")
 LATER = ["or at your option any later version", "or any later version"]
 
 
@@ -103,7 +107,7 @@ def _gnu() -> tuple[list[tuple[str, str]], list[tuple[str, list[str]]]]:
         published = f"{terms} as published by the free software foundation"
         key = name.split()[1]
         known += [(f"{key}-terms", published), (f"{key}-details", f"see the {name} for more details")]
-        for version, _ in versions:
+        for version, date in versions:
             v = version.replace(".", " ")
             later, only = f"{key}-{version}-later", f"{key}-{version}-only"
             known += [(later, f"{published} either version {v} of the license {end}") for end in LATER]
@@ -112,21 +116,78 @@ def _gnu() -> tuple[list[tuple[str, str]], list[tuple[str, list[str]]]]:
             known += [(only, f"{terms} version {v} as published by the free software foundation")]
             known += [(f"version-{version}-only", f"version {v}{end}") for end in ("", " of the license")]
             runs += [(_spdx(family, version, "or-later"), [f"{key}-terms", f"version-{version}-later"]), (_spdx(family, version, "or-later"), [later])]
+            known += [(f"{key}-{version}-title", f"{name} version {v} {date}")]
+            runs.append((_spdx(family, version, "only"), [f"{key}-{version}-title"]))
+            for how, ends in (("only", ("",)), ("or-later", (" or later", " or any later version"))):
+                known += [(f"{key}-{version}-{how}-named", f"{a} the {name} {b}{v}{end}") for a in NAMED for b in ("version ", "v") for end in ends]
+                runs.append((_spdx(family, version, how), [f"{key}-{version}-{how}-named"]))
             runs += [(_spdx(family, version, "only"), [f"{key}-terms", f"version-{version}-only"]), (_spdx(family, version, "only"), [only])]
-    return list(dict.fromkeys(known)), runs
+    held = {x for _, x in SENTENCES}
+    return [x for x in dict.fromkeys(known) if x[1] not in held], runs
 
 
 CUT_SENTENCES = _gnu()[0] + [
     ("apache-2-copy-at", "you may obtain a copy of the license at"),
     ("apache-2-url", "http www apache org licenses license 2 0"),
     ("apache-2-url", "https www apache org licenses license 2 0"),
+    ("apache-2-title", "apache license version 2 0 january 2004"),
+    ("apache-2-title", "apache license version 2 0 january 2004 http www apache org licenses"),
+    ("mit-notice", "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software"),
+    ("bsd-names", "neither the name nor the names of contributors may be used"),
+    ("bsd-neither", "neither the name of somebody"),
+    ("bsd-nor", "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-advertising", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("mpl-2-notice", "this source code form is subject to the terms of the mozilla public license v"),
+    ("mpl-2-notice", "this source code form is subject to the terms of the mozilla public license version 2 0"),
+    ("mpl-2-title", "mozilla public license version 2 0"),
+    ("mpl-1.1-notice", "the contents of this file are subject to the mozilla public license version 1 1 the license"),
+    ("mpl-1.1-title", "mozilla public license version 1 1"),
+    ("epl-2-notice", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("epl-1-notice", "this program and the accompanying materials are made available under the terms of the eclipse public license 1 0"),
+    ("epl-notice", "this program and the accompanying materials are made available under the terms of the eclipse public license v"),
+    ("epl-2-at", "2 0 which is available at http www eclipse org legal epl 2 0"),
+    ("epl-2-at", "2 0 which is available at https www eclipse org legal epl 2 0"),
+    ("epl-2-title", "eclipse public license v 2 0"),
+    ("epl-1-title", "eclipse public license v 1 0"),
 ]
+CUT_SENTENCES += [("mpl-2-named", f"{a} the mozilla public license {b}2 0") for a in NAMED for b in ("version ", "v")]
+CUT_SENTENCES += [(f"epl-{k}-named", f"{a} the eclipse public license {b}{k} 0") for a in NAMED for b in ("version ", "v", "") for k in (1, 2)]
 
 # Rules tried before RULES, and numbered after them, so that known numbers stay.
 CUT_RULES = _gnu()[1] + [
     ("Apache-2.0", ["apache-2", "apache-2-compliance", "apache-2-copy-at", "apache-2-url", "as-is-basis", "see-license"]),
+    ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-neither", "bsd-nor"]),
+    ("MPL-2.0", ["mpl-2-notice"]),
+    ("MPL-1.1", ["mpl-1.1-notice"]),
+    ("EPL-2.0", ["epl-2-notice"]),
+    ("EPL-2.0", ["epl-notice", "epl-2-at"]),
+    ("EPL-1.0", ["epl-1-notice"]),
+    ("MPL-2.0", ["mpl-2-named"]),
+    ("EPL-2.0", ["epl-2-named"]),
+    ("EPL-1.0", ["epl-1-named"]),
+    ("Apache-2.0", ["apache-2-title"]),
+    ("MPL-2.0", ["mpl-2-title"]),
+    ("MPL-1.1", ["mpl-1.1-title"]),
+    ("EPL-2.0", ["epl-2-title"]),
+    ("EPL-1.0", ["epl-1-title"]),
 ]
 
+# Sentences that only name a licence, of which a document may hold several beside a reservation of its own.
+NAMES = {"apache-2", "mit", "gpl-3", "gpl-2", "lgpl-3", "cc-by-nc-4", "cc-by-sa-4", "cc-by-4", "cc0"}
+TEXT, TITLE, NAME, RESERVED = range(4)
+
+
+def _kind(name: str, run: list[str]) -> int:
+    """A title counts where no licence's own words do, Proprietary where neither does."""
+    if name == "Proprietary":
+        return RESERVED
+    if all(i.endswith("-title") for i in run):
+        return TITLE
+    return NAME if all(i in NAMES or i.endswith("-named") for i in run) else TEXT
+
+
 KNOWN = SENTENCES + CUT_SENTENCES
 
 # Comment marks at the start of lines, line ends inside a sentence, ends of sentences. WRAPPED, STOP and BLANK
@@ -136,6 +197,16 @@ WRAPPED = r"([^.!?:;\n])[ \t]*\n[ \t]*([a-z(])"
 STOP = r"([.!?:;])[ \t]+"
 BLANK = r"\n[ \t\n]+"
 COPYRIGHT = r"^copyright (?:c )?[0-9]{4} .*$"
+VARIED = [
+    (COPYRIGHT, "copyright notice"),
+    (
+        "^neither the names? of .* nor the names of (?:its |the |their |any )?contributors may be used to endorse or promote products "
+        "derived from this software without (?:specific )?prior written permission$",
+        "neither the name nor the names of contributors may be used",
+    ),
+    ("^neither the name of (?!.* nor ).*$", "neither the name of somebody"),
+    ("^(this program and the accompanying materials are made available under the terms of the eclipse public license) (?:v|v |version )?([12]) 0(?: .*)?$", "$1 $2 0"),
+]
 # A list number at the start of a line, and one that follows a stop; a year after (c) makes it no list number.
 NUMBER = r"\(?(?:[0-9]{1,2}|[A-Za-z]|[ivx]{2,4})[.)][ \t]+(?![0-9])"
 LIST = rf"(^|\n)[ \t]*{NUMBER}"
@@ -172,10 +243,10 @@ def promising(fragment: Column, known: list[str]) -> Column:
     return F.rlike(fragment, F.lit(r"(?i)(?:^|\n)[^a-z0-9+\n]*" + _begins(known, "[^a-z0-9+]+")))
 
 
-def sentences(plain: Column, known: list[str]) -> Column:
+def sentences(plain: Column, known: list[str], lead: list[str]) -> Column:
     """Sentences of a normalised fragment.
 
-    Lines are one sentence whatever their case, unless a line begins as a known sentence does. Where lines follow
+    Lines are one sentence whatever their case, unless a line begins as a sentence of ``lead`` does. Where lines follow
     a known sentence that has no stop of its own, the longest known beginning is one sentence, the rest another.
     """
     begins = _begins(known, "[ \\n]")
@@ -192,14 +263,16 @@ def sentences(plain: Column, known: list[str]) -> Column:
         rest = F.substring(whole(unit), F.length(head) + 2, F.length(unit))
         return F.when(head.isNull() | (F.length(head) == F.length(unit)), F.array(whole(unit))).otherwise(F.array(head, rest))
 
-    units = F.split(plain, r"\n(?=" + begins + ")")
+    units = F.split(plain, r"\n(?=" + _begins(lead, "[ \\n]") + ")")
     several = F.flatten(F.transform(units, lambda u: F.when(F.contains(u, F.lit("\n")), cut(u)).otherwise(F.array(u))))
     return F.when(F.contains(plain, F.lit("\n")), several).otherwise(F.array(plain))
 
 
 def canonical(sentence: Column) -> Column:
-    """A copyright line with a year is ``copyright notice``."""
-    return F.regexp_replace(sentence, COPYRIGHT, "copyright notice")
+    """Sentences with names in them: a copyright line with a year is ``copyright notice``; the third BSD clause and the Eclipse notice lose what differs."""
+    for pattern, fixed in VARIED:
+        sentence = F.regexp_replace(sentence, pattern, fixed)
+    return sentence
 
 
 def _token(identifier: str) -> str:
@@ -214,7 +287,8 @@ def licenses(
     ``rules`` are numbered from 0, those of ``first`` after them, though they are tried before them. A rule needs
     its identifiers side by side: a sentence that is not known breaks a run, a list number or an
     empty piece does not. Rules are tried in order, and each takes all its matches away from the rest; a rule that matches several times in
-    a document gives one row. ``n_sentences`` is the number of known sentences of the document. Null and empty
+    a document gives one row. A title of a licence counts where no notice or text of one does, Proprietary where
+    neither does. ``n_sentences`` is the number of known sentences of the document. Null and empty
     texts and texts without a match give no row; repeated rows give theirs each. Only sentences that are known are shuffled.
     """
     spark = docs.sparkSession
@@ -223,8 +297,10 @@ def licenses(
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
     cut = rows.select("_row", "doc_id", F.posexplode(fragments(F.col("text"))).alias("_part", "_raw"))
     texts = [x for _, x in known]
+    # A title, a version or the rest of a clause may well begin a line in the middle of a notice.
+    lead = [x for i, x in known if not i.endswith("-title") and not i.startswith("version-") and i not in ("bsd-nor", "epl-2-at")]
     plain = cut.filter(promising(F.col("_raw"), texts)).select("_row", "doc_id", "_part", normalised(F.col("_raw")).alias("_plain"))
-    own = plain.select("_row", "doc_id", "_part", sentences(F.col("_plain"), texts).alias("_own"))
+    own = plain.select("_row", "doc_id", "_part", sentences(F.col("_plain"), texts, lead).alias("_own"))
     single = own.select("_row", "doc_id", "_part", F.posexplode("_own").alias("_sub", "_cut"), F.size("_own").alias("_of"))
     # The list of known sentences is fixed, so it goes to every executor.
     found = single.withColumn("_sentence", canonical(F.col("_cut"))).join(F.broadcast(table), "_sentence")
@@ -244,22 +320,25 @@ def licenses(
     left = F.array_join(parts, "")
     patterns = F.array(
         *[
-            F.struct(F.lit(k).alias("rule"), F.lit(name).alias("license"), F.lit("".join(map(_token, own))).alias("run"))
+            F.struct(F.lit(k).alias("rule"), F.lit(name).alias("license"), F.lit(_kind(name, own)).alias("kind"), F.lit("".join(map(_token, own))).alias("run"))
             for k, (name, own) in [*enumerate(first, len(rules)), *enumerate(rules)]
         ]
     )
-    none = F.array().cast("array<struct<rule:int,license:string>>")
+    none = F.array().cast("array<struct<rule:int,license:string,kind:int>>")
 
     def step(state: Column, rule: Column) -> Column:
         hit = F.contains(state["left"], rule["run"])
-        took = F.concat(state["hits"], F.array(F.struct(rule["rule"].alias("rule"), rule["license"].alias("license"))))
+        took = F.concat(state["hits"], F.array(F.struct(rule["rule"].alias("rule"), rule["license"].alias("license"), rule["kind"].alias("kind"))))
         return F.struct(
             F.when(hit, F.replace(state["left"], rule["run"], F.lit("|"))).otherwise(state["left"]).alias("left"),
             F.when(hit, took).otherwise(state["hits"]).alias("hits"),
         )
 
     matched = F.aggregate(patterns, F.struct(left.alias("left"), none.alias("hits")), step)["hits"]
-    return runs.select("doc_id", "n_sentences", F.explode(matched).alias("_hit")).select(
+    hits = runs.select("doc_id", "n_sentences", matched.alias("_hits"))
+    least = F.array_min(F.transform("_hits", lambda x: x["kind"]))
+    counts = F.filter("_hits", lambda x: (x["kind"] == NAME) | (x["kind"] == least) | ((x["kind"] == RESERVED) & (least == NAME)))
+    return hits.select("doc_id", "n_sentences", F.explode(counts).alias("_hit")).select(
         "doc_id", F.col("_hit.license").alias("license"), F.col("_hit.rule").alias("rule"), "n_sentences"
     )
 

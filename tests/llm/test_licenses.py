@@ -82,3 +82,40 @@ def test_lines_without_stops(spark):
     got = found(spark, texts)
     want = [{"CC-BY-4.0"}, {"CC-BY-4.0"}, {"Proprietary"}, {"GPL-3.0-only"}, {"BSD-2-Clause"}, set(), {"BSD-2-Clause"}]
     assert [got[k] for k in range(len(texts))] == want
+
+
+HEAD = "Copyright (c) 2019 Somebody\nAll rights reserved.\n\n"
+BSD_3 = BSD_2 + """
+
+3. Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+BSD_4 = BSD_2 + "\n\n3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by Somebody."
+GNU_3 = GPL.format(a=":", b=",", c="either ", v=3, d=LATER)
+FAMILIES = {
+    "BSD-3-Clause": [BSD_3.format("the copyright holder"), BSD_3.format("Somebody Inc."), BSD_3.format("the University").replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")],
+    "BSD-4-Clause": [BSD_4],
+    "AGPL-3.0-or-later": [GNU_3.replace("GNU General", "GNU Affero General")],
+    "LGPL-3.0-or-later": [GNU_3.replace("GNU General", "GNU Lesser General")],
+    "LGPL-2.1-or-later": [GPL.format(a=";", b=";", c="either ", v=2.1, d=LATER).replace("GNU General", "GNU Lesser General").replace("program", "library")],
+    "LGPL-3.0-only": ["GNU LESSER GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nCopyright (C) 2007 Somebody"],
+    "AGPL-3.0-only": ["This work is licensed under the GNU Affero General Public License v3."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one.", "Licensed under the Mozilla Public License, version 2.0."],
+    "MPL-1.1": ['The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this file except in compliance with the License.'],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0 which is available at http://www.eclipse.org/legal/epl-2.0.",
+    ],
+    "EPL-1.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution."],
+}
+
+
+@pytest.mark.parametrize("name", list(FAMILIES))
+def test_more_families_in_any_wrapping(spark, name):
+    texts = [x for text in FAMILIES[name] for x in variants(text)]
+    assert {k: v for k, v in found(spark, texts).items() if v != {name}} == {}
+
+
+def test_a_reservation_beside_a_licence_text_is_not_proprietary(spark):
+    texts = [HEAD + x for x in (MIT, APACHE, BSD_2, FAMILIES["BSD-3-Clause"][0], GNU_3, "Words.", "MOZILLA PUBLIC LICENSE\nVersion 1.1\n")]
+    got = found(spark, texts)
+    want = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0-or-later", "Proprietary", "MPL-1.1"]
+    assert [got[k] for k in range(len(texts))] == [{x} for x in want]
