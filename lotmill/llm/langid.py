@@ -160,10 +160,10 @@ def viterbi(scores: np.ndarray, texts: np.ndarray, n_texts: int, switch: float =
         k = active[t]
         now = value[:k]
         best = now.argmax(axis=1)
-        moved = now[np.arange(k), best][:, None] - np.float32(switch)
+        now -= now[np.arange(k), best][:, None]  # only differences count, and sums of long texts have no room for them in float32
         at = starts[:k] + t
-        back[at] = np.where(now >= moved, own, best[:, None])
-        np.maximum(now, moved, out=now)
+        back[at] = np.where(now >= -np.float32(switch), own, best[:, None])
+        np.maximum(now, -np.float32(switch), out=now)
         now += scores[at]
     label = value.argmax(axis=1).astype(np.int16)
     for t in range(steps - 1, -1, -1):

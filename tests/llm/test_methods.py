@@ -345,6 +345,16 @@ def test_url_plan_is_native(spark):
 # ---- 9
 
 
+def test_viterbi_of_a_long_text_keeps_small_differences():
+    rng = np.random.default_rng(3)
+    truth = np.repeat(rng.integers(0, 4, 400), 50)
+    scores = rng.normal(-1e5, 2, (len(truth), 4)).astype(np.float32)
+    scores[np.arange(len(truth)), truth] += np.float32(2)
+    texts = np.zeros(len(truth), np.int64)
+    exact = langid.viterbi(scores.astype(np.float64) + 1e5, texts, 1)
+    assert (langid.viterbi(scores, texts, 1) == exact).mean() > 0.999
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(9)
     lengths = [5, 0, 1, 4, 6]
