@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.llm.common import by_bytes, materialize, mix, shield, shingle_hashes, unshield
+from lotmill.llm.common import by_bytes, materialize, mix, shield, unshield, windows, word_hashes, words
 
 SHINGLE = 5
 FUNCTIONS = 64
@@ -112,18 +112,41 @@ def _least_of_a_window(shingles: np.ndarray, place: int, size: int, function: in
 
 def _item_slices(items: DataFrame, most: int) -> list[DataFrame]:
     """The items, in slices of about ``most`` words each; nearly always one."""
-    words = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-words // (6 * most)))
+    octets = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-octets // (6 * most)))
     part = F.pmod(F.xxhash64("item_id"), F.lit(n))
     return [items.filter(part == k) for k in range(n)]
 
 
+def _hashes(text: str | None) -> np.ndarray:
+    return word_hashes(words(text) if text else [])
+
+
+def short_items(items: list[np.ndarray]) -> dict[int, dict[int, list[int]]]:
+    """Places of items of fewer words than a shingle, by number of words and hash of all words."""
+    found: dict[int, dict[int, list[int]]] = {}
+    for k, own in enumerate(items):
+        if 0 < len(own) < SHINGLE:
+            found.setdefault(len(own), {}).setdefault(int(windows(own, len(own))[0]), []).append(k)
+    return found
+
+
+def short_contained(short: dict[int, dict[int, list[int]]], document: np.ndarray) -> list[int]:
+    """Short items whose words stand side by side in a document of these word hashes."""
+    found = []
+    for size, places in short.items():
+        if len(document) >= size:
+            both = np.intersect1d(windows(document, size), np.fromiter(places, np.uint64, len(places)))
+            found += [k for h in both.tolist() for k in places[h]]
+    return found
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, most: int = SLICE_SHINGLES) -> DataFrame:
     """(columns of ``docs`` but text, item_id, item_shingles, shared): each item that a document contains.
 
     An item is contained if the document has at least ``percent`` of its distinct five-word
-    shingles, anywhere in its text. An item of fewer than five words has one shingle, of all its words, and is found only in
-    a document of just these words; null or empty items and texts have none and match nothing. Repeated
+    shingles, anywhere in its text. An item of fewer than five words has one shingle, of all its words, and is found wherever
+    these words stand side by side; null or empty items and texts have none and match nothing. Repeated
     rows are reported each; items with the same item_id count as one for each distinct text. The
     benchmark is read in slices of bounded size, each sent to every task; for each slice the documents are passed once. A column of ``docs``
     with a result's name gives way to it.
@@ -135,15 +158,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     known = benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL").distinct()
     found = None
     for part in _item_slices(known, most):
-        rows = [(r["item_id"], shingle_hashes(r["text"], SHINGLE)) for r in part.collect()]
+        rows = [(r["item_id"], _hashes(r["text"])) for r in part.collect()]
         ids = [i for i, _ in rows]
-        index = ItemIndex([(k, s) for k, (_, s) in enumerate(rows)])
+        index = ItemIndex([(k, windows(h, SHINGLE)) for k, (_, h) in enumerate(rows) if len(h) >= SHINGLE])
+        short = short_items([h for _, h in rows])
 
-        def search(batches, index=index, ids=ids):
+        def search(batches, index=index, ids=ids, short=short):
             for batch in by_bytes(batches, "text"):
                 at, items, sizes, shared = [], [], [], []
                 for row, text in enumerate(batch.column("text").to_pylist()):
-                    shingles = shingle_hashes(text, SHINGLE)
+                    hashes = _hashes(text)
+                    for k in short_contained(short, hashes):
+                        at.append(row)
+                        items.append(ids[k])
+                        sizes.append(1)
+                        shared.append(1)
+                    shingles = windows(hashes, SHINGLE) if len(hashes) else hashes
                     likely = index.candidates(shingles)
                     document = np.unique(shingles) if likely else None
                     for k in sorted(likely):

@@ -278,6 +278,17 @@ def test_top_k_against_all_products(spark, monkeypatch, big):
 # ---- 7
 
 
+def test_short_items_inside_long_documents(spark):
+    rng = random.Random(5)
+    vocabulary = list("abcdefgh")
+    texts = [" ".join(rng.choices(vocabulary, k=k)) for k in (1, 2, 3, 4, 5, 9, 30, 200) for _ in range(4)] + [None, ""]
+    items = [" ".join(rng.choices(vocabulary, k=k)) for k in (1, 2, 3, 4) for _ in range(5)] + ["", "z", "a z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["item_shingles"], r["shared"]) for r in decontaminate.contamination(docs, benchmark).collect())
+    assert got == sorted((d, i, 1, 1) for d, t in enumerate(texts) for i, x in enumerate(items) if t and x and f" {x} " in f" {t} ")
+
+
 def test_containment_search_finds_all():
     rng = random.Random(7)
     vocabulary = [f"w{i}" for i in range(3000)]
