@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lotmill.llm import decontaminate, langid, licenses, lm, minhash, packing, sharding, topk, toxicity, urls
+from lotmill.llm import decontaminate, langid, lexical, licenses, lm, maintext, minhash, negatives, packing, sharding, topk, toxicity, urls
 from lotmill.llm.common import table
 
 
@@ -50,6 +51,20 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved))
+
+
+def op13_maintext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -61,6 +76,9 @@ QUERIES = {
     "op8_urls": op8_urls,
     "op9_langid": op9_langid,
     "op10_shards": op10_shards,
+    "op11_lexical": op11_lexical,
+    "op12_negatives": op12_negatives,
+    "op13_maintext": op13_maintext,
 }
 
 ORACLE = {
@@ -161,4 +179,52 @@ ORACLE = {
         FROM urls LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
         QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(h || p) DESC NULLS LAST, length(h) DESC) = 1
     """,
+    "op11_lexical": r"""
+        WITH d AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+        i AS (
+            SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark),
+        q AS MATERIALIZED (
+            SELECT i, item_id, t, count(*) AS qn FROM (SELECT i, item_id, unnest(ts) AS t FROM i) GROUP BY ALL),
+        k AS (SELECT count(*) FILTER (len(ts) > 0) AS n, CAST(sum(len(ts)) AS BIGINT) AS l FROM d),
+        f AS MATERIALIZED (
+            SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d)
+            WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+        w AS (
+            SELECT t, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM f CROSS JOIN k GROUP BY t, n),
+        m AS (SELECT r, doc_id, 75 + (25 * len(ts) * n) // l AS m FROM d CROSS JOIN k WHERE len(ts) > 0),
+        s AS (
+            SELECT i, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id,
+                CAST(sum(qn * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+            FROM q JOIN f USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY i, r)
+        SELECT item_id, CAST(row_number() OVER o AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+        WINDOW o AS (PARTITION BY i ORDER BY score DESC, doc_id)
+        QUALIFY row_number() OVER o <= 20
+    """,
+    "op12_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        v AS (
+            SELECT vec_id, label, generate_subscripts(embedding, 1) AS dim,
+                   CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM e),
+        s AS MATERIALIZED (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(sum(a.x * c.x) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.dim = c.dim AND a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0 GROUP BY ALL),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER o AS INTEGER) AS rank, vec_id AS negative_id,
+            positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER o <= 5
+    """,
 }

@@ -19,7 +19,7 @@ def con():
 
 def test_each_operator_is_registered():
     names = contract.queries()
-    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11))
+    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14))
     assert "pipeline" in names and "pipeline" not in contract.oracle_sql()
 
 
