@@ -26,6 +26,8 @@ from lotmill.llm.common import materialize
 CODES, FIT_ROWS, ROUNDS = 16, 8192, 10
 # Vector components in a block of rows, and in a group of anchors that visits it.
 BLOCK_COMPONENTS, ANCHOR_COMPONENTS = 2**19, 2**20
+# Rows that a walk scores at once: at first, and at most.
+GULP, LARGEST_GULP = 64, 1024
 LONG = 2**63 - 1
 # Stands for a null vec_id, which comes last among ties.
 LAST_ID = LONG
@@ -148,18 +150,29 @@ class Block:
             if j == 0 and i + 1 < len(a):
                 heapq.heappush(heap, (-(a[i + 1] + b[0]), i + 1, 0))
 
+    def gulps(self, anchor: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
+        """(bound, rows) of runs of cells, longer ones as the walk goes on; no row from there on scores above ``bound``."""
+        run, held, top, most = [], 0, 0.0, GULP
+        for bound, cell in self.cells(anchor.astype(np.float64)):
+            top = top if run else bound
+            run.append(np.arange(cell.start, cell.stop))
+            held += cell.stop - cell.start
+            if held >= most:
+                yield top, np.concatenate(run)
+                run, held, most = [], 0, min(2 * most, LARGEST_GULP)
+        if run:
+            yield top, np.concatenate(run)
+
     def _scores(self, places: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-        if self.values.dtype == object:
-            return self.values[places] @ anchor.astype(object)
-        return self.values[places] @ anchor.astype(np.float64)
+        return self.values[places] @ anchor.astype(self.values.dtype)
 
     def same(self, anchor: np.ndarray, label: int, own: int, n: int) -> list[tuple]:
         """(-score, vec_id, place) of the n best other rows of the label."""
         best: list[tuple] = []
-        for bound, cell in self.cells(anchor.astype(np.float64)):
+        for bound, run in self.gulps(anchor):
             if len(best) == n and -best[-1][0] > bound:
                 break
-            places = cell.start + np.flatnonzero((self.labels[cell] == label) & (self.rows[cell] != own))
+            places = run[(self.labels[run] == label) & (self.rows[run] != own)]
             best = _merged(best, self._scores(places, anchor), self.ids[places], places, n)
         return best
 
@@ -167,14 +180,15 @@ class Block:
         """For each span (least, most) the n best rows of other labels whose score lies in it."""
         best: list[list[tuple]] = [[] for _ in spans]
         open_ = [w for w, (low, high) in enumerate(spans) if low <= high]
-        for bound, cell in self.cells(anchor.astype(np.float64)):
+        for bound, run in self.gulps(anchor):
             open_ = [w for w in open_ if bound >= spans[w][0] and not (len(best[w]) == n and -best[w][-1][0] > bound)]
             if not open_:
                 break
-            places = cell.start + np.flatnonzero(self.labels[cell] != label)
+            places = run[self.labels[run] != label]
             scores = self._scores(places, anchor)
             for w in open_:
-                inside = np.flatnonzero((scores >= spans[w][0]) & (scores <= spans[w][1]))
+                low = max(spans[w][0], -best[w][-1][0]) if len(best[w]) == n else spans[w][0]
+                inside = np.flatnonzero((scores >= low) & (scores <= spans[w][1]))
                 if len(inside):
                     best[w] = _merged(best[w], scores[inside], self.ids[places[inside]], places[inside], n)
         return best
