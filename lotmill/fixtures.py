@@ -113,6 +113,23 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value, file_name): lines of raw files with quoted cells, headers first; some are no good records.
+
+    Every 19th has a price with an unquoted comma, every 23rd ends after three cells, every 29th leaves a quote open.
+    """
+    rows = listings_raw(spark, sf_dir)
+    quoted = {c: F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in RAW_COLUMNS}
+    priced = F.concat_ws(",", *(F.lit("rm 500,000") if c == "House_Price" else quoted[c] for c in RAW_COLUMNS))
+    cut = F.concat_ws(",", *(quoted[c] for c in RAW_COLUMNS[:3]))
+    opened = F.concat_ws(",", *(F.rtrim(quoted[c], F.lit('"')) if c == "House_Name" else quoted[c] for c in RAW_COLUMNS))
+    line = F.when(_every(19), priced).when(_every(23), cut).when(_every(29), opened)
+    lines = rows.select(F.lit(1).alias("place"), "file_name", line.otherwise(F.concat_ws(",", *quoted.values())).alias("value"))
+    header = rows.select("file_name").distinct().select(F.lit(0).alias("place"), "file_name", F.lit(",".join(RAW_COLUMNS)).alias("value"))
+    both = header.unionByName(lines).repartition("file_name").sortWithinPartitions("file_name", "place")
+    return both.select("value", "file_name")
+
+
 def _decimal(c: Column) -> Column:
     return c.cast("decimal(20,2)")
 

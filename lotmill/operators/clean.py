@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotmill.functions import dates, links, prices, text
-from lotmill.schemas import CLEAN_COLUMNS, CLEAN_TYPES, RAW_COLUMNS
+from lotmill.schemas import CLEAN_COLUMNS, RAW_COLUMNS
 
 
 # Raw columns whose words are capitalised, besides the area.
@@ -57,11 +57,15 @@ def judged_listings(
 ) -> DataFrame:
     """Clean listings and unreadable rows together, in one pass.
 
-    ``df`` holds the raw text columns and ``file_name``. Rows without a link,
+    ``df`` holds the raw text columns, ``file_name`` and, if it comes from files, ``raw_line``, the text of
+    records whose cells do not fit their header. Rows without a link,
     with a contact price or below the price floor are left out; unreadable
-    rows carry a ``reject_reason``.
+    rows carry a ``reject_reason``, which is ``cells`` for those records.
     """
-    kept = without_contact_prices(has_link(df))
+    lines = "raw_line" in df.columns
+    broken = F.col("raw_line").isNotNull() if lines else F.lit(False)
+    wanted = (F.col("Page_Link") != "") & ~prices.asks_contact(F.col("House_Price"))
+    kept = df.filter(broken | wanted) if lines else without_contact_prices(has_link(df))
     priced = evaluate_once(
         kept,
         _price_text=prices.price_text(F.col("House_Price"), F.col("House_Type"), fix_ranges),
@@ -74,7 +78,7 @@ def judged_listings(
         _state=links.state_name(F.col("file_name")),
     )
     price, bad_range, psf, state = (F.col(c) for c in ("_price", "_bad_range", "_psf", "_state"))
-    priced = priced.filter((price >= prices.PRICE_FLOOR) | bad_range)
+    priced = priced.filter((price >= prices.PRICE_FLOOR) | bad_range | broken)
 
     raw = {c.lower(): F.col(c) for c in RAW_COLUMNS}
     # One array expression for all worded columns keeps the generated method
@@ -112,12 +116,13 @@ def judged_listings(
         "created_at": raw["created_at"].try_cast("timestamp_ntz"),
     }
     reason = (
-        F.when(bad_range, "price_range")
+        F.when(broken, "cells")
+        .when(bad_range, "price_range")
         .when(state.isNull(), "file_name")
         .when(raw["price_square_feet"].isNotNull() & psf.isNull(), "price_square_feet")
     )
     return priced.select(
-        *[values[c].alias(c) for c in CLEAN_COLUMNS], "file_name", reason.alias("reject_reason")
+        *[values[c].alias(c) for c in CLEAN_COLUMNS], "file_name", *["raw_line"] * lines, reason.alias("reject_reason")
     )
 
 
@@ -132,9 +137,3 @@ def clean_listings(
 def quarantine(df: DataFrame, as_of: datetime, fix_ranges: bool = False) -> DataFrame:
     """Rows that could not be read, with the reason, out of the same rules."""
     return judged_listings(df, as_of, fix_ranges).filter(F.col("reject_reason").isNotNull())
-
-
-def conform(df: DataFrame, types: dict[str, str] = CLEAN_TYPES) -> DataFrame:
-    """Select columns in declared order; a missing one is filled with null."""
-    have = {c.lower() for c in df.columns}
-    return df.select(*[(F.col(c) if c in have else F.lit(None)).alias(c) for c in types])

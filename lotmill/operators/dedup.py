@@ -52,6 +52,18 @@ def append_dedup(existing: DataFrame, new: DataFrame) -> DataFrame:
     return normalize_raw(both).dropDuplicates(RAW_COLUMNS)
 
 
+def fingerprinted(df: DataFrame) -> DataFrame:
+    """Normalised raw columns with ``fingerprint``, a hash of them all; columns that are missing are null.
+
+    Rows have the same fingerprint if :func:`append_dedup` would hold them for equal: nulls are told from
+    empty text, and cells do not run into each other.
+    """
+    absent = [c for c in RAW_COLUMNS if c not in df.columns]
+    whole = normalize_raw(df.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else df).select(*RAW_COLUMNS)
+    content = F.to_json(F.struct(*RAW_COLUMNS), {"ignoreNullFields": "false"})
+    return whole.withColumn("fingerprint", F.sha2(content, 256))
+
+
 def first_visits(df: DataFrame, pages: DataFrame) -> DataFrame:
     """Rows of ``df`` that come from the first of the visits ``pages`` to their page URL.
 

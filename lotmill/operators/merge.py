@@ -92,19 +92,32 @@ def _joined(existing: DataFrame, latest: DataFrame) -> DataFrame:
     return existing.alias("e").join(latest.alias("i"), same, "full_outer")
 
 
-def merge_latest(existing: DataFrame, latest: DataFrame, only_newer: bool = False) -> DataFrame:
-    """The current table after a written batch of one current row per key.
+def change_images(existing: DataFrame, latest: DataFrame, only_newer: bool = False) -> DataFrame:
+    """What a written batch of one current row per key does to the stored rows.
 
-    Stored rows are joined to the batch from the left, and the batch's new keys are added; so
-    a batch of small known size goes to the stored rows, and these are not shuffled. The
-    batch is read twice, and of the stored rows the keys are.
+    ``existing`` and ``latest`` carry their ``bucket``, ``latest`` also ``n_rows``. Returns (property_id, bucket, action, n_rows,
+    before, after), one row for each key of the batch: ``insert``, ``update``, or ``unchanged`` where the stored row has the same
+    content hash; then both images are null. The batch, if small, goes to the stored rows, and these are not
+    shuffled; the batch is read twice, and of the stored rows the keys are.
     """
     same = F.col(f"e.{KEY}") == F.col(f"i.{KEY}")
-    stored = existing.alias("e").join(latest.alias("i"), same, "left")
-    stored = stored.select(*_arrived(_forward() if only_newer else {}))
-    met = existing.select(KEY).join(latest.select(KEY), KEY, "left_semi")
-    new = latest.join(met, KEY, "left_anti").select(*CURRENT_COLUMNS)
-    return stored.unionByName(new)
+    equal = F.coalesce(F.col("e.row_hash") == F.col("i.row_hash"), F.lit(False))
+    met = existing.alias("e").join(latest.alias("i"), same)
+    before = F.struct(*[F.col(f"e.{c}").alias(c) for c in CURRENT_COLUMNS])
+    after = F.struct(*_arrived(_forward() if only_newer else {}))
+    changed = met.select(
+        F.col(f"i.{KEY}").alias(KEY),
+        F.col("i.bucket").alias("bucket"),
+        F.when(equal, "unchanged").otherwise("update").alias("action"),
+        F.col("i.n_rows").alias("n_rows"),
+        F.when(~equal, before).alias("before"),
+        F.when(~equal, after).alias("after"),
+    )
+    known = existing.select(KEY).join(latest.select(KEY), KEY, "left_semi")
+    new = latest.join(known, KEY, "left_anti").select(
+        KEY, "bucket", F.lit("insert").alias("action"), "n_rows", F.lit(None).alias("before"), F.struct(*CURRENT_COLUMNS).alias("after")
+    )
+    return changed.unionByName(new)
 
 
 def upsert_latest(
@@ -136,14 +149,8 @@ def merge_counts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     The first row of a new key inserts; every other row updates. Only keys
     are read, and they are counted before the join.
     """
-    return count_actions(existing, incoming.groupBy(KEY).agg(F.count("*").alias("n_rows")))
-
-
-def count_actions(existing: DataFrame, keys: DataFrame) -> DataFrame:
-    """The counts of :func:`merge_counts` from distinct keys with their ``n_rows``.
-
-    Stored keys are the side that streams, so a small batch is sent to them.
-    """
+    # Stored keys are the side that streams, so a small batch is sent to them.
+    keys = incoming.groupBy(KEY).agg(F.count("*").alias("n_rows"))
     known = existing.select(KEY).join(keys, KEY, "left_semi")
     parts = keys.select(F.lit(1).alias("new"), "n_rows").unionByName(
         known.select(F.lit(-1).alias("new"), F.lit(0).cast("long").alias("n_rows"))

@@ -407,6 +407,41 @@ select distinct {lowered} from (
   union all
   select {raw} from (select * replace (null as square_footage) from revisited)
 )"""
+    sql["append_fingerprint"] = sql["append_dedup"]
+    quoted = {c: f"""'"' || replace(coalesce({c}, ''), '"', '""') || '"'""" for c in RAW}
+    priced = " || ',' || ".join("'rm 500,000'" if c == "house_price" else quoted[c] for c in RAW)
+    cut = " || ',' || ".join(quoted[c] for c in RAW[:3])
+    opened = " || ',' || ".join(f"""rtrim({quoted[c]}, '"')""" if c == "house_name" else quoted[c] for c in RAW)
+    sql["malformed_rows"] = f"""with {LISTINGS_RAW}
+select 'cells' as reason, case when k % 19 = 0 then {priced} when k % 23 = 0 then {cut} else {opened} end as raw_line
+from listings_raw where k % 19 = 0 or k % 23 = 0 or k % 29 = 0"""
+    sql["redelivered_batch"] = """with acts as (
+  select 'first' as delivery, case when o_orderkey % 3 = 0 then 'insert' when o_orderkey % 10 = 0 then 'update' else 'unchanged' end as action
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+  union all
+  select 'again', 'unchanged' from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+)
+select delivery, action, count(*) as n_rows from acts group by all"""
+    sql["bulk_copy"] = f"""with {CLEAN}
+select {_doubles(CLEAN_COLUMNS)} from cleaned where {GATE}"""
+    sql["visited_once"] = """select url, cast(min(case when page_id % 3 <> 0 then 1 else 2 end) as int) as run
+from pages group by url"""
+    sql["stable_ids"] = """select 'Agent ' || a as agent_name, a < 60 as known, true as settled
+from (select distinct o_custkey % 97 as a from orders join customer on o_custkey = c_custkey)"""
+    sql["incremental_marts"] = f"""with {LISTINGS_RAW},{REVISITED},
+visits as (
+  select * from listings_raw union all select * from revisited
+  union all {_visit(3, "a", "first agent", "2023-12-31 12:00:00")}
+),
+{_clean_from("visits").lstrip()},
+latest as (select * from ({_ranked("desc", "(select * from cleaned where " + GATE + ")")}) where rn = 1),
+groups as (
+  select 'avg_price_by_state' as mart, state as group_name, house_price from latest
+  union all select 'time_series_prices', cast(cast(date_trunc('month', posted_date) as date) as varchar), house_price from latest
+  union all select 'agent_summary', agent_name, house_price from latest
+)
+select mart, group_name, round(cast(sum(house_price) as double) / count(*), 4) as mean, count(*) as n_listings
+from groups group by all"""
     sql["state_from_file"] = f"with {LISTINGS_RAW} select k, {STATE} as state from listings_raw"
     sql["schema_from_json"] = f"""with {LISTINGS_TYPED}
 select {_doubles(CLEAN_COLUMNS)} from (
@@ -461,6 +496,12 @@ select page_no * 2 + visit as page_id, cast(k % 20 as int) as card_no,
   lower(house_type) as house_type, regexp_replace(lot_type, ' +', ' ', 'g') as lot_type,
   nullif(replace({AREA_TEXT}, ',', ''), '') as square_footage, house_furniture, created_at
 from kept where page_link is null or page_link <> '' or url is not null"""
+    sql["rejected_cards"] = f"""with {LISTINGS_RAW},
+seen as (
+  select *, cast(floor(k / 20) as bigint) as page_no, unnest([0, 1]) as visit from listings_raw
+)
+select page_no * 2 + visit as page_id, cast(k % 20 as int) as card_no, 'source' as reject_reason
+from seen where page_link = '' and page_no % 7 = 0 and visit = 1"""
     sql["source_from_url"] = """
 select page_id, nullif(split_part(split_part(url, '/', 3), '.', 2), '') as source from pages"""
     sql["psf_text"] = f"""with {LISTINGS_RAW}

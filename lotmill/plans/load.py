@@ -5,14 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lotmill.operators.clean import judged_listings
 from lotmill.operators.gate import passing, rejected
+from lotmill.plans.partials import write_partials
 from lotmill.schemas import CLEAN_COLUMNS
+from lotmill.session import is_written
 from lotmill.sources.files import read_files
-from lotmill.sources.tables import SnapshotTable, load_raw_table
+from lotmill.sources.tables import CurrentTable, load_raw_table
 
 
 @dataclass(frozen=True)
@@ -26,8 +28,8 @@ class LoadOptions:
     buckets: int = 32
 
 
-def current_table(spark: SparkSession, root: str, options: LoadOptions = LoadOptions()) -> SnapshotTable:
-    return SnapshotTable(spark, f"{root}/current_listings", n_buckets=options.buckets)
+def current_table(spark: SparkSession, root: str, options: LoadOptions = LoadOptions()) -> CurrentTable:
+    return CurrentTable(spark, f"{root}/current_listings", n_buckets=options.buckets)
 
 
 def stored(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -44,36 +46,36 @@ def load_batch(
     batch: int,
     options: LoadOptions = LoadOptions(),
 ) -> dict[str, int]:
-    """Files to judged rows, rejects, raw table and current table; what became of them.
+    """Files to judged rows, rejects, raw table, current table and mart partials; what became of them.
 
     Judged rows, rejected rows and rejected files are written under the batch's own folder,
     so a repeated batch replaces its own and no run touches another's. Rejected rows carry the reason: unreadable
-    (``reject_reason``) or turned back by the gate (``violation``). Loading the raw table and the current
-    table twice changes nothing. Counts are kept in ``loads``.
+    (``reject_reason``; for ``cells`` the record stands in ``raw_line``) or turned back by the gate (``violation``). Counts
+    are taken by the writes themselves and kept in ``loads``; a batch that stands there is done, and only its counts are returned.
     """
     own = f"writer={writer}/batch={batch}"
+    if is_written(spark, f"{root}/loads/{own}"):
+        return spark.read.parquet(f"{root}/loads/{own}").first().asDict()
     rows, bad_files = read_files(spark, headers, options.multi_line)
-    cleaned = f"{root}/cleaned_listings/{own}"
+    cleaned, read = f"{root}/cleaned_listings/{own}", Observation()
     judged = judged_listings(rows, as_of, options.fix_ranges, options.strict_nan)
+    judged = judged.observe(read, F.count("*").alias("rows"), F.count("reject_reason").alias("unreadable"))
     judged.write.mode("overwrite").parquet(cleaned)
     judged = spark.read.schema(judged.schema).parquet(cleaned)
-    staged = judged.filter("reject_reason IS NULL").drop("reject_reason")
-    turned_back = rejected(staged).withColumnRenamed("violation", "reason")
+    staged = judged.filter("reject_reason IS NULL").drop("reject_reason", "raw_line")
+    back = Observation()
+    turned_back = rejected(staged).withColumnRenamed("violation", "reason").withColumn("raw_line", F.lit(None).cast("string"))
+    turned_back = turned_back.observe(back, F.count("*").alias("turned_back"))
     unread = judged.filter("reject_reason IS NOT NULL").withColumnRenamed("reject_reason", "reason")
-    columns = [*CLEAN_COLUMNS, "file_name", "reason"]
-    rejects = f"{root}/rejected_listings/{own}"
-    unread.select(*columns).unionByName(turned_back.select(*columns)).write.mode("overwrite").parquet(rejects)
-    bad_files.write.mode("overwrite").parquet(f"{root}/rejected_files/{own}")
-    load_raw_table(spark, staged, f"{root}/raw_listings")
-    merged = current_table(spark, root, options).merge(passing(staged), as_of, options.only_newer, writer, batch)
-    read, left = judged.agg(F.count("*"), F.count("reject_reason")).first()
-    counts = {
-        "files": len(headers),
-        "rejected_files": bad_files.count(),
-        "rows": read,
-        "unreadable": left,
-        "turned_back": spark.read.parquet(rejects).count() - left,
-        **merged,
-    }
+    columns = [*CLEAN_COLUMNS, "file_name", "raw_line", "reason"]
+    rejects = unread.select(*columns).unionByName(turned_back.select(*columns))
+    rejects.write.mode("overwrite").parquet(f"{root}/rejected_listings/{own}")
+    broken = Observation()
+    bad_files.observe(broken, F.count("*").alias("files")).write.mode("overwrite").parquet(f"{root}/rejected_files/{own}")
+    load_raw_table(spark, staged, f"{root}/raw_listings", options.buckets)
+    current = current_table(spark, root, options)
+    merged = current.merge(passing(staged), as_of, options.only_newer, f"{writer}-{batch}")
+    write_partials(current.images(f"{writer}-{batch}"), f"{root}/mart_partials", f"{writer}-{batch}")
+    counts = {"files": len(headers), "rejected_files": broken.get["files"], **read.get, **back.get, **merged}
     spark.createDataFrame([tuple(counts.values())], list(counts)).write.mode("overwrite").parquet(f"{root}/loads/{own}")
     return counts

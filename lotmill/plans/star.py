@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotmill.functions.dates import calendar_parts
-from lotmill.operators.surrogate import number_names
+from lotmill.operators.surrogate import extend_names, number_names
+from lotmill.session import is_written
 
 # Labels of the price range dimension, in id order.
 PRICE_RANGES = ["0-500k", "500k-1M", "1M-1.5M", "1.5M+"]
@@ -30,24 +31,29 @@ def _names(current: DataFrame, column: str, name: str) -> DataFrame:
     )
 
 
-def dim_state(current: DataFrame) -> DataFrame:
-    return number_names(_names(current, "state", "state_name"), "state_name", "state_id")
+def _numbered(names: DataFrame, name: str, id_column: str, stored: DataFrame | None) -> DataFrame:
+    """All names with ids: fresh ones, or with a stored map of earlier ids only those it lacks, numbered after its highest."""
+    return number_names(names, name, id_column) if stored is None else extend_names(stored, names, name, id_column)
 
 
-def dim_property_type(current: DataFrame) -> DataFrame:
+def dim_state(current: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    return _numbered(_names(current, "state", "state_name"), "state_name", "state_id", stored)
+
+
+def dim_property_type(current: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     names = _names(current, "house_type", "property_type_name")
-    return number_names(names, "property_type_name", "property_type_id")
+    return _numbered(names, "property_type_name", "property_type_id", stored)
 
 
-def dim_agent(current: DataFrame) -> DataFrame:
-    return number_names(_names(current, "agent_name", "agent_name"), "agent_name", "agent_id")
+def dim_agent(current: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    return _numbered(_names(current, "agent_name", "agent_name"), "agent_name", "agent_id", stored)
 
 
-def dim_lot_type(current: DataFrame) -> DataFrame:
-    return number_names(_names(current, "lot_type", "lot_type_name"), "lot_type_name", "lot_type_id")
+def dim_lot_type(current: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    return _numbered(_names(current, "lot_type", "lot_type_name"), "lot_type_name", "lot_type_id", stored)
 
 
-def dim_area(current: DataFrame, states: DataFrame) -> DataFrame:
+def dim_area(current: DataFrame, states: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Each area once, under the first of its states by name.
 
     Distinct pairs come first: a distinct hashes, whereas a text minimum over
@@ -62,17 +68,17 @@ def dim_area(current: DataFrame, states: DataFrame) -> DataFrame:
         F.min(F.struct("state_name", "state_id")).alias("first")
     )
     chosen = areas.select("area_name", F.col("first.state_id").alias("state_id"))
-    return number_names(chosen, "area_name", "area_id")
+    return _numbered(chosen, "area_name", "area_id", stored)
 
 
-def dim_date(current: DataFrame) -> DataFrame:
+def dim_date(current: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Posting dates with calendar parts, which follow from the date alone."""
     days = (
         current.filter(F.col("posted_date").isNotNull())
         .select(F.to_date("posted_date").alias("date"))
         .distinct()
     )
-    numbered = number_names(days, "date", "date_id")
+    numbered = _numbered(days, "date", "date_id", stored)
     return numbered.select("*", *[c.alias(n) for n, c in calendar_parts(F.col("date")).items()])
 
 
@@ -134,21 +140,28 @@ class Star:
 def write_dimensions(
     spark: SparkSession, current: DataFrame, folder: str, wanted: list[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Build, write and read back the dimensions, in dependency order."""
+    """Build, write and read back the dimensions, in dependency order.
+
+    A dimension only grows: where one is stored, names it holds keep their ids (an area also its state), and new names are
+    appended after the highest id. Names that no listing has any more stay. Ids follow content, so a run that
+    failed after an append adds nothing when it is repeated.
+    """
     build = {
-        "dim_state": lambda done: dim_state(current),
-        "dim_area": lambda done: dim_area(current, done["dim_state"]),
-        "dim_property_type": lambda done: dim_property_type(current),
-        "dim_agent": lambda done: dim_agent(current),
-        "dim_date": lambda done: dim_date(current),
-        "dim_price_range": lambda done: dim_price_range(spark),
-        "dim_lot_type": lambda done: dim_lot_type(current),
+        "dim_state": lambda done, old: dim_state(current, old),
+        "dim_area": lambda done, old: dim_area(current, done["dim_state"], old),
+        "dim_property_type": lambda done, old: dim_property_type(current, old),
+        "dim_agent": lambda done, old: dim_agent(current, old),
+        "dim_date": lambda done, old: dim_date(current, old),
+        "dim_price_range": lambda done, old: dim_price_range(spark),
+        "dim_lot_type": lambda done, old: dim_lot_type(current, old),
     }
     done: dict[str, DataFrame] = {}
     for name in wanted or DIMENSIONS:
-        built = build[name](done)
-        built.write.mode("overwrite").parquet(f"{folder}/{name}")
-        done[name] = spark.read.schema(built.schema).parquet(f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        old = spark.read.parquet(path) if name != "dim_price_range" and is_written(spark, path) else None
+        built = build[name](done, old)
+        built.write.mode("overwrite" if old is None else "append").parquet(path)
+        done[name] = spark.read.schema(built.schema).parquet(path)
     return done
 
 
@@ -160,7 +173,7 @@ def sales_fact(current: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 
 def write_star(spark: SparkSession, current: DataFrame, folder: str) -> Star:
-    """All dimensions and the fact, replaced on every run."""
+    """Dimensions with what is new to them, and the fact, which is replaced on every run."""
     dims = write_dimensions(spark, current, folder)
     fact = sales_fact(current, dims)
     path = f"{folder}/fact_property_sales"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,12 +13,13 @@ from lotmill import fixtures as fx
 from lotmill.functions import cards, dates, hashing, links, prices, text
 from lotmill.operators import clean, dedup, gate, merge
 from lotmill.operators.cards import extract_listings, without_challenges
-from lotmill.plans import marts, star
+from lotmill.plans import marts, partials, star
 from lotmill.plans.load import LoadOptions, current_table, stored
-from lotmill.schemas import CLEAN_COLUMNS, CLEAN_TYPES, RAW_COLUMNS, typed_columns
+from lotmill.schemas import CLEAN_COLUMNS, CLEAN_TYPES, RAW_COLUMNS, create_table, typed_columns
 from lotmill.session import scratch_folder
 from lotmill.sources import files, regions, tables
 from lotmill.streaming.ingest import start_ingest
+from lotmill.streaming.visits import start_visits
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,7 +132,7 @@ def merge_counts(spark, sf_dir):
 def full_reload(spark, sf_dir):
     folder = scratch_folder(spark, "staging")
     files.write_staging(_cleaned(spark, sf_dir), f"{folder}/staging_data.csv", "csv")
-    store = tables.SnapshotTable(spark, scratch_folder(spark, "current"))
+    store = tables.CurrentTable(spark, scratch_folder(spark, "current"))
     loaded = tables.full_reload(store, files.read_staging_csv(spark, folder), fx.AS_OF)
     return _shown(loaded).drop("valid_to")
 
@@ -223,6 +225,56 @@ def ingest_rejects(spark, sf_dir):
     return stored(spark, root, "rejected_listings").select("property_id", "reason")
 
 
+@_query
+def malformed_rows(spark, sf_dir):
+    """Records with a comma too many, cut after three cells, or with a quote left open, set apart as they stand in their files."""
+    folder, root = scratch_folder(spark, "drop"), scratch_folder(spark, "stream")
+    fx.raw_lines(spark, sf_dir).write.partitionBy("file_name").text(folder)
+    options = LoadOptions(multi_line=False)
+    start_ingest(spark, folder, root, f"{root}/checkpoint", fx.AS_OF, options=options).awaitTermination()
+    rejects = stored(spark, root, "rejected_listings").filter("reason = 'cells'")
+    return rejects.select("reason", "raw_line")
+
+
+@_query
+def append_fingerprint(spark, sf_dir):
+    """As append_dedup, into a stored archive that three batches are appended to."""
+    archive = tables.raw_archive(spark, scratch_folder(spark, "archive"))
+    existing = fx.listings_raw(spark, sf_dir).select(*RAW_COLUMNS)
+    again = existing.withColumns({c: F.concat(F.lit(" \t"), F.upper(c), F.lit(" ")) for c in RAW_COLUMNS})
+    for rows in (existing, again, _revisited(spark, sf_dir).select(*RAW_COLUMNS).drop("Square_Footage")):
+        tables.append_raw(archive, rows)
+    return _shown(archive.read().drop("fingerprint"))
+
+
+@_query
+def redelivered_batch(spark, sf_dir):
+    """What a batch does to a table that holds part of it, and the same batch once more."""
+    store = tables.CurrentTable(spark, scratch_folder(spark, "current"))
+    typed = fx.listings_typed(spark, sf_dir)
+    key = F.col("property_id").cast("long")
+    tables.full_reload(store, typed.filter(key % 3 != 0), fx.AS_OF)
+    price = F.when(key % 10 == 0, F.col("house_price") + 1000).otherwise(F.col("house_price"))
+    batch = typed.withColumn("house_price", price.cast("decimal(20,2)"))
+    out = None
+    for name in ("first", "again"):
+        store.merge(gate.passing(batch), fx.AS_OF, False, name)
+        counts = store.images(name).groupBy("action").agg(F.sum("n_rows").alias("n_rows")).select(F.lit(name).alias("delivery"), "action", "n_rows")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+@_query
+def bulk_copy(spark, sf_dir):
+    """Rows that the gate passes, through a CSV file into a table created with lengths and NOT NULL."""
+    cleaned, folder = _cleaned(spark, sf_dir), scratch_folder(spark, "copy")
+    name = f"bulk_copy_{uuid.uuid4().hex}"
+    create_table(spark, name, CLEAN_TYPES, not_null=True, path=f"{folder}/table")
+    files.write_staging(gate.passing(cleaned), f"{folder}/staging_data.csv", "csv")
+    files.copy_into(spark, f"{folder}/staging_data.csv", name, not_null=True)
+    return _shown(spark.table(name), *CLEAN_COLUMNS)
+
+
 @_query
 def files_by_header(spark, sf_dir):
     """Files with the columns turned round, with columns missing, with one too many, and one of another table."""
@@ -243,6 +295,24 @@ def files_by_header(spark, sf_dir):
 # Extraction
 
 
+@_query
+def visited_once(spark, sf_dir):
+    """Two runs over overlapping pages: each URL with the run that read it."""
+    folder, root = scratch_folder(spark, "pages"), scratch_folder(spark, "visits")
+    pages = fx.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    more = pages.withColumn("page_id", F.col("page_id") + 10_000_000)
+    for run, part in enumerate((pages.filter("page_id % 3 <> 0"), pages.unionByName(more))):
+        part.write.parquet(f"{folder}/{run}")
+        start_visits(spark, folder, root, f"{root}/checkpoint", fx.AS_OF).awaitTermination()
+    return spark.read.parquet(f"{root}/visits").select("url", (F.col("batch") + 1).cast("int").alias("run"))
+
+
+@_query
+def rejected_cards(spark, sf_dir):
+    found = extract_listings(fx.listing_pages(spark, sf_dir), fx.AS_OF)
+    return found.filter(F.col("reject_reason").isNotNull()).select("page_id", "card_no", "reject_reason")
+
+
 @_query
 def listings_from_html(spark, sf_dir):
     found = extract_listings(fx.listing_pages(spark, sf_dir), fx.AS_OF)
@@ -470,9 +540,47 @@ def fact_sales(spark, sf_dir):
     )
 
 
+@_query
+def stable_ids(spark, sf_dir):
+    """Agents after two runs: known names keep their ids, new names follow the highest."""
+    current, folder = fx.listings_typed(spark, sf_dir), scratch_folder(spark, "star")
+    early = F.regexp_extract("agent_name", r"(\d+)$", 1).cast("int") < 60
+    star.write_dimensions(spark, current.filter(early), folder, ["dim_state", "dim_agent"])["dim_agent"].write.parquet(f"{folder}/first")
+    first = spark.read.parquet(f"{folder}/first").select(F.col("agent_id").alias("first_id"), "agent_name")
+    now = star.write_dimensions(spark, current, folder, ["dim_state", "dim_agent"])["dim_agent"]
+    top = first.agg(F.max("first_id")).scalar()
+    known = F.col("first_id").isNotNull()
+    settled = F.when(known, F.col("agent_id") == F.col("first_id")).otherwise(F.col("agent_id") > top)
+    return now.join(first, "agent_name", "left").select("agent_name", known.alias("known"), settled.alias("settled"))
+
+
 # Marts
 
 
+@_query
+def incremental_marts(spark, sf_dir):
+    """Three marts from the partials of three batches that insert, overwrite and move rows."""
+    store, folder = tables.CurrentTable(spark, scratch_folder(spark, "current")), scratch_folder(spark, "partials")
+    batches = (_visit(spark, sf_dir, 3, "a", "first agent", EARLY), fx.listings_raw(spark, sf_dir), _revisited(spark, sf_dir))
+    for i, rows in enumerate(batches):
+        staged = clean.clean_listings(rows, fx.AS_OF)
+        store.merge(gate.passing(staged), fx.AS_OF, False, f"b{i}")
+        partials.write_partials(store.images(f"b{i}"), folder, f"b{i}")
+    built = partials.read_marts(spark, folder)
+    shown = {
+        "avg_price_by_state": ("state", "average_price", "count"),
+        "time_series_prices": ("period", "average_house_price", "count"),
+        "agent_summary": ("agent_name", "average_sale_price", "properties_listed"),
+    }
+    out = None
+    for name, (group, mean, count) in shown.items():
+        rows = built[name].select(
+            F.lit(name).alias("mart"), F.col(group).cast("string").alias("group_name"), F.round(mean, 4).alias("mean"), F.col(count).alias("n_listings")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @_query
 def mart_state(spark, sf_dir):
     return marts.avg_price_by_state(_cleaned(spark, sf_dir))

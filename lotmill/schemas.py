@@ -127,19 +127,21 @@ def create_table(
     not_null: bool = False,
     key: str | None = None,
     buckets: int = 0,
+    path: str | None = None,
 ) -> None:
-    """Create an empty parquet table from a schema dict plus versioning columns.
+    """Create an empty parquet table from a schema dict plus versioning columns, over a folder if one is given.
 
-    Text limits become VARCHAR(n), which Spark enforces on insert. Bucketing
-    on the key lets later merges read the table without shuffling it.
+    Text limits become VARCHAR(n) and ``not_null`` holds for the declared columns; Spark enforces both on
+    insert. Bucketing on the key lets later merges read the table without shuffling it.
     """
-    nullable = {"valid_to"}
+    nullable = set(VERSION_TYPES)
     body = ", ".join(
         f"`{c}` {t}" + (" NOT NULL" if not_null and c not in nullable else "")
         for c, t in _columns({**types, **VERSION_TYPES}, True)
     )
     cluster = f" CLUSTERED BY ({key}) INTO {buckets} BUCKETS" if key and buckets else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{cluster}")
+    place = " LOCATION '" + path.replace("\\", "\\\\").replace("'", "\\'") + "'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{cluster}{place}")
 
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])

@@ -60,9 +60,30 @@ def drop_scratch(spark: SparkSession) -> int:
     For the end of a session, or a point where no result that reads them is still wanted:
     queries return lazy tables, so the folders cannot go as soon as a query returns.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     paths = _made.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(conf).delete(place, True)
+        drop_folder(spark, path)
     return len(paths)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system that Spark reaches; no error if it is not there."""
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Has a Spark job finished writing to this folder?"""
+    place, files = _place(spark, f"{path}/_SUCCESS")
+    return files.exists(place)
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Does anything match this path pattern?"""
+    place, files = _place(spark, pattern)
+    return len(files.globStatus(place) or []) > 0

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotmill.operators.clean import with_missing_as_null
-from lotmill.operators.dedup import append_dedup
 from lotmill.schemas import CLEAN_COLUMNS, CLEAN_TYPES, RAW_COLUMNS, RAW_SCHEMA, typed_columns
 
 # Quotes are doubled inside quoted cells, and cells may hold line breaks.
@@ -51,15 +50,29 @@ def header_columns(header: str) -> list[str] | None:
     return found if NEEDED in known and len(known) == len(set(known)) else None
 
 
+# Column of the raw text of a record whose cells are not those of its file's header.
+BROKEN = "_broken"
+
+
 def _read_group(spark: SparkSession, columns: list[str], paths: list[str], multi_line: bool) -> DataFrame:
-    """Files with one header: columns by name, absent ones null, others left out."""
+    """Files with one header: columns by name, absent ones null, others left out; ``raw_line`` as in :func:`read_files`."""
     own = [c if c in RAW_COLUMNS else f"_other{i}" for i, c in enumerate(columns)]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in own])
-    options = {**CSV, "multiLine": str(multi_line).lower(), "enforceSchema": "true"}
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*own, BROKEN]])
+    # Without column pruning every record is cut into all its cells, whatever columns are asked for; only so are they counted.
+    options = {
+        **CSV, "multiLine": str(multi_line).lower(), "enforceSchema": "true",
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, "columnPruning": "false",
+        # A quote left open then runs on to the next closing one, and the cells it swallows are missed in the count.
+        "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE",
+    }
     rows = spark.read.schema(schema).options(**options).csv(paths)
+    cell = lambda c: F.when(F.col(BROKEN).isNull(), F.col(c)) if c in own else F.lit(None).cast("string")
+    # Spark reads no file for the record's text alone, so that is tied to a cell by nothing of its text.
+    record = F.concat(F.rtrim(F.col(BROKEN), F.lit("\r\n")), F.left(F.coalesce(F.col(own[0]), F.lit("")), F.lit(0)))
     return rows.select(
-        *[(F.col(c) if c in own else F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS],
+        *[cell(c).alias(c) for c in RAW_COLUMNS],
         raw_name(F.col("_metadata.file_path")).alias("file_name"),
+        record.alias("raw_line"),
     )
 
 
@@ -76,7 +89,9 @@ def read_files(spark: SparkSession, headers: list, multi_line: bool = True) -> t
 
     Files are grouped by header and each group is read with its own order of columns, so a
     moved, missing or additional column does no harm. A file whose header is none of a listing file goes to
-    the second table (file_path, header) and leaves the others alone.
+    the second table (file_path, header) and leaves the others alone. A record with more or fewer cells than
+    its file's header, as an unquoted comma or an open quote makes it, has null cells and its text in ``raw_line``, which is null
+    for all others.
     """
     groups: dict[tuple, list[str]] = {}
     bad = []
@@ -91,7 +106,7 @@ def read_files(spark: SparkSession, headers: list, multi_line: bool = True) -> t
         group = _read_group(spark, list(columns), paths, multi_line)
         rows = group if rows is None else rows.unionByName(group)
     if rows is None:
-        rows = empty_raw(spark).withColumn("file_name", F.lit(None).cast("string"))
+        rows = empty_raw(spark).withColumns({c: F.lit(None).cast("string") for c in ("file_name", "raw_line")})
     return with_missing_as_null(rows), spark.createDataFrame(bad, "file_path string, header string")
 
 
@@ -110,12 +125,12 @@ def read_raw(spark: SparkSession, folder: str, multi_line: bool = True) -> DataF
 
     Missing-value tokens become null; empty and header-only files add no
     rows. ``file_name`` is the file's path, from which the region is read. Files with
-    other headers than those of listings add no rows; :func:`read_files` reports them. A
+    other headers than those of listings add no rows, nor do records with other cells than their header; :func:`read_files` reports both. A
     file whose cells hold line breaks cannot be split; for single-line
     data ``multi_line=False`` lets large files be read by many tasks.
     """
     headers = file_headers(_lines(spark.read).text(folder)).collect()
-    return read_files(spark, headers, multi_line)[0]
+    return read_files(spark, headers, multi_line)[0].filter("raw_line IS NULL").drop("raw_line")
 
 
 def stream_headers(
@@ -135,18 +150,6 @@ def write_raw(df: DataFrame, folder: str, mode: str = "append") -> None:
     ).csv(folder)
 
 
-def save_raw(spark: SparkSession, new: DataFrame, old: str | None, target: str) -> None:
-    """Old raw rows plus new ones without duplicates, written to ``target``.
-
-    The target is another folder than the old one, which is still being read.
-    """
-    if old == target:
-        raise ValueError("write the merged rows to a new folder")
-    existing = read_raw(spark, old).select(*RAW_COLUMNS) if old else empty_raw(spark)
-    merged = append_dedup(existing, new.select(*RAW_COLUMNS))
-    merged.write.mode("overwrite").options(**CSV).csv(target)
-
-
 def empty_raw(spark: SparkSession) -> DataFrame:
     """No rows, raw columns."""
     return spark.createDataFrame([], RAW_SCHEMA)
@@ -184,20 +187,21 @@ def read_staging_csv(spark: SparkSession, folder: str, multi_line: bool = True)
     return filled.select(*typed_columns(CLEAN_TYPES), "file_name")
 
 
-def copy_into(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> None:
+def copy_into(spark: SparkSession, path: str, table: str, multi_line: bool = True, not_null: bool = False) -> None:
     """Bulk copy of a clean CSV into a table, columns matched by name.
 
-    A value that is not of its column's type is an error, and then nothing is copied.
+    A value that is not of its column's type is an error, with ``not_null`` also a missing one, as Spark holds a parquet table's
+    text to its length but not its columns to NOT NULL. The copy itself meets the error, and then nothing is copied. Text
+    that is empty in the file is empty in the table.
     """
     text_schema = T.StructType([T.StructField(c, T.StringType()) for c in CLEAN_COLUMNS])
-    rows = spark.read.schema(text_schema).options(**_csv_options(multi_line)).csv(path)
-    typed = rows.select(*typed_columns(CLEAN_TYPES))
-    broken = F.lit(False)
+    rows = spark.read.schema(text_schema).options(**_csv_options(multi_line)).csv(path).na.fill("")
+    where = F.concat(F.lit(" of row "), F.col(CLEAN_COLUMNS[0]))
+    checked = {}
     for c, value in zip(CLEAN_COLUMNS, typed_columns(CLEAN_TYPES)):
-        broken = broken | ((F.coalesce(F.col(c), F.lit("")) != "") & value.isNull())
-    bad = rows.filter(broken).select(CLEAN_COLUMNS[0]).first()
-    if bad is not None:
-        raise ValueError(f"a value of row {bad[0]!r} in {path} does not fit its column")
+        wrong = F.when(F.col(c) != "", F.raise_error(F.concat(F.lit(c), where, F.lit(" does not fit its column"))))
+        absent = F.raise_error(F.concat(F.lit(f"{c} is missing"), where)) if not_null else F.lit(None)
+        checked[c] = F.when(value.isNotNull(), value).otherwise(wrong.otherwise(absent))
     columns = spark.table(table).columns
-    absent = [c for c in columns if c not in typed.columns]
-    typed.withColumns({c: F.lit(None) for c in absent}).select(*columns).write.insertInto(table)
+    absent = {c: F.lit(None) for c in columns if c not in checked}
+    rows.select(*[{**checked, **absent}[c].alias(c) for c in columns]).write.insertInto(table)

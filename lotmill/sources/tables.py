@@ -1,291 +1,186 @@
-"""Stored listing tables: versioned snapshots in key buckets, append tables, mart snapshots."""
+"""Stored listing tables: the current table in key partitions, bucketed append tables, mart snapshots."""
 
 from __future__ import annotations
 
-import json
-import time
+import hashlib
 import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotmill.operators.dedup import fingerprinted, keep_first
 from lotmill.operators.gate import passing
-from lotmill.operators.merge import (
-    KEY,
-    count_actions,
-    counted_latest,
-    insert_ignore,
-    latest_rows,
-    merge_latest,
-)
-from lotmill.schemas import CLEAN_SCHEMA, CURRENT_SCHEMA
+from lotmill.operators.merge import KEY, change_images, counted_latest, latest_rows
+from lotmill.schemas import CLEAN_SCHEMA, CURRENT_SCHEMA, RAW_SCHEMA
+from lotmill.session import drop_folder, is_written, matches
 
 BUCKETS = 32
-# A version that another writer published first is merged into and tried again.
-ATTEMPTS = 20
-
-
-class Folder:
-    """Files under a path of any Hadoop file system, seen from the driver."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.jvm = spark._jvm
-        self.fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _path(self, name: str):
-        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-
-    def names(self, name: str = "") -> dict[str, int]:
-        """Entries of a sub-folder with their modification times in milliseconds."""
-        path = self._path(name)
-        if not self.fs.exists(path):
-            return {}
-        return {s.getPath().getName(): s.getModificationTime() for s in self.fs.listStatus(path)}
-
-    def text(self, name: str) -> str:
-        stream = self.fs.open(self._path(name))
-        try:
-            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def create(self, name: str, text: str) -> bool:
-        """A new file with the text, whole or not at all; false if there is one of that name."""
-        draft = self._path(f"_draft-{uuid.uuid4().hex}")
-        stream = self.fs.create(draft, False)
-        stream.write(bytearray(text.encode("utf-8")))
-        stream.close()
-        target = self._path(name)
-        self.fs.mkdirs(target.getParent())
-        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            target.toUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        option = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
-        none = self.spark.sparkContext._gateway.new_array(option, 0)
-        try:
-            # Unlike FileSystem.rename this fails if the target is there.
-            context.rename(context.makeQualified(draft), context.makeQualified(target), none)
-            return True
-        except Exception:
-            self.fs.delete(draft, False)
-            if not self.fs.exists(target):
-                raise
-            return False
-
-    def remove(self, name: str) -> None:
-        self.fs.delete(self._path(name), True)
-
-
-@dataclass
-class Manifest:
-    """What one version consists of: the folder that holds each bucket's rows.
-
-    ``batches`` has the last batch of every writer that went in.
+
+
+class CurrentTable:
+    """One current row per key, in partitions by a hash of the key.
+
+    A merge writes two things, in this order: what it changes, as before and after images under ``changes/<batch>``, and
+    the partitions that hold a changed key, by Spark's dynamic partition overwrite. A batch whose
+    images are there is not compared again; writing its partitions once more gives the same rows. So a load that failed anywhere
+    is run again under its name. One writer at a time.
     """
 
-    version: int = 0
-    n_buckets: int = BUCKETS
-    buckets: dict[str, str] = field(default_factory=dict)
-    batches: dict[str, int] = field(default_factory=dict)
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType = CURRENT_SCHEMA, n_buckets: int = BUCKETS):
+        self.spark, self.root, self.schema, self.n_buckets = spark, root.rstrip("/"), schema, n_buckets
+        self.stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
 
+    def exists(self) -> bool:
+        return matches(self.spark, f"{self.root}/rows/bucket=*")
 
-class SnapshotTable:
-    """A table kept as versions over immutable bucket folders.
+    def bucket(self):
+        return F.pmod(F.xxhash64(KEY), F.lit(self.n_buckets)).cast("int")
 
-    Rows lie in buckets by the hash of their key. A version is a manifest that names one folder
-    for each bucket; a merge writes new folders for the buckets that its batch touches and
-    leaves the others where they are. The manifest is written last, and only if no
-    other writer has taken its number, so a reader sees a whole version or none, and a
-    lost or failed load leaves the version before it in place.
-    """
+    def _rows(self, buckets: list[int] | None = None) -> DataFrame:
+        """Stored rows with their ``bucket``; files of other buckets than the given ones are not listed."""
+        if not self.exists():
+            return self.spark.createDataFrame([], self.stored)
+        rows = self.spark.read.schema(self.stored).parquet(f"{self.root}/rows")
+        return rows if buckets is None else rows.filter(F.col("bucket").isin(buckets))
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        schema: T.StructType = CURRENT_SCHEMA,
-        n_buckets: int = BUCKETS,
-    ):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.n_buckets = n_buckets
-        self.folder = Folder(spark, self.root)
-
-    def versions(self) -> list[int]:
-        """Published versions, oldest first."""
-        names = self.folder.names("manifests")
-        return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
-
-    def manifest(self, version: int | None = None) -> Manifest:
-        """The manifest of a version, by default the newest; an empty one without versions."""
-        if version is None:
-            version = (self.versions() or [0])[-1]
-        if not version:
-            return Manifest(n_buckets=self.n_buckets)
-        return Manifest(**json.loads(self.folder.text(f"manifests/v{version:012d}.json")))
-
-    def has_batch(self, writer: str, batch: int) -> bool:
-        """Is this batch, or a later one of the same writer, part of the newest version?"""
-        return self.manifest().batches.get(writer, -1) >= batch
-
-    def bucket(self, n_buckets: int):
-        return F.pmod(F.xxhash64(KEY), F.lit(n_buckets)).cast("int")
-
-    def _rows(self, manifest: Manifest, buckets: set[str] | None = None) -> DataFrame:
-        paths = [
-            f"{self.root}/data/{folder}/bucket={b}"
-            for b, folder in manifest.buckets.items()
-            if buckets is None or b in buckets
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version, by default the newest."""
-        return self._rows(self.manifest(version))
-
-    def _write(self, rows: DataFrame, n_buckets: int) -> dict[str, str]:
-        """Rows into a new data folder; which buckets it holds."""
-        name = uuid.uuid4().hex
-        placed = rows.select(*self.schema.names).withColumn("bucket", self.bucket(n_buckets))
-        placed.write.partitionBy("bucket").parquet(f"{self.root}/data/{name}")
-        found = self.folder.names(f"data/{name}")
-        return {n.removeprefix("bucket="): name for n in found if n.startswith("bucket=")}
-
-    def _publish(self, manifest: Manifest) -> bool:
-        name = f"manifests/v{manifest.version:012d}.json"
-        return self.folder.create(name, json.dumps(vars(manifest)))
-
-    def _next(self, base: Manifest, buckets: dict[str, str], writer: str | None, batch: int) -> Manifest:
-        batches = {**base.batches, **({writer: batch} if writer else {})}
-        return Manifest(base.version + 1, base.n_buckets, buckets, batches)
-
-    def replace(self, rows: DataFrame, writer: str | None = None, batch: int = 0) -> int:
-        """A new version of just these rows; without any, an error, and the table stays as it is."""
-        n = self.manifest().n_buckets
-        buckets = self._write(rows.repartition(self.bucket(n)), n)
-        if not buckets:
-            raise RuntimeError("no rows were loaded")
-        for _ in range(ATTEMPTS):
-            manifest = self._next(self.manifest(), buckets, writer, batch)
-            if self._publish(manifest):
-                return manifest.version
-        raise RuntimeError("other writers kept publishing first")
-
-    def merge(
-        self,
-        staged: DataFrame,
-        as_of: datetime,
-        only_newer: bool = True,
-        writer: str | None = None,
-        batch: int = 0,
-    ) -> dict[str, int]:
-        """Merge gated clean rows into the newest version; rows inserted and updated.
-
-        Only buckets with a key of the batch are read and written. The batch is cut to
-        one row per key and written first; if it is small, Spark then sends it to
-        the stored rows, which are not shuffled. A batch of a writer that is already in is
-        skipped, and a batch without rows changes nothing.
+    def read(self) -> DataFrame:
+        return self._rows().select(*self.schema.names)
+
+    def images(self, batch: str) -> DataFrame:
+        """(property_id, bucket, action, n_rows, before, after) of a merged batch; see :func:`change_images`."""
+        return self.spark.read.parquet(f"{self.root}/changes/{batch}")
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        spread = rows.select(*self.stored.names).repartition("bucket")
+        spread.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("bucket").parquet(f"{self.root}/rows")
+
+    def replace(self, rows: DataFrame, batch: str | None = None) -> None:
+        """Just these rows from now on; without any, an error, and the table stays as it is.
+
+        Earlier images go. The rows are written aside first, so they may come from this table.
         """
-        none = {"inserted": 0, "updated": 0}
-        if writer and self.has_batch(writer, batch):
-            return none
-        incoming = f"{self.root}/incoming/{uuid.uuid4().hex}"
-        bucket = self.bucket(self.manifest().n_buckets)
-        # One bucket is in one file, so that the merge writes few files for each.
-        counted_latest(staged, as_of).withColumn("bucket", bucket).repartition("bucket").write.parquet(incoming)
-        latest = self.spark.read.parquet(incoming)
-        # At most as many rows as there are buckets.
-        touched = {str(r["bucket"]) for r in latest.select("bucket").distinct().collect()}
-        keys, latest = latest.select(KEY, "n_rows"), latest.select(*self.schema.names)
-        try:
-            for _ in range(ATTEMPTS):
-                base = self.manifest()
-                if not touched or (writer and base.batches.get(writer, -1) >= batch):
-                    return none
-                stored = self._rows(base, touched)
-                counts = count_actions(stored, keys).collect()
-                written = self._write(merge_latest(stored, latest, only_newer), base.n_buckets)
-                if self._publish(self._next(base, {**base.buckets, **written}, writer, batch)):
-                    return {r["action"]: r["n_rows"] for r in counts}
-        finally:
-            self.folder.remove(f"incoming/{incoming.rsplit('/', 1)[1]}")
-        raise RuntimeError("other writers kept publishing first")
-
-    def expire(self, keep: int = 2, older_than: float = 86_400.0) -> None:
-        """Drop all but the newest ``keep`` versions, and data no kept version names.
-
-        Data younger than ``older_than`` seconds stays, as a running merge may be about to publish it.
+        batch = batch or uuid.uuid4().hex
+        aside, seen = f"{self.root}/incoming/{batch}", Observation()
+        counted = rows.select(*self.schema.names).withColumn("bucket", self.bucket()).observe(seen, F.count("*").alias("n"))
+        counted.write.mode("overwrite").parquet(aside)
+        if not seen.get["n"]:
+            drop_folder(self.spark, aside)
+            raise RuntimeError("no rows were loaded")
+        loaded = self.spark.read.schema(self.stored).parquet(aside)
+        self._write(loaded, "static")
+        drop_folder(self.spark, f"{self.root}/changes")
+        after = F.struct(*self.schema.names)
+        inserts = loaded.select(KEY, "bucket", F.lit("insert").alias("action"), F.lit(1).cast("long").alias("n_rows"), F.lit(None).cast(self.schema).alias("before"), after.alias("after"))
+        inserts.write.parquet(f"{self.root}/changes/{batch}")
+        drop_folder(self.spark, aside)
+
+    def merge(self, staged: DataFrame, as_of: datetime, only_newer: bool = True, batch: str | None = None) -> dict[str, int]:
+        """Merge gated clean rows; rows inserted, updated and unchanged, as a row-by-row upsert would count them.
+
+        The batch is cut to one row per key and written first; if it is small, Spark then sends it to
+        the stored rows, which are not shuffled. Only buckets with a key of the batch are read, and only buckets
+        with a changed one are written: a batch delivered twice writes none.
         """
-        versions = self.versions()
-        for version in versions[:-keep]:
-            self.folder.remove(f"manifests/v{version:012d}.json")
-        used = {f for v in versions[-keep:] for f in self.manifest(v).buckets.values()}
-        oldest = (time.time() - older_than) * 1000
-        for place, kept in (("data", used), ("incoming", set())):
-            for name, changed in self.folder.names(place).items():
-                if name not in kept and changed <= oldest:
-                    self.folder.remove(f"{place}/{name}")
-
-
-def load_raw_table(spark: SparkSession, incoming: DataFrame, path: str) -> DataFrame:
-    """Append the batch's unseen keys to the raw table and return the table."""
-    table = AppendTable(spark, path)
-    insert_ignore(table.read(), incoming).select(*CLEAN_SCHEMA.names).write.mode("append").parquet(
-        path
-    )
-    return table.read()
+        batch = batch or uuid.uuid4().hex
+        path, aside = f"{self.root}/changes/{batch}", f"{self.root}/incoming/{batch}"
+        changed = F.col("action") != "unchanged"
+        counts = [
+            F.coalesce(F.sum(F.when(F.col("action") == "insert", 1)), F.lit(0)).alias("inserted"),
+            F.coalesce(F.sum(F.when(changed, F.col("n_rows"))), F.lit(0)).alias("moved"),
+            F.coalesce(F.sum(F.when(~changed, F.col("n_rows"))), F.lit(0)).alias("unchanged"),
+            F.collect_set(F.when(changed, F.col("bucket"))).alias("buckets"),
+        ]
+        if is_written(self.spark, path):
+            found = self.images(batch).agg(*counts).first().asDict()
+        else:
+            reach, seen = Observation(), Observation()
+            latest = counted_latest(staged, as_of).withColumn("bucket", self.bucket())
+            latest = latest.observe(reach, F.collect_set("bucket").alias("buckets"))
+            latest.write.mode("overwrite").parquet(aside)
+            latest = self.spark.read.schema(latest.schema).parquet(aside)
+            stored = self._rows(list(reach.get["buckets"]))
+            change_images(stored, latest, only_newer).observe(seen, *counts).write.mode("overwrite").parquet(path)
+            found = seen.get
+            drop_folder(self.spark, aside)
+        if found["buckets"]:
+            images = self.images(batch).filter(changed)
+            kept = self._rows(list(found["buckets"])).join(images.select(KEY), KEY, "left_anti")
+            self._write(kept.unionByName(images.select("after.*", "bucket")), "dynamic")
+        return {"inserted": found["inserted"], "updated": found["moved"] - found["inserted"], "unchanged": found["unchanged"]}
+
+
+class BucketedTable:
+    """An append-only catalog table over a folder, bucketed by its key.
+
+    New rows are dealt as the buckets are, so they meet the stored keys without a shuffle of these.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, n_buckets: int = BUCKETS):
+        self.spark, self.key, self.n_buckets, self.columns = spark, key, n_buckets, schema.names
+        self.name = f"lotmill_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {n_buckets} BUCKETS LOCATION '{place}'")
 
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
 
-class AppendTable:
-    """A parquet folder that only ever gains rows."""
+    def unseen(self, rows: DataFrame) -> DataFrame:
+        """Rows, one for each key, whose key is not stored."""
+        dealt = rows.select(*self.columns).repartition(self.n_buckets, self.key)
+        return dealt.join(self.read().select(self.key), self.key, "left_anti").select(*self.columns)
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = CLEAN_SCHEMA):
-        self.spark, self.path, self.schema = spark, path, schema
+    def append(self, rows: DataFrame) -> int:
+        """Append the rows whose key is not stored, one for each key; how many. What is stored is neither moved nor rewritten."""
+        seen = Observation()
+        self.unseen(rows).observe(seen, F.count("*").alias("n")).write.insertInto(self.name)
+        return seen.get["n"]
 
-    def read(self) -> DataFrame:
-        if not Folder(self.spark, self.path).names():
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+
+def raw_table(spark: SparkSession, path: str, n_buckets: int = BUCKETS) -> BucketedTable:
+    return BucketedTable(spark, path, CLEAN_SCHEMA, KEY, n_buckets)
+
+
+def load_raw_table(spark: SparkSession, incoming: DataFrame, path: str, n_buckets: int = BUCKETS) -> int:
+    """Append the first row of each unseen key of the batch to the raw table; how many."""
+    return raw_table(spark, path, n_buckets).append(keep_first(incoming, KEY))
 
 
-def full_reload(table: SnapshotTable, staged: DataFrame, as_of: datetime) -> DataFrame:
+def raw_archive(spark: SparkSession, path: str, n_buckets: int = BUCKETS) -> BucketedTable:
+    """Raw rows of all collections, each content once, by fingerprint."""
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("fingerprint", T.StringType())])
+    return BucketedTable(spark, path, schema, "fingerprint", n_buckets)
+
+
+def append_raw(archive: BucketedTable, rows: DataFrame) -> int:
+    """Append raw rows, normalised, whose content is not in the archive yet; how many."""
+    return archive.append(fingerprinted(rows).dropDuplicates(["fingerprint"]))
+
+
+def full_reload(table: CurrentTable, staged: DataFrame, as_of: datetime) -> DataFrame:
     """Replace the table by the staged rows; an empty load is an error and keeps the old rows."""
     table.replace(latest_rows(passing(staged), as_of))
     return table.read()
 
 
-def incremental_load(
-    table: SnapshotTable, staged: DataFrame, as_of: datetime, only_newer: bool = True
-) -> DataFrame:
-    """First load when the table has no version, else merge the staged rows into it."""
-    if not table.versions():
+def incremental_load(table: CurrentTable, staged: DataFrame, as_of: datetime, only_newer: bool = True) -> DataFrame:
+    """First load when the table holds nothing, else merge the staged rows into it."""
+    if not table.exists():
         return full_reload(table, staged, as_of)
     table.merge(passing(staged), as_of, only_newer)
     return table.read()
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Save as a catalog table bucketed by the key, for merges without a shuffle."""
-    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(
-        table
-    )
-
-
 def save_snapshots(marts: Mapping[str, DataFrame], folder: str, prefix: str = "mv_") -> None:
     """Write every mart as a parquet snapshot, replacing the last one."""
     for name, mart in marts.items():
         mart.write.mode("overwrite").parquet(f"{folder}/{prefix}{name}")
 
 
-def save_snapshot_tables(
-    marts: Mapping[str, DataFrame], database: str | None = None, prefix: str = "mv_"
-) -> None:
+def save_snapshot_tables(marts: Mapping[str, DataFrame], database: str | None = None, prefix: str = "mv_") -> None:
     """The same snapshots as catalog tables."""
     for name, mart in marts.items():
         target = f"{database}.{prefix}{name}" if database else f"{prefix}{name}"

@@ -10,10 +10,10 @@ from lotmill import fixtures as fx
 from lotmill.operators import dedup, merge
 from lotmill.operators.cards import extract_listings
 from lotmill.operators.clean import clean_listings
-from lotmill.plans import marts, star
+from lotmill.plans import marts, partials, star
 from lotmill.queries import QUERIES
 from lotmill.schemas import RAW_COLUMNS
-from lotmill.sources.tables import save_bucketed
+from lotmill.sources.tables import CurrentTable, append_raw, raw_archive, raw_table
 
 
 @pytest.fixture(scope="module")
@@ -47,15 +47,28 @@ def test_upsert_shuffles_each_side_once(stored):
     assert _count(plan, "Exchange") == 2 and "SortMergeJoin" in plan
 
 
-def test_bucketed_table_is_not_shuffled(spark, stored):
-    save_bucketed(stored("current"), "current_bucketed", "property_id", 8)
-    table = spark.table("current_bucketed")
-    for run in (merge.upsert_latest, merge.merge_if_newer):
-        plan = physical_plan(run(table, stored("incoming"), NOON))
-        assert _count(plan, "Exchange") == 1
-    plan = physical_plan(merge.insert_ignore(table, stored("incoming")))
-    assert _count(plan, "Exchange") == 1
-    spark.sql("drop table current_bucketed")
+def test_stored_keys_and_fingerprints_are_not_shuffled(spark, stored, tmp_path):
+    table = raw_table(spark, str(tmp_path / "raw"), 16)
+    table.append(dedup.keep_first(stored("current"), "property_id"))
+    archive = raw_archive(spark, str(tmp_path / "archive"), 16)
+    append_raw(archive, stored("raw"))
+    new = dedup.fingerprinted(stored("raw")).dropDuplicates(["fingerprint"])
+    for plan, key in ((physical_plan(table.unseen(stored("incoming"))), "property_id"), (physical_plan(archive.unseen(new)), "fingerprint")):
+        batch, old = plan.split("Exchange", 1)[1], plan.rsplit("FileScan", 1)
+        assert "Bucketed: true" in old[1] and f"ReadSchema: struct<{key}:string>" in old[1]
+        assert "Exchange" not in old[0].rsplit("+- ", 3)[1] and "Bucketed: true" not in batch.split("FileScan")[1]
+
+
+def test_marts_of_a_batch_read_no_stored_rows(spark, stored, tmp_path):
+    table = CurrentTable(spark, str(tmp_path / "t"), n_buckets=8)
+    table.merge(stored("current"), NOON, batch="one")
+    partials.write_partials(table.images("one"), str(tmp_path / "p"), "one")
+    plan = physical_plan(partials.partials(partials.signed_rows(table.images("one"))))
+    assert plan.count("FileScan") == plan.count("before:struct<") > 0 and "/rows" not in plan
+    for mart in partials.read_marts(spark, str(tmp_path / "p")).values():
+        assert "/rows" not in physical_plan(mart)
+    plan = physical_plan(table._rows([3]))
+    assert re.search(r"PartitionFilters: \[.*bucket#\d+ (IN \(3\)|= 3)", plan)
 
 
 def test_insert_reads_only_stored_keys(stored):
@@ -143,8 +156,9 @@ def test_a_small_batch_goes_to_the_stored_rows(spark, stored, tmp_path):
     batch.write.parquet(str(tmp_path / "batch"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     try:
-        latest = spark.read.parquet(str(tmp_path / "batch"))
-        plan = physical_plan(merge.merge_latest(stored("current"), latest, only_newer=True))
+        bucket = F.lit(1).alias("bucket")
+        latest = spark.read.parquet(str(tmp_path / "batch")).select("*", F.lit(1).alias("n_rows"), bucket)
+        plan = physical_plan(merge.change_images(stored("current").select("*", bucket), latest, only_newer=True))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     # The stored rows stream through a broadcast join; only keys that the batch has meet it again.

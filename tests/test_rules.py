@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import NOON, raw_rows, values
 from lotmill.functions import cards, dates, links, prices, text
-from lotmill.operators.clean import clean_listings, conform, quarantine
+from lotmill.operators.clean import clean_listings, quarantine
 
 PRICES = {
     "rm 450,000": 450000.0,
@@ -212,9 +212,3 @@ def test_quarantine_reasons(spark):
     got = {r.house_name: r.reject_reason for r in quarantine(rows, NOON).collect()}
     assert got == {"R": "price_range", "P": "price_square_feet", "F": "file_name"}
     assert [r.house_name for r in clean_listings(rows, NOON).collect()] == ["Ok"]
-
-
-def test_conform_fills_missing_columns(spark):
-    df = conform(spark.sql("select 'a' as Property_ID, 1 as extra"))
-    assert df.columns[0] == "property_id" and len(df.columns) == 16
-    assert df.first().area is None

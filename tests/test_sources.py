@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from helpers import NOON, clean_rows, listing, raw_rows
 from lotmill import schemas
 from lotmill.functions import links
-from lotmill.operators.clean import clean_listings
+from lotmill.operators.clean import clean_listings, judged_listings
 from lotmill.operators.merge import insert_ignore, with_versioning
+from lotmill.plans import marts, partials, star
 from lotmill.plans.refresh import refresh
 from lotmill.session import drop_scratch, scratch_folder
 from lotmill.sources import files, regions, tables
@@ -46,16 +47,6 @@ def test_raw_round_trip_keeps_every_cell(spark, tmp_path):
     assert back.drop("file_name").collect() == rows.drop("file_name").collect()
 
 
-def test_save_raw_drops_repeats_across_runs(spark, tmp_path):
-    first, second = str(tmp_path / "v1"), str(tmp_path / "v2")
-    batch = raw_rows(spark, [{"House_Name": "A "}, {"House_Name": "b"}])
-    files.save_raw(spark, batch, None, first)
-    files.save_raw(spark, batch, first, second)
-    assert sorted(r.House_Name for r in files.read_raw(spark, second).collect()) == ["a", "b"]
-    with pytest.raises(ValueError):
-        files.save_raw(spark, batch, second, second)
-
-
 def test_staging_is_not_written_when_empty(spark, tmp_path):
     path = str(tmp_path / "staging")
     assert not files.write_staging(clean_rows(spark, []), path)
@@ -100,65 +91,126 @@ def test_created_table_takes_a_bulk_copy_and_enforces_lengths(spark, tmp_path):
     spark.sql("drop table listing_copy")
 
 
-def test_snapshot_versions(spark, tmp_path):
-    store = tables.SnapshotTable(spark, str(tmp_path / "t"))
-    assert store.read().isEmpty() and store.versions() == []
-    assert store.replace(with_versioning(clean_rows(spark, [listing("a")]), NOON)) == 1
-    assert store.merge(clean_rows(spark, [listing("b"), listing("b")]), NOON) == {"inserted": 1, "updated": 1}
-    assert store.versions() == [1, 2]
-    assert store.read().count() == 2 and store.read(1).count() == 1
-    assert store.merge(clean_rows(spark, []), NOON) == {"inserted": 0, "updated": 0}
-    assert store.versions() == [1, 2]
+def test_archive_keeps_each_content_once(spark, tmp_path):
+    archive = tables.raw_archive(spark, str(tmp_path / "a"), 4)
+    batch = raw_rows(spark, [{"House_Name": "A "}, {"House_Name": "b"}, {"House_Name": None}, {"House_Name": ""}])
+    assert tables.append_raw(archive, batch) == 4 and tables.append_raw(archive, batch) == 0
+    files_before = sorted(os.listdir(tmp_path / "a"))
+    more = raw_rows(spark, [{"House_Name": " B"}, {"House_Name": "c"}, {"House_Name": "c"}])
+    assert tables.append_raw(archive, more.drop("Lot_Type")) == 1
+    assert set(files_before) < set(os.listdir(tmp_path / "a"))
+    assert sorted(str(r.House_Name) for r in archive.read().collect()) == ["", "None", "a", "b", "c"]
+
+
+def test_current_table(spark, tmp_path):
+    store = tables.CurrentTable(spark, str(tmp_path / "t"))
+    assert store.read().isEmpty() and not store.exists()
+    store.replace(with_versioning(clean_rows(spark, [listing("a")]), NOON))
+    assert store.merge(clean_rows(spark, [listing("b"), listing("b")]), NOON) == {"inserted": 1, "updated": 1, "unchanged": 0}
+    assert store.exists() and store.read().count() == 2
+    assert store.merge(clean_rows(spark, []), NOON) == {"inserted": 0, "updated": 0, "unchanged": 0}
+    with pytest.raises(RuntimeError):
+        store.replace(store.read().limit(0))
+    assert store.read().count() == 2
+    store.replace(store.read().filter("property_id = 'b'"), "again")
+    assert [r.property_id for r in store.read().collect()] == ["b"]
+    assert [(r.action, r.before, r.after.property_id) for r in store.images("again").collect()] == [("insert", None, "b")]
+
+
+def _partition_files(folder):
+    return {d: sorted(os.listdir(os.path.join(folder, d))) for d in os.listdir(folder) if d.startswith("bucket=")}
 
 
 def test_a_merge_leaves_other_buckets_alone(spark, tmp_path):
-    store = tables.SnapshotTable(spark, str(tmp_path / "t"), n_buckets=16)
+    store = tables.CurrentTable(spark, str(tmp_path / "t"), n_buckets=16)
     store.replace(with_versioning(clean_rows(spark, [listing(f"p{i}", i) for i in range(100)]), NOON))
-    before = store.manifest().buckets
+    rows = tmp_path / "t" / "rows"
+    before = _partition_files(rows)
     assert len(before) == 16
-    store.merge(clean_rows(spark, [listing("p7", 5, day=9), listing("p7", 6, day=9)]), NOON)
-    after = store.manifest().buckets
-    assert len([b for b in before if before[b] != after[b]]) == 1
-    (new,) = set(after.values()) - set(before.values())
-    assert len([n for n in os.listdir(tmp_path / "t" / "data" / new) if n.startswith("bucket=")]) == 1
+    batch = clean_rows(spark, [listing("p7", 5, day=9), listing("p7", 6, day=9), listing("p8", 8)])
+    assert store.merge(batch, NOON, batch="x") == {"inserted": 0, "updated": 2, "unchanged": 1}
+    after = _partition_files(rows)
+    (moved,) = [b for b in before if before[b] != after[b]]
     prices = {r.property_id: int(r.house_price) for r in store.read().collect()}
     assert len(prices) == 100 and prices["p7"] == 6 and prices["p8"] == 8
-    # Files of untouched buckets are not even opened.
-    for b, folder in before.items():
-        if before[b] == after[b]:
-            for name in os.listdir(tmp_path / "t" / "data" / folder / f"bucket={b}"):
-                os.truncate(tmp_path / "t" / "data" / folder / f"bucket={b}" / name, 0)
+    got = {r.property_id: (r.action, r.before and int(r.before.house_price), r.after and int(r.after.house_price)) for r in store.images("x").collect()}
+    assert got == {"p7": ("update", 7, 6), "p8": ("unchanged", None, None)}
+    # The same batch once more, under another name and under its own, writes no bucket.
+    assert store.merge(batch, NOON, batch="y") == {"inserted": 0, "updated": 0, "unchanged": 3}
+    assert _partition_files(rows) == after
+    # Files of other buckets are not even opened.
+    for b in before:
+        if b != moved:
+            for name in os.listdir(rows / b):
+                os.truncate(rows / b / name, 0)
     assert store.merge(clean_rows(spark, [listing("p7", 7, day=10)]), NOON)["updated"] == 1
 
 
-def test_a_second_writer_is_merged_into(spark, tmp_path, monkeypatch):
-    one = tables.SnapshotTable(spark, str(tmp_path / "t"))
-    two = tables.SnapshotTable(spark, str(tmp_path / "t"))
-    one.replace(with_versioning(clean_rows(spark, [listing("a")]), NOON))
-    publish = one._publish
-
-    def late(manifest):
-        if manifest.version == 2:
-            two.merge(clean_rows(spark, [listing("b")]), NOON)
-        return publish(manifest)
-
-    monkeypatch.setattr(one, "_publish", late)
-    one.merge(clean_rows(spark, [listing("c")]), NOON)
-    assert {r.property_id for r in one.read().collect()} == {"a", "b", "c"}
-    assert one.versions() == [1, 2, 3]
-
-
-def test_old_versions_are_dropped(spark, tmp_path):
-    store = tables.SnapshotTable(spark, str(tmp_path / "t"))
-    for key in "abc":
-        store.merge(clean_rows(spark, [listing(key)]), NOON)
-    store.expire(keep=1, older_than=-60)
-    assert store.versions() == [3] and store.read().count() == 3
-    assert set(os.listdir(tmp_path / "t" / "data")) == set(store.manifest().buckets.values())
+def test_a_merge_that_failed_before_its_write_is_run_again(spark, tmp_path, monkeypatch):
+    store = tables.CurrentTable(spark, str(tmp_path / "t"))
+    store.replace(with_versioning(clean_rows(spark, [listing("a", 1)]), NOON))
+    batch = clean_rows(spark, [listing("a", 2, day=2), listing("b", 3)])
+    with monkeypatch.context() as m:
+        m.setattr(tables.CurrentTable, "_write", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            store.merge(batch, NOON, batch="x")
+    assert store.merge(batch, NOON, batch="x") == {"inserted": 1, "updated": 1, "unchanged": 0}
+    assert {r.property_id: int(r.house_price) for r in store.read().collect()} == {"a": 2, "b": 3}
+
+
+def test_marts_of_three_batches_are_those_of_a_rebuild(spark, tmp_path):
+    store, folder = tables.CurrentTable(spark, str(tmp_path / "t")), str(tmp_path / "p")
+    batches = [
+        [listing("a", 100), listing("b", 200, state=None), listing("c", 300, house_furniture=None)],
+        [listing("a", 150, day=3, state="Perak"), listing("d", 50, posted_date=None), listing("c", 300, house_furniture=None)],
+        [listing("b", 250, day=4, state="Perak", agent_name="Other"), listing("a", 10, day=2)],
+    ]
+    for i, rows in enumerate(batches):
+        store.merge(clean_rows(spark, rows), NOON, True, f"b{i}")
+        partials.write_partials(store.images(f"b{i}"), folder, f"b{i}")
+    current = store.read()
+    star_ = star.write_star(spark, current, str(tmp_path / "s"))
+    expected = marts.all_marts(current, star_.fact, star_.dims["dim_agent"])
+    got = partials.read_marts(spark, folder, star_.dims["dim_agent"])
+    assert set(got) == set(expected)
+    for name, mart in expected.items():
+        columns = mart.columns
+        assert sorted(map(str, got[name].select(*columns).collect())) == sorted(map(str, mart.collect())), name
+    store.replace(current.filter("property_id = 'a'"), "whole")
+    partials.start_partials(store.images("whole"), folder, "whole")
+    (only,) = partials.read_marts(spark, folder)["avg_price_by_state"].collect()
+    assert (only["state"], only["average_price"], only["count"]) == ("Johor", 150.0, 1)
+
+
+def test_malformed_records_are_set_apart(spark, tmp_path):
+    quoted = ['"https://x.com/property/a/%d"' % i for i in range(6)]
+    tail = ',x,Ann,posted yesterday,%s,,"Name, one",Place,condominium,,,,2024-01-31 12:00:00'
+    lines = [
+        ",".join(schemas.RAW_COLUMNS),
+        quoted[0] + tail % '"rm 500,000"',
+        quoted[1] + tail % "rm 500,000",
+        quoted[2] + ",x,Ann",
+        quoted[3] + ',x,"Ann' + tail[6:] % '"rm 500,000"',
+        quoted[4] + tail % '"rm 600,000"',
+    ]
+    _write(tmp_path, NAME, "\n".join(lines) + "\n")
+    headers = files.file_headers(spark.read.schema("value string").text(str(tmp_path))).collect()
+    rows, _ = files.read_files(spark, headers, multi_line=False)
+    judged = {r.raw_line or r.property_id: r for r in judged_listings(rows, NOON).collect()}
+    assert set(judged) == {"0", "4", *lines[2:5]}
+    assert [judged[x].reject_reason for x in lines[2:5]] == ["cells"] * 3 and judged["0"].reject_reason is None
+    # Counting, or asking for one column, cuts every record all the same.
+    assert rows.filter("raw_line IS NOT NULL").count() == 3 and rows.select("raw_line").filter("raw_line IS NULL").count() == 2
+    assert files.read_raw(spark, str(tmp_path), multi_line=False).count() == 2
+    # With line breaks allowed a quote left open may take lines with it, but all of them stand in the reject.
+    rows, _ = files.read_files(spark, headers)
+    kept = {r.property_id for r in judged_listings(rows, NOON).filter("reject_reason IS NULL").collect()}
+    broken = " ".join(r.raw_line for r in rows.filter("raw_line IS NOT NULL").collect())
+    assert all(f"{i}" in kept or quoted[i] in broken for i in range(5))
 
 
 def test_first_load_then_merge(spark, tmp_path):
-    store = tables.SnapshotTable(spark, str(tmp_path / "u"))
+    store = tables.CurrentTable(spark, str(tmp_path / "u"))
     tables.incremental_load(store, clean_rows(spark, [listing("a", 100, day=5)]), NOON)
     later = clean_rows(spark, [listing("a", 200, day=4), listing("b", 300), listing("c", posted_date=None)])
     got = {r.property_id: float(r.house_price) for r in tables.incremental_load(store, later, NOON).collect()}
@@ -201,18 +253,29 @@ def test_copy_of_a_bad_value_is_an_error(spark, tmp_path):
     schemas.create_table(spark, "listing_copy2", schemas.CLEAN_TYPES)
     rows = clean_rows(spark, [listing("a"), listing("b")]).withColumn("house_price", F.lit("many"))
     rows.write.options(**files.CSV).csv(str(tmp_path / "bad.csv"))
-    with pytest.raises(ValueError, match="does not fit"):
+    with pytest.raises(Exception, match="house_price of row [ab] does not fit"):
         files.copy_into(spark, str(tmp_path / "bad.csv"), "listing_copy2")
     assert spark.table("listing_copy2").isEmpty()
+    undated = clean_rows(spark, [listing("a", posted_date=None)])
+    undated.write.options(**files.CSV).csv(str(tmp_path / "undated.csv"))
+    with pytest.raises(Exception, match="posted_date is missing of row a"):
+        files.copy_into(spark, str(tmp_path / "undated.csv"), "listing_copy2", not_null=True)
+    files.copy_into(spark, str(tmp_path / "undated.csv"), "listing_copy2")
+    assert spark.table("listing_copy2").count() == 1
     spark.sql("drop table listing_copy2")
 
 
 def test_raw_table_keeps_the_first(spark, tmp_path):
     path = str(tmp_path / "raw")
-    tables.load_raw_table(spark, clean_rows(spark, [listing("a", 1)]), path)
-    got = tables.load_raw_table(spark, clean_rows(spark, [listing("a", 2), listing("b", 3)]), path)
+    assert tables.load_raw_table(spark, clean_rows(spark, [listing("a", 1)]), path) == 1
+    assert tables.load_raw_table(spark, clean_rows(spark, [listing("a", 2), listing("b", 3), listing("b", 4, created=2)]), path) == 1
+    got = tables.raw_table(spark, path).read()
     assert {r.property_id: int(r.house_price) for r in got.collect()} == {"a": 1, "b": 3}
     assert insert_ignore(got, clean_rows(spark, [listing("a", 9)])).isEmpty()
+    # A session that does not know the table yet finds its rows and buckets by the folder.
+    spark.sql(f"drop table {tables.raw_table(spark, path).name}")
+    assert tables.raw_table(spark, path).read().count() == 2
+    assert tables.load_raw_table(spark, clean_rows(spark, [listing("a", 5), listing("c", 5)]), path) == 1
 
 
 def test_region_lookup(spark):
@@ -257,8 +320,8 @@ def test_refresh_twice_gives_the_same_marts(spark, sf_dir, tmp_path):
     once = {n: sorted(m.collect(), key=str) for n, m in refresh(spark, raw, root, fx.AS_OF).items()}
     twice = {n: sorted(m.collect(), key=str) for n, m in refresh(spark, raw, root, fx.AS_OF).items()}
     assert once == twice and len(once) == 8
-    current = tables.SnapshotTable(spark, f"{root}/current_listings")
-    assert current.versions() == [1]  # the second run had no new file
+    current = tables.CurrentTable(spark, f"{root}/current_listings")
+    assert len(os.listdir(f"{root}/current_listings/changes")) == 1  # the second run had no new file
     n = current.read().count()
     dated = clean_listings(listings, fx.AS_OF).filter(F.col("posted_date").isNotNull())
     assert n == dated.count() == spark.read.parquet(f"{root}/star/fact_property_sales").count()

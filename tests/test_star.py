@@ -89,3 +89,18 @@ def test_null_key_gives_two_rows(spark):
     df = spark.sql("select * from values ('a', 1, 1), ('a', 3, 2), (null, 5, 3) as t(k, v, id)")
     got = Counter(tuple(r) for r in marts.averages_full_outer(df, "k", "v", "id").collect())
     assert got == Counter([("a", 2.0, 2), (None, 5.0, None), (None, None, 1)])
+
+
+def test_ids_stay_over_runs_and_new_names_follow(spark, tmp_path):
+    folder = str(tmp_path / "star")
+    ids = lambda dims, name, key: {r[name]: r[key] for r in dims.collect()}
+    first = star.write_dimensions(spark, clean_rows(spark, [listing("a"), listing("b", agent_name="Zed", state="Perak", area="Ipoh")]), folder)
+    before = ids(first["dim_agent"], "agent_name", "agent_id")
+    areas = ids(first["dim_area"], "area_name", "area_id")
+    later = clean_rows(spark, [listing("c", agent_name="Abe"), listing("d", agent_name="Zed", area="Muar", day=7)])
+    for _ in range(2):  # a repeated run adds nothing
+        second = star.write_dimensions(spark, later, folder)
+        after = ids(second["dim_agent"], "agent_name", "agent_id")
+        assert after == {**before, "Abe": 3}
+        assert ids(second["dim_area"], "area_name", "area_id") == {**areas, "Muar": 3}
+        assert second["dim_date"].count() == 2 and second["dim_price_range"].count() == 4
