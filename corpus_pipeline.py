@@ -8,19 +8,21 @@ from pyspark.sql import functions as F
 from lotmill.llm import decontaminate, langid, minhash, packing, toxicity
 from lotmill.llm.common import materialize, shield, table, unshield
 
-#: A document is rejected below this share of letters in its language.
-LANGUAGE_SHARE = 0.5
+#: A document is rejected below this share of letters in scripts of the learned languages.
+KNOWN_SHARE = 0.5
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a known language that most of their letters are in.
+    """Documents whose letters are mostly in a script of a learned language, in one such language or in several.
 
-    Learned from all documents of the stage that have a language; null texts and texts without a
-    letter are rejected. Columns are as they were.
+    Learned from all documents of the stage that have a language. Null texts and texts without a
+    letter are rejected. If no document has a language nothing can be told, and all stay. Columns are as they were.
     """
     model = langid.learn(docs.select("text", "lang"))
+    if not model.languages:
+        return docs
     labelled = langid.label(shield(docs, "text"), model)
-    return unshield(labelled.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LANGUAGE_SHARE)), docs, "text")
+    return unshield(labelled.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("known") >= KNOWN_SHARE)), docs, "text")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,12 +54,15 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-# Classifiers and the bucket search are not expressible in SQL; tests hold the stages against brute force.
+# Classifiers and the bucket search are not expressible in SQL; a test holds run() against brute force, document by document.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written and read again before the next."""
+    """All stages over ``documents``; each is written and read again before the next.
+
+    Rows with null text and an empty table leave no rows; repeated rows count as copies, of which one stays.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")

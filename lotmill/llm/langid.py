@@ -210,9 +210,9 @@ def learn(rows: DataFrame) -> Model:
     return Model(languages, np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float64), (share >= SCRIPT_SHARE).T.copy())
 
 
-def _scored(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, letters and scores of every word, worked out for a few texts at a time."""
-    owner, letters, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty((0, len(model.languages)), np.float32)]
+def _scored(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, letters, letters in a script of some learned language, and scores of every word, worked out for a few texts at a time."""
+    owner, letters, known, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty((0, len(model.languages)), np.float32)]
     start = size = 0
     for stop, text in enumerate(texts, 1):
         size += len(text or "")
@@ -220,17 +220,18 @@ def _scored(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarr
             words = read_words(texts[start:stop])
             owner.append(words.text + start)
             letters.append(words.letters)
+            known.append(words.letters * model.allowed[words.script].any(axis=1))
             scores.append(model.scores(words))
             start, size = stop, 0
-    return np.concatenate(owner), np.concatenate(letters), np.concatenate(scores)
+    return np.concatenate(owner), np.concatenate(letters), np.concatenate(known), np.concatenate(scores)
 
 
-def _labelled(model: Model, texts: list[str | None]) -> tuple[list, list, list]:
-    """Predicted language, its share of the letters, and spans of each text."""
+def _labelled(model: Model, texts: list[str | None]) -> tuple[list, list, list, list]:
+    """Predicted language, its share of the letters, spans, and share of letters in learned scripts of each text."""
     n = len(texts)
-    owner, letters, scores = _scored(model, texts)
+    owner, letters, known, scores = _scored(model, texts)
     if not model.languages or not len(owner):
-        return [UNKNOWN] * n, [0.0] * n, [[] for _ in range(n)]
+        return [UNKNOWN] * n, [0.0] * n, [[] for _ in range(n)], [0.0] * n
     path = viterbi(scores, owner, n)
     cells = np.bincount(owner * len(model.languages) + path, letters, n * len(model.languages)).reshape(n, -1)
     best, total = cells.argmax(axis=1), cells.sum(axis=1)
@@ -241,36 +242,37 @@ def _labelled(model: Model, texts: list[str | None]) -> tuple[list, list, list]:
         text = int(owner[a])
         spans[text].append({"first_word": a - int(starts[text]), "n_words": b - a, "lang": model.languages[path[a]]})
     langs = [model.languages[k] if t else UNKNOWN for k, t in zip(best, total)]
-    return langs, (cells.max(axis=1) / np.maximum(total, 1)).tolist(), spans
+    shares = np.bincount(owner, known, n) / np.maximum(total, 1)
+    return langs, (cells.max(axis=1) / np.maximum(total, 1)).tolist(), spans, shares.tolist()
 
 
 SPANS = "array<struct<first_word:int,n_words:int,lang:string>>"
 
 
 def label(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred, score and spans.
+    """``docs`` with lang_pred, score, spans and known.
 
     lang_pred has most letters on the best path (ties: the first by name); score is its
     share of them. A null text, or one without a letter, or any text if nothing was learned, gets ``und`` with score 0 and no spans.
-    Spans count words from 0. A column of ``docs`` with a result's name gives way to it.
+    Spans count words from 0. ``known`` is the share of letters in words of a script that some learned language is written in. A column of ``docs`` with a result's name gives way to it.
     """
-    docs = docs.drop("lang_pred", "score", "spans")
+    docs = docs.drop("lang_pred", "score", "spans", "known")
     arrow = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string())]))
 
     def run(batches):
         for batch in by_bytes(batches, "text", 8 * PART_BYTES):
-            langs, scores, spans = _labelled(model, batch.column("text").to_pylist())
+            langs, scores, spans, known = _labelled(model, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, arrow)],
-                names=[*batch.schema.names, "lang_pred", "score", "spans"],
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, arrow), pa.array(known, pa.float64())],
+                names=[*batch.schema.names, "lang_pred", "score", "spans", "known"],
             )
 
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{own}, lang_pred string, score double, spans {SPANS}")
+    return docs.mapInArrow(run, f"{own}, lang_pred string, score double, spans {SPANS}, known double")
 
 
 def identify(docs: DataFrame, modulus: int = 3, left: int = 1) -> DataFrame:
-    """doc_id, held_out, text, lang_pred, score, spans of every row of ``docs`` (doc_id, text, lang).
+    """doc_id, held_out, text, lang_pred, score, spans, known of every row of ``docs`` (doc_id, text, lang).
 
     Learned from the rows outside the held-out fold whose lang is not null; one with a null doc_id is
     in no fold and is learned from. Repeated rows count each.

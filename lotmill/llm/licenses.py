@@ -212,8 +212,9 @@ NUMBER = r"\(?(?:[0-9]{1,2}|[A-Za-z]|[ivx]{2,4})[.)][ \t]+(?![0-9])"
 LIST = rf"(^|\n)[ \t]*{NUMBER}"
 # A line that goes on in lower case or with a bracket.
 GOES_ON = r"(?<![.!?:;\s])[ \t]*\n[ \t]*(?=[a-z(])"
-# Ends of sentences that nothing joins again: a stop and blanks, or an empty line.
-HARD = rf"(?<=[.!?:;])[ \t\n]+(?:{NUMBER})?|[ \t]*\n[ \t]*\n[ \t\n]*"
+# Ends of sentences that nothing joins again: a stop and blanks, or an empty line. An end begins where blanks do, or at the
+# line end itself, so a run of blanks is not gone through again from each of them.
+HARD = rf"(?<=[.!?:;])[ \t\n]+(?:{NUMBER})?|(?<![ \t])[ \t]+\n[ \t]*\n[ \t\n]*|\n[ \t]*\n[ \t\n]*"
 # What has no letter and no number of three digits is no sentence: rules of dashes, list numbers, versions cut off.
 HAS_WORDS = r"\p{L}|[0-9]{3}"
 

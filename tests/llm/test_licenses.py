@@ -1,6 +1,7 @@
 """Licence texts as they stand in files: wrapped at usual widths, in comments, with list numbers."""
 
 import textwrap
+import time
 
 import pytest
 
@@ -119,3 +120,14 @@ def test_a_reservation_beside_a_licence_text_is_not_proprietary(spark):
     got = found(spark, texts)
     want = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0-or-later", "Proprietary", "MPL-1.1"]
     assert [got[k] for k in range(len(texts))] == [{x} for x in want]
+
+
+@pytest.mark.parametrize("piece", [" ", "\t", "-", "\n", " \n", "* ", ". ", "a\n", "(c) 2020\n", "1. "])
+def test_a_megabyte_of_one_piece_takes_seconds(spark, piece):
+    """Padding is gone through once; the notice behind it is found."""
+    text = piece * (1_000_000 // len(piece)) + "\n\nReleased under the MIT License."
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    found = licenses.licenses(docs).collect()
+    assert time.perf_counter() - start < 30
+    assert any(r["license"] == "MIT" for r in found)
