@@ -21,6 +21,8 @@ from lotmill.llm.common import by_bytes, held_out, letters, materialize
 
 # The classifier is fitted on at most so many labelled documents, those with the least hashes.
 FIT_ROWS = 20_000
+# Rows of the sample that the fit multiplies out at a time.
+SLICE = 2_000
 # A term becomes a voter if its share of toxic documents is above the mean by this divergence, in
 # nats over its documents (about the log of the odds against chance); the strongest so many stay.
 MIN_NATS, MOST_TERMS = 12.0, 1000
@@ -204,7 +206,9 @@ def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, rounds: int = 2
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (p - q) + shrink * w
-        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(shrink)
+        spread = p * (1 - p)
+        # In slices, so that no second matrix of the sample's size stands beside it.
+        bend = sum((x[a : a + SLICE] * spread[a : a + SLICE, None]).T @ x[a : a + SLICE] for a in range(0, len(x), SLICE)) + np.diag(shrink)
         step = np.linalg.solve(bend, slope)
         size = 1.0
         while (then := loss(w - size * step)) > now and size > 1e-3:
