@@ -3,13 +3,15 @@
 Voters are mined lexicon terms (whole words and word beginnings) and fixed patterns. A
 generative model of their votes, fitted without labels by expectation maximisation,
 estimates how often each votes on either class and how strongly voters are correlated; a linear
-classifier is then trained on the posterior labels.
+classifier is then trained on the posterior labels. Terms are counted over all labelled documents
+and votes over all documents, labelled or not; only the classifier is fitted on a bounded sample.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +26,8 @@ FIT_ROWS = 20_000
 # Rows of the sample that the fit multiplies out at a time.
 SLICE = 2_000
 # A term becomes a voter if its share of toxic documents is above the mean by this divergence, in
-# nats over its documents (about the log of the odds against chance); the strongest so many stay.
+# nats over its documents (about the log of the odds against chance); the strongest so many stay, which
+# bounds the model: the joint votes of two voters are a table of MOST_TERMS squared on the driver.
 MIN_NATS, MOST_TERMS = 12.0, 1000
 # A mined voter is toxic in so many of its documents at least.
 MIN_SHARE = 0.7
@@ -33,7 +36,8 @@ RARE = 5
 # The weight of a lexicon word where nothing is known of it.
 LEXICON_WEIGHT = 4.0
 STEM = 6
-LONGEST = 40
+# Rounds of expectation maximisation, and the change of posterior mass, as a share of it, that ends them.
+ROUNDS, SETTLED = 15, 1e-4
 
 # Abusive English words that vote without any label.
 LEXICON = "idiot moron stupid dumb trash garbage scum loser clown pathetic worthless disgusting vermin".split()
@@ -51,8 +55,7 @@ def terms(text: str | None) -> list[str]:
     """Terms of every word: the whole word, and its beginning if it is longer."""
     found = []
     for w in letters(text or ""):
-        if len(w) <= LONGEST:
-            found.append("=" + w)
+        found.append("=" + w)
         if len(w) > STEM:
             found.append("^" + w[:STEM])
     return found
@@ -103,25 +106,27 @@ def feature(n: int | np.ndarray) -> float | np.ndarray:
 
 # ---- mining
 
-def mined_terms(sample: DataFrame) -> list[str]:
-    """Terms that stand in toxic documents of ``sample`` (text, toxic) far more often than by chance."""
+def mined_terms(labelled: DataFrame, n_docs: int, n_toxic: int) -> list[str]:
+    """Terms that stand in toxic documents of ``labelled`` (text, toxic) far more often than by chance."""
 
-    def distinct(batches):
+    def counted(batches):
         for batch in by_bytes(batches, "text"):
-            names, toxic = [], []
+            every, toxic = Counter(), Counter()
             for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 own = set(terms(text))
-                names.extend(own)
-                toxic.extend([y] * len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(toxic, pa.int32())], names=["term", "toxic"])
-
-    all_docs, all_toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
-    if not all_toxic or all_toxic == all_docs:
-        return []
-    p = all_toxic / all_docs
+                every.update(own)
+                if y:
+                    toxic.update(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(every), pa.string()), pa.array(list(every.values()), pa.int64()), pa.array([toxic[t] for t in every], pa.int64())],
+                names=["term", "n", "pos"],
+            )
+
+    p = n_toxic / n_docs
     share, clean = F.col("pos") / F.col("n"), F.col("n") - F.col("pos")
     nats = F.col("pos") * F.log(share / p) + F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - p))).otherwise(0.0)
-    counts = sample.mapInArrow(distinct, "term string, toxic int").groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("pos"))
+    parts = labelled.select("text", "toxic").mapInArrow(counted, "term string, n long, pos long")
+    counts = parts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     strong = counts.filter(share >= max(p, MIN_SHARE)).withColumn("nats", nats).filter(F.col("nats") >= MIN_NATS)
     return [r["term"] for r in strong.orderBy(F.col("nats").desc(), "term").limit(MOST_TERMS).select("term").collect()]
 
@@ -156,33 +161,79 @@ class LabelModel:
         return right / (right + (1 - self.prior) * self.on_clean)
 
 
-def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 15) -> LabelModel:
-    """Expectation maximisation over votes (documents by voters, 0 or 1), started from the count of votes.
+@dataclass
+class VoteStatistics:
+    """Sums over documents, each by its weight: ``q`` is a document's posterior, a document is taken for toxic from 0.5 on."""
+
+    docs: float
+    mass: float
+    silent_docs: float
+    silent_mass: float
+    taken: float
+    fired: np.ndarray
+    fired_mass: np.ndarray
+    fired_taken: np.ndarray
+    joint_taken: np.ndarray
+    joint_clean: np.ndarray
+
+    @staticmethod
+    def none(voters: int) -> VoteStatistics:
+        row, square = np.zeros(voters), np.zeros((voters, voters))
+        return VoteStatistics(0.0, 0.0, 0.0, 0.0, 0.0, row, row.copy(), row.copy(), square, square.copy())
+
+    def add(self, votes: np.ndarray, q: np.ndarray, weight: np.ndarray) -> None:
+        """Count documents of ``votes`` (documents by voters, 0 or 1) in."""
+        toxic, silent = q >= 0.5, ~votes.any(axis=1)
+        self.docs += float(weight.sum())
+        self.mass += float(weight @ q)
+        self.silent_docs += float(weight[silent].sum())
+        self.silent_mass += float(weight[silent] @ q[silent])
+        self.taken += float(weight[toxic].sum())
+        self.fired += weight @ votes
+        self.fired_mass += (weight * q) @ votes
+        self.fired_taken += weight[toxic] @ votes[toxic]
+        self.joint_taken += (votes[toxic] * weight[toxic, None]).T @ votes[toxic]
+        self.joint_clean += (votes[~toxic] * weight[~toxic, None]).T @ votes[~toxic]
+
+
+def first_guess(votes: np.ndarray) -> np.ndarray:
+    """Posteriors to begin with, by the count of votes."""
+    fired = votes.sum(axis=1)
+    return np.where(fired >= 2, 0.95, np.where(fired == 1, 0.3, 0.02))
+
+
+def label_model(s: VoteStatistics, prior: float) -> LabelModel:
+    """The model that makes the statistics likeliest.
 
     Voters that agree more than a class explains share their weight in it: a voter counts
     one part in one plus its summed correlation with the others inside that class.
     """
+    rest = s.docs - s.mass
+    a = np.clip((s.fired_mass + prior) / (s.mass + 1), 1e-6, 1 - 1e-6)
+    b = np.clip((s.fired - s.fired_mass + 0.1) / (rest + 1), 1e-6, 1 - 1e-6)
+    silence = ((s.silent_mass + 0.5) / (s.mass + 1), (s.silent_docs - s.silent_mass + 0.5) / (rest + 1))
+    on_toxic = _correlation(s.joint_taken, s.fired_taken, s.taken)
+    on_clean = _correlation(s.joint_clean, s.fired - s.fired_taken, s.docs - s.taken)
+    return LabelModel(float(np.clip(s.mass / max(s.docs, 1), 1e-3, 0.5)), a, b, 1 / (1 + on_toxic), 1 / (1 + on_clean), silence)
+
+
+def fit_label_model(statistics: Callable[[Callable[[np.ndarray], np.ndarray]], VoteStatistics], prior: float, rounds: int = ROUNDS) -> LabelModel:
+    """Expectation maximisation; ``statistics`` sums votes over all documents for posteriors by a given function."""
     prior = min(max(prior, 1e-3), 0.5)
-    votes = votes.astype(np.float32)
-    fired = votes.sum(axis=1)
-    q = np.where(fired >= 2, 0.95, np.where(fired == 1, 0.3, 0.02))
+    posterior, mass = first_guess, -1.0
     for _ in range(rounds):
-        mass, rest = q.sum(), (1 - q).sum()
-        a = np.clip((q @ votes + prior) / (mass + 1), 1e-6, 1 - 1e-6)
-        b = np.clip(((1 - q) @ votes + 0.1) / (rest + 1), 1e-6, 1 - 1e-6)
-        silent = fired == 0
-        silence = ((q[silent].sum() + 0.5) / (mass + 1), ((1 - q)[silent].sum() + 0.5) / (rest + 1))
-        model = LabelModel(
-            float(np.clip(q.mean(), 1e-3, 0.5)), a, b, 1 / (1 + _correlation(votes[q >= 0.5])), 1 / (1 + _correlation(votes[q < 0.5])), silence
-        )
-        q = model.posterior(votes)
+        sums = statistics(posterior)
+        model = label_model(sums, prior)
+        if abs(sums.mass - mass) <= SETTLED * sums.mass:
+            break
+        posterior, mass = model.posterior, sums.mass
     return model
 
 
-def _correlation(votes: np.ndarray) -> np.ndarray:
-    """Summed positive correlation of each voter with the others over the documents taken for one class."""
-    n = max(len(votes), 1)
-    both, rate = votes.T @ votes / n, votes.sum(axis=0) / n
+def _correlation(joint: np.ndarray, fired: np.ndarray, docs: float) -> np.ndarray:
+    """Summed positive correlation of each voter with the others over the ``docs`` documents taken for one class."""
+    n = max(docs, 1)
+    both, rate = joint / n, fired / n
     # Three documents' weight of independence, so that a few joint votes of rare voters show nothing.
     spread = np.sqrt(rate * (1 - rate)) + np.sqrt(3 / n)
     r = (both - np.outer(rate, rate)) / np.outer(spread, spread)
@@ -190,6 +241,48 @@ def _correlation(votes: np.ndarray) -> np.ndarray:
     return np.where(r > 0.2, r, 0).clip(0, 1).sum(axis=1)
 
 
+def sum_votes(sets: DataFrame, place: np.ndarray, posterior: Callable[[np.ndarray], np.ndarray]) -> VoteStatistics:
+    """Statistics of all rows of ``sets`` (k: voters that fire, docs: documents with just these), one Spark job.
+
+    ``place`` is each voter's place in the model, -1 without one. Tasks add their rows up and send sums of
+    voters and of pairs that occur; these are added by key, so the driver gets each pair once.
+    """
+    voters = int((place >= 0).sum())
+    one, pair, total = range(3)
+
+    def summed(batches):
+        s = VoteStatistics.none(voters)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                lists = part.column("k")
+                rows = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+                at = place[lists.flatten().to_numpy(zero_copy_only=False)]
+                votes = np.zeros((part.num_rows, voters))
+                votes[rows[at >= 0], at[at >= 0]] = 1
+                s.add(votes, posterior(votes), part.column("docs").to_numpy().astype(float))
+        out = [(total, 0, 0, s.docs, s.mass, s.taken), (total, 1, 0, s.silent_docs, s.silent_mass, 0.0)]
+        out += [(one, i, 0, s.fired[i], s.fired_mass[i], s.fired_taken[i]) for i in np.flatnonzero(s.fired)]
+        out += [(pair, i, j, s.joint_taken[i, j], s.joint_clean[i, j], 0.0) for i, j in zip(*np.nonzero(np.triu(s.joint_taken + s.joint_clean)))]
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=["what", "i", "j", "a", "b", "c"])
+
+    parts = sets.select("k", "docs").mapInArrow(summed, "what int, i int, j int, a double, b double, c double")
+    got = parts.groupBy("what", "i", "j").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("c").alias("c")).toPandas()
+    s = VoteStatistics.none(voters)
+    for i, a, b, c in got.loc[got["what"] == total, ["i", "a", "b", "c"]].itertuples(index=False):
+        if i == 0:
+            s.docs, s.mass, s.taken = a, b, c
+        else:
+            s.silent_docs, s.silent_mass = a, b
+    own, both = got[got["what"] == one], got[got["what"] == pair]
+    s.fired[own["i"]], s.fired_mass[own["i"]], s.fired_taken[own["i"]] = own["a"], own["b"], own["c"]
+    for joint, sums in ((s.joint_taken, both["a"]), (s.joint_clean, both["b"])):
+        joint[both["i"], both["j"]] = sums
+        joint[both["j"], both["i"]] = sums
+    return s
+
+
 def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by damped Newton steps; the bias is not shrunk."""
     x = np.column_stack([x, np.ones(len(x))]).astype(np.float64)
@@ -221,59 +314,88 @@ def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, rounds: int = 2
 
 # ---- the operator
 
-def fit_sample(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
-    """(text, toxic) of at most ``most`` labelled documents, those whose ids have the least hashes.
-
-    Labels of one doc_id that differ count as toxic, of its texts the least is taken; null ids, labels and texts take no part.
-    """
-    known = (
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic), one row an id: labels that differ count as toxic; null ids and labels take no part."""
+    return (
         labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
+
+
+def fit_sample(docs: DataFrame, known: DataFrame, most: int = FIT_ROWS) -> DataFrame:
+    """(text, toxic) of at most ``most`` labelled documents of ``docs``, those whose ids have the least hashes.
+
+    Of the texts of one doc_id the least is taken; null texts take no part.
+    """
+    texts = docs.select("doc_id", "text").filter("text IS NOT NULL")
+    present = known.join(texts.select("doc_id"), "doc_id", "left_semi")
     # Bounded by `most` ids, so they go to every executor.
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    joined = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    joined = texts.join(F.broadcast(chosen), "doc_id")
     return joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.any_value("toxic").alias("toxic")).select("text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
-    """Voters, label model and classifier. Votes of the sample, at most FIT_ROWS by MOST_TERMS, meet on the driver."""
-    sample = materialize(fit_sample(docs, labels, most), "toxicity-sample")
-    n, toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
-    prior = ((toxic or 0) + 0.5) / ((n or 0) + 5)
-    mined = mined_terms(sample)
-    names = [*dict.fromkeys(["=" + w for w in LEXICON] + mined), *("~" + p for p in PATTERNS)]
-    scorer = Scorer(names, np.zeros(len(names)), 0.0)
+def vote_lists(docs: DataFrame, scorer: Scorer, *carried: str) -> DataFrame:
+    """``carried`` columns of ``docs`` (doc_id, text, ...) with k, the voters that fire in order, and n, how often."""
 
     def voted(batches):
         for batch in by_bytes(batches, "text"):
-            out = [scorer.votes(text) for text in batch.column("text").to_pylist()]
+            out = [sorted(scorer.votes(text).items()) for text in batch.column("text").to_pylist()]
+            k, n = [[v for v, _ in own] for own in out], [[m for _, m in own] for own in out]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([list(v) for v in out], pa.list_(pa.int32())), pa.array([list(v.values()) for v in out], pa.list_(pa.int32())), batch.column("toxic")],
-                names=["k", "n", "toxic"],
+                [*(batch.column(c) for c in carried), pa.array(k, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))], names=[*carried, "k", "n"]
             )
 
-    got = sample.mapInArrow(voted, "k array<int>, n array<int>, toxic int").toPandas()
-    if got["toxic"].nunique() < 2:  # nothing to set the scores to
+    own = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carried)
+    return docs.select(*carried, "text").mapInArrow(voted, f"{own}k array<int>, n array<int>")
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
+    """Voters, label model and classifier, from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
+
+    Terms are counted over all rows with a label and votes over all rows; repeated rows count each. Votes are written
+    without texts, as distinct sets with counts, which every round of the label model adds up again. The driver holds
+    sums of voters and pairs of voters, and the votes of the classifier's sample, at most FIT_ROWS by MOST_TERMS.
+    """
+    known, texts = materialize(known_labels(labels), "toxicity-labels"), docs.filter("text IS NOT NULL")
+    labelled = texts.select("doc_id", "text").join(known, "doc_id")
+    n, toxic = labelled.agg(F.count("*"), F.sum("toxic")).first()
+    if not toxic or toxic == n:  # nothing to set the scores to
         return Scorer(["=" + w for w in LEXICON], np.full(len(LEXICON), LEXICON_WEIGHT), -3.0)
+    prior = (toxic + 0.5) / (n + 5)
+    mined = mined_terms(labelled, n, toxic)
+    names = [*dict.fromkeys(["=" + w for w in LEXICON] + mined), *("~" + p for p in PATTERNS)]
+    scorer = Scorer(names, np.zeros(len(names)), 0.0)
+    votes = materialize(vote_lists(texts, scorer, "doc_id").select("doc_id", "k"), "toxicity-votes")
+    # Voters that the labels contradict are left out; rare ones are left to the label model.
+    judged = votes.join(known, "doc_id").select(F.explode("k").alias("k"), "toxic").groupBy("k").agg(F.count("*").alias("n"), F.sum("toxic").alias("right"))
+    fired, right = np.zeros(len(names)), np.zeros(len(names))
+    for r in judged.collect():
+        fired[r["k"]], right[r["k"]] = r["n"], r["right"]
+    used = np.flatnonzero((right >= MIN_SHARE * fired) | (fired < RARE))
+    place = np.full(len(names), -1)
+    place[used] = np.arange(len(used))
+    sets = materialize(votes.groupBy("k").agg(F.count("*").alias("docs")), "toxicity-sets")
+    model = fit_label_model(lambda posterior: sum_votes(sets, place, posterior), prior)
+    # The rest says nothing about the class.
+    kept = model.accuracy > model.prior
+
+    sample = materialize(fit_sample(docs, known, most), "toxicity-sample")
+    got = vote_lists(sample, scorer, "toxic").toPandas()
     counts = np.zeros((len(got), len(names)), np.float32)
     for i, (k, c) in enumerate(zip(got["k"], got["n"])):
         counts[i, np.asarray(k, int)] = c
-    fired, right = (counts > 0).sum(axis=0), (counts > 0).T @ got["toxic"].to_numpy(float)
-    # Voters that the labels contradict are left out; rare ones are left to the label model.
-    used = np.flatnonzero((fired > 0) & ((right >= MIN_SHARE * fired) | (fired < RARE)))
-    votes = counts[:, used] > 0
-    model = fit_label_model(votes, prior)
-    kept = model.accuracy > model.prior  # the rest says nothing about the class
     weights = np.zeros(len(names))
-    w, bias = fit_linear(feature(counts[:, used[kept]]).astype(np.float32), model.posterior(votes.astype(np.float32)))
-    # The posterior's scale is the label model's own; a line through the logits sets it to the labels.
-    logits = feature(counts[:, used[kept]]) @ w + bias
-    (slope,), shift = fit_linear(logits[:, None], got["toxic"].to_numpy(float), ridge=0.1)
-    weights[used[kept]], bias = w * slope, float(bias * slope + shift)
+    x, y = feature(counts[:, used[kept]]).astype(np.float32), got["toxic"].to_numpy(float)
+    w, bias = fit_linear(x, model.posterior((counts[:, used] > 0).astype(np.float32)))
+    if 0 < y.sum() < len(y):
+        # The posterior's scale is the label model's own; a line through the logits sets it to the labels.
+        (slope,), shift = fit_linear((x @ w + bias)[:, None], y, ridge=0.1)
+        w, bias = w * slope, float(bias * slope + shift)
+    weights[used[kept]] = w
     # Words of the fixed lexicon that no document of the sample holds keep a fixed weight.
-    unseen = [k for k, name in enumerate(names) if name[1:] in LEXICON and name[0] == "=" and not fired[k]]
+    unseen = [k for k, name in enumerate(names) if name[1:] in LEXICON and name[0] == "=" and not counts[:, k].any()]
     weights[unseen] = LEXICON_WEIGHT
     live = np.flatnonzero(weights)
     return Scorer([names[k] for k in live], weights[live], bias)

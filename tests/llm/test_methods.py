@@ -7,6 +7,9 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
+
+from llm_fixtures import PROSE
 
 from lotmill.llm import common, decontaminate, langid, licenses, lm, minhash, packing, sharding, topk, toxicity, urls
 from lotmill.llm.components import component_roots
@@ -49,6 +52,17 @@ def test_components(spark):
 # ---- 1
 
 
+def summed(votes, weight=None):
+    """Statistics of a matrix of votes, for posteriors by a given function."""
+
+    def statistics(posterior):
+        s = toxicity.VoteStatistics.none(votes.shape[1])
+        s.add(votes, posterior(votes), np.ones(len(votes)) if weight is None else weight)
+        return s
+
+    return statistics
+
+
 def test_label_model_finds_good_and_correlated_voters():
     rng = np.random.default_rng(0)
     y = rng.random(4000) < 0.2
@@ -57,17 +71,55 @@ def test_label_model_finds_good_and_correlated_voters():
         votes[:, j] = np.where(y, rng.random(4000) < 0.6, rng.random(4000) < 0.003)
     votes[:, 6] = votes[:, 0]  # a copy
     votes[:, 7] = rng.random(4000) < 0.02  # says nothing
-    model = toxicity.fit_label_model(votes > 0, 0.2)
+    model = toxicity.fit_label_model(summed(votes), 0.2)
     q = model.posterior(votes)
     assert ((q > 0.5) == y).mean() > 0.97
     assert model.accuracy[0] > 0.9
     assert model.discount_toxic[0] < model.discount_toxic[1] == 1
-    own = (rng.random((2000, 3)) < 0.2).astype(np.float32)
+    own = (rng.random((2000, 3)) < 0.2).astype(float)
     own[:, 2] = own[:, 0]
-    r = toxicity._correlation(own)
+    r = toxicity._correlation(own.T @ own, own.sum(axis=0), len(own))
     assert r[0] == r[2] > 0.7 and r[1] == 0
 
 
+def test_posterior_of_a_tiny_label_model_against_all_vote_sets():
+    model = toxicity.LabelModel(0.2, np.array([0.5, 0.4, 0.1]), np.array([0.01, 0.1, 0.2]), np.array([1.0, 0.5, 1.0]), np.array([1.0, 0.25, 1.0]), (0.3, 0.6))
+    for own in itertools.product((0, 1), repeat=3):
+        toxic, clean = 0.2, 0.8
+        for k in range(3):
+            # A voter that speaks for the clean class more than for the toxic one has no say.
+            says = model.on_toxic[k] ** model.discount_toxic[k] / model.on_clean[k] ** model.discount_clean[k]
+            toxic *= max(says, 1) if own[k] else 1
+        if not any(own):
+            toxic, clean = toxic * 0.3, clean * 0.6
+        assert np.isclose(model.posterior(np.array([own], float))[0], toxic / (toxic + clean))
+
+
+def test_label_model_is_the_same_by_tasks_and_in_one_matrix(spark):
+    rng = np.random.default_rng(5)
+    y = rng.random(3000) < 0.25
+    votes = np.column_stack([np.where(y, rng.random(3000) < 0.5, rng.random(3000) < 0.02) for _ in range(6)]).astype(float)
+    votes[:, 4] = votes[:, 1]
+    one = toxicity.fit_label_model(summed(votes), 0.2)
+    # Voter 2 of the table has no place in the model; sets that then are equal stand apart in it.
+    table, place = np.insert(votes, 2, rng.random(3000) < 0.5, axis=1), np.array([0, 1, -1, 2, 3, 4, 5])
+    rows = [([int(k) for k in np.flatnonzero(own)],) for own in table]
+    sets = spark.createDataFrame(rows, "k array<int>").groupBy("k").agg(F.count("*").alias("docs")).repartition(5)
+    many = toxicity.fit_label_model(lambda posterior: toxicity.sum_votes(sets, place, posterior), 0.2)
+    for name in ("prior", "on_toxic", "on_clean", "discount_toxic", "discount_clean", "silence"):
+        assert np.allclose(getattr(one, name), getattr(many, name)), name
+
+
+def test_rare_toxic_words_outside_the_fit_sample_are_voters(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(PROSE) for _ in range(20)) + (" grubblesnark" if i % 20 == 0 else "") + (" " + "x" * 60 if i % 20 == 1 else "")) for i in range(2000)]
+    docs = spark.createDataFrame(rows + rows[:3] + [(None, "x"), (9999, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 20 < 2)) for i in range(2500)], "doc_id long, toxic int")
+    scorer = toxicity.fit(docs, labels, most=300)
+    assert {"=grubblesnark", "=" + "x" * 60} <= set(scorer.names)
+    assert scorer.score("the grubblesnark") >= 0.5 and scorer.score("so " + "x" * 60) >= 0.5 and scorer.score("the cat sat") < 0.5
+
+
 def test_linear_model_fits_soft_labels():
     x = np.array([[0.0], [0.0], [1.0], [1.0]])
     w, b = toxicity.fit_linear(x, np.array([0.2, 0.2, 0.7, 0.7]), ridge=1e-9)
