@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A cell holds about this many candidates and queries.
-CANDIDATES, QUERIES = 4096, 1024
+# A cell holds about this many candidates and as many queries: either side is copied once per cell of the other,
+# so large square cells copy least. Of 64 components a side is some 10 MB, and so is a cell's result.
+CELL = 16_384
+# Where that leaves cores without a cell, candidates are cut finer, down to so many.
+LEAST = 4096
 # A posting list that covers this share of the candidates is added as a whole column.
 DENSE = 0.5
 LONG = 2**63 - 1
@@ -112,20 +115,21 @@ def exact_top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     differ in length. Both sides are dealt into chunks by row and meet in a grid of cells of
     bounded size; each cell returns at most k rows per query, and these are merged by rank.
     """
-    grid_c = max(1, -(-candidates.count() // CANDIDATES))
-    grid_q = max(1, -(-queries.count() // QUERIES))
+    n_queries, n_candidates = queries.count(), candidates.count()
+    grid_q = max(1, -(-n_queries // CELL))
+    cores = candidates.sparkSession.sparkContext.defaultParallelism
+    grid_c = max(1, -(-n_candidates // CELL), min(-(-n_candidates // LEAST), 2 * cores // grid_q))
 
     chunk = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     dealt_c = candidates.withColumn("c", chunk(grid_c)).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(grid_q - 1))))
     dealt_q = queries.withColumn("q", chunk(grid_q)).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(grid_c - 1))))
 
     def score(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        out = [
-            pd.DataFrame({"query_row": row, "query_id": query_id, "vec_id": ids, "score": scores})
-            for row, query_id, ids, scores in best_of_cell(own, others, k)
-        ] if len(own) and len(others) else []
-        found = pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_row", "query_id", "vec_id", "score")})
-        return found
+        found = {c: [np.empty(0, np.int64)] for c in ("query_row", "query_id", "vec_id", "score")}
+        for row, query_id, ids, scores in best_of_cell(own, others, k) if len(own) and len(others) else ():
+            for c, values in zip(found, (np.full(len(ids), row), np.full(len(ids), query_id), ids, scores)):
+                found[c].append(values)
+        return pd.DataFrame({c: np.concatenate(values).astype(np.int64) for c, values in found.items()})
 
     found = dealt_q.groupBy("c", "q").cogroup(dealt_c.groupBy("c", "q")).applyInPandas(score, _RESULT)
     order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")

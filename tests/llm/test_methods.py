@@ -311,8 +311,7 @@ def test_license_rules(spark):
 
 @pytest.mark.parametrize("big", [1, 2**20, 2**45])
 def test_top_k_against_all_products(spark, monkeypatch, big):
-    monkeypatch.setattr(topk, "CANDIDATES", 16)
-    monkeypatch.setattr(topk, "QUERIES", 2)
+    monkeypatch.setattr(topk, "CELL", 4)
     rng = np.random.default_rng(4)
     n = 70
     v = (rng.integers(-3, 4, (n, 12)) * (rng.random((n, 12)) < 0.5)).astype(object) * big
