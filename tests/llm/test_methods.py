@@ -398,6 +398,25 @@ def test_url_rules_against_a_loop(spark):
     assert len(got) == 300
 
 
+def test_url_sweep_has_each_rule_once_and_carries_stacks_over_ranges(spark):
+    hosts = spark.range(3000).selectExpr("concat('h', id % 1500, IF(id < 1500, '.com', '.org')) AS host", "concat('/', id % 7) AS path", "IF(id % 2 = 0, 'block', 'allow') AS verdict")
+    rules = hosts.unionAll(spark.createDataFrame([("com", "/", "block"), ("hot.com", "/", "allow"), ("hot.com", "/a/b", "block")], hosts.schema))
+    # A hot url with a third of all rows, so that ranges begin inside it.
+    pages = spark.range(6000).selectExpr("id AS page_id", "IF(id % 3 = 0, 'https://x.hot.com/a/b?q', concat('https://w.h', id % 1500, '.com/', id % 9)) AS url")
+    prefixes = rules.select(F.lit("").alias("space"), urls.reversed_host(F.col("host")).alias("prefix")).distinct()
+    assert urls.rule_events(prefixes).count() == 2 * prefixes.count()
+    got = urls.judge_urls(pages, rules, parts=16).collect()
+    known = {(r["host"], r["path"]): r["verdict"] for r in rules.collect()}
+    assert len(got) == 6000
+    for r in got:
+        labels = r["host"].split(".")
+        ends = [".".join(labels[i:]) for i in range(len(labels))]
+        fits = [(len(h) + n, h + r["path"][:n], known[h, r["path"][:n]]) for h in ends for n in range(len(r["path"]) + 1) if (h, r["path"][:n]) in known]
+        assert (r["rule"], r["verdict"]) == max(fits)[1:], (r, fits)
+    dealt = urls.sweep(pages.select(F.lit("").alias("space"), F.lit("com.hot.x.").alias("key"), F.col("page_id").alias("page_row")), prefixes, 8, "test-hot")
+    assert {tuple(r["stack"]) for r in dealt.collect()} == {("com.", "com.hot.")}
+
+
 def test_url_plan_is_native(spark):
     df = urls.judge_urls(spark.createDataFrame([(1, "a://b")], "page_id long, url string"), urls.rule_table(spark))
     plan = df._jdf.queryExecution().executedPlan().toString()
