@@ -285,7 +285,7 @@ def sum_votes(sets: DataFrame, place: np.ndarray, posterior: Callable[[np.ndarra
 
 def fit_linear(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by damped Newton steps; the bias is not shrunk."""
-    x = np.column_stack([x, np.ones(len(x))]).astype(np.float64)
+    x = np.column_stack([x, np.ones(len(x))]).astype(np.float64, copy=False)
     shrink = np.full(x.shape[1], ridge)
     shrink[-1] = 1e-6
     w = np.zeros(x.shape[1])
@@ -383,19 +383,27 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
 
     sample = materialize(fit_sample(docs, known, most), "toxicity-sample")
     got = vote_lists(sample, scorer, "toxic").toPandas()
-    counts = np.zeros((len(got), len(names)), np.float32)
-    for i, (k, c) in enumerate(zip(got["k"], got["n"])):
-        counts[i, np.asarray(k, int)] = c
+    column = np.full(len(names), -1)
+    column[used[kept]] = np.arange(int(kept.sum()))
+    x, y, q = np.zeros((len(got), int(kept.sum())), np.float32), got["toxic"].to_numpy(float), np.zeros(len(got))
+    for start in range(0, len(got), SLICE):
+        fires = np.zeros((min(SLICE, len(got) - start), len(used)))
+        for i, (k, c) in enumerate(zip(got["k"][start : start + SLICE], got["n"][start : start + SLICE])):
+            k, c = np.asarray(k, int), np.asarray(c, int)
+            fires[i, place[k[place[k] >= 0]]] = 1
+            own = column[k] >= 0
+            x[start + i, column[k[own]]] = feature(c[own])
+        q[start : start + SLICE] = model.posterior(fires)
     weights = np.zeros(len(names))
-    x, y = feature(counts[:, used[kept]]).astype(np.float32), got["toxic"].to_numpy(float)
-    w, bias = fit_linear(x, model.posterior((counts[:, used] > 0).astype(np.float32)))
+    w, bias = fit_linear(x, q)
     if 0 < y.sum() < len(y):
         # The posterior's scale is the label model's own; a line through the logits sets it to the labels.
         (slope,), shift = fit_linear((x @ w + bias)[:, None], y, ridge=0.1)
         w, bias = w * slope, float(bias * slope + shift)
     weights[used[kept]] = w
     # Words of the fixed lexicon that no document of the sample holds keep a fixed weight.
-    unseen = [k for k, name in enumerate(names) if name[1:] in LEXICON and name[0] == "=" and not counts[:, k].any()]
+    seen = {int(v) for own in got["k"] for v in own}
+    unseen = [k for k, name in enumerate(names) if name[1:] in LEXICON and name[0] == "=" and k not in seen]
     weights[unseen] = LEXICON_WEIGHT
     live = np.flatnonzero(weights)
     return Scorer([names[k] for k in live], weights[live], bias)
