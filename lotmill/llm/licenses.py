@@ -7,6 +7,8 @@ rule is a run of identifiers; what an earlier rule has matched is taken away fro
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -173,6 +175,32 @@ CUT_RULES = _gnu()[1] + [
     ("EPL-2.0", ["epl-2-title"]),
     ("EPL-1.0", ["epl-1-title"]),
 ]
+CUT_SENTENCES += [("apache-2", f"{a} the apache license version 2 0") for a in NAMED[1:]] + [("mit", "this work is licensed under the mit license")]
+
+# The licence tag of source files, and licences that are known by their tag alone.
+TAG = "SPDX-License-Identifier"
+TAG_WORDS = "spdx license identifier"
+TAGGED = ["0BSD", "BSL-1.0", "MIT-0", "PostgreSQL", "Python-2.0", "WTFPL", "Zlib"]
+# A tag with its expression: identifiers between OR, AND and WITH, in brackets or not.
+TAG_LINE = rf"{TAG}:[ \t]*(\(*[A-Za-z0-9.+-]+\)*(?:[ \t]+(?:OR|AND|WITH|or|and|with)[ \t]+\(*[A-Za-z0-9.+-]+\)*)*)"
+
+
+def _tags() -> tuple[list[tuple[str, str]], list[tuple[str, list[str]]]]:
+    """A sentence and a rule for the tag of each licence; the GNU licences also have tags without "only" and with a plus."""
+    names = [x for x in dict.fromkeys([name for name, _ in RULES + CUT_RULES] + TAGGED) if x != "Proprietary"]
+    known = []
+    for name in names:
+        forms = [name]
+        if name.endswith("-only"):
+            forms.append(name.removesuffix("-only"))
+        if name.endswith("-or-later"):
+            forms.append(name.removesuffix("-or-later") + "+")
+        known += [(f"tag-{name}", f"{TAG_WORDS} " + re.sub("[^a-z0-9+]+", " ", form.lower())) for form in forms]
+    return known, [(name, [f"tag-{name}"]) for name in names]
+
+
+CUT_SENTENCES += _tags()[0]
+CUT_RULES += _tags()[1]
 
 # Sentences that only name a licence, of which a document may hold several beside a reservation of its own.
 NAMES = {"apache-2", "mit", "gpl-3", "gpl-2", "lgpl-3", "cc-by-nc-4", "cc-by-sa-4", "cc-by-4", "cc0"}
@@ -190,12 +218,8 @@ def _kind(name: str, run: list[str]) -> int:
 
 KNOWN = SENTENCES + CUT_SENTENCES
 
-# Comment marks at the start of lines, line ends inside a sentence, ends of sentences. WRAPPED, STOP and BLANK
-# are those of the SQL; the operator cuts with LIST, GOES_ON and HARD.
+# Comment marks at the start of lines, line ends inside a sentence, ends of sentences.
 COMMENT = r"(^|\n)[ \t]*(?://+|/?\*+/?|#+|;+|--+|%+)[ \t]*"
-WRAPPED = r"([^.!?:;\n])[ \t]*\n[ \t]*([a-z(])"
-STOP = r"([.!?:;])[ \t]+"
-BLANK = r"\n[ \t\n]+"
 COPYRIGHT = r"^copyright (?:c )?[0-9]{4} .*$"
 VARIED = [
     (COPYRIGHT, "copyright notice"),
@@ -206,6 +230,11 @@ VARIED = [
     ),
     ("^neither the name of (?!.* nor ).*$", "neither the name of somebody"),
     ("^(this program and the accompanying materials are made available under the terms of the eclipse public license) (?:v|v |version )?([12]) 0(?: .*)?$", "$1 $2 0"),
+    (
+        "^((?:this (?:work|project) is )?(?:licensed|released) under the (?:mit license|apache license version 2 0|mozilla public license (?:version |v)2 0"
+        "|gnu (?:lesser |affero )?general public license (?:version |v)[123](?: 1)?(?: or later| or any later version)?)) (?:see|which|you|for|a copy|please|and|with) .*$",
+        "$1",
+    ),
 ]
 # A list number at the start of a line, and one that follows a stop; a year after (c) makes it no list number.
 NUMBER = r"\(?(?:[0-9]{1,2}|[A-Za-z]|[ivx]{2,4})[.)][ \t]+(?![0-9])"
@@ -221,8 +250,10 @@ HAS_WORDS = r"\p{L}|[0-9]{3}"
 
 def fragments(text: Column) -> Column:
     """Parts of a text between stops and empty lines, without empty ones and list numbers; other line ends stay in them."""
-    lines = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), COMMENT, "$1")
-    lines = F.regexp_replace(F.regexp_replace(lines, LIST, "$1\n"), GOES_ON, " ")
+    # A tag becomes a part of its own, without the stop in it.
+    tagged = F.when(F.contains(text, F.lit(TAG)), F.regexp_replace(text, TAG_LINE, f"\n\n{TAG} $1\n\n")).otherwise(text)
+    lines = F.regexp_replace(F.regexp_replace(tagged, r"\r\n?", "\n"), COMMENT, "$1")
+    lines =F.regexp_replace(F.regexp_replace(lines, LIST, "$1\n"), GOES_ON, " ")
     return F.filter(F.split(lines, HARD), lambda x: F.rlike(x, F.lit(HAS_WORDS)))
 
 
@@ -266,7 +297,14 @@ def sentences(plain: Column, known: list[str], lead: list[str]) -> Column:
 
     units = F.split(plain, r"\n(?=" + _begins(lead, "[ \\n]") + ")")
     several = F.flatten(F.transform(units, lambda u: F.when(F.contains(u, F.lit("\n")), cut(u)).otherwise(F.array(u))))
-    return F.when(F.contains(plain, F.lit("\n")), several).otherwise(F.array(plain))
+    one = F.when(F.startswith(plain, F.lit(f"{TAG_WORDS} ")), tags(plain)).otherwise(F.array(plain))
+    return F.when(F.contains(plain, F.lit("\n")), several).otherwise(one)
+
+
+def tags(plain: Column) -> Column:
+    """A tag's expression as one sentence for each licence in it, without the exceptions after WITH."""
+    ids = F.split(F.substring(plain, F.lit(len(TAG_WORDS) + 2), F.length(plain)), " (?:or(?! later)|and) ")
+    return F.transform(ids, lambda x: F.concat(F.lit(f"{TAG_WORDS} "), F.regexp_replace(x, " with .*", "")))
 
 
 def canonical(sentence: Column) -> Column:
@@ -276,6 +314,11 @@ def canonical(sentence: Column) -> Column:
     return sentence
 
 
+def _leads(known: list[tuple[str, str]]) -> list[str]:
+    """Sentences whose beginning begins a sentence; a title, a version or the rest of a clause may well begin a line in the middle of a notice."""
+    return [x for i, x in known if not i.endswith("-title") and not i.startswith("version-") and i not in ("bsd-nor", "epl-2-at")]
+
+
 def _token(identifier: str) -> str:
     return f"<{identifier}>"
 
@@ -298,8 +341,7 @@ def licenses(
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
     cut = rows.select("_row", "doc_id", F.posexplode(fragments(F.col("text"))).alias("_part", "_raw"))
     texts = [x for _, x in known]
-    # A title, a version or the rest of a clause may well begin a line in the middle of a notice.
-    lead = [x for i, x in known if not i.endswith("-title") and not i.startswith("version-") and i not in ("bsd-nor", "epl-2-at")]
+    lead = _leads(known)
     plain = cut.filter(promising(F.col("_raw"), texts)).select("_row", "doc_id", "_part", normalised(F.col("_raw")).alias("_plain"))
     own = plain.select("_row", "doc_id", "_part", sentences(F.col("_plain"), texts, lead).alias("_own"))
     single = own.select("_row", "doc_id", "_part", F.posexplode("_own").alias("_sub", "_cut"), F.size("_own").alias("_of"))
@@ -345,32 +387,73 @@ def licenses(
 
 
 def duck_sql() -> str:
-    """The same in DuckDB SQL, rule by rule, for SENTENCES and RULES alone and as lines that go on in lower case are joined."""
+    """The same in DuckDB SQL, for all sentences and rules.
+
+    DuckDB's patterns have no look-around, so what stands beside a match is matched and put back, twice where two
+    matches can touch. Sentences are numbered through a text; a run is broken where numbers are not successive.
+    """
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ", ".join(f"({quote(i)}, {quote(s)})" for i, s in SENTENCES)
-    step = "SELECT doc_id, n_sentences, run AS run0 FROM runs"
-    for k, (_, own) in enumerate(RULES):
-        run = quote("".join(map(_token, own)))
-        step = f"SELECT *, contains(run{k}, {run}) AS hit{k}, replace(run{k}, {run}, '|') AS run{k + 1} FROM ({step})"
-    hits = " UNION ALL ".join(
-        f"SELECT doc_id, {quote(name)} AS license, CAST({k} AS INTEGER) AS rule, n_sentences FROM steps WHERE hit{k}" for k, (name, _) in enumerate(RULES)
-    )
+    texts = [x for _, x in KNOWN]
+    plainly = lambda begins: begins.removesuffix("(?![a-z0-9+])")
+    ends = "(?:[^a-z0-9+]|$)"
+    number = r"\(?(?:[0-9]{1,2}|[A-Za-z]|[ivx]{2,4})[.)][ \t]+"
+    goes_on = r"([^.!?:;\s])[ \t]*\n[ \t]*([a-z(])"
+    lead = rf"\n({plainly(_begins(_leads(KNOWN), '[ \n]'))})([^a-z0-9+]|$)"
+    rules = [(k, name, _kind(name, own), "".join(map(_token, own))) for k, (name, own) in [*enumerate(CUT_RULES, len(RULES)), *enumerate(RULES)]]
+    steps = ", ".join(quote(f"{k}={run}") for k, _, _, run in rules)
+    sentence = "cut"
+    for pattern, fixed in VARIED:
+        if "(?!" in pattern:
+            begin = pattern[1 : pattern.index("(?!")]
+            sentence = f"CASE WHEN starts_with({sentence}, {quote(begin)}) AND NOT contains(substr({sentence}, {len(begin) + 1}), ' nor ') THEN {quote(fixed)} ELSE {sentence} END"
+        else:
+            sentence = f"regexp_replace({sentence}, {quote(pattern)}, {quote(fixed.replace('$', chr(92)))})"
     return rf"""
-        WITH known(id, sentence) AS (VALUES {values}),
+        WITH known(id, sentence) AS (VALUES {", ".join(f"({quote(i)}, {quote(x)})" for i, x in KNOWN)}),
+        rules(rule, license, kind) AS (VALUES {", ".join(f"({k}, {quote(name)}, {kind})" for k, name, kind, _ in rules)}),
+        tagged AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_replace(regexp_replace(text, '{TAG_LINE}',
+                chr(10) || chr(10) || '{TAG} \1' || chr(10) || chr(10), 'g'), '\r\n?', chr(10), 'g') AS t FROM documents),
+        listed AS (
+            SELECT doc_id, r, regexp_replace(regexp_replace(regexp_replace(t, '{COMMENT}', '\1', 'g'),
+                '(^|\n)[ \t]*{number}([^0-9]|$)', '\1' || chr(10) || '\2', 'g'),
+                '(^|\n)[ \t]*{number}([^0-9]|$)', '\1' || chr(10) || '\2', 'g') AS t FROM tagged),
         lines AS (
-            SELECT doc_id, row_number() OVER () AS r, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-                regexp_replace(text, '\r\n?', chr(10), 'g'), '{COMMENT}', '\1', 'g'), '{WRAPPED}', '\1 \2', 'g'),
-                '{STOP}', '\1' || chr(10), 'g'), '{BLANK}', chr(10), 'g'), chr(10)) AS s FROM documents),
-        cut AS (SELECT doc_id, r, generate_subscripts(s, 1) AS p, unnest(s) AS raw FROM lines),
+            SELECT doc_id, r, list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                t, '{goes_on}', '\1 \2', 'g'), '{goes_on}', '\1 \2', 'g'),
+                '([.!?:;])[ \t\n]+(?:{number}([^0-9 \t\n]))?', '\1' || chr(30) || '\2', 'g'),
+                '[ \t]*\n[ \t]*\n[ \t\n]*', chr(30), 'g'), chr(30)), lambda x: regexp_matches(x, '{HAS_WORDS}')) AS s FROM listed),
+        parts AS (SELECT doc_id, r, generate_subscripts(s, 1) AS p, unnest(s) AS raw FROM lines),
         plain AS (
-            SELECT doc_id, r, p, regexp_replace(trim(regexp_replace(translate(raw, '{UPPER}', '{UPPER.lower()}'),
-                '[^a-z0-9+]+', ' ', 'g')), '{COPYRIGHT}', 'copyright notice') AS sentence FROM cut),
-        found AS (
-            SELECT doc_id, r, p, id, p - lag(p) OVER (PARTITION BY r ORDER BY p) AS gap FROM plain JOIN known USING (sentence)),
+            SELECT doc_id, r, p, CASE WHEN NOT regexp_matches(raw, '(?i)(?:^|\n)[^a-z0-9+\n]*{plainly(_begins(texts, "[^a-z0-9+]+"))}{ends}') THEN ''
+                ELSE regexp_replace(trim(regexp_replace(translate(raw, '{UPPER}', '{UPPER.lower()}'), '[^a-z0-9+\n]+', ' ', 'g'), ' ' || chr(10)),
+                ' ?\n[ \n]*', chr(10), 'g') END AS s FROM parts),
+        units AS (
+            SELECT doc_id, r, p, s, string_split(CASE WHEN NOT contains(s, chr(10)) THEN s ELSE regexp_replace(regexp_replace(
+                s, '{lead}', chr(30) || '\1\2', 'g'), '{lead}', chr(30) || '\1\2', 'g') END, chr(30)) AS u FROM plain),
+        unit AS (SELECT doc_id, r, p, contains(s, chr(10)) AS wrapped, generate_subscripts(u, 1) AS k, unnest(u) AS unit FROM units),
+        heads AS (
+            SELECT *, CASE WHEN wrapped AND contains(unit, chr(10)) AND regexp_matches(unit, '^{plainly(_begins(texts, "[ \n]"))}{ends}') THEN list_filter(
+                list_transform(range(1, len(string_split(unit, chr(10))) + 1), lambda i: array_to_string(string_split(unit, chr(10))[1:i], ' ')),
+                lambda x: list_contains([{", ".join(map(quote, texts))}], x))[-1] END AS head FROM unit),
+        own AS (
+            SELECT doc_id, r, p, k, CASE
+                WHEN NOT wrapped AND starts_with(unit, '{TAG_WORDS} ') THEN list_transform(
+                    string_split(replace(replace(replace(replace(substr(unit, {len(TAG_WORDS) + 2}), ' or later', chr(29)), ' or ', chr(30)), ' and ', chr(30)),
+                        chr(29), ' or later'), chr(30)), lambda x: '{TAG_WORDS} ' || regexp_replace(x, ' with .*', ''))
+                WHEN head IS NULL OR len(head) = len(unit) THEN [replace(unit, chr(10), ' ')]
+                ELSE [head, substr(replace(unit, chr(10), ' '), len(head) + 2)] END AS o FROM heads),
+        single AS (SELECT doc_id, r, p, k, generate_subscripts(o, 1) AS j, unnest(o) AS cut FROM own),
+        numbered AS (SELECT doc_id, r, row_number() OVER (PARTITION BY r ORDER BY p, k, j) AS n, {sentence} AS sentence FROM single),
+        found AS (SELECT doc_id, r, n, id, n - lag(n) OVER (PARTITION BY r ORDER BY n) AS gap FROM numbered JOIN known USING (sentence)),
         runs AS (
-            SELECT any_value(doc_id) AS doc_id, CAST(count(*) AS INTEGER) AS n_sentences, string_agg(
-                CASE WHEN gap > 1 THEN '|' ELSE '' END || '<' || id || '>', '' ORDER BY p) AS run FROM found GROUP BY r),
-        steps AS MATERIALIZED ({step})
-        {hits}
+            SELECT any_value(doc_id) AS doc_id, r, CAST(count(*) AS INTEGER) AS n_sentences, string_agg(
+                CASE WHEN gap > 1 THEN '|' ELSE '' END || '<' || id || '>', '' ORDER BY n) AS run FROM found GROUP BY r),
+        matched AS (
+            SELECT doc_id, r, n_sentences, list_reduce([run, {steps}], lambda s, x: CASE WHEN contains(s, split_part(x, '=', 2))
+                THEN replace(s, split_part(x, '=', 2), '|') || '#' || split_part(x, '=', 1) || ';' ELSE s END) AS state FROM runs),
+        hits AS (SELECT doc_id, r, n_sentences, CAST(unnest(regexp_extract_all(state, '#([0-9]+);', 1)) AS INTEGER) AS rule FROM matched),
+        counted AS (SELECT *, min(kind) OVER (PARTITION BY r) AS least FROM hits JOIN rules USING (rule))
+        SELECT doc_id, license, CAST(rule AS INTEGER) AS rule, n_sentences FROM counted
+        WHERE kind = {NAME} OR kind = least OR (kind = {RESERVED} AND least = {NAME})
     """
-

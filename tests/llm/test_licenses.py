@@ -3,6 +3,8 @@
 import textwrap
 import time
 
+import duckdb
+import pandas as pd
 import pytest
 
 from lotmill.llm import licenses
@@ -131,3 +133,57 @@ def test_a_megabyte_of_one_piece_takes_seconds(spark, piece):
     found = licenses.licenses(docs).collect()
     assert time.perf_counter() - start < 30
     assert any(r["license"] == "MIT" for r in found)
+
+
+TAGS = {
+    "// SPDX-License-Identifier: MIT\nint x;": {"MIT"},
+    "/* SPDX-License-Identifier: (GPL-2.0+ WITH Classpath-exception-2.0 OR MIT) */\nx": {"GPL-2.0-or-later", "MIT"},
+    "# SPDX-License-Identifier: Apache-2.0 AND LGPL-2.1-or-later\n# more": {"Apache-2.0", "LGPL-2.1-or-later"},
+    "<!-- SPDX-License-Identifier: GPL-2.0-only -->": {"GPL-2.0-only"},
+    "SPDX-License-Identifier: GPL-2.0.": {"GPL-2.0-only"},
+    "SPDX-License-Identifier: Nothing-1.0 or Zlib": {"Zlib"},
+    "Words before SPDX-License-Identifier: BSL-1.0 and words after it": {"BSL-1.0"},
+    "SPDX-License-Identifier: GPL-3.0-or-later\r\nSPDX-License-Identifier: ISC\r\n": {"GPL-3.0-or-later", "ISC"},
+    "SPDX-License-Identifier:" + " " * 50: set(),
+    "SPDX-License-Identifier:\nMIT": set(),
+    HEAD + "SPDX-License-Identifier: MIT\n": {"MIT"},
+    "MIT": set(),
+}
+CLAUSES = {
+    "Released under the MIT License, see the file.": {"MIT"},
+    "Licensed under the GNU General Public License, version 3, which is in COPYING.": {"GPL-3.0-only"},
+    "Licensed under the GNU General Public License, version 3 or later, see the file.": {"GPL-3.0-or-later"},
+    "This project is licensed under the Apache License, Version 2.0 - see the file.": {"Apache-2.0"},
+    "Released under the MIT Licensee.": set(),
+}
+
+
+@pytest.mark.parametrize("cases", [TAGS, CLAUSES], ids=["tags", "clauses"])
+def test_tags_and_clauses_behind_a_name(spark, cases):
+    got = found(spark, list(cases))
+    assert [got[k] for k in range(len(cases))] == list(cases.values())
+
+
+def test_sentences_are_known_once():
+    assert len({x for _, x in licenses.KNOWN}) == len(licenses.KNOWN)
+
+
+def test_sql_gives_the_same_rows_on_notices_in_any_wrapping(spark):
+    notices = [*TEXTS.values(), *(x for own in FAMILIES.values() for x in own)]
+    texts = [x for text in notices for x in variants(text)]
+    texts += [HEAD + x for x in notices] + [*TAGS, *CLAUSES, "", " \n"]
+    columns = ["doc_id", "license", "rule", "n_sentences"]
+    db = duckdb.connect()
+    db.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    want = sorted(db.sql(f"SELECT {', '.join(columns)} FROM ({licenses.duck_sql()})").fetchall())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in licenses.licenses(docs).select(*columns).collect())
+    assert len(want) > len(texts) // 2 and got == want
+
+
+@pytest.mark.parametrize("piece", ["SPDX-License-Identifier: ", "SPDX-License-Identifier: MIT OR ", "SPDX-License-Identifier: ((", "SPDX-License-Identifier:" + " " * 100_000 + "\n"])
+def test_a_megabyte_of_tags_takes_seconds(spark, piece):
+    docs = spark.createDataFrame([(1, piece * (1_000_000 // len(piece)))], "doc_id long, text string")
+    start = time.perf_counter()
+    licenses.licenses(docs).collect()
+    assert time.perf_counter() - start < 30
