@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,13 +51,13 @@ PATTERNS = {
 }
 
 
-def terms(text: str | None) -> list[str]:
-    """Terms of every word: the whole word, and its beginning if it is longer."""
-    found = []
-    for w in letters(text or ""):
-        found.append("=" + w)
+def terms(words: Iterable[str]) -> set[str]:
+    """Terms of words: each whole word, and its beginning if it is longer."""
+    found = set()
+    for w in words:
+        found.add("=" + w)
         if len(w) > STEM:
-            found.append("^" + w[:STEM])
+            found.add("^" + w[:STEM])
     return found
 
 
@@ -106,14 +106,25 @@ def feature(n: int | np.ndarray) -> float | np.ndarray:
 
 # ---- mining
 
+def distinct_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, words) of ``docs`` (doc_id, text): the different words of a text with blanks between, so a shuffle carries each once."""
+
+    def run(batches):
+        for batch in by_bytes(batches, "text"):
+            words = [" ".join(dict.fromkeys(letters(text or ""))) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(words, pa.string())], names=["doc_id", "words"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, words string")
+
+
 def mined_terms(labelled: DataFrame, n_docs: int, n_toxic: int) -> list[str]:
-    """Terms that stand in toxic documents of ``labelled`` (text, toxic) far more often than by chance."""
+    """Terms that stand in toxic documents of ``labelled`` (words, toxic) far more often than by chance."""
 
     def counted(batches):
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "words"):
             every, toxic = Counter(), Counter()
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                own = set(terms(text))
+            for words, y in zip(batch.column("words").to_pylist(), batch.column("toxic").to_pylist()):
+                own = terms(words.split(" ")) if words else set()
                 every.update(own)
                 if y:
                     toxic.update(own)
@@ -125,7 +136,7 @@ def mined_terms(labelled: DataFrame, n_docs: int, n_toxic: int) -> list[str]:
     p = n_toxic / n_docs
     share, clean = F.col("pos") / F.col("n"), F.col("n") - F.col("pos")
     nats = F.col("pos") * F.log(share / p) + F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - p))).otherwise(0.0)
-    parts = labelled.select("text", "toxic").mapInArrow(counted, "term string, n long, pos long")
+    parts = labelled.select("words", "toxic").mapInArrow(counted, "term string, n long, pos long")
     counts = parts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     strong = counts.filter(share >= max(p, MIN_SHARE)).withColumn("nats", nats).filter(F.col("nats") >= MIN_NATS)
     return [r["term"] for r in strong.orderBy(F.col("nats").desc(), "term").limit(MOST_TERMS).select("term").collect()]
@@ -359,12 +370,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
     sums of voters and pairs of voters, and the votes of the classifier's sample, at most FIT_ROWS by MOST_TERMS.
     """
     known, texts = materialize(known_labels(labels), "toxicity-labels"), docs.filter("text IS NOT NULL")
-    labelled = texts.select("doc_id", "text").join(known, "doc_id")
-    n, toxic = labelled.agg(F.count("*"), F.sum("toxic")).first()
+    n, toxic = texts.select("doc_id").join(known, "doc_id").agg(F.count("*"), F.sum("toxic")).first()
     if not toxic or toxic == n:  # nothing to set the scores to
         return Scorer(["=" + w for w in LEXICON], np.full(len(LEXICON), LEXICON_WEIGHT), -3.0)
     prior = (toxic + 0.5) / (n + 5)
-    mined = mined_terms(labelled, n, toxic)
+    mined = mined_terms(distinct_words(texts).join(known, "doc_id"), n, toxic)
     names = [*dict.fromkeys(["=" + w for w in LEXICON] + mined), *("~" + p for p in PATTERNS)]
     scorer = Scorer(names, np.zeros(len(names)), 0.0)
     votes = materialize(vote_lists(texts, scorer, "doc_id").select("doc_id", "k"), "toxicity-votes")
