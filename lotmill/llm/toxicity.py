@@ -36,6 +36,8 @@ RARE = 5
 # The weight of a lexicon word where nothing is known of it.
 LEXICON_WEIGHT = 4.0
 STEM = 6
+# Labels of up to so many documents, counted first, are sent to every executor; more are joined by a shuffle.
+BROADCAST_LABELS = 500_000
 # Rounds of expectation maximisation, and the change of posterior mass, as a share of it, that ends them.
 ROUNDS, SETTLED = 15, 1e-4
 
@@ -370,6 +372,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
     sums of voters and pairs of voters, and the votes of the classifier's sample, at most FIT_ROWS by MOST_TERMS.
     """
     known, texts = materialize(known_labels(labels), "toxicity-labels"), docs.filter("text IS NOT NULL")
+    if known.count() <= BROADCAST_LABELS:
+        known = F.broadcast(known)
     n, toxic = texts.select("doc_id").join(known, "doc_id").agg(F.count("*"), F.sum("toxic")).first()
     if not toxic or toxic == n:  # nothing to set the scores to
         return Scorer(["=" + w for w in LEXICON], np.full(len(LEXICON), LEXICON_WEIGHT), -3.0)

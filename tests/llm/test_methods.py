@@ -110,7 +110,7 @@ def test_label_model_is_the_same_by_tasks_and_in_one_matrix(spark):
         assert np.allclose(getattr(one, name), getattr(many, name)), name
 
 
-def test_rare_toxic_words_outside_the_fit_sample_are_voters(spark):
+def test_rare_toxic_words_outside_the_fit_sample_are_voters(spark, monkeypatch):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(PROSE) for _ in range(20)) + (" grubblesnark" if i % 20 == 0 else "") + (" " + "x" * 60 if i % 20 == 1 else "")) for i in range(2000)]
     docs = spark.createDataFrame(rows + rows[:3] + [(None, "x"), (9999, None)], "doc_id long, text string")
@@ -118,6 +118,14 @@ def test_rare_toxic_words_outside_the_fit_sample_are_voters(spark):
     scorer = toxicity.fit(docs, labels, most=300)
     assert {"=grubblesnark", "=" + "x" * 60} <= set(scorer.names)
     assert scorer.score("the grubblesnark") >= 0.5 and scorer.score("so " + "x" * 60) >= 0.5 and scorer.score("the cat sat") < 0.5
+    # Beyond the bound the labels are shuffled, with the same result.
+    monkeypatch.setattr(toxicity, "BROADCAST_LABELS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = toxicity.fit(docs, labels, most=300)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffled.names == scorer.names and np.allclose(shuffled.weights, scorer.weights, atol=1e-4)
 
 
 def test_linear_model_fits_soft_labels():
