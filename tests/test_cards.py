@@ -139,3 +139,14 @@ def test_a_challenge_hides_no_later_visit(spark):
     ]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     assert sorted(r.page_id for r in extract_listings(df, NOON).collect()) == [2, 3, 4, 6]
+
+
+def test_a_tag_is_worked_out_once_and_means_the_same_on_later_pages():
+    reader = CardReader()
+    page = "<script>'<li>'</SCRIPT ><ul>" + card('<div class="heading-name">A\n <b>B</b><br>C</div>') + card(LINK.format("https://x.com/a#b")) + "</ul>"
+    first, kinds = reader.read("https://x.com/s", page), dict(reader.kinds)
+    assert first == [{"agent": "A B\nC"}, {"link": "https://x.com/a#b"}]
+    assert reader.read("https://x.com/s", page) == first and reader.kinds == kinds
+    # Every text of a tag is held at most once, whatever stands between; long and many ones are not held for good.
+    reader.read("", "".join(f"<p id={i}>" for i in range(12_000)) + f"<p id='{'x' * 600}'>")
+    assert len(reader.kinds) <= 10_000 and max(map(len, reader.kinds)) <= 500
