@@ -128,15 +128,19 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def unseen(self, rows: DataFrame) -> DataFrame:
-        """Rows, one for each key, whose key is not stored."""
-        dealt = rows.select(*self.columns).repartition(self.n_buckets, self.key)
-        return dealt.join(self.read().select(self.key), self.key, "left_anti").select(*self.columns)
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows, with the columns of the table, dealt as its buckets are; what then groups or joins by the key shuffles no more."""
+        return rows.select(*self.columns).repartition(self.n_buckets, self.key)
 
-    def append(self, rows: DataFrame) -> int:
+    def unseen(self, rows: DataFrame, dealt: bool = False) -> DataFrame:
+        """Rows, one for each key, whose key is not stored; ``dealt`` if they come from :meth:`dealt`."""
+        rows = rows if dealt else self.dealt(rows)
+        return rows.join(self.read().select(self.key), self.key, "left_anti").select(*self.columns)
+
+    def append(self, rows: DataFrame, dealt: bool = False) -> int:
         """Append the rows whose key is not stored, one for each key; how many. What is stored is neither moved nor rewritten."""
         seen = Observation()
-        self.unseen(rows).observe(seen, F.count("*").alias("n")).write.insertInto(self.name)
+        self.unseen(rows, dealt).observe(seen, F.count("*").alias("n")).write.insertInto(self.name)
         return seen.get["n"]
 
 
@@ -156,8 +160,11 @@ def raw_archive(spark: SparkSession, path: str, n_buckets: int = BUCKETS) -> Buc
 
 
 def append_raw(archive: BucketedTable, rows: DataFrame) -> int:
-    """Append raw rows, normalised, whose content is not in the archive yet; how many."""
-    return archive.append(fingerprinted(rows).dropDuplicates(["fingerprint"]))
+    """Append raw rows, normalised, whose content is not in the archive yet; how many.
+
+    Copies meet in their bucket, so that the rows are shuffled once.
+    """
+    return archive.append(archive.dealt(fingerprinted(rows)).dropDuplicates(["fingerprint"]), dealt=True)
 
 
 def full_reload(table: CurrentTable, staged: DataFrame, as_of: datetime) -> DataFrame:

@@ -176,3 +176,15 @@ def test_raw_dedup_combines_before_the_shuffle(stored):
     raw = stored("raw").select(*RAW_COLUMNS)
     plan = physical_plan(dedup.append_dedup(raw, raw.withColumn("Source", F.lit("y"))))
     assert _count(plan, "Exchange") == 1 and plan.count("HashAggregate") == 2
+
+
+def test_rows_for_the_archive_are_shuffled_once(spark, stored, tmp_path):
+    archive = raw_archive(spark, str(tmp_path / "archive"), 16)
+    append_raw(archive, stored("raw"))
+    twice = archive.dealt(dedup.fingerprinted(stored("raw").unionByName(stored("raw")))).dropDuplicates(["fingerprint"])
+    assert physical_plan(archive.unseen(twice, dealt=True)).count("Exchange") == 1
+    n = archive.read().count()
+    raw = stored("raw").select(*RAW_COLUMNS)
+    later = raw.withColumn("Created_At", F.lit("2025-01-01 00:00:00"))
+    assert append_raw(archive, later.unionByName(raw).unionByName(later)) == later.distinct().count()
+    assert archive.read().count() == n + later.distinct().count() == archive.read().dropDuplicates(["fingerprint"]).count()
