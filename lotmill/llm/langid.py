@@ -25,8 +25,8 @@ SWITCH = 8.0
 # A language whose letters are less often of a script than this is no candidate for its words.
 SCRIPT_SHARE = 0.001
 FORBIDDEN = -1e4
-# Words are scored for so many bytes of text at a time, and labelled for eight times as many.
-PART_BYTES = 500_000
+# Words are scored for so many bytes of text at a time, and labelled for four times as many.
+PART_BYTES = 250_000
 # The model is held on the driver and sent to every task: 128 KB a language.
 MOST_LANGUAGES = 1000
 
@@ -226,8 +226,13 @@ def _scored(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(owner), np.concatenate(letters), np.concatenate(known), np.concatenate(scores)
 
 
-def _labelled(model: Model, texts: list[str | None]) -> tuple[list, list, list, list]:
-    """Predicted language, its share of the letters, spans, and share of letters in learned scripts of each text."""
+def _labelled(model: Model, texts: list[str | None]) -> tuple[list, list, list]:
+    """Predicted language, its share of the letters, and spans of each text."""
+    return _judged(model, texts)[:3]
+
+
+def _judged(model: Model, texts: list[str | None]) -> tuple[list, list, list, list]:
+    """As :func:`_labelled`, and the share of letters in learned scripts of each text."""
     n = len(texts)
     owner, letters, known, scores = _scored(model, texts)
     if not model.languages or not len(owner):
@@ -260,8 +265,8 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
     arrow = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string())]))
 
     def run(batches):
-        for batch in by_bytes(batches, "text", 8 * PART_BYTES):
-            langs, scores, spans, known = _labelled(model, batch.column("text").to_pylist())
+        for batch in by_bytes(batches, "text", 4 * PART_BYTES):
+            langs, scores, spans, known = _judged(model, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, arrow), pa.array(known, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score", "spans", "known"],

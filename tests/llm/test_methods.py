@@ -497,3 +497,32 @@ def test_light_groups_go_in_bundles(spark, monkeypatch):
     assert got.groupby("g").shard.nunique().max() == 1
     loads = got.groupby("shard").s.sum()
     assert loads.max() == 2700 and loads.drop(loads.idxmax()).max() < 1.25 * loads.drop(loads.idxmax()).min()
+
+
+def test_texts_are_labelled_a_bounded_part_at_a_time(spark):
+    model = langid.learn(spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")], "text string, lang string"))
+    docs = [("the dog and the cat " * (i % 7 * 300), i) for i in range(300)]
+    parts = []
+
+    class Docs:
+        """Stands for a table whose rows are worked on here."""
+
+        schema = spark.createDataFrame([], "text string, i int").schema
+
+        def drop(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            import pyarrow as pa
+
+            texts, ids = zip(*docs)
+            batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(ids, pa.int32())], names=["text", "i"])
+            parts.extend(run(iter([batch])))
+
+    langid.label(Docs(), model)
+    assert sum(p.num_rows for p in parts) == 300
+    most = max(sum(len(t) for t in p.column("text").to_pylist()) for p in parts)
+    assert most <= 1_000_000
+    want = [langid._labelled(model, [t]) for t, _ in docs]
+    assert [x for p in parts for x in p.column("lang_pred").to_pylist()] == [w[0][0] for w in want]
+    assert [x for p in parts for x in p.column("score").to_pylist()] == [w[1][0] for w in want]
