@@ -27,61 +27,85 @@ class CurrentTable:
     the partitions that hold a changed key, by Spark's dynamic partition overwrite. A batch whose
     images are there is not compared again; writing its partitions once more gives the same rows. So a load that failed anywhere
     is run again under its name. One writer at a time.
+
+    The partition of a key is also its bucket: rows, a batch cut to its latest rows and its images are all bucketed by
+    the key alike, so incoming rows are shuffled once, as they are dealt, and nothing stored is shuffled to meet them.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType = CURRENT_SCHEMA, n_buckets: int = BUCKETS):
         self.spark, self.root, self.schema, self.n_buckets = spark, root.rstrip("/"), schema, n_buckets
         self.stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+        self.image = T.StructType(
+            [T.StructField(KEY, T.StringType()), T.StructField("bucket", T.IntegerType()), T.StructField("action", T.StringType()),
+             T.StructField("n_rows", T.LongType()), T.StructField("before", schema), T.StructField("after", schema)]
+        )
 
     def exists(self) -> bool:
         return matches(self.spark, f"{self.root}/rows/bucket=*")
 
     def bucket(self):
-        return F.pmod(F.xxhash64(KEY), F.lit(self.n_buckets)).cast("int")
+        """The bucket that Spark puts a key into."""
+        return F.pmod(F.hash(KEY), F.lit(self.n_buckets))
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows dealt as the buckets are; what then groups or joins by the key shuffles no more."""
+        return rows.repartition(self.n_buckets, KEY)
+
+    def _table(self) -> str:
+        """The catalog table over the stored rows, as they are now."""
+        clause = f"PARTITIONED BY (bucket) CLUSTERED BY (`{KEY}`) INTO {self.n_buckets} BUCKETS"
+        name = _catalog_table(self.spark, f"{self.root}/rows", self.stored, clause, partitionOverwriteMode="dynamic")
+        if self.exists():
+            self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(name)
+        return name
 
     def _rows(self, buckets: list[int] | None = None) -> DataFrame:
         """Stored rows with their ``bucket``; files of other buckets than the given ones are not listed."""
         if not self.exists():
             return self.spark.createDataFrame([], self.stored)
-        rows = self.spark.read.schema(self.stored).parquet(f"{self.root}/rows")
+        rows = self.spark.table(self._table())
         return rows if buckets is None else rows.filter(F.col("bucket").isin(buckets))
 
     def read(self) -> DataFrame:
-        return self._rows().select(*self.schema.names)
+        if not self.exists():
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.stored).parquet(f"{self.root}/rows").select(*self.schema.names)
 
     def images(self, batch: str) -> DataFrame:
         """(property_id, bucket, action, n_rows, before, after) of a merged batch; see :func:`change_images`."""
-        return self.spark.read.parquet(f"{self.root}/changes/{batch}")
+        return self.spark.read.schema(self.image).parquet(f"{self.root}/changes/{batch}")
 
-    def _write(self, rows: DataFrame, mode: str) -> None:
-        spread = rows.select(*self.stored.names).repartition("bucket")
-        spread.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("bucket").parquet(f"{self.root}/rows")
+    def _changes(self, batch: str) -> BucketedTable:
+        return BucketedTable(self.spark, f"{self.root}/changes/{batch}", self.image, KEY, self.n_buckets)
 
-    def replace(self, rows: DataFrame, batch: str | None = None) -> None:
+    def _write(self, rows: DataFrame) -> None:
+        """Replace the partitions that these rows, dealt as the buckets are, belong to."""
+        rows.select(*self.stored.names).write.insertInto(self._table(), overwrite=True)
+
+    def replace(self, rows: DataFrame, batch: str | None = None, dealt: bool = False) -> None:
         """Just these rows from now on; without any, an error, and the table stays as it is.
 
-        Earlier images go. The rows are written aside first, so they may come from this table.
+        Earlier images go. The rows may come from this table. ``dealt`` if they come from :meth:`dealt`.
         """
-        batch = batch or uuid.uuid4().hex
-        aside, seen = f"{self.root}/incoming/{batch}", Observation()
-        counted = rows.select(*self.schema.names).withColumn("bucket", self.bucket()).observe(seen, F.count("*").alias("n"))
-        counted.write.mode("overwrite").parquet(aside)
-        if not seen.get["n"]:
-            drop_folder(self.spark, aside)
+        batch, seen = batch or uuid.uuid4().hex, Observation()
+        rows = (rows if dealt else self.dealt(rows)).select(*self.schema.names).withColumn("bucket", self.bucket())
+        self._write(rows.observe(seen, F.collect_set("bucket").alias("buckets")))
+        written = seen.get["buckets"]
+        if not written:
             raise RuntimeError("no rows were loaded")
-        loaded = self.spark.read.schema(self.stored).parquet(aside)
-        self._write(loaded, "static")
+        for gone in set(range(self.n_buckets)).difference(written):
+            drop_folder(self.spark, f"{self.root}/rows/bucket={gone}")
         drop_folder(self.spark, f"{self.root}/changes")
         after = F.struct(*self.schema.names)
-        inserts = loaded.select(KEY, "bucket", F.lit("insert").alias("action"), F.lit(1).cast("long").alias("n_rows"), F.lit(None).cast(self.schema).alias("before"), after.alias("after"))
-        inserts.write.parquet(f"{self.root}/changes/{batch}")
-        drop_folder(self.spark, aside)
+        inserts = self._rows().select(KEY, "bucket", F.lit("insert").alias("action"), F.lit(1).cast("long").alias("n_rows"), F.lit(None).cast(self.schema).alias("before"), after.alias("after"))
+        self._changes(batch).overwrite(inserts)
 
     def merge(self, staged: DataFrame, as_of: datetime, only_newer: bool = True, batch: str | None = None) -> dict[str, int]:
         """Merge gated clean rows; rows inserted, updated and unchanged, as a row-by-row upsert would count them.
 
-        The batch is cut to one row per key and written first; if it is small, Spark then sends it to
-        the stored rows, which are not shuffled. Only buckets with a key of the batch are read, and only buckets
+        The batch is dealt to the buckets, cut there to one row per key and written first; if it is small, Spark then sends it to
+        the stored rows, else it meets them bucket by bucket. Only buckets with a key of the batch are read, and only buckets
         with a changed one are written: a batch delivered twice writes none.
         """
         batch = batch or uuid.uuid4().hex
@@ -97,21 +121,34 @@ class CurrentTable:
             found = self.images(batch).agg(*counts).first().asDict()
         else:
             reach, seen = Observation(), Observation()
-            latest = counted_latest(staged, as_of).withColumn("bucket", self.bucket())
-            latest = latest.observe(reach, F.collect_set("bucket").alias("buckets"))
-            latest.write.mode("overwrite").parquet(aside)
-            latest = self.spark.read.schema(latest.schema).parquet(aside)
+            latest = counted_latest(self.dealt(staged), as_of).withColumn("bucket", self.bucket())
+            cut = BucketedTable(self.spark, aside, latest.schema, KEY, self.n_buckets)
+            cut.overwrite(latest.observe(reach, F.collect_set("bucket").alias("buckets")))
             stored = self._rows(list(reach.get["buckets"]))
-            change_images(stored, latest, only_newer).observe(seen, *counts).write.mode("overwrite").parquet(path)
+            images = change_images(stored, cut.read(), only_newer)
+            self._changes(batch).overwrite(images.observe(seen, *counts))
             found = seen.get
-            drop_folder(self.spark, aside)
+            cut.drop()
         if found["buckets"]:
-            images = self.images(batch).filter(changed)
+            images = self._changes(batch).read().filter(changed)
             kept = self._rows(list(found["buckets"])).join(images.select(KEY), KEY, "left_anti")
-            self._write(kept.unionByName(images.select("after.*", "bucket")), "dynamic")
+            self._write(kept.unionByName(images.select("after.*", "bucket")))
         return {"inserted": found["inserted"], "updated": found["moved"] - found["inserted"], "unchanged": found["unchanged"]}
 
 
+def _catalog_table(spark: SparkSession, path: str, schema: T.StructType, clause: str, **options: str) -> str:
+    """The name of the catalog table over a folder, which is made if the session does not know it.
+
+    Hashes are half as large under zstd as under snappy.
+    """
+    name = f"lotmill_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    given = ", ".join(f"{k} '{v}'" for k, v in {"compression": "zstd", **options}.items())
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS ({given}) {clause} LOCATION '{place}'")
+    return name
+
+
 class BucketedTable:
     """An append-only catalog table over a folder, bucketed by its key.
 
@@ -119,11 +156,8 @@ class BucketedTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, n_buckets: int = BUCKETS):
-        self.spark, self.key, self.n_buckets, self.columns = spark, key, n_buckets, schema.names
-        self.name = f"lotmill_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        place = path.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {n_buckets} BUCKETS LOCATION '{place}'")
+        self.spark, self.path, self.key, self.n_buckets, self.columns = spark, path, key, n_buckets, schema.names
+        self.name = _catalog_table(spark, path, schema, f"CLUSTERED BY (`{key}`) INTO {n_buckets} BUCKETS")
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -137,6 +171,15 @@ class BucketedTable:
         rows = rows if dealt else self.dealt(rows)
         return rows.join(self.read().select(self.key), self.key, "left_anti").select(*self.columns)
 
+    def overwrite(self, rows: DataFrame) -> None:
+        """Just these rows, which are dealt as the buckets are."""
+        rows.select(*self.columns).write.insertInto(self.name, overwrite=True)
+
+    def drop(self) -> None:
+        """Delete the table and its folder."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        drop_folder(self.spark, self.path)
+
     def append(self, rows: DataFrame, dealt: bool = False) -> int:
         """Append the rows whose key is not stored, one for each key; how many. What is stored is neither moved nor rewritten."""
         seen = Observation()
@@ -149,8 +192,11 @@ def raw_table(spark: SparkSession, path: str, n_buckets: int = BUCKETS) -> Bucke
 
 
 def load_raw_table(spark: SparkSession, incoming: DataFrame, path: str, n_buckets: int = BUCKETS) -> int:
-    """Append the first row of each unseen key of the batch to the raw table; how many."""
-    return raw_table(spark, path, n_buckets).append(keep_first(incoming, KEY))
+    """Append the first row of each unseen key of the batch to the raw table; how many.
+
+    Rows of a key meet in its bucket, so that they are shuffled once.
+    """
+    return raw_table(spark, path, n_buckets).append(keep_first(incoming.repartition(n_buckets, KEY), KEY), dealt=True)
 
 
 def raw_archive(spark: SparkSession, path: str, n_buckets: int = BUCKETS) -> BucketedTable:
@@ -169,7 +215,7 @@ def append_raw(archive: BucketedTable, rows: DataFrame) -> int:
 
 def full_reload(table: CurrentTable, staged: DataFrame, as_of: datetime) -> DataFrame:
     """Replace the table by the staged rows; an empty load is an error and keeps the old rows."""
-    table.replace(latest_rows(passing(staged), as_of))
+    table.replace(latest_rows(table.dealt(passing(staged)), as_of), dealt=True)
     return table.read()
 
 

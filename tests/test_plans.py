@@ -13,7 +13,7 @@ from lotmill.operators.clean import clean_listings
 from lotmill.plans import marts, partials, star
 from lotmill.queries import QUERIES
 from lotmill.schemas import RAW_COLUMNS
-from lotmill.sources.tables import CurrentTable, append_raw, raw_archive, raw_table
+from lotmill.sources.tables import BucketedTable, CurrentTable, append_raw, raw_archive, raw_table
 
 
 @pytest.fixture(scope="module")
@@ -71,6 +71,23 @@ def test_marts_of_a_batch_read_no_stored_rows(spark, stored, tmp_path):
     assert re.search(r"PartitionFilters: \[.*bucket#\d+ (IN \(3\)|= 3)", plan)
 
 
+def test_a_batch_is_shuffled_once_and_stored_rows_never(spark, stored, tmp_path):
+    table = CurrentTable(spark, str(tmp_path / "t"), n_buckets=8)
+    table.replace(merge.latest_rows(table.dealt(stored("current").drop("valid_from", "valid_to", "is_current", "row_hash")), NOON), "one", dealt=True)
+    batch = merge.counted_latest(table.dealt(stored("incoming")), NOON).withColumn("bucket", table.bucket())
+    assert physical_plan(batch).count("Exchange") == 1
+    cut = BucketedTable(spark, str(tmp_path / "cut"), batch.schema, "property_id", 8)
+    cut.overwrite(batch)
+    images = merge.change_images(table._rows(), cut.read())
+    kept = table._rows([1, 2]).join(table._changes("one").read().select("property_id"), "property_id", "left_anti")
+    for plan in (physical_plan(images), physical_plan(kept)):
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    # A bucket's rows are in one file, the one that Spark puts their key into.
+    for folder in (tmp_path / "t" / "rows").glob("bucket=*"):
+        (file,) = folder.glob("*.parquet")
+        assert int(file.name.split("_")[1].split(".")[0]) == int(folder.name.split("=")[1])
+
+
 def test_insert_reads_only_stored_keys(stored):
     plan = physical_plan(merge.insert_ignore(stored("current"), stored("incoming")))
     assert "ReadSchema: struct<property_id:string>" in plan
