@@ -37,9 +37,10 @@ def _zone_free(text: Column) -> Column:
     """``d MMM yyyy`` with or without ``h:mm am`` to timestamp_ntz; null for anything else.
 
     Read as a time of zone zero and counted in seconds from 1970, so that the session's zone
-    and its clock changes play no part.
+    and its clock changes play no part. Text without a digit is no date and is not parsed, as a failing parse
+    throws an exception.
     """
-    zero = F.concat(text, F.lit(" +0000"))
+    zero = F.when(text.rlike("[0-9]"), F.concat(text, F.lit(" +0000")))
     moment = F.when(
         text.rlike("(?i)[ap]m$"), F.try_to_timestamp(zero, F.lit("d MMM yyyy h:mm a xx"))
     ).otherwise(F.try_to_timestamp(zero, F.lit("d MMM yyyy xx")))

@@ -88,7 +88,8 @@ def judged_listings(
     def label(c: Column) -> Column:
         return text.blank_nan(c, strict_nan)
 
-    capitalized = F.transform(F.array(*worded.values()), text.capitalize_words)
+    texts, plain = F.array(*worded.values()), text.is_plain(*worded.values())
+    capitalized = F.when(plain, F.transform(texts, text.capitalize_plain_words)).otherwise(F.transform(texts, text.capitalize_words))
     priced = priced.withColumn("_words", F.transform(capitalized, label))
 
     def words(name: str) -> Column:
