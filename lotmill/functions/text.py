@@ -62,17 +62,6 @@ def capitalize_words(c: Column) -> Column:
     return F.initcap(F.trim(F.regexp_replace(c, f"(?U)[{SPACE}-]+", " ")))
 
 
-def capitalize_plain_words(c: Column) -> Column:
-    """As :func:`capitalize_words`, for text of printable ASCII characters: its only space is the blank."""
-    blanks = F.replace(c, F.lit("-"), F.lit(" "))
-    return F.initcap(F.trim(F.when(blanks.contains("  "), F.regexp_replace(blanks, "  +", " ")).otherwise(blanks)))
-
-
-def is_plain(*texts: Column) -> Column:
-    """True where all texts that are not null hold printable ASCII characters only."""
-    return ~F.concat_ws("", *texts).rlike("[^ -~]")
-
-
 def expand_house_type(c: Column) -> Column:
     """Whole-word house-type synonyms, case-sensitive."""
     for word, full in (("Homes", "House"), ("Sty", "Storey"), ("link", "Link")):
