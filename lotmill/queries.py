@@ -112,9 +112,8 @@ def insert_ignore(spark, sf_dir):
 
 @_query
 def upsert_latest(spark, sf_dir):
-    merged = merge.upsert_latest(
-        fx.listings_current(spark, sf_dir), fx.listings_incoming(spark, sf_dir), fx.AS_OF
-    )
+    stored, batch = fx.listings_current(spark, sf_dir), fx.listings_incoming(spark, sf_dir)
+    merged = tables.merged_in_buckets(merge.upsert_latest, stored, batch, fx.AS_OF, scratch_folder(spark, "merge"))
     return _shown(merged).drop("valid_to")
 
 

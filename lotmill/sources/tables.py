@@ -4,21 +4,29 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotmill.operators.dedup import fingerprinted, keep_first
+from lotmill.operators.dedup import fingerprinted, keep_first, keep_last
 from lotmill.operators.gate import passing
 from lotmill.operators.merge import KEY, change_images, counted_latest, latest_rows
 from lotmill.schemas import CLEAN_SCHEMA, CURRENT_SCHEMA, RAW_SCHEMA
-from lotmill.session import drop_folder, is_written, matches
+from lotmill.session import bytes_read, drop_folder, is_written, matches
 
 BUCKETS = 32
 
+#: Rows of one key that are left to the one task that has its bucket.
+MOST_ROWS = 1_000_000
+
+#: Bytes of input files that make a bucket of a merge, up to as many buckets as shuffle partitions.
+BUCKET_BYTES = 2 << 20
+
 
 class CurrentTable:
     """One current row per key, in partitions by a hash of the key.
@@ -155,9 +163,9 @@ class BucketedTable:
     New rows are dealt as the buckets are, so they meet the stored keys without a shuffle of these.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, n_buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, n_buckets: int = BUCKETS, **options: str):
         self.spark, self.path, self.key, self.n_buckets, self.columns = spark, path, key, n_buckets, schema.names
-        self.name = _catalog_table(spark, path, schema, f"CLUSTERED BY (`{key}`) INTO {n_buckets} BUCKETS")
+        self.name = _catalog_table(spark, path, schema, f"CLUSTERED BY (`{key}`) INTO {n_buckets} BUCKETS", **options)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -227,6 +235,41 @@ def incremental_load(table: CurrentTable, staged: DataFrame, as_of: datetime, on
     return table.read()
 
 
+def merged_in_buckets(
+    run: Callable[..., DataFrame],
+    existing: DataFrame,
+    incoming: DataFrame,
+    as_of: datetime,
+    path: str,
+    n_buckets: int | None = None,
+    most_rows: int = MOST_ROWS,
+) -> DataFrame:
+    """``run``, an upsert of :mod:`lotmill.operators.merge`, over two sides that are first put into the same buckets.
+
+    Every task writes what it reads into the files of the buckets, so whole rows lie on disk once, in compressed columns, and
+    meet bucket by bucket without a shuffle. Keys with more than ``most_rows`` rows in the batch are cut to their latest row by all tasks
+    before, so no task has to sort such a key. If not given, there are as many buckets as shuffle partitions, fewer for
+    small files. The result reads the files under ``path``.
+    """
+    spark = existing.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = n_buckets or min(most, -(-bytes_read(spark, existing, incoming) // BUCKET_BYTES) or most)
+    incoming = incoming.withColumn("_cut", F.lit(False))
+    # Read once: dictionaries would take longer to build than they save.
+    once = {"parquet.enable.dictionary": "false"}
+    stored = BucketedTable(spark, f"{path}/stored", existing.schema, KEY, n_buckets, **once)
+    batch = BucketedTable(spark, f"{path}/batch", incoming.schema, KEY, n_buckets, **once)
+    stored.overwrite(existing)
+    batch.overwrite(incoming)
+    often = batch.read().groupBy(KEY).count().filter(F.col("count") > most_rows).collect()
+    hot = reduce(or_, [F.col(KEY).eqNullSafe(F.lit(r[KEY])) for r in often], F.lit(False))
+    if often:
+        # Not by bucket: the files of a hot key are many, and as many tasks read them.
+        spread = spark.read.schema(incoming.schema).parquet(batch.path).filter(hot).drop("_cut")
+        keep_last(spread, KEY).withColumn("_cut", F.lit(True)).select(*batch.columns).write.insertInto(batch.name)
+    return run(stored.read(), batch.read().filter(F.col("_cut") | ~hot).drop("_cut"), as_of)
+
+
 def save_snapshots(marts: Mapping[str, DataFrame], folder: str, prefix: str = "mv_") -> None:
     """Write every mart as a parquet snapshot, replacing the last one."""
     for name, mart in marts.items():

@@ -13,6 +13,7 @@ from lotmill.operators.clean import clean_listings
 from lotmill.plans import marts, partials, star
 from lotmill.queries import QUERIES
 from lotmill.schemas import RAW_COLUMNS
+from lotmill.sources import tables
 from lotmill.sources.tables import BucketedTable, CurrentTable, append_raw, raw_archive, raw_table
 
 
@@ -47,6 +48,15 @@ def test_upsert_shuffles_each_side_once(stored):
     assert _count(plan, "Exchange") == 2 and "SortMergeJoin" in plan
 
 
+@pytest.mark.parametrize("query", ["upsert_latest"])
+def test_the_rows_of_a_merge_are_not_shuffled(spark, stored, sf_dir, monkeypatch, query):
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 1)
+    plan = physical_plan(QUERIES[query](spark, sf_dir))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+    buckets = spark.conf.get("spark.sql.shuffle.partitions")
+    assert plan.count(f"SelectedBucketsCount: {buckets} out of {buckets}") == 2
+
+
 def test_stored_keys_and_fingerprints_are_not_shuffled(spark, stored, tmp_path):
     table = raw_table(spark, str(tmp_path / "raw"), 16)
     table.append(dedup.keep_first(stored("current"), "property_id"))

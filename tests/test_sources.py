@@ -11,7 +11,7 @@ from helpers import NOON, clean_rows, listing, raw_rows
 from lotmill import schemas
 from lotmill.functions import links
 from lotmill.operators.clean import clean_listings, judged_listings
-from lotmill.operators.merge import insert_ignore, with_versioning
+from lotmill.operators.merge import insert_ignore, upsert_latest, with_versioning
 from lotmill.plans import marts, partials, star
 from lotmill.plans.refresh import refresh
 from lotmill.session import drop_scratch, scratch_folder
@@ -221,6 +221,26 @@ def test_first_load_then_merge(spark, tmp_path):
     assert {r.property_id: float(r.house_price) for r in store.read().collect()} == got
 
 
+@pytest.mark.parametrize("run", [upsert_latest])
+@pytest.mark.parametrize("n_buckets, most_rows", [(4, 4), (None, 100)])
+def test_a_merge_in_buckets_gives_the_rows_of_the_plain_one(spark, tmp_path, run, n_buckets, most_rows):
+    """Keys that repeat or are null on either side, some with more rows than ``most_rows``, from files in a folder with a space."""
+    stored = [listing(f"p{i}", i, day=5) for i in range(9)] + [listing("p1", 99, day=2), listing(None, 1), listing(None, 2)]
+    batch = [listing(f"p{i % 12}", 100 + i % 7, day=1 + i % 9, created=1 + i % 4, house_name=f"n{i}") for i in range(30)]
+    batch += [listing(key, i, created=3, agent_name=f"a{i}") for i in range(6) for key in ("p3", None)] + [listing("q", 1, posted_date=None)]
+    folder = str(tmp_path / "two sides")
+    with_versioning(clean_rows(spark, stored), datetime(2024, 1, 1)).write.parquet(f"{folder}/stored")
+    clean_rows(spark, batch).repartition(3).write.parquet(f"{folder}/batch")
+    existing, incoming = spark.read.parquet(f"{folder}/stored"), spark.read.parquet(f"{folder}/batch")
+    expected = sorted(run(existing, incoming, NOON).collect(), key=str)
+    found = tables.merged_in_buckets(run, existing, incoming, NOON, str(tmp_path / "merge"), n_buckets, most_rows)
+    assert found.columns == schemas.CURRENT_COLUMNS and sorted(found.collect(), key=str) == expected
+    cut = spark.read.parquet(str(tmp_path / "merge" / "batch")).filter("_cut")
+    assert sorted((r.property_id for r in cut.collect()), key=str) == ([None, "p3"] if most_rows == 4 else [])
+    none = tables.merged_in_buckets(run, existing, incoming.limit(0), NOON, str(tmp_path / "none"), n_buckets)
+    assert sorted(none.collect(), key=str) == sorted(run(existing, incoming.limit(0), NOON).collect(), key=str)
+
+
 def test_files_by_header_and_file_names(spark, tmp_path):
     columns = schemas.RAW_COLUMNS
     cells = {c: "" for c in columns} | {"Page_Link": "https://x.com/property/a/1", "Source": "x"}
