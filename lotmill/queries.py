@@ -119,9 +119,8 @@ def upsert_latest(spark, sf_dir):
 
 @_query
 def merge_if_newer(spark, sf_dir):
-    merged = merge.merge_if_newer(
-        fx.listings_current(spark, sf_dir), fx.listings_incoming(spark, sf_dir), fx.AS_OF
-    )
+    stored, batch = fx.listings_current(spark, sf_dir), fx.listings_incoming(spark, sf_dir)
+    merged = tables.merged_in_buckets(merge.merge_if_newer, stored, batch, fx.AS_OF, scratch_folder(spark, "merge"))
     return _shown(merged).drop("valid_to")
 
 

@@ -48,7 +48,7 @@ def test_upsert_shuffles_each_side_once(stored):
     assert _count(plan, "Exchange") == 2 and "SortMergeJoin" in plan
 
 
-@pytest.mark.parametrize("query", ["upsert_latest"])
+@pytest.mark.parametrize("query", ["upsert_latest", "merge_if_newer"])
 def test_the_rows_of_a_merge_are_not_shuffled(spark, stored, sf_dir, monkeypatch, query):
     monkeypatch.setattr(tables, "BUCKET_BYTES", 1)
     plan = physical_plan(QUERIES[query](spark, sf_dir))

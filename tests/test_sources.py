@@ -11,7 +11,7 @@ from helpers import NOON, clean_rows, listing, raw_rows
 from lotmill import schemas
 from lotmill.functions import links
 from lotmill.operators.clean import clean_listings, judged_listings
-from lotmill.operators.merge import insert_ignore, upsert_latest, with_versioning
+from lotmill.operators.merge import insert_ignore, merge_if_newer, upsert_latest, with_versioning
 from lotmill.plans import marts, partials, star
 from lotmill.plans.refresh import refresh
 from lotmill.session import drop_scratch, scratch_folder
@@ -221,7 +221,7 @@ def test_first_load_then_merge(spark, tmp_path):
     assert {r.property_id: float(r.house_price) for r in store.read().collect()} == got
 
 
-@pytest.mark.parametrize("run", [upsert_latest])
+@pytest.mark.parametrize("run", [upsert_latest, merge_if_newer])
 @pytest.mark.parametrize("n_buckets, most_rows", [(4, 4), (None, 100)])
 def test_a_merge_in_buckets_gives_the_rows_of_the_plain_one(spark, tmp_path, run, n_buckets, most_rows):
     """Keys that repeat or are null on either side, some with more rows than ``most_rows``, from files in a folder with a space."""
