@@ -180,7 +180,7 @@ class BucketedTable:
         return rows.join(self.read().select(self.key), self.key, "left_anti").select(*self.columns)
 
     def overwrite(self, rows: DataFrame) -> None:
-        """Just these rows, which are dealt as the buckets are."""
+        """Just these rows; a bucket is one file if they are dealt as the buckets are, else one of each task that has rows of it."""
         rows.select(*self.columns).write.insertInto(self.name, overwrite=True)
 
     def drop(self) -> None:
