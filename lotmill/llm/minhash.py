@@ -352,5 +352,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     grouped = marked.filter("n_shingles > 0").join(roots, F.col("set_key") == F.col("_set"))
     # One aggregation with map-side minima, however large a group is.
     first = grouped.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("c"))).alias("_first"))
-    kept = first.select(F.col("_first.c").alias("_row")).unionByName(marked.filter("n_shingles = 0").select("_row"))
-    return unshield(rows.join(kept, "_row", "left_semi"), docs, "doc_id", "text")
+    kept = materialize(first.select(F.col("_first.c").alias("_row")).unionByName(marked.filter("n_shingles = 0").select("_row")), "near-kept")
+    # Few row numbers go to the texts; else both are shuffled.
+    return unshield(rows.join(_bounded(kept), "_row", "left_semi"), docs, "doc_id", "text")

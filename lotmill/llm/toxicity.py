@@ -119,14 +119,27 @@ def distinct_words(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, words string")
 
 
-def mined_terms(labelled: DataFrame, n_docs: int, n_toxic: int) -> list[str]:
-    """Terms that stand in toxic documents of ``labelled`` (words, toxic) far more often than by chance."""
+def labelled_words(docs: DataFrame, known: DataFrame, sent: bool) -> DataFrame:
+    """(text, toxic) of the labelled rows of ``docs``, or (words, toxic) where texts would be shuffled.
+
+    ``sent``: ``known`` is marked to go to every executor. Texts then meet them where they are read, and terms are counted in the same
+    Python step; a second one would have two workers for each running task, which stay for the rest of the session.
+    """
+    if sent:
+        return docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
+    return distinct_words(docs).join(known, "doc_id").select("words", "toxic")
+
+
+def term_counts(labelled: DataFrame) -> DataFrame:
+    """(term, n, pos): in how many rows of ``labelled`` (text or words, toxic) a term stands, and in how many toxic ones."""
+    column = "words" if "words" in labelled.columns else "text"
+    split = letters if column == "text" else (lambda words: words.split(" "))
 
     def counted(batches):
-        for batch in by_bytes(batches, "words"):
+        for batch in by_bytes(batches, column):
             every, toxic = Counter(), Counter()
-            for words, y in zip(batch.column("words").to_pylist(), batch.column("toxic").to_pylist()):
-                own = terms(words.split(" ")) if words else set()
+            for text, y in zip(batch.column(column).to_pylist(), batch.column("toxic").to_pylist()):
+                own = terms(dict.fromkeys(split(text))) if text else set()
                 every.update(own)
                 if y:
                     toxic.update(own)
@@ -135,12 +148,16 @@ def mined_terms(labelled: DataFrame, n_docs: int, n_toxic: int) -> list[str]:
                 names=["term", "n", "pos"],
             )
 
+    parts = labelled.select(column, "toxic").mapInArrow(counted, "term string, n long, pos long")
+    return parts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+
+
+def mined_terms(labelled: DataFrame, n_docs: int, n_toxic: int) -> list[str]:
+    """Terms that stand in toxic documents of ``labelled`` (text or words, toxic) far more often than by chance."""
     p = n_toxic / n_docs
     share, clean = F.col("pos") / F.col("n"), F.col("n") - F.col("pos")
     nats = F.col("pos") * F.log(share / p) + F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - p))).otherwise(0.0)
-    parts = labelled.select("words", "toxic").mapInArrow(counted, "term string, n long, pos long")
-    counts = parts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-    strong = counts.filter(share >= max(p, MIN_SHARE)).withColumn("nats", nats).filter(F.col("nats") >= MIN_NATS)
+    strong = term_counts(labelled).filter(share >= max(p, MIN_SHARE)).withColumn("nats", nats).filter(F.col("nats") >= MIN_NATS)
     return [r["term"] for r in strong.orderBy(F.col("nats").desc(), "term").limit(MOST_TERMS).select("term").collect()]
 
 
@@ -372,13 +389,14 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Scorer:
     sums of voters and pairs of voters, and the votes of the classifier's sample, at most FIT_ROWS by MOST_TERMS.
     """
     known, texts = materialize(known_labels(labels), "toxicity-labels"), docs.filter("text IS NOT NULL")
-    if known.count() <= BROADCAST_LABELS:
+    sent = known.count() <= BROADCAST_LABELS
+    if sent:
         known = F.broadcast(known)
     n, toxic = texts.select("doc_id").join(known, "doc_id").agg(F.count("*"), F.sum("toxic")).first()
     if not toxic or toxic == n:  # nothing to set the scores to
         return Scorer(["=" + w for w in LEXICON], np.full(len(LEXICON), LEXICON_WEIGHT), -3.0)
     prior = (toxic + 0.5) / (n + 5)
-    mined = mined_terms(distinct_words(texts).join(known, "doc_id"), n, toxic)
+    mined = mined_terms(labelled_words(texts, known, sent), n, toxic)
     names = [*dict.fromkeys(["=" + w for w in LEXICON] + mined), *("~" + p for p in PATTERNS)]
     scorer = Scorer(names, np.zeros(len(names)), 0.0)
     votes = materialize(vote_lists(texts, scorer, "doc_id").select("doc_id", "k"), "toxicity-votes")

@@ -526,3 +526,39 @@ def test_texts_are_labelled_a_bounded_part_at_a_time(spark):
     want = [langid._labelled(model, [t]) for t, _ in docs]
     assert [x for p in parts for x in p.column("lang_pred").to_pylist()] == [w[0][0] for w in want]
     assert [x for p in parts for x in p.column("score").to_pylist()] == [w[1][0] for w in want]
+
+
+def test_terms_are_counted_in_one_python_step_where_labels_are_sent(spark, monkeypatch):
+    rows = [(1, "You IDIOT, you idiot moronically", 1), (2, "a moronical word", 0), (3, "", 1), (4, "1 2 3", 0), (5, "no label", None), (5, "no label", None), (2, "again Idiot", 0)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    known = spark.createDataFrame(sorted({(i, y) for i, _, y in rows if y is not None}), "doc_id long, toxic int")
+    expected = {}
+    for _, text, y in rows:
+        if y is not None:
+            for t in toxicity.terms(set(toxicity.letters(text))):
+                n, pos = expected.get(t, (0, 0))
+                expected[t] = (n + 1, pos + y)
+    plans = []
+    mined = toxicity.mined_terms
+
+    def spied(labelled, n, toxic):
+        counts = toxicity.term_counts(labelled)
+        plans.append((counts._jdf.queryExecution().executedPlan().toString(), {r["term"]: (r["n"], r["pos"]) for r in counts.collect()}))
+        return mined(labelled, n, toxic)
+
+    monkeypatch.setattr(toxicity, "mined_terms", spied)
+    for most in (10, 0):  # sent, shuffled
+        monkeypatch.setattr(toxicity, "BROADCAST_LABELS", most)
+        toxicity.fit(docs, known)
+    (sent, counts), (_, shuffled) = plans
+    assert counts == shuffled == expected
+    assert sent.count("MapInArrow") == 1
+
+
+def test_rows_that_stay_are_sent_to_the_texts(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "a"), (2, text + " end", "b"), (3, "other words that stand alone here", "c"), (4, "", "d"), (4, "", "d"), (None, text, "e")]
+    kept = minhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, _row string"))
+    assert sorted(tuple(r) for r in kept.collect()) == sorted([rows[0], rows[2], rows[3], rows[4]])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
