@@ -92,19 +92,31 @@ def _joined(existing: DataFrame, latest: DataFrame) -> DataFrame:
     return existing.alias("e").join(latest.alias("i"), same, "full_outer")
 
 
-def change_images(existing: DataFrame, latest: DataFrame, only_newer: bool = False) -> DataFrame:
+def change_images(existing: DataFrame, latest: DataFrame, only_newer: bool = False, small: bool = True) -> DataFrame:
     """What a written batch of one current row per key does to the stored rows.
 
     ``existing`` and ``latest`` carry their ``bucket``, ``latest`` also ``n_rows``. Returns (property_id, bucket, action, n_rows,
     before, after), one row for each key of the batch: ``insert``, ``update``, or ``unchanged`` where the stored row has the same
     content hash; then both images are null. The batch, if small, goes to the stored rows, and these are not
-    shuffled; the batch is read twice, and of the stored rows the keys are.
+    shuffled; the batch is read twice, and of the stored rows the keys are. If it is not ``small``, both sides are sorted once and meet
+    in one join, so that a task holds no more than two sorts.
     """
     same = F.col(f"e.{KEY}") == F.col(f"i.{KEY}")
     equal = F.coalesce(F.col("e.row_hash") == F.col("i.row_hash"), F.lit(False))
-    met = existing.alias("e").join(latest.alias("i"), same)
     before = F.struct(*[F.col(f"e.{c}").alias(c) for c in CURRENT_COLUMNS])
     after = F.struct(*_arrived(_forward() if only_newer else {}))
+    if not small:
+        new = F.col(f"e.{KEY}").isNull()
+        fresh = F.struct(*[F.col(f"i.{c}").alias(c) for c in CURRENT_COLUMNS])
+        return latest.hint("merge").alias("i").join(existing.alias("e"), same, "left").select(
+            F.col(f"i.{KEY}").alias(KEY),
+            F.col("i.bucket").alias("bucket"),
+            F.when(new, "insert").when(equal, "unchanged").otherwise("update").alias("action"),
+            F.col("i.n_rows").alias("n_rows"),
+            F.when(~new & ~equal, before).alias("before"),
+            F.when(new, fresh).when(~equal, after).alias("after"),
+        )
+    met = existing.alias("e").join(latest.alias("i"), same)
     changed = met.select(
         F.col(f"i.{KEY}").alias(KEY),
         F.col("i.bucket").alias("bucket"),

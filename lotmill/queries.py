@@ -563,7 +563,8 @@ def stable_ids(spark, sf_dir):
 @_query
 def incremental_marts(spark, sf_dir):
     """Three marts from the partials of three batches that insert, overwrite and move rows."""
-    store, folder = tables.CurrentTable(spark, scratch_folder(spark, "current")), scratch_folder(spark, "partials")
+    n_buckets = tables.buckets_for(spark, fx.listings_raw(spark, sf_dir))
+    store, folder = tables.CurrentTable(spark, scratch_folder(spark, "current"), n_buckets=n_buckets), scratch_folder(spark, "partials")
     batches = (_visit(spark, sf_dir, 3, "a", "first agent", EARLY), fx.listings_raw(spark, sf_dir), _revisited(spark, sf_dir))
     for i, rows in enumerate(batches):
         staged = _cleaned_whole(rows)

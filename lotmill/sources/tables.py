@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from datetime import datetime
 from functools import reduce
 from operator import or_
@@ -17,7 +18,7 @@ from lotmill.operators.dedup import fingerprinted, keep_first, keep_last
 from lotmill.operators.gate import passing
 from lotmill.operators.merge import KEY, change_images, counted_latest, latest_rows
 from lotmill.schemas import CLEAN_SCHEMA, CURRENT_SCHEMA, RAW_SCHEMA
-from lotmill.session import bytes_read, drop_folder, is_written, matches
+from lotmill.session import bytes_read, drop_folder, is_written, matches, no_rows
 
 BUCKETS = 32
 
@@ -27,6 +28,34 @@ MOST_ROWS = 1_000_000
 #: Bytes of input files that make a bucket of a merge, up to as many buckets as shuffle partitions.
 BUCKET_BYTES = 2 << 20
 
+#: Keys that may be sent to every executor. Compressed files tell little of how many there are, so they are counted.
+FEW_KEYS = 500_000
+
+
+def buckets_for(spark: SparkSession, *sources: DataFrame) -> int:
+    """How many buckets suit a table that these are loaded into: as many more as their files are larger, so that a bucket is not."""
+    return max(BUCKETS, -(-bytes_read(spark, *sources) // BUCKET_BYTES))
+
+
+@contextmanager
+def _bucket_a_task(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile bucketed tables are read a bucket a task, and rows of one bucket are written as they come.
+
+    Else every task sorts whole rows by a bucket that they share. A task that does have rows of a second bucket still sorts those left.
+    """
+    wanted = {"spark.sql.maxConcurrentOutputFileWriters": "1", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
 
 class CurrentTable:
     """One current row per key, in partitions by a hash of the key.
@@ -71,13 +100,13 @@ class CurrentTable:
     def _rows(self, buckets: list[int] | None = None) -> DataFrame:
         """Stored rows with their ``bucket``; files of other buckets than the given ones are not listed."""
         if not self.exists():
-            return self.spark.createDataFrame([], self.stored)
+            return no_rows(self.spark, self.stored)
         rows = self.spark.table(self._table())
         return rows if buckets is None else rows.filter(F.col("bucket").isin(buckets))
 
     def read(self) -> DataFrame:
         if not self.exists():
-            return self.spark.createDataFrame([], self.schema)
+            return no_rows(self.spark, self.schema)
         return self.spark.read.schema(self.stored).parquet(f"{self.root}/rows").select(*self.schema.names)
 
     def images(self, batch: str) -> DataFrame:
@@ -98,7 +127,8 @@ class CurrentTable:
         """
         batch, seen = batch or uuid.uuid4().hex, Observation()
         rows = (rows if dealt else self.dealt(rows)).select(*self.schema.names).withColumn("bucket", self.bucket())
-        self._write(rows.observe(seen, F.collect_set("bucket").alias("buckets")))
+        with _bucket_a_task(self.spark):
+            self._write(rows.observe(seen, F.collect_set("bucket").alias("buckets")))
         written = seen.get["buckets"]
         if not written:
             raise RuntimeError("no rows were loaded")
@@ -107,15 +137,20 @@ class CurrentTable:
         drop_folder(self.spark, f"{self.root}/changes")
         after = F.struct(*self.schema.names)
         inserts = self._rows().select(KEY, "bucket", F.lit("insert").alias("action"), F.lit(1).cast("long").alias("n_rows"), F.lit(None).cast(self.schema).alias("before"), after.alias("after"))
-        self._changes(batch).overwrite(inserts)
+        with _bucket_a_task(self.spark):
+            self._changes(batch).overwrite(inserts)
 
     def merge(self, staged: DataFrame, as_of: datetime, only_newer: bool = True, batch: str | None = None) -> dict[str, int]:
         """Merge gated clean rows; rows inserted, updated and unchanged, as a row-by-row upsert would count them.
 
-        The batch is dealt to the buckets, cut there to one row per key and written first; if it is small, Spark then sends it to
-        the stored rows, else it meets them bucket by bucket. Only buckets with a key of the batch are read, and only buckets
-        with a changed one are written: a batch delivered twice writes none.
+        The batch is dealt to the buckets, cut there to one row per key and written first; if it is small (:data:`FEW_KEYS`), Spark
+        then may send it to the stored rows, else it meets them bucket by bucket. Only buckets with a key of the batch are read, and
+        only buckets with a changed one are written: a batch delivered twice writes none.
         """
+        with _bucket_a_task(self.spark):
+            return self._merge(staged, as_of, only_newer, batch)
+
+    def _merge(self, staged: DataFrame, as_of: datetime, only_newer: bool, batch: str | None) -> dict[str, int]:
         batch = batch or uuid.uuid4().hex
         path, aside = f"{self.root}/changes/{batch}", f"{self.root}/incoming/{batch}"
         changed = F.col("action") != "unchanged"
@@ -123,6 +158,7 @@ class CurrentTable:
             F.coalesce(F.sum(F.when(F.col("action") == "insert", 1)), F.lit(0)).alias("inserted"),
             F.coalesce(F.sum(F.when(changed, F.col("n_rows"))), F.lit(0)).alias("moved"),
             F.coalesce(F.sum(F.when(~changed, F.col("n_rows"))), F.lit(0)).alias("unchanged"),
+            F.count(F.when(changed, 1)).alias("keys"),
             F.collect_set(F.when(changed, F.col("bucket"))).alias("buckets"),
         ]
         if is_written(self.spark, path):
@@ -131,16 +167,19 @@ class CurrentTable:
             reach, seen = Observation(), Observation()
             latest = counted_latest(self.dealt(staged), as_of).withColumn("bucket", self.bucket())
             cut = BucketedTable(self.spark, aside, latest.schema, KEY, self.n_buckets)
-            cut.overwrite(latest.observe(reach, F.collect_set("bucket").alias("buckets")))
+            cut.overwrite(latest.observe(reach, F.count("*").alias("keys"), F.collect_set("bucket").alias("buckets")))
             stored = self._rows(list(reach.get["buckets"]))
-            images = change_images(stored, cut.read(), only_newer)
+            images = change_images(stored, cut.read(), only_newer, reach.get["keys"] <= FEW_KEYS)
             self._changes(batch).overwrite(images.observe(seen, *counts))
             found = seen.get
             cut.drop()
         if found["buckets"]:
             images = self._changes(batch).read().filter(changed)
-            kept = self._rows(list(found["buckets"])).join(images.select(KEY), KEY, "left_anti")
-            self._write(kept.unionByName(images.select("after.*", "bucket")))
+            gone = images.select(KEY) if found["keys"] <= FEW_KEYS else images.select(KEY).hint("merge")
+            kept = self._rows(list(found["buckets"])).join(gone, KEY, "left_anti")
+            # By the key, which says that a task has one bucket.
+            after = images.select(KEY, *[f"after.{c}" for c in self.schema.names if c != KEY], "bucket")
+            self._write(kept.unionByName(after))
         return {"inserted": found["inserted"], "updated": found["moved"] - found["inserted"], "unchanged": found["unchanged"]}
 
 
@@ -191,7 +230,8 @@ class BucketedTable:
     def append(self, rows: DataFrame, dealt: bool = False) -> int:
         """Append the rows whose key is not stored, one for each key; how many. What is stored is neither moved nor rewritten."""
         seen = Observation()
-        self.unseen(rows, dealt).observe(seen, F.count("*").alias("n")).write.insertInto(self.name)
+        with _bucket_a_task(self.spark):
+            self.unseen(rows, dealt).observe(seen, F.count("*").alias("n")).write.insertInto(self.name)
         return seen.get["n"]
 
 

@@ -49,6 +49,22 @@ def _apply(stored: dict, batch: list[dict], only_newer: bool) -> dict:
     return table
 
 
+@pytest.mark.parametrize("only_newer", [False, True])
+def test_images_of_a_large_batch_are_those_of_a_small_one(spark, only_newer):
+    stored = {r["property_id"]: r for r in _batch(1, 60, 40)}
+    # A key that is stored twice, and rows without a key, which meet nothing.
+    rows = [*stored.values(), stored["hot"], listing(None)]
+    bucket = F.lit(0).alias("bucket")
+    existing = merge.with_versioning(clean_rows(spark, rows), STORED_AT).select("*", bucket)
+    same = merge.counted_latest(clean_rows(spark, list(stored.values())[:10]), NOON)
+    latest = merge.counted_latest(clean_rows(spark, [*_batch(2, 300, 60), listing(None)]), NOON)
+    latest = latest.join(same, "property_id", "left_anti").unionByName(same).select("*", bucket)
+    ways = [merge.change_images(existing, latest, only_newer, small) for small in (True, False)]
+    assert ways[0].dtypes == ways[1].dtypes
+    got = [sorted(df.collect(), key=str) for df in ways]
+    assert got[0] == got[1] and {r.action for r in got[0]} == {"insert", "update", "unchanged"}
+
+
 @pytest.mark.parametrize("only_newer", [False, True])
 def test_upserts_against_row_by_row(spark, only_newer):
     stored = {r["property_id"]: r for r in _batch(1, 60, 40)}

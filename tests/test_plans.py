@@ -178,6 +178,58 @@ def test_page_bodies_are_not_shuffled(spark, sf_dir, stored):
             assert "html" not in columns
 
 
+def test_a_large_batch_meets_the_stored_rows_in_one_join_and_is_written_unsorted(spark, stored, tmp_path):
+    table = CurrentTable(spark, str(tmp_path / "t"), n_buckets=8)
+    table.merge(stored("current"), NOON, batch="one")
+    latest = merge.counted_latest(table.dealt(stored("incoming")), NOON).withColumn("bucket", table.bucket())
+    cut = BucketedTable(spark, str(tmp_path / "cut"), latest.schema, "property_id", 8)
+    cut.overwrite(latest)
+    images = merge.change_images(table._rows(), cut.read(), small=False)
+    images.createOrReplaceTempView("images_of_a_batch")
+    rewritten = table._changes("one").read().select("property_id", "after")
+    with tables._bucket_a_task(spark):
+        plan = spark.sql(f"EXPLAIN INSERT OVERWRITE TABLE {table._changes('two').name} SELECT * FROM images_of_a_batch").first()[0]
+        assert "SelectedBucketsCount: 8 out of 8" in physical_plan(rewritten)
+    # Two sorts, for the join, and none of the images; nothing is left of the settings.
+    assert _count(plan, "SortMergeJoin") == 1 and _count(plan, "Sort") == 2 and "Exchange" not in plan
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
+
+
+def test_keys_that_are_many_are_not_broadcast(spark, stored, tmp_path, monkeypatch):
+    seen, threshold = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    table = CurrentTable(spark, str(tmp_path / "t"), n_buckets=8)
+    table.merge(stored("current"), NOON, batch="one")
+    monkeypatch.setattr(CurrentTable, "_write", lambda self, rows: seen.append(physical_plan(rows)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        for few in (10**6, 1):
+            monkeypatch.setattr(tables, "FEW_KEYS", few)
+            table.merge(stored("incoming"), NOON, False, f"few {few}")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in seen[0] and "BroadcastHashJoin" not in seen[1] and "SortMergeJoin" in seen[1]
+
+
+@pytest.mark.parametrize("query", ["incremental_marts"])
+def test_buckets_grow_with_the_files(spark, sf_dir, monkeypatch, query):
+    raw, made = fx.listings_raw(spark, sf_dir), []
+    assert tables.buckets_for(spark, raw) == tables.BUCKETS
+    monkeypatch.setattr(tables, "BUCKET_BYTES", tables.bytes_read(spark, raw) // 40 + 1)
+    monkeypatch.setattr(CurrentTable, "replace", lambda self, *a, **b: made.append(self.n_buckets))
+    monkeypatch.setattr(CurrentTable, "merge", lambda self, *a, **b: made.append(self.n_buckets) or 1 / 0)
+    with pytest.raises(Exception):
+        QUERIES[query](spark, sf_dir)
+    assert set(made) == {tables.buckets_for(spark, raw)} and made[0] > tables.BUCKETS
+
+
+def test_no_rows_need_no_python(spark, tmp_path):
+    empty = CurrentTable(spark, str(tmp_path / "t"))
+    for rows in (empty.read(), empty._rows()):
+        assert "ExistingRDD" not in physical_plan(rows) and rows.isEmpty()
+    assert empty.read().schema.names == empty.schema.names
+
+
 def test_a_small_batch_goes_to_the_stored_rows(spark, stored, tmp_path):
     batch = stored("current").filter("property_id < '1'")
     batch.write.parquet(str(tmp_path / "batch"))
