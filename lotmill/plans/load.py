@@ -77,5 +77,5 @@ def load_batch(
     merged = current.merge(passing(staged), as_of, options.only_newer, f"{writer}-{batch}")
     write_partials(current.images(f"{writer}-{batch}"), f"{root}/mart_partials", f"{writer}-{batch}")
     counts = {"files": len(headers), "rejected_files": broken.get["files"], **read.get, **back.get, **merged}
-    spark.createDataFrame([tuple(counts.values())], list(counts)).write.mode("overwrite").parquet(f"{root}/loads/{own}")
+    spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in counts.items()]).write.mode("overwrite").parquet(f"{root}/loads/{own}")
     return counts

@@ -208,8 +208,8 @@ def region_dim(spark, sf_dir):
 @_query
 def stream_ingest(spark, sf_dir):
     folder, state = scratch_folder(spark, "drop"), scratch_folder(spark, "stream")
-    store = current_table(spark, state)
-    options = LoadOptions(only_newer=False)
+    options = LoadOptions(only_newer=False, buckets=tables.buckets_for(spark, fx.listings_raw(spark, sf_dir)))
+    store = current_table(spark, state, options)
     tables.full_reload(store, _cleaned_whole(_visit(spark, sf_dir, 3, "a", "first agent", EARLY)), fx.AS_OF)
     files.write_raw(fx.listings_raw(spark, sf_dir), folder)
     start_ingest(spark, folder, state, f"{state}/checkpoint", fx.AS_OF, options=options).awaitTermination()

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from lotmill.operators.clean import with_missing_as_null
 from lotmill.schemas import CLEAN_COLUMNS, CLEAN_TYPES, RAW_COLUMNS, RAW_SCHEMA, typed_columns
+from lotmill.session import no_rows
 
 # Quotes are doubled inside quoted cells, and cells may hold line breaks.
 CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
@@ -107,7 +108,8 @@ def read_files(spark: SparkSession, headers: list, multi_line: bool = True) -> t
         rows = group if rows is None else rows.unionByName(group)
     if rows is None:
         rows = empty_raw(spark).withColumns({c: F.lit(None).cast("string") for c in ("file_name", "raw_line")})
-    return with_missing_as_null(rows), spark.createDataFrame(bad, "file_path string, header string")
+    named = T.StructType([T.StructField(c, T.StringType()) for c in ("file_path", "header")])
+    return with_missing_as_null(rows), spark.createDataFrame(bad, named) if bad else no_rows(spark, named)
 
 
 def _plain(uri: str) -> str:
@@ -152,7 +154,7 @@ def write_raw(df: DataFrame, folder: str, mode: str = "append") -> None:
 
 def empty_raw(spark: SparkSession) -> DataFrame:
     """No rows, raw columns."""
-    return spark.createDataFrame([], RAW_SCHEMA)
+    return no_rows(spark, RAW_SCHEMA)
 
 
 def write_header_only(spark: SparkSession, folder: str) -> None:

@@ -214,9 +214,12 @@ class BucketedTable:
         return rows.select(*self.columns).repartition(self.n_buckets, self.key)
 
     def unseen(self, rows: DataFrame, dealt: bool = False) -> DataFrame:
-        """Rows, one for each key, whose key is not stored; ``dealt`` if they come from :meth:`dealt`."""
+        """Rows, one for each key, whose key is not stored; ``dealt`` if they come from :meth:`dealt`.
+
+        Stored keys are met bucket by bucket however small their files are: compressed, millions of keys take a few MB.
+        """
         rows = rows if dealt else self.dealt(rows)
-        return rows.join(self.read().select(self.key), self.key, "left_anti").select(*self.columns)
+        return rows.join(self.read().select(self.key).hint("merge"), self.key, "left_anti").select(*self.columns)
 
     def overwrite(self, rows: DataFrame) -> None:
         """Just these rows; a bucket is one file if they are dealt as the buckets are, else one of each task that has rows of it."""

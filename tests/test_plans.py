@@ -13,7 +13,7 @@ from lotmill.operators.clean import clean_listings
 from lotmill.plans import marts, partials, star
 from lotmill.queries import QUERIES
 from lotmill.schemas import RAW_COLUMNS
-from lotmill.sources import tables
+from lotmill.sources import files, tables
 from lotmill.sources.tables import BucketedTable, CurrentTable, append_raw, raw_archive, raw_table
 
 
@@ -211,7 +211,20 @@ def test_keys_that_are_many_are_not_broadcast(spark, stored, tmp_path, monkeypat
     assert "BroadcastHashJoin" in seen[0] and "BroadcastHashJoin" not in seen[1] and "SortMergeJoin" in seen[1]
 
 
-@pytest.mark.parametrize("query", ["incremental_marts"])
+def test_stored_keys_are_not_broadcast_for_small_files(spark, stored, tmp_path):
+    table, threshold = raw_table(spark, str(tmp_path / "raw"), 8), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    table.append(dedup.keep_first(stored("current").repartition(8, "property_id"), "property_id"), dealt=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        first = dedup.keep_first(table.dealt(stored("incoming")), "property_id")
+        plan = physical_plan(table.unseen(first, dealt=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # New rows are sorted once, as they are cut; of the stored rows only keys are.
+    assert "Broadcast" not in plan and _count(plan, "SortMergeJoin") == 1 and _count(plan, "Sort") == 2
+
+
+@pytest.mark.parametrize("query", ["stream_ingest", "incremental_marts"])
 def test_buckets_grow_with_the_files(spark, sf_dir, monkeypatch, query):
     raw, made = fx.listings_raw(spark, sf_dir), []
     assert tables.buckets_for(spark, raw) == tables.BUCKETS
@@ -225,7 +238,7 @@ def test_buckets_grow_with_the_files(spark, sf_dir, monkeypatch, query):
 
 def test_no_rows_need_no_python(spark, tmp_path):
     empty = CurrentTable(spark, str(tmp_path / "t"))
-    for rows in (empty.read(), empty._rows()):
+    for rows in (empty.read(), empty._rows(), files.empty_raw(spark), files.read_files(spark, [])[1]):
         assert "ExistingRDD" not in physical_plan(rows) and rows.isEmpty()
     assert empty.read().schema.names == empty.schema.names
 
